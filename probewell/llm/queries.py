@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import near_dup
+from . import near_dup, repeats
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
+    "op5_suffix_repeats": repeats.op5_query,
 }
 
 ORACLES: dict[str, str] = {}
