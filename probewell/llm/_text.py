@@ -124,7 +124,8 @@ class Words:
         self.row_first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.row_first)
         if hashed:
-            self.hash = Rolling(_LOWER[data] if lower else data).ranges(self.start, self.end)
+            self.rolling = Rolling(_LOWER[data] if lower else data)
+            self.hash = self.rolling.ranges(self.start, self.end)
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import main_text, media, near_dup, repeats
+from . import main_text, media, near_dup, repeats, toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
     "op2_media_columns": media.op2_query,
+    "op3_counterfactual_toxicity": toxicity.op3_query,
     "op5_suffix_repeats": repeats.op5_query,
     "op7_main_text": main_text.op7_query,
 }
