@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,10 +27,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows once as Parquet in the shared folder and read them back; this cuts the lineage."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write the rows once as Parquet in the shared folder and read them back; this cuts the lineage.
+
+    Shuffle files of the write go as soon as it has ended: nothing reads them again.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
 
