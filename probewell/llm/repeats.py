@@ -6,8 +6,8 @@ window's bytes alone, so equal windows have equal anchors, and the windows of a
 equal as a whole repeat as a whole: both are settled by counting hashes. What is left, one of each differing
 segment, is a suffix from its anchor (and, read backwards, a prefix). Sampled splitters range-partition the suffixes by
 their leading bytes; each bucket sorts them with a multikey quicksort whose characters are 8 bytes wide, takes the
-common lengths of neighbours, and finds the windows that two suffixes share. A gram that reaches a bucket's first or
-last place may go on in the next bucket, so these groups also compare their windows across the boundary.
+common lengths of neighbours, and finds the windows that two suffixes share. The suffixes of a very frequent gram are dealt
+over several buckets; these compare what is left of their windows across the boundaries.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ LENGTH = 400
 GRAM = 100
 #: Leading bytes by which the splitters are sampled.
 LEAD = 16
+#: Places of one gram up to which its suffixes stay in one bucket (of some 15 MB at most); more are spread over buckets.
+SPLIT = 20_000
 
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -89,15 +91,15 @@ def suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in segs:
                 if s["compare"]:
                     lo, hi, a = at + s["lo"], at + s["hi"], at + s["a"]
-                    rows.append((raw[a : a + LEAD], s["gram"], (doc or 0) ^ th ^ s["lo"], doc, th, s["lo"], s["hi"], s["a"], raw[a : hi + LENGTH], raw[lo:a][::-1], not s["settled"]))
+                    rows.append((raw[a : a + LEAD], s["gram"], ((doc or 0) ^ th ^ s["lo"]) if s["split"] else 0, s["split"], doc, th, s["lo"], s["hi"], s["a"], raw[a : hi + LENGTH], raw[lo:a][::-1], not s["settled"]))
             if len(rows) > 4000:
                 yield _suffixes(rows)
                 rows = []
         yield _suffixes(rows)
 
 
-_SUFFIX = "lead binary, gram long, tie long, doc_id long, th long, lo long, hi long, a long, after binary, before binary, wanted boolean"
-_SUFFIX_TYPES = {"lead": pa.binary(), "after": pa.binary(), "before": pa.binary(), "wanted": pa.bool_()}
+_SUFFIX = "lead binary, gram long, tie long, split boolean, doc_id long, th long, lo long, hi long, a long, after binary, before binary, wanted boolean"
+_SUFFIX_TYPES = {"lead": pa.binary(), "after": pa.binary(), "before": pa.binary(), "wanted": pa.bool_(), "split": pa.bool_()}
 
 
 def _suffixes(rows: list[tuple]) -> pa.RecordBatch:
@@ -171,13 +173,10 @@ def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, which, count = np.unique(code, return_inverse=True, return_counts=True)
         shared[at, d] = count[which] > 1
     yield _spans(table, np.where(wanted[:, None], shared, False), a)
-    grams = table.column("gram").to_numpy()
-    # the bucket's range is by (lead, gram): its outermost groups may go on outside
-    leads = table.column("lead").to_pylist()
-    keys = list(zip(leads, grams.tolist(), strict=True))
-    ends = {min(keys), max(keys)}
-    for i in [i for i, k in enumerate(keys) if k in ends]:
-        yield from _window_rows(table.slice(i, 1), shared[i], lo[i], hi[i], a[i], wanted[i])
+    split = np.flatnonzero(table.column("split").to_numpy(zero_copy_only=False))
+    seen: set[tuple[int, int]] = set()
+    for i in split.tolist():
+        yield _window_rows(table.slice(i, 1), shared[i], lo[i], hi[i], a[i], wanted[i], seen)
 
 
 _BUCKET = "doc_id long, th long, lo long, hi long, w1 long, w2 long"
@@ -200,20 +199,23 @@ def _spans(table: pa.RecordBatch, shared: np.ndarray, a: np.ndarray) -> pa.Recor
     return _bucket_batch(table.column("doc_id").take(take), table.column("th").take(take), a[row] - past + 1, a[row] - first + LENGTH)
 
 
-def _window_rows(one: pa.RecordBatch, shared: np.ndarray, lo: int, hi: int, a: int, wanted: bool) -> Iterator[pa.RecordBatch]:
-    """Hashes of a suffix's windows. Those that the bucket has settled stand for their text only (no document)."""
+def _window_rows(one: pa.RecordBatch, shared: np.ndarray, lo: int, hi: int, a: int, wanted: bool, seen: set) -> pa.RecordBatch:
+    """Hashes of a suffix's windows. Those that the bucket has settled stand for their text only, once in a bucket."""
     text = one.column("before")[0].as_py()[::-1] + one.column("after")[0].as_py()
     data = np.frombuffer(text, dtype=np.uint8)
     w1 = _text.Rolling(data).windows(LENGTH).view(np.int64)
     w2 = _text.Rolling(data, _SECOND, _SECOND_INVERSE).windows(LENGTH).view(np.int64)
     start = np.arange(lo, hi + 1)
     settled = shared[a - start] | (not wanted)
-    doc, th = one.column("doc_id")[0].as_py(), one.column("th")[0].as_py()
-    yield _bucket_batch(
-        pa.array([doc] * len(start), type=pa.int64()),
-        pa.array([th] * len(start), type=pa.int64()),
-        np.where(settled, -1, start), np.where(settled, -1, start + LENGTH), w1, w2,
-    )
+    keep = ~settled
+    for i in np.flatnonzero(settled).tolist():
+        key = (int(w1[i]), int(w2[i]))
+        if key not in seen:
+            seen.add(key)
+            keep[i] = True
+    doc, th, n = one.column("doc_id")[0].as_py(), one.column("th")[0].as_py(), int(keep.sum())
+    at = np.where(settled, -1, start)[keep]
+    return _bucket_batch(pa.array([doc] * n, type=pa.int64()), pa.array([th] * n, type=pa.int64()), at, np.where(at < 0, -1, at + LENGTH), w1[keep], w2[keep])
 
 
 def removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,13 +254,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """Documents that hold a repeated string: doc_id, th, text, segs (settled ones) and spans."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     rows = save(texts.select("doc_id", "th", "text").mapInArrow(segment_rows, "doc_id long, th long, lo long, hi long, a long, gram long, seg long"), "segments")
-    grams = rows.groupBy("gram").agg(F.count("*").alias("n"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).where("n > 1").select("gram", (F.col("s0") != F.col("s1")).alias("mixed"))
+    grams = rows.groupBy("gram").agg(F.count("*").alias("n"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).where("n > 1").select("gram", (F.col("s0") != F.col("s1")).alias("mixed"), (F.col("n") > SPLIT).alias("split"))
     found = save(rows.join(grams, "gram"), "shared")
     key = F.struct("doc_id", "th", "lo")
     sets = found.where("mixed").groupBy("gram", "seg").agg(F.count("*").alias("c"), F.min(key).alias("one"))
     judged = found.join(sets, ["gram", "seg"], "left").select(
         "doc_id", "th",
-        F.struct("lo", "hi", "a", "gram", (~F.col("mixed") | (F.col("c") > 1)).alias("settled"), (F.col("mixed") & ((F.col("c") == 1) | F.col("one").eqNullSafe(key))).alias("compare")).alias("s"),
+        F.struct("lo", "hi", "a", "gram", "split", (~F.col("mixed") | (F.col("c") > 1)).alias("settled"), (F.col("mixed") & ((F.col("c") == 1) | F.col("one").eqNullSafe(key))).alias("compare")).alias("s"),
     )
     work = save(_same(texts, judged.groupBy("doc_id", "th").agg(F.collect_list("s").alias("segs")), "inner"), "work")
     suffixes = work.mapInArrow(suffix_rows, _SUFFIX)
