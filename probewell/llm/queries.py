@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import main_text, media, near_dup, quality, repeats, toxicity
+from . import main_text, media, near_dup, pieces, quality, repeats, toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_counterfactual_toxicity": toxicity.op3_query,
     "op5_suffix_repeats": repeats.op5_query,
     "op7_main_text": main_text.op7_query,
+    "op9_merge_dropout": pieces.op9_query,
     "op10_quality_rules": quality.op10_query,
 }
 
