@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import main_text, media, near_dup, pieces, quality, repeats, toxicity
+from . import main_text, media, mixing, near_dup, pieces, quality, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
     "op2_media_columns": media.op2_query,
     "op3_counterfactual_toxicity": toxicity.op3_query,
+    "op4_poisson_mixing": mixing.op4_query,
     "op5_suffix_repeats": repeats.op5_query,
+    "op6_secret_forest": secrets.op6_query,
     "op7_main_text": main_text.op7_query,
     "op9_merge_dropout": pieces.op9_query,
     "op10_quality_rules": quality.op10_query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_poisson_mixing": mixing.ORACLE,
+}
