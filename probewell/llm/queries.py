@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import main_text, media, mixing, near_dup, pieces, quality, repeats, secrets, toxicity
+from . import main_text, media, mixing, near_dup, pieces, quality, repeats, secrets, token_counts, toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_suffix_repeats": repeats.op5_query,
     "op6_secret_forest": secrets.op6_query,
     "op7_main_text": main_text.op7_query,
+    "op8_token_ledger": token_counts.op8_query,
     "op9_merge_dropout": pieces.op9_query,
     "op10_quality_rules": quality.op10_query,
 }
