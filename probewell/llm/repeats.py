@@ -255,9 +255,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     rows = save(texts.select("doc_id", "th", "text").mapInArrow(segment_rows, "doc_id long, th long, lo long, hi long, a long, gram long, seg long"), "segments")
     grams = rows.groupBy("gram").agg(F.count("*").alias("n"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).where("n > 1").select("gram", (F.col("s0") != F.col("s1")).alias("mixed"), (F.col("n") > SPLIT).alias("split"))
+    # written first: a join that shuffles a plain table by itself can split a very frequent gram over tasks
+    grams = save(grams, "grams")
     found = save(rows.join(grams, "gram"), "shared")
     key = F.struct("doc_id", "th", "lo")
-    sets = found.where("mixed").groupBy("gram", "seg").agg(F.count("*").alias("c"), F.min(key).alias("one"))
+    sets = save(found.where("mixed").groupBy("gram", "seg").agg(F.count("*").alias("c"), F.min(key).alias("one")), "sets")
     judged = found.join(sets, ["gram", "seg"], "left").select(
         "doc_id", "th",
         F.struct("lo", "hi", "a", "gram", "split", (~F.col("mixed") | (F.col("c") > 1)).alias("settled"), (F.col("mixed") & ((F.col("c") == 1) | F.col("one").eqNullSafe(key))).alias("compare")).alias("s"),
