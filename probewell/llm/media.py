@@ -180,4 +180,5 @@ def op2_query(spark, sf_dir: str) -> DataFrame:
     kept = store(docs.select(F.sha2(image, 256).alias("digest"), image.alias("media")))
     page = F.concat(F.lit('<article><figure><img src="sha256:'), F.sha2(image, 256), F.lit('" alt="text"><figcaption>'), F.octet_length("text").cast("string"), F.lit(" bytes</figcaption></figure></article>"))
     pages = docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), page.alias("html"))
-    return resolve(sequences(pages), measure(kept)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+    # written first: the join then shuffles a plain table and can split a very frequent digest over tasks
+    return resolve(sequences(pages), save(measure(kept), "measured")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
