@@ -9,6 +9,7 @@ own, and words of equal length are worked off side by side as the rows of a matr
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT = 17, 0.1
 #: Characters up to which words are worked off in matrices; a longer one has an agenda in a heap.
 MATRIX = 64
-SLICE = 1 << 21
+#: Text bytes encoded at once.
+SLICE = 1 << 19
 _NEVER = np.int32(2**31 - 1)
 _MARK = "▁"
 _BITS = 20
@@ -307,18 +309,33 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     return encoded.mapInArrow(rows, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields), "decoded string"]))
 
 
-def encoded_rows(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """doc_id, n_chars, n_pieces, pieces, decoded_sha256 and lossless (the decoded text is the text)."""
+def encoded_rows(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, path: str = MODEL) -> DataFrame:
+    """doc_id, n_chars, n_pieces, pieces, decoded_sha256 and lossless (the pieces decode to the text), as ``encode`` defines them.
+
+    Encoding and decoding of a slice follow each other in one task, so that a row goes to Python once.
+    """
+    limit = min(int(dropout * 2**64), 2**64 - 1)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(path)
+        for batch in batches:
+            for part in _text.slices(batch, "text", SLICE):
+                data, offsets = _text.buffers(part.column("text"))
+                ids, at = encode_slice(m, data, offsets, row_keys(part.column("doc_id"), seed), limit)
+                back, ends = decode_slice(m, ids, at)
+                raw, decoded = data.tobytes(), back.tobytes()
+                spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array(np.diff(points)), pa.array(np.diff(at)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids)),
+                        pa.array([hashlib.sha256(decoded[c:d]).hexdigest() for _, _, c, d in spans], pa.string()), pa.array([raw[a:b] == decoded[c:d] for a, b, c, d in spans], pa.bool_()),
+                    ],
+                    ["doc_id", "n_chars", "n_pieces", "pieces", "decoded_sha256", "lossless"],
+                )
+
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode(encode(texts, path=path), path)
-    return both.select(
-        "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
-        F.size("pieces").cast("long").alias("n_pieces"),
-        "pieces",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+    return texts.mapInArrow(rows, "doc_id long, n_chars long, n_pieces long, pieces array<int>, decoded_sha256 string, lossless boolean")
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:
