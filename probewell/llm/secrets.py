@@ -84,7 +84,7 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     path = F.concat(word.substr(1, 7), F.lit("/"), word.substr(4, 8), F.lit("/"), word)
     rule = F.repeat(pick(13, "-", "=", "_", "+"), (number(14, 40) + 16).cast("int"))
     ident = F.concat(word.substr(1, 5), F.initcap(word.substr(3, 6)), F.initcap(word.substr(5, 8)))
-    value = choose(secret, issued, secret, issued, secret, issued, secret, secret, word, digits, hexes, path, rule, ident, pick(16, F.initcap(word), F.upper(word)), F.lpad(F.lit(""), 20, "your_token_here_xxxx"))
+    value = choose(secret, issued, secret, issued, secret, issued, secret, secret, word, digits, pick(17, F.substring(hexes, 1, 40), hexes, F.substring(hexes, 1, 32)), path, rule, ident, pick(16, F.initcap(word), F.upper(word)), F.lpad(F.lit(""), 20, "your_token_here_xxxx"))
     before = choose(named, plain, named, plain, named, named, named, named, plain, plain, digest, F.concat(plain, F.lit("./")), plain, plain, plain, named)
     after = F.concat(pick(15, " ", '" ', ". ", "\n"), word.substr(2, 9))
     return spark.range(0, rows, 1, 4).select(before.alias("before"), value.alias("value"), after.alias("after"), (kind < 8).cast("double").alias("label"))
