@@ -70,7 +70,7 @@ def sam(spark: SparkSession, sf_dir: str) -> DataFrame:
     cigar = F.when(n == 1, F.concat(q, F.lit("M"))).when(n == 2, F.concat(F.lit("5S"), q, F.lit("M"))).when(n == 3, F.concat(q, F.lit("M100N"), q, F.lit("M"))).when(n == 4, F.concat(q, F.lit("M2I"), q, F.lit("M"))).otherwise(F.concat(q, F.lit("M1D"), q, F.lit("M3S")))
     flag = F.when(F.col("l_suppkey") % 11 == 0, 4).when(F.col("l_suppkey") % 7 == 0, 256).when(F.col("l_linestatus") == "F", 0).otherwise(16)
     md = F.concat((F.col("l_suppkey") % 4).cast("string"), F.lit("A"), q, F.when(F.col("l_partkey") % 3 == 0, F.lit("G0")).otherwise(F.lit("")))
-    jm = F.concat(F.lit("B:c,"), (F.col("l_suppkey") % 9 + 15).cast("string"))
+    jm = F.concat(F.lit("B:c,"), (F.col("l_suppkey") % 9).cast("string"))
     return rows.select(
         F.concat(F.lit("r"), F.col("l_orderkey").cast("string")).alias("read_id"), flag.cast("int").alias("flag"), F.concat(F.lit("c"), (F.col("l_suppkey") % 5).cast("string")).alias("chr_id"),
         (F.col("l_partkey") * 3 + 101).cast("long").alias("pos"), F.lit(255).alias("mapq"), cigar.alias("cigar"), F.lit("=").alias("rnext"),
@@ -82,7 +82,7 @@ SAM = """sam AS (SELECT 'r' || CAST(l_orderkey AS VARCHAR) AS read_id,
   CASE WHEN l_suppkey % 11 = 0 THEN 4 WHEN l_suppkey % 7 = 0 THEN 256 WHEN l_linestatus = 'F' THEN 0 ELSE 16 END AS flag,
   'c' || CAST(l_suppkey % 5 AS VARCHAR) AS chr_id, CAST(l_partkey * 3 + 101 AS BIGINT) AS pos, CAST(l_quantity AS BIGINT) AS q, CAST(l_linenumber AS INTEGER) AS line,
   CAST(l_suppkey % 4 AS VARCHAR) || 'A' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || CASE WHEN l_partkey % 3 = 0 THEN 'G0' ELSE '' END AS md,
-  CAST(l_suppkey % 9 + 15 AS BIGINT) AS jm FROM lineitem),
+  CAST(l_suppkey % 9 AS BIGINT) AS jm FROM lineitem),
 cig AS (SELECT *, CASE line WHEN 1 THEN q || 'M' WHEN 2 THEN '5S' || q || 'M' WHEN 3 THEN q || 'M100N' || q || 'M' WHEN 4 THEN q || 'M2I' || q || 'M' ELSE q || 'M1D' || q || 'M3S' END AS cigar FROM sam)"""
 
 
@@ -113,7 +113,7 @@ def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents")
     base = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
     seq = F.translate(F.substring(base, 1, 60), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
-    code = F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.char(F.lit(33) + F.pmod(i * 7 + F.col("doc_id"), F.lit(41)).cast("int")))
+    code = F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.char((F.lit(73) - F.floor(i / 3) - F.pmod(i * 7 + F.col("doc_id"), F.lit(11))).cast("int")))
     return rows.select(F.col("doc_id").alias("id"), F.concat(F.lit("@read"), F.col("doc_id").cast("string"), F.lit(" lane1")).alias("key"), seq.alias("seq"), F.lit("+x").alias("tag"), F.when(F.length(seq) > 0, F.array_join(code, "")).otherwise("").alias("qual"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cigar, sequence
-from ..operators import annotation, coords, pileup, score
+from ..operators import annotation, coords, duplex, matrix, pileup, qc, reads, score, tracks
 from . import adapters as a
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -368,3 +368,252 @@ def _t2g(spark, d):
 def _conversion(spark, d):
     t = a.transcripts(spark, d)
     return coords.conversion_summary(pileup.base_density(a.reads(spark, d)), annotation.gene_table(t), annotation.exon_offsets(t))
+
+
+# ---- reads and quality control ---------------------------------------------------------------------------------------
+
+@query("filter_records", f"WITH {a.SAM} SELECT read_id, line, flag FROM cig WHERE flag <> 4 AND flag <> 256 AND line <> 3")
+def _filter_records(spark, d):
+    return reads.filter_records(a.sam(spark, d), ("unmapped", "secondary", "gapped")).select("read_id", "line", "flag")
+
+
+@query("sam_flags", f"WITH {a.SAM} SELECT read_id, line, flag <> 4 AS is_mapped, flag = 16 AS is_reverse, flag <> 256 AS is_primary, line = 3 AS is_gapped FROM cig")
+def _sam_flags(spark, d):
+    return reads.sam_flags(a.sam(spark, d)).select("read_id", "line", "is_mapped", "is_reverse", "is_primary", "is_gapped")
+
+
+@query("drop_mut5", f"WITH {a.SAM} SELECT read_id, line FROM cig WHERE CASE WHEN flag <> 16 THEN md NOT LIKE '0%' ELSE md NOT LIKE '%G0' END")
+def _drop_mut5(spark, d):
+    return reads.drop_mut5(a.sam(spark, d)).select("read_id", "line")
+
+
+@query("drop_unannotated_junctions", f"WITH {a.SAM} SELECT read_id, line FROM cig WHERE jm NOT BETWEEN 0 AND 6")
+def _drop_unannotated(spark, d):
+    return reads.drop_unannotated_junctions(a.sam(spark, d)).select("read_id", "line")
+
+
+@query(
+    "mapped_abundance",
+    f"""WITH {a.SAM}, m AS (SELECT read_id, chr_id AS contig, count(*) OVER (PARTITION BY read_id) AS h FROM cig WHERE flag IN (0, 256))
+    SELECT contig, round(sum(CASE WHEN h = 1 THEN 1.0 ELSE 0.0 END), 6) AS uniq, round(sum(CASE WHEN h > 1 THEN 1.0 / h ELSE 0.0 END), 6) AS multi FROM m GROUP BY contig""",
+)
+def _mapped(spark, d):
+    return reads.mapped_abundance(a.sam(spark, d)).select("contig", F.round("uniq", 6).alias("uniq"), F.round("multi", 6).alias("multi"))
+
+
+@query("collapse_reads", f"WITH {a.FASTQ} SELECT min(id) AS id, seq, CAST(count(*) AS BIGINT) AS n FROM fq GROUP BY seq")
+def _collapse(spark, d):
+    unique, freq = reads.collapse_reads(a.fastq(spark, d))
+    return unique.select("id", "seq").join(freq, "seq")
+
+
+@query("collapse_pairs", f"WITH {a.FASTQ} SELECT min(id) AS id, substr(seq, 1, 20) AS seq_1, substr(seq, 21, 20) AS seq_2 FROM fq GROUP BY 2, 3")
+def _collapse_pairs(spark, d):
+    f = a.fastq(spark, d)
+    part = lambda p: f.withColumn("seq", F.substring("seq", p, 20)).withColumn("qual", F.substring("qual", p, 20))
+    one, two = reads.collapse_pairs(part(1), part(21))
+    return one.select("id", F.col("seq").alias("seq_1")).join(two.select("id", F.col("seq").alias("seq_2")), "id")
+
+
+@query(
+    "barcode_counts",
+    f"""WITH {a.FASTQ}, b AS (SELECT substr(seq, 5, 3) AS barcode FROM fq) SELECT barcode, CASE barcode WHEN 'ACG' THEN 'lib1' WHEN 'GTA' THEN 'lib2' WHEN 'CGT' THEN 'lib3' ELSE 'unmatched' END AS library,
+    CAST(count(*) AS BIGINT) AS n, round(count(*) / CAST((SELECT count(*) FROM b) AS DOUBLE), 6) AS share FROM b GROUP BY barcode""",
+)
+def _barcodes(spark, d):
+    lib = sequence.barcode_lib(spark, "ACG:lib1::GTA:lib2::CGT:lib3")
+    return reads.barcode_counts(a.fastq(spark, d), 5, 3, lib).withColumn("share", F.round("share", 6))
+
+
+@query("simplify_read_name", "SELECT doc_id AS id, '@read' || CAST(doc_id AS VARCHAR) AS key, '+' AS tag FROM documents")
+def _simplify(spark, d):
+    return reads.simplify_read_name(a.fastq(spark, d)).select("id", "key", "tag")
+
+
+@query("fasta_lengths", f"WITH {a.FASTQ} SELECT CAST(id AS VARCHAR) AS id, length(seq) AS length FROM fq WHERE length(seq) <= 40")
+def _fasta_lengths(spark, d):
+    return reads.fasta_lengths(reads.small_rna_filter(a.fastq(spark, d).select(F.col("id").cast("string").alias("id"), "seq"), 40))
+
+
+@query("reverse_complement", f"WITH {a.FASTQ} SELECT id, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc FROM fq")
+def _rc(spark, d):
+    return a.fastq(spark, d).select("id", sequence.reverse_complement("seq").alias("rc"))
+
+
+@query("motif_sites", f"WITH {a.FASTQ}, p AS (SELECT id, seq, CAST(unnest(range(1, length(seq) - 2)) AS INTEGER) AS site FROM fq WHERE length(seq) >= 4) SELECT id, site FROM p WHERE substr(seq, site, 4) = 'ACGT'")
+def _motif(spark, d):
+    return a.fastq(spark, d).select("id", F.explode(sequence.motif_sites("seq", "ACGT")).alias("site"))
+
+
+@query("read_distribution", f"""WITH {a.READS}, c AS (SELECT contig AS sample, count(*) AS raw, count(*) FILTER (split) AS two, count(*) FILTER (split AND condition = 'D') AS ctl FROM reads GROUP BY contig)
+    SELECT sample, step, CAST(n AS BIGINT) AS n, CAST(loss AS BIGINT) AS loss, round(n / CAST(raw AS DOUBLE), 6) AS share FROM (SELECT sample, raw, 'raw' AS step, raw AS n, NULL AS loss FROM c UNION ALL SELECT sample, raw, 'split', two, raw - two FROM c UNION ALL SELECT sample, raw, 'control', ctl, two - ctl FROM c)""")
+def _distribution(spark, d):
+    r = a.reads(spark, d).withColumn("split", F.size("regions") > 1)
+    counts = r.groupBy(F.col("contig").alias("sample")).agg(F.count("*").alias("raw"), F.count_if("split").alias("split"), F.count_if(F.col("split") & (F.col("condition") == "D")).alias("control"))
+    long = counts.unpivot("sample", ["raw", "split", "control"], "step", "n")
+    return reads.read_distribution(long, ["raw", "split", "control"]).select("sample", "step", "n", "loss", F.round("share", 6).alias("share"))
+
+
+@query("quality_trim")
+def _quality_trim(spark, d):
+    return reads.quality_trim(a.fastq(spark, d)).select("id", "seq", "qual")
+
+
+@query("mutation_profile")
+def _mutations(spark, d):
+    q = F.regexp_extract("cigar", r"(\d+)M", 1).cast("int")
+    return reads.mutation_profile(a.sam(spark, d).withColumn("seq", F.repeat(F.lit("A"), q + 5)))
+
+
+@query("sam_read_classes")
+def _classes(spark, d):
+    t = a.transcripts(spark, d)
+    return reads.sam_read_classes(a.sam(spark, d), annotation.gene_table(t), annotation.exon_offsets(t)).withColumn("reads", F.round("reads", 6))
+
+
+@query("base_composition", f"""WITH {a.COUNTS}, b AS (SELECT condition AS sample, substr('ACGT', CAST(pos % 4 AS INTEGER) + 1, 1) AS base, CAST(sum(rt) AS BIGINT) AS rt FROM base_rt GROUP BY ALL)
+    SELECT sample, base, rt, round(rt / CAST(sum(rt) OVER (PARTITION BY sample) + 1 AS DOUBLE), 6) AS ratio FROM b""")
+def _composition(spark, d):
+    rt = pileup.rt_stops(a.reads(spark, d).withColumnRenamed("condition", "sample"), by=("sample",)).withColumn("base", F.substring(F.lit("ACGT"), (F.col("pos") % 4 + 1).cast("int"), F.lit(1)))
+    return qc.base_composition(rt).withColumn("ratio", F.round("ratio", 6))
+
+
+def _shapes(spark, d):
+    """Score rows by part: 60 values from the size and the key, a few null."""
+    rows = a.table(spark, d, "part")
+    value = lambda i: F.when((i + F.col("p_partkey")) % 9 != 0, ((i * 37 + F.col("p_partkey") * 11 + F.col("p_size")) % 101) / 100)
+    return rows.select(F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("transcript_id"), F.lit(70).cast("long").alias("length"), F.transform(F.sequence(F.lit(1), F.lit(70)), value).alias("scores"))
+
+
+_SHAPES = """sv AS (SELECT 't' || CAST(p_partkey AS VARCHAR) AS transcript_id, i, CASE WHEN (i + p_partkey) % 9 <> 0 THEN ((i * 37 + p_partkey * 11 + p_size) % 101) / CAST(100 AS DOUBLE) END AS x FROM (SELECT *, unnest(range(1, 71)) AS i FROM part)),
+val AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY i) - 1 AS rn, count(*) OVER (PARTITION BY transcript_id) AS n FROM sv WHERE x IS NOT NULL)"""
+
+
+@query(
+    "gini",
+    f"""WITH {_SHAPES}, t AS (SELECT transcript_id, floor(rn / 30) AS tile, x, row_number() OVER (PARTITION BY transcript_id, floor(rn / 30) ORDER BY x) AS k FROM val WHERE floor(rn / 30) * 30 + 30 < n),
+    g AS (SELECT transcript_id, tile, CASE WHEN sum(x) <> 0 THEN (sum(x) * 30 / 2 - sum(x * (30 - k + 1) - x / 2)) / (sum(x) * 30 / 2) END AS g FROM t GROUP BY ALL)
+    SELECT transcript_id, round(avg(g), 3) AS gini FROM g GROUP BY 1 HAVING avg(g) IS NOT NULL""",
+)
+def _gini(spark, d):
+    return qc.gini(_shapes(spark, d))
+
+
+@query("coverage_ratio", f"WITH {_SHAPES}, r AS (SELECT transcript_id, count(x) / CAST(70 AS DOUBLE) AS ratio FROM sv GROUP BY 1) SELECT transcript_id, round(ratio, 6) AS ratio, round((row_number() OVER (ORDER BY ratio, transcript_id) - 1) / CAST((SELECT count(*) - 1 FROM r) AS DOUBLE), 6) AS p FROM r")
+def _coverage(spark, d):
+    return qc.coverage_ratio(_shapes(spark, d)).select("transcript_id", F.round("ratio", 6).alias("ratio"), F.round("p", 6).alias("p"))
+
+
+@query(
+    "roc_auc",
+    f"""WITH {_SHAPES}, q AS (SELECT x, (i * 7 + length(transcript_id)) % 3 = 0 AS paired, least(greatest(ceil(round(x / 0.01, 9)), -1), 102) AS c FROM sv WHERE x IS NOT NULL),
+    h AS (SELECT c, count(*) FILTER (paired) AS t, count(*) FILTER (NOT paired) AS f FROM q GROUP BY c),
+    s AS (SELECT c, sum(t) OVER (ORDER BY c) / CAST(sum(t) OVER () AS DOUBLE) AS tpr, sum(f) OVER (ORDER BY c) / CAST(sum(f) OVER () AS DOUBLE) AS fpr FROM h),
+    z AS (SELECT (fpr - coalesce(lag(fpr) OVER (ORDER BY c), 0)) * (tpr + coalesce(lag(tpr) OVER (ORDER BY c), 0)) / 2 AS a FROM s)
+    SELECT round(sum(a), 6) AS auc, (SELECT count(*) FROM q WHERE paired) AS positives, (SELECT count(*) FROM q WHERE NOT paired) AS negatives FROM z""",
+)
+def _roc(spark, d):
+    rows = _shapes(spark, d).select("transcript_id", F.posexplode("scores").alias("i", "score")).select("score", (((F.col("i") + 1) * 7 + F.length("transcript_id")) % 3 == 0).alias("paired"))
+    return qc.roc_auc(rows).withColumn("auc", F.round("auc", 6))
+
+
+@query("shape_text_bedgraph", f"WITH {_SHAPES} SELECT transcript_id AS contig, i AS pos, round(x, 6) AS value FROM sv WHERE x IS NOT NULL")
+def _text_bedgraph(spark, d):
+    return tracks.shape_text_bedgraph(_shapes(spark, d)).withColumn("value", F.round("value", 6))
+
+
+@query("filter_trans_shape", f"WITH {_SHAPES} SELECT transcript_id, CAST(count(CASE WHEN i > 5 AND i <= 40 THEN x END) AS BIGINT) AS n FROM sv GROUP BY 1 HAVING count(x) >= 62")
+def _filter_trans(spark, d):
+    kept = tracks.filter_trans_shape(_shapes(spark, d).withColumn("rt", F.lit(3.0)), min_num=62)
+    return kept.select("transcript_id", F.size(F.filter("scores", lambda x: x.isNotNull())).cast("long").alias("n"))
+
+
+@query("annotate_gene_type", f"WITH {a.TRANSCRIPTS} SELECT transcript_id, gene_id, type FROM tx")
+def _annotate(spark, d):
+    return tracks.annotate_gene_type(_shapes(spark, d), a.transcripts(spark, d)).select("transcript_id", "gene_id", "type")
+
+
+@query("genetype_counts", f"WITH {_SHAPES}, {a.TRANSCRIPTS} SELECT type, CAST(count(DISTINCT transcript_id) AS BIGINT) AS transcripts, CAST(count(x) AS BIGINT) AS bases FROM sv JOIN tx USING (transcript_id) GROUP BY type")
+def _genetypes(spark, d):
+    return qc.genetype_counts(_shapes(spark, d), a.transcripts(spark, d))
+
+
+@query("shape_bedgraph", f"""WITH {_GTAB}, c AS (SELECT g.contig, g.strand, g.pos, g.shape, n_rt, d_rt, d_bd FROM gtab g JOIN counts USING (contig, strand, pos))
+    SELECT 'score' AS track, contig, strand, pos, shape AS value FROM c WHERE shape IS NOT NULL UNION ALL SELECT 'N_RT', contig, strand, pos, n_rt FROM c WHERE n_rt > 0
+    UNION ALL SELECT 'D_RT', contig, strand, pos, d_rt FROM c WHERE d_rt > 0 UNION ALL SELECT 'BD', contig, strand, pos, d_bd FROM c WHERE d_bd > 20""")
+def _bedgraph(spark, d):
+    return tracks.shape_bedgraph(score.enrich_ctrl(_counts(spark, d)).withColumn("shape", F.round("score", 6)))
+
+
+@query("rt_replicate_corr")
+def _rt_corr(spark, d):
+    r = a.reads(spark, d)
+    return qc.rt_replicate_corr(pileup.count_rt(r.withColumnRenamed("condition", "sample"), a.sizes(r)), min_bd=3).withColumn("r", F.round("r", 6))
+
+
+# ---- duplex ----------------------------------------------------------------------------------------------------------
+
+
+@query("dedup_hangs", f"WITH {a.HANGS} SELECT min(read_id) AS read_id, chr_1, strand_1, start_1, end_1, chr_2, strand_2, start_2, end_2 FROM hangs GROUP BY ALL")
+def _dedup_hangs(spark, d):
+    return duplex.dedup_hangs(a.hangs(spark, d))
+
+
+_MATRIX = a.HANGS + """,
+m1 AS (SELECT chr_1 AS contig, strand_1 AS strand, start_2, end_2, unnest(range(start_1, end_1 + 1)) AS x FROM hangs WHERE chr_1 = chr_2 AND strand_1 = strand_2),
+m2 AS (SELECT contig, strand, x, unnest(range(start_2, end_2 + 1)) AS y FROM m1),
+coo AS (SELECT contig, strand, x, y, CAST(count(*) AS DOUBLE) AS value FROM (SELECT contig, strand, x, y FROM m2 UNION ALL SELECT contig, strand, y, x FROM m2) GROUP BY ALL)"""
+
+
+def _coo(spark, d):
+    return matrix.contact_matrix(a.hangs(spark, d))
+
+
+@query("contact_matrix", f"WITH {_MATRIX} SELECT * FROM coo")
+def _contact(spark, d):
+    return _coo(spark, d)
+
+
+@query("matrix_compress", f"WITH {_MATRIX}, b AS (SELECT contig, strand, CAST(floor((x - 1) * 40 / 8000.0) AS BIGINT) + 1 AS x, CAST(floor((y - 1) * 40 / 8000.0) AS BIGINT) + 1 AS y, value FROM coo WHERE x <= 8000 AND y <= 8000) SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL")
+def _compress(spark, d):
+    coo = _coo(spark, d).where("x <= 8000 and y <= 8000")
+    size = coo.select("contig").distinct().withColumn("length", F.lit(8000).cast("long"))
+    return matrix.matrix_compress(coo, size, 40, "sum")
+
+
+@query(
+    "background_estimate",
+    f"""WITH {_MATRIX}, o AS (SELECT contig, strand, x, sum(value) AS s FROM coo GROUP BY ALL),
+    r AS (SELECT contig, strand, x, greatest(s, 1.0) AS av, greatest(sum(s) OVER (PARTITION BY contig, strand ORDER BY x RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) / greatest(s, 1.0), 1.0) AS bg FROM o)
+    SELECT c.contig, c.strand, c.x, c.y, round(value / (sqrt(p.bg * q.bg) * sqrt(p.av * q.av)), 6) AS value FROM coo c JOIN r p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN r q ON c.contig = q.contig AND c.strand = q.strand AND c.y = q.x""",
+)
+def _background(spark, d):
+    return matrix.background_estimate(_coo(spark, d)).withColumn("value", F.round("value", 6))
+
+
+@query("cluster_hangs")
+def _cluster(spark, d):
+    return duplex.min_support(duplex.cluster_hangs(a.hangs(spark, d))[0], 1)
+
+
+@query("collapse_groups")
+def _collapse_groups(spark, d):
+    return duplex.collapse_groups(*duplex.cluster_hangs(a.hangs(spark, d)))[0]
+
+
+@query("group_score")
+def _group_score(spark, d):
+    h = a.hangs(spark, d)
+    return duplex.group_score(duplex.cluster_hangs(h)[0], h)
+
+
+@query("sam_to_dh")
+def _sam_to_dh(spark, d):
+    return duplex.sam_to_dh(a.sam(spark, d), mode="single")
+
+
+@query("call_interactions")
+def _interactions(spark, d):
+    coo = _coo(spark, d)
+    size = coo.groupBy("contig").agg(F.max("x").alias("length"))
+    return matrix.call_interactions(coo, size, perceive=20.0, extend=5.0)
