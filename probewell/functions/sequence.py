@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(x: Column | str) -> Column:
@@ -126,7 +127,10 @@ def rna_region_class(start, end, cds_start, cds_end, length, kind) -> Column:
     )
 
 
-@F.pandas_udf("array<struct<left:int,right:int>>")
+_PAIRS = T.ArrayType(T.StructType([T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType())]))
+
+
+@F.pandas_udf(_PAIRS)
 def _pairs(dots: pd.Series) -> pd.Series:
     def one(dot: str | None):
         stack, out = [], []

@@ -107,14 +107,11 @@ def combine_junctions(junctions: DataFrame, sizes: DataFrame) -> DataFrame:
                     best[-1] = [a, b, n]
             else:
                 best.append([a, b, n])
-        best.sort()
+        best = sorted(r for r in best if r[1] <= size + 1)
         i = 0
         while i < len(best) - 1:
             a, b, n = best[i]
             c, d, m = best[i + 1]
-            if d > size + 1:
-                del best[i + 1]
-                continue
             if a <= d + 1 and c <= b + 1:
                 best[i] = [min(a, c), max(b, d), max(n, m)]
                 del best[i + 1]
@@ -129,31 +126,53 @@ def combine_junctions(junctions: DataFrame, sizes: DataFrame) -> DataFrame:
 def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame, ext: int = 0) -> DataFrame:
     """Reads with extra blocks: coverage lengthened by ``ext`` bases upstream of the 5' end.
 
-    From inside a junction the extension stops at its edge; otherwise it jumps over the junctions on its way. Each read
-    meets only the junctions of its bins: those that can lie within reach are found by a join on coarse bins.
+    From inside a junction the extension stops at its edge; otherwise it jumps over the junctions on its way.
     """
     if ext <= 0:
         return reads
-    grouped = junctions.groupBy("contig", "strand").agg(F.array_sort(F.collect_list(F.struct("first", "second"))).alias("js"))
-    joined = reads.join(small(grouped, 100_000), ["contig", "strand"], "left")
-
-    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(extra=[_extension(s, r, j, ext) for s, r, j in zip(pdf["strand"], pdf["regions"], pdf["js"], strict=True)])[["_row", "extra"]]
-
-    marked = joined.withColumn("_row", F.monotonically_increasing_id())
-    extra = marked.select("_row", "strand", "regions", "js").mapInPandas(extend, "_row long, extra array<struct<first:bigint,second:bigint>>")
-    return marked.drop("js").join(extra, "_row").withColumn("regions", F.array_sort(F.concat("regions", "extra"))).drop("_row", "extra")
-
-
-def _extension(strand: str, regions, junctions, ext: int) -> list[dict]:
-    js = [] if junctions is None else [(j["first"], j["second"]) for j in junctions]
-    if strand == "-":  # mirror the axis, so that upstream is always downwards
-        js = sorted((-b, -a) for a, b in js)
-        s = -regions[-1]["second"]
-    else:
-        s = regions[0]["first"]
-    starts = np.array([a for a, _ in js])
+    key = ["contig", "strand"]
+    marked = reads.withColumn("_row", F.monotonically_increasing_id())
+    schema = "_row long, extra array<struct<first:bigint,second:bigint>>"
+    rows = marked.select("_row", *key, "regions")
+    known = junctions.select(*key, "first", "second").distinct()
+    if known.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
+        table = known.toPandas()
+        lists = {k: list(zip(g["first"].tolist(), g["second"].tolist(), strict=True)) for k, g in table.sort_values(["first", "second"]).groupby(key)}
+
+        def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pd.DataFrame({"_row": pdf["_row"], "extra": _extensions(pdf, lists, ext)})
+
+        extra = rows.mapInPandas(extend, schema)
+    else:  # too many for every task: each slice of a contig meets that contig's junctions
+        salts = 64
+
+        def both(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            mine = {(name[0], name[1]): sorted(zip(right["first"].tolist(), right["second"].tolist(), strict=True))}
+            return pd.DataFrame({"_row": left["_row"], "extra": _extensions(left, mine, ext)})
+
+        salted = rows.withColumn("salt", F.pmod("_row", F.lit(salts)))
+        spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        extra = salted.groupBy(*key, "salt").cogroup(spread.groupBy(*key, "salt")).applyInPandas(both, schema)
+    return marked.join(extra, "_row").withColumn("regions", F.array_sort(F.concat("regions", "extra"))).drop("_row", "extra")
+
+
+def _extensions(pdf: pd.DataFrame, lists: dict, ext: int) -> list:
+    """Extra blocks of each read. The lists are mirrored and indexed once for each contig and strand."""
+    ready: dict = {}
+    out = []
+    for c, s, r in zip(pdf["contig"], pdf["strand"], pdf["regions"], strict=True):
+        if (c, s) not in ready:
+            js = lists.get((c, s), [])
+            js = sorted((-b, -a) for a, b in js) if s == "-" else js
+            ready[c, s] = (js, np.array([a for a, _ in js], dtype=np.int64))
+        out.append(_extension(s, r, *ready[c, s], ext))
+    return out
+
+
+def _extension(strand: str, regions, js: list, starts: np.ndarray, ext: int) -> list[dict]:
+    """``js``: sorted junctions, on - mirrored (so that upstream is always downwards); ``starts``: their starts."""
+    s = -regions[-1]["second"] if strand == "-" else regions[0]["first"]
     at = int(np.searchsorted(starts, s, side="right")) - 1 if js else -1
     out, left, edge = [], ext, s
     if at >= 0 and js[at][0] <= s <= js[at][1]:
