@@ -141,7 +141,7 @@ def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame, ext:
 
         def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                yield pd.DataFrame({"_row": pdf["_row"], "extra": _extensions(pdf, lists, ext)})
+                yield pd.DataFrame({"_row": pdf["_row"], "extra": pd.Series(_extensions(pdf, lists, ext), dtype=object, index=pdf.index)})
 
         extra = rows.mapInPandas(extend, schema)
     else:  # too many for every task: each slice of a contig meets that contig's junctions
@@ -149,7 +149,7 @@ def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame, ext:
 
         def both(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             mine = {(name[0], name[1]): sorted(zip(right["first"].tolist(), right["second"].tolist(), strict=True))}
-            return pd.DataFrame({"_row": left["_row"], "extra": _extensions(left, mine, ext)})
+            return pd.DataFrame({"_row": left["_row"], "extra": pd.Series(_extensions(left, mine, ext), dtype=object, index=left.index)})
 
         salted = rows.withColumn("salt", F.pmod("_row", F.lit(salts)))
         spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
