@@ -118,10 +118,10 @@ def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "compl
     axis = axis.join(small(counts.select(*key).distinct()), key, "left_semi")
     places = axis.select(*key, "length", F.explode(F.expr("sequence(0L, length - 1)")).alias("pos"))
     names = ["n_rt", "n_bd", "d_rt", "d_bd"]
-    full = places.join(counts.select(*key, "pos", *names), [*key, "pos"], "left").fillna(0, names)
+    full = places.join(counts.select(*key, "pos", *names), [*key, "pos"], "left").fillna(0, names).persist()  # read seven times
     window = full.where(F.col("pos") <= F.col("length") - tail - 1)
     valid = valid_cov(window, key, "d_bd", "n_rt")
-    scaled = window.join(valid.where("valid").drop("valid"), key, "left_semi")
+    scaled = window.join(small(valid.where("valid").drop("valid")), key, "left_semi")
     factors = None
     for c in names:
         f = scaling_factor(scaled, c, key, sample, index, calc).select(*key, F.when(F.col("factor") == 0, 1.0).otherwise(F.col("factor")).alias(f"{c}_f"))
@@ -227,8 +227,9 @@ def sliding_score(
     names = ["n_rt", "n_bd", "d_rt", "d_bd"]
     big = sizes.where(F.col("length") >= 2 * wsize).select("contig", F.col("length").cast("long").alias("length"))
     extra = ["base"] if bases else []
-    rows = counts.select(*key, "pos", *names, *extra).join(small(big), "contig").where("pos between 1 and length")
-    origin = rows.groupBy(*key, "length").agg(F.min(F.when(F.col("n_rt") > 0, F.col("pos"))).alias("origin")).where("origin is not null")
+    counts = counts.select(*key, "pos", *names, *extra).persist()  # read for the origins, the grid and the tiles
+    rows = counts.join(small(big), "contig").where("pos between 1 and length")
+    origin = rows.groupBy(*key, "length").agg(F.min(F.when(F.col("n_rt") > 0, F.col("pos"))).alias("origin")).where("origin is not null").persist()
     rows = rows.drop("length").join(small(origin), key).where("pos >= origin")
     shift, cut = F.lit(0).cast("long"), None
     if junctions is not None:

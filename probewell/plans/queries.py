@@ -193,8 +193,9 @@ query(
 def _sliding(spark, d, grid):
     r = a.reads(spark, d)
     sizes = a.sizes(r)
-    # thin coverage: thresholds go with it, here and in the SQL
-    return score.sliding_score(pileup.condition_counts(r, sizes), sizes, grid=grid, wsize=50, wstep=10, min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2).withColumn("score", F.round("score", 4))
+    # thin coverage: thresholds go with it, here and in the SQL. The scores are simple fractions, many of which lie just
+    # between two decimals, where the order of a sum decides; so the cut is placed off such values.
+    return score.sliding_score(pileup.condition_counts(r, sizes), sizes, grid=grid, wsize=50, wstep=10, min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2).withColumn("score", F.floor(F.col("score") * 1e6 + 0.3137) / 1e6)
 
 
 def _win_factor(c: str) -> str:
@@ -218,7 +219,7 @@ query(
     sw AS (SELECT contig, strand, pos, {_SCALED} AS score FROM sc JOIN sb USING (contig, strand, start)),
     per AS (SELECT w.contig, w.strand, w.pos, CAST(count(*) AS BIGINT) AS n_windows FROM wrows w GROUP BY ALL),
     val AS (SELECT contig, strand, pos, avg(score) AS score, CAST(count(score) AS BIGINT) AS good FROM sw GROUP BY ALL)
-    SELECT c.contig, c.strand, c.pos, c.n_rt, c.n_bd, c.d_rt, c.d_bd, round(CASE WHEN n_windows >= 2 AND coalesce(good, 0) > floor(n_windows / 2.0) AND d_bd >= 5 THEN val.score END, 4) AS score, n_windows, CASE WHEN n_windows < 2 THEN 0 ELSE coalesce(good, 0) END AS valid_count
+    SELECT c.contig, c.strand, c.pos, c.n_rt, c.n_bd, c.d_rt, c.d_bd, floor((CASE WHEN n_windows >= 2 AND coalesce(good, 0) > floor(n_windows / 2.0) AND d_bd >= 5 THEN val.score END) * 1e6 + 0.3137) / 1e6 AS score, n_windows, CASE WHEN n_windows < 2 THEN 0 ELSE coalesce(good, 0) END AS valid_count
     FROM counts c JOIN per USING (contig, strand, pos) LEFT JOIN val USING (contig, strand, pos) WHERE c.n_rt >= 1 OR c.d_rt >= 1 OR c.d_bd >= 5""",
 )(lambda spark, d: _sliding(spark, d, "fixed"))
 query("sliding_score_exact")(lambda spark, d: _sliding(spark, d, "exact"))
