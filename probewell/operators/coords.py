@@ -116,7 +116,8 @@ def rtbd_to_transcript(counts: DataFrame, columns: list[str], exons: DataFrame,
     grouped = hit.groupBy("transcript_id").agg(F.map_from_entries(F.collect_set(F.struct("t_first", "v"))).alias("m"), F.count("*").alias("n"))
     rows = grouped.where(F.col("n") >= min_valid).join(length, "transcript_id")
     place = F.sequence(F.lit(1).cast("long"), F.col("length"))
-    return rows.select("transcript_id", "length", *[F.transform(place, lambda i, k=k: F.try_element_at("m", i)[k]).alias(c) for k, c in enumerate(columns)])
+    column = lambda k: F.transform(place, lambda i: F.try_element_at("m", i)[k])
+    return rows.select("transcript_id", "length", *[column(k).alias(c) for k, c in enumerate(columns)])
 
 
 def conversion_summary(gtab: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame:

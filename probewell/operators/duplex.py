@@ -63,34 +63,44 @@ def _overlap(a0, a1, b0, b1) -> int:
     return min(a1, b1) - max(a0, b0) + 1
 
 
+#: Neighbouring islands that one call works off, one after another.
+ISLANDS = 256
 _CLUSTER = "group_key string, chr_1 string, strand_1 string, start_1 long, end_1 long, chr_2 string, strand_2 string, start_2 long, end_2 long, read_id string"
 
 
 def cluster_hangs(hangs: DataFrame, min_overlap: int = 5, multi: bool = False) -> tuple[DataFrame, DataFrame]:
     """Greedy groups: in sorted order a hang joins the first group (or all, with ``multi``) that both arms overlap by
-    ``min_overlap``; the group's arms shrink to the intersection. Else it opens a group. The order matters, so each island
-    is one task; islands are independent."""
+    ``min_overlap``; the group's arms shrink to the intersection. Else it opens a group. The order matters inside an island
+    only; islands are independent."""
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["start_1", "end_1", "start_2", "end_2", "read_id"])
-        groups: list[list] = []
-        for r in rows.itertuples(index=False):
+        rows = pdf.sort_values(["island", "start_1", "end_1", "start_2", "end_2", "read_id"])
+        head = pdf.iloc[0]
+        out: list[tuple] = []
+        island, groups = None, []
+
+        def close() -> None:
+            name = f"{head.chr_1}{head.strand_1}{head.chr_2}{head.strand_2}:{island}"
+            out.extend((f"{name}.{i}", head.chr_1, head.strand_1, g[0], g[1], head.chr_2, head.strand_2, g[2], g[3], read) for i, g in enumerate(groups) for read in g[4])
+
+        for k, a, b, c, d, read in rows[["island", "start_1", "end_1", "start_2", "end_2", "read_id"]].itertuples(index=False, name=None):
+            if k != island:
+                close()
+                island, groups = k, []
             joined = False
             for g in groups:
-                if _overlap(g[0], g[1], r.start_1, r.end_1) >= min_overlap and _overlap(g[2], g[3], r.start_2, r.end_2) >= min_overlap:
-                    g[:4] = [max(g[0], r.start_1), min(g[1], r.end_1), max(g[2], r.start_2), min(g[3], r.end_2)]
-                    g[4].append(r.read_id)
+                if _overlap(g[0], g[1], a, b) >= min_overlap and _overlap(g[2], g[3], c, d) >= min_overlap:
+                    g[:4] = [max(g[0], a), min(g[1], b), max(g[2], c), min(g[3], d)]
+                    g[4].append(read)
                     joined = True
                     if not multi:
                         break
             if not joined:
-                groups.append([r.start_1, r.end_1, r.start_2, r.end_2, [r.read_id]])
-        head = pdf.iloc[0]
-        name = f"{head.chr_1}{head.strand_1}{head.chr_2}{head.strand_2}:{head.island}"
-        out = [(f"{name}.{i}", head.chr_1, head.strand_1, g[0], g[1], head.chr_2, head.strand_2, g[2], g[3], read) for i, g in enumerate(groups) for read in g[4]]
+                groups.append([a, b, c, d, [read]])
+        close()
         return pd.DataFrame(out, columns=[c.split()[0] for c in _CLUSTER.split(", ")])
 
-    rows = islands(hangs).groupBy(*_PAIR, "island").applyInPandas(cluster, _CLUSTER)
+    rows = islands(hangs).withColumn("_run", F.floor(F.col("island") / ISLANDS)).groupBy(*_PAIR, "_run").applyInPandas(cluster, _CLUSTER)
     return _groups_members(rows)
 
 
@@ -102,9 +112,9 @@ def _groups_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def collapse_groups(groups: DataFrame, members: DataFrame, max_gap: int = 10, max_total: int = 30) -> tuple[DataFrame, DataFrame]:
     """Merge groups whose arms have gaps of at most ``max_gap`` and a joint length of at most ``max_total``, until none is left."""
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [[r.group_id, r.start_1, r.end_1, r.start_2, r.end_2, [r.group_id]] for r in pdf.sort_values(["start_1", "end_1", "start_2", "end_2", "group_id"]).itertuples(index=False)]
-        near = lambda a0, a1, b0, b1: max(a0, b0) - min(a1, b1) - 1 <= max_gap and max(a1, b1) - min(a0, b0) + 1 <= max_total
+    near = lambda a0, a1, b0, b1: max(a0, b0) - min(a1, b1) - 1 <= max_gap and max(a1, b1) - min(a0, b0) + 1 <= max_total
+
+    def settle(rows: list[list]) -> list[list]:
         changed = True
         while changed:
             changed = False
@@ -118,10 +128,18 @@ def collapse_groups(groups: DataFrame, members: DataFrame, max_gap: int = 10, ma
                         break
                 if changed:
                     break
-        return pd.DataFrame([(r[0], r[1], r[2], r[3], r[4], old) for r in rows for old in r[5]], columns=["group_id", "start_1", "end_1", "start_2", "end_2", "old"])
+        return rows
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        by_island: dict[int, list[list]] = {}
+        order = ["island", "start_1", "end_1", "start_2", "end_2", "group_id"]
+        for k, a, b, c, d, g in pdf.sort_values(order)[order].itertuples(index=False, name=None):
+            by_island.setdefault(k, []).append([g, a, b, c, d, [g]])
+        done = [r for rows in by_island.values() for r in settle(rows)]
+        return pd.DataFrame([(*r[:5], old) for r in done for old in r[5]], columns=["group_id", "start_1", "end_1", "start_2", "end_2", "old"])
 
     marked = islands(groups.withColumn("read_id", F.col("group_id")), max_gap)
-    moved = marked.groupBy(*_PAIR, "island").applyInPandas(merge, "group_id string, start_1 long, end_1 long, start_2 long, end_2 long, old string")
+    moved = marked.withColumn("_run", F.floor(F.col("island") / ISLANDS)).groupBy(*_PAIR, "_run").applyInPandas(merge, "group_id string, start_1 long, end_1 long, start_2 long, end_2 long, old string")
     new_members = members.join(moved.select(F.col("old").alias("_old"), F.col("group_id").alias("_new")), members["group_id"] == F.col("_old")).select(F.col("_new").alias("group_id"), "read_id").distinct()
     arms = groups.select("group_id", *_PAIR)
     merged = moved.select("group_id", "start_1", "end_1", "start_2", "end_2").distinct().join(arms, "group_id")

@@ -618,3 +618,128 @@ def _interactions(spark, d):
     coo = _coo(spark, d)
     size = coo.groupBy("contig").agg(F.max("x").alias("length"))
     return matrix.call_interactions(coo, size, perceive=20.0, extend=5.0)
+
+
+# ---- more of coordinates, transcripts and matrices -------------------------------------------------------------------
+
+
+@query("exons_in_gene", f"""WITH {a.TRANSCRIPTS}, {_GENES} SELECT e.gene_id, e.transcript_id, e.exon, CASE WHEN e.strand = '+' THEN e.first - g.first + 1 ELSE g.second - e.second + 1 END AS g_first,
+    CASE WHEN e.strand = '+' THEN e.second - g.first + 1 ELSE g.second - e.first + 1 END AS g_second FROM exons e JOIN genes g ON e.gene_id = g.gene_id""")
+def _exons_in_gene(spark, d):
+    t = a.transcripts(spark, d)
+    return annotation.exons_in_gene(t, annotation.gene_table(t))
+
+
+@query("gene_to_genome", f"""WITH {a.TRANSCRIPTS}, {_GENES}, p AS (SELECT gene_id, unnest(range(1, 2000, 37)) AS g_pos FROM genes)
+    SELECT p.gene_id, p.g_pos, contig, strand, CASE WHEN strand = '+' THEN first + g_pos - 1 ELSE second - g_pos + 1 END AS pos FROM p JOIN genes g ON p.gene_id = g.gene_id AND g_pos <= second - first + 1""")
+def _gene_to_genome(spark, d):
+    genes = annotation.gene_table(a.transcripts(spark, d))
+    return coords.gene_to_genome(genes.select("gene_id", F.explode(F.expr("sequence(1L, 1999L, 37L)")).alias("g_pos")), genes)
+
+
+@query("transcript_to_gene", f"""WITH {a.TRANSCRIPTS}, {_GENES}, h AS (SELECT e.transcript_id, e.gene_id, e.strand, CASE WHEN strand = '+' THEN first + greatest(20, t_first) - t_first ELSE second - (least(90, t_second) - t_first) END AS p_first,
+      least(90, t_second) - greatest(20, t_first) AS w FROM exons e WHERE 20 <= t_second AND t_first <= 90)
+    SELECT transcript_id, h.gene_id, CASE WHEN h.strand = '+' THEN p_first - g.first + 1 ELSE g.second - (p_first + w) + 1 END AS g_first, CASE WHEN h.strand = '+' THEN p_first - g.first + 1 ELSE g.second - (p_first + w) + 1 END + w AS g_second FROM h JOIN genes g ON h.gene_id = g.gene_id""")
+def _transcript_to_gene(spark, d):
+    t = a.transcripts(spark, d)
+    spans = t.select("transcript_id", F.lit(20).cast("long").alias("t_from"), F.lit(90).cast("long").alias("t_to"))
+    return coords.transcript_to_gene(spans, annotation.exon_offsets(t), annotation.gene_table(t)).select("transcript_id", "gene_id", "g_first", "g_second")
+
+
+@query("merged_introns", ORACLES["merged_exons"].rsplit("SELECT gene_id, min(first)", 1)[0] + """, mm AS (SELECT gene_id, min(first) AS first, max(second) AS second FROM i GROUP BY gene_id, island),
+    n AS (SELECT gene_id, second + 1 AS first, lead(first) OVER (PARTITION BY gene_id ORDER BY first) - 1 AS second FROM mm) SELECT * FROM n WHERE second IS NOT NULL""")
+def _merged_introns(spark, d):
+    return annotation.merged_exons_introns(annotation.exon_offsets(a.transcripts(spark, d)))[1]
+
+
+@query("shape_to_transcript", f"""WITH {_GTAB}, {a.TRANSCRIPTS}, p AS (SELECT contig, strand, pos, rt, CASE WHEN bd >= 10 THEN shape END AS shape FROM gtab WHERE rt >= 1 OR (bd >= 10 AND shape IS NOT NULL)),
+    h AS (SELECT e.transcript_id, CASE WHEN e.strand = '+' THEN t_first + pos - first ELSE t_first + second - pos END AS t, rt, shape FROM p JOIN exons e ON p.contig = e.contig AND p.strand = e.strand AND pos BETWEEN first AND second),
+    l AS (SELECT transcript_id, max(t_second) AS length FROM exons GROUP BY 1 HAVING max(t_second) >= 40)
+    SELECT h.transcript_id, max(length) AS length, CAST(count(shape) AS BIGINT) AS n, floor(sum(shape) * 1e4 + 0.3137) / 1e4 AS total, round(sum(rt) / CAST(max(length) AS DOUBLE), 6) AS rt FROM h JOIN l ON h.transcript_id = l.transcript_id GROUP BY 1 HAVING count(shape) >= 3""")
+def _shape_to_transcript(spark, d):
+    rows = coords.shape_to_transcript(_gtab(spark, d), _exons(spark, d), min_bd=10)
+    good = F.filter("scores", lambda x: x.isNotNull())
+    return rows.select("transcript_id", "length", F.size(good).cast("long").alias("n"), (F.floor(F.aggregate(good, F.lit(0.0), lambda s, x: s + x) * 1e4 + 0.3137) / 1e4).alias("total"), F.round("rt", 6).alias("rt"))
+
+
+@query("rtbd_to_transcript", f"""WITH {a.COUNTS}, {a.TRANSCRIPTS}, h AS (SELECT e.transcript_id, n_rt, n_bd FROM counts p JOIN sizes USING (contig) JOIN exons e ON p.contig = e.contig AND p.strand = e.strand AND pos BETWEEN first AND second WHERE pos <= length),
+    l AS (SELECT transcript_id, max(t_second) AS length FROM exons GROUP BY 1 HAVING max(t_second) >= 40)
+    SELECT h.transcript_id, max(length) AS length, CAST(sum(n_rt) AS BIGINT) AS rt, CAST(sum(n_bd) AS BIGINT) AS bd FROM h JOIN l ON h.transcript_id = l.transcript_id GROUP BY 1 HAVING count(*) >= 10""")
+def _rtbd(spark, d):
+    rows = coords.rtbd_to_transcript(_counts(spark, d), ["n_rt", "n_bd"], _exons(spark, d))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + F.coalesce(x, F.lit(0)))
+    return rows.select("transcript_id", "length", total("n_rt").alias("rt"), total("n_bd").alias("bd"))
+
+
+@query("codon_profile", f"""WITH {_SHAPES}, o AS (SELECT x, unnest([i - 21, i - 50]) AS off, unnest(['start', 'stop']) AS codon FROM sv WHERE x IS NOT NULL)
+    SELECT codon, CAST(off AS BIGINT) AS off, CAST(count(*) AS BIGINT) AS n, round(avg(x), 6) AS score FROM o WHERE abs(off) <= 25 GROUP BY ALL HAVING count(*) > 100""")
+def _codon_profile(spark, d):
+    shapes = _shapes(spark, d)
+    t = shapes.select("transcript_id", F.lit(21).cast("long").alias("cds_start"), F.lit(50).cast("long").alias("cds_end"))
+    return qc.codon_profile(shapes, t).select("codon", F.col("offset").cast("long").alias("off"), "n", F.round("score", 6).alias("score"))
+
+
+@query("base_shape_dist", f"""WITH {_ENRICHED}, b AS (SELECT substr('ACGT', CAST(pos % 4 AS INTEGER) + 1, 1) AS base, n_rt, d_rt, score FROM enriched),
+    q AS (SELECT base, CAST(sum(n_rt) AS BIGINT) AS n_rt, CAST(sum(d_rt) AS BIGINT) AS d_rt, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.5) AS q2, quantile_cont(score, 0.75) AS q3, min(score) AS lo, max(score) AS hi FROM b GROUP BY base)
+    SELECT base, n_rt, d_rt, round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3, round(greatest(lo, q1 - 1.5 * (q3 - q1)), 6) AS low_adjacent, round(least(hi, q3 + 1.5 * (q3 - q1)), 6) AS high_adjacent FROM q""")
+def _base_shape(spark, d):
+    rows = score.enrich_ctrl(_counts(spark, d)).withColumn("shape", F.col("score")).withColumn("base", F.substring(F.lit("ACGT"), (F.col("pos") % 4 + 1).cast("int"), F.lit(1)))
+    return qc.base_shape_dist(rows).select("base", "n_rt", "d_rt", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "low_adjacent", "high_adjacent")])
+
+
+@query("rpkm", f"""WITH {a.SAM}, m AS (SELECT chr_id AS contig, count(*) OVER (PARTITION BY read_id) AS h FROM cig WHERE flag IN (0, 256)), t AS (SELECT contig, sum(1.0 / h) AS n FROM m GROUP BY contig)
+    SELECT contig, CAST(70000 AS BIGINT) AS length, round(n * 1e9 / (70000 * (SELECT sum(n) FROM t)), 4) AS rpkm FROM t""")
+def _rpkm(spark, d):
+    s = a.sam(spark, d)
+    header = s.select(F.col("chr_id").alias("contig")).distinct().withColumn("length", F.lit(70000).cast("long"))
+    return reads.rpkm(s, header).select("contig", "length", F.round("rpkm", 4).alias("rpkm"))
+
+
+@query("structure_compare", f"""WITH {a.HANGS}, t AS (SELECT DISTINCT chr_1 AS id, start_1 AS l, start_2 AS r FROM hangs WHERE strand_1 = '+'), k AS (SELECT DISTINCT chr_1 AS id, start_1 AS l, start_2 AS r FROM hangs WHERE strand_2 = '+'),
+    nt AS (SELECT id, count(*) AS n FROM t GROUP BY 1), nk AS (SELECT id, count(*) AS n FROM k GROUP BY 1), c AS (SELECT id, count(*) AS n FROM t JOIN k USING (id, l, r) GROUP BY 1)
+    SELECT nt.id, CAST(coalesce(c.n, 0) AS BIGINT) AS common, round(coalesce(c.n, 0) / CAST(nk.n AS DOUBLE), 6) AS sensitivity, round(coalesce(c.n, 0) / CAST(nt.n AS DOUBLE), 6) AS ppv FROM nt JOIN nk ON nt.id = nk.id LEFT JOIN c ON nt.id = c.id""")
+def _structure_compare(spark, d):
+    h = a.hangs(spark, d)
+    pick = lambda s: h.where(f"{s} = '+'").select(F.col("chr_1").alias("id"), F.col("start_1").alias("left"), F.col("start_2").alias("right"))
+    return qc.structure_compare(pick("strand_1"), pick("strand_2")).select("id", "common", F.round("sensitivity", 6).alias("sensitivity"), F.round("ppv", 6).alias("ppv"))
+
+
+@query("matrix_submatrix", f"WITH {_MATRIX} SELECT contig, strand, x - 199 AS x, y - 299 AS y, value FROM coo WHERE x BETWEEN 200 AND 500 AND y BETWEEN 300 AND 700")
+def _submatrix(spark, d):
+    return matrix.matrix_submatrix(_coo(spark, d), 200, 500, 300, 700)
+
+
+@query("background_quantile", f"""WITH {_MATRIX}, r AS (SELECT *, row_number() OVER (PARTITION BY contig, strand, x ORDER BY value DESC) AS r FROM coo),
+    q AS (SELECT contig, strand, x, coalesce(max(CASE WHEN r = 80 THEN value END), 0.0) AS q FROM r GROUP BY ALL)
+    SELECT c.contig, c.strand, c.x, c.y, c.value - p.q - s.q AS value FROM coo c JOIN q p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN q s ON c.contig = s.contig AND c.strand = s.strand AND c.y = s.x WHERE c.value - p.q - s.q > 0""")
+def _background_quantile(spark, d):
+    coo = _coo(spark, d)
+    size = coo.select("contig").distinct().withColumn("length", F.lit(100).cast("long"))
+    return matrix.background_quantile(coo, size, 0.2)
+
+
+@query("matrix_quantiles", f"""WITH {_MATRIX}, r AS (SELECT value, row_number() OVER (ORDER BY value, contig, strand, x, y) - 1 AS place FROM coo WHERE value <> 0), n AS (SELECT count(*) AS n FROM r)
+    SELECT CAST(k AS INTEGER) AS quantile, value FROM range(1, 21) t(k), n, r WHERE place = least(n * k // 20, n - 1)""")
+def _matrix_quantiles(spark, d):
+    return matrix.matrix_quantiles(_coo(spark, d))
+
+
+@query("region_algebra", f"""WITH {a.HANGS} SELECT read_id, least(end_1, end_2) - greatest(start_1, start_2) + 1 AS overlap, CAST(CASE WHEN least(end_1, end_2) >= greatest(start_1, start_2) THEN 1 ELSE 2 END AS INTEGER) AS parts FROM hangs""")
+def _regions(spark, d):
+    from ..functions.intervals import region, region_overlap, region_union
+
+    one, two = region(F.col("start_1"), F.col("end_1")), region(F.col("start_2"), F.col("end_2"))
+    return a.hangs(spark, d).select("read_id", region_overlap(one, two).alias("overlap"), F.size(region_union(one, two)).alias("parts"))
+
+
+@query("translate_codons", f"WITH {a.FASTQ} SELECT id, CAST(length(seq) // 3 AS INTEGER) AS n, CASE WHEN length(seq) < 3 THEN 0 WHEN substr(seq, 1, 3) IN ('TAA', 'TAG', 'TGA') THEN 1 ELSE 0 END AS stop FROM fq")
+def _translate(spark, d):
+    protein = sequence.translate_codons("seq")
+    return a.fastq(spark, d).select("id", F.length(protein).alias("n"), F.startswith(protein, F.lit("*")).cast("int").alias("stop"))
+
+
+@query("duplex_sort_and_tag", f"WITH {a.HANGS} SELECT count(DISTINCT read_id) AS n FROM hangs")
+def _tagged(spark, d):
+    h = a.hangs(spark, d)
+    _, members = duplex.cluster_hangs(h)
+    return duplex.tag_reads_with_group(duplex.sort_dh(h), members).agg(F.countDistinct("read_id").alias("n"))
