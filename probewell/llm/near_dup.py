@@ -3,11 +3,13 @@
 Each document's word shingles become a signature of ``ORDERS * STEP`` minima. The forest is a set of
 sorted orders: order t reads the signature from place ``t * STEP`` on (cyclically). Spark range-partitions
 and sorts all orders together; in a sorted order the documents that share the longest prefixes stand side by
-side. A region is a run with one common prefix. A small region gives all its pairs. In a larger one each row is paired
-with its neighbour in the order, with which it shares the longest prefix there is, so the depth of a pair adapts to how
-dense the region is; and with the region's first row, so that a large group hangs together. Candidates are then
-confirmed on the full shingle sets, best candidates first, so that a large group costs about one comparison
-for each member. Equal sets are merged before all this: copies never meet in one task.
+side. A region is a run with one common prefix. A small region gives all its pairs. In a larger one each row is first
+paired with its neighbour in the order and with the region's first row. Candidates are confirmed on the full
+shingle sets, best candidates first, so that a large group costs about one comparison for each member. Then every
+larger region that still holds more than one component gives all pairs across components: its rows are dealt
+over blocks, each pair of blocks meets in one task, and only pairs whose long signatures are alike enough leave it. So every
+pair with a common prefix in some order is compared or already linked, however dense its region is. Equal sets
+are merged before all this: copies never meet in one task.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ SMALL_REGION = 12
 NEIGHBOURS = 1
 #: Of 128 equal minima, those that a true pair at 0.75 misses about once in two million (96 - 5 * 4.9).
 LEAST_EQUAL = 72
+#: Rows of a block of a large region.
+BLOCK = 2000
+#: Minima, of 8 bits, by which the rows of large regions are compared; the first ones are those of the signature.
+LONG = 640
+#: Of LONG equal minima, those that a true pair at 0.75 misses about once in three million (480 - 5 * 10.95).
+LEAST_LONG = 425
 NUMERATOR, DENOMINATOR = 75, 100
 
 
@@ -73,13 +81,22 @@ def signature_rows(batches: Iterator[pa.RecordBatch], width: int = WORDS, size:
             )
 
 
+def long_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) → rep, set size and the low bytes of ``LONG`` minima."""
+    for part in signature_rows(batches, size=LONG):
+        low = part.column("sig").flatten().to_numpy().astype(np.uint8)
+        at = pa.py_buffer(np.arange(0, len(low) + 1, LONG, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_shingles"), pa.Array.from_buffers(pa.binary(), part.num_rows, [None, at, pa.py_buffer(low)])], ["rep", "n", "low"])
+
+
 def neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (t, v0.., id) of sorted orders → candidate pairs (a, b) of their regions.
+    """Rows (t, v0.., id) of sorted orders → candidate pairs (a, b) of their regions, and the members (region, a) of large ones.
 
     The end of a batch is carried over, so a region that spans batches is seen whole; of a region longer than
-    ``CARRY`` rows the first row and the last ones are carried.
+    ``CARRY`` rows the first row and the last ones are carried. The regions at both ends of a partition may go on in
+    another one; their rows count as members of a large region.
     """
-    carried = None
+    carried, opening = None, True
     for batch in batches:
         table = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(batch.num_columns)])
         if carried is not None:
@@ -87,20 +104,40 @@ def neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         same = (table[1:, : MIN_DEPTH + 1] == table[:-1, : MIN_DEPTH + 1]).all(axis=1)
         starts = np.concatenate([[0], np.flatnonzero(~same) + 1])
         last = int(starts[-1])
-        yield _pairs(_region_pairs(table[:last]))
+        if last:
+            yield _pairs(_region_pairs(table[:last]), _members(table[:last], opening))
+            opening = False
         carried = table[last:]
         if len(carried) > CARRY:
-            yield _pairs(_region_pairs(carried))
+            yield _pairs(_region_pairs(carried), _members(carried, True))
             carried = np.concatenate([carried[:1], carried[-SMALL_REGION:]])
     if carried is not None:
-        yield _pairs(_region_pairs(carried))
+        yield _pairs(_region_pairs(carried), _members(carried, True))
 
 
 CARRY = 20_000
 
 
-def _pairs(found: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+def _pairs(found: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
+    a, b = (np.concatenate([found[:, i], members[:, 0]]) for i in (0, 1))
+    region = np.concatenate([np.zeros(len(found), np.int64), members[:, 1]])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(region, mask=np.arange(len(a)) < len(found))], ["a", "b", "region"])
+
+
+def _members(table: np.ndarray, opening: bool) -> np.ndarray:
+    """(id, region) of the rows of regions over ``SMALL_REGION`` rows, and of the first region if ``opening``."""
+    if not len(table):
+        return np.zeros((0, 2), dtype=np.int64)
+    same = (table[1:, : MIN_DEPTH + 1] == table[:-1, : MIN_DEPTH + 1]).all(axis=1)
+    starts = np.concatenate([[0], np.flatnonzero(~same) + 1])
+    sizes = np.diff(np.concatenate([starts, [len(table)]]))
+    large = sizes > SMALL_REGION
+    large[0] |= opening
+    rows = table[np.repeat(large, sizes)]
+    key = np.zeros(len(rows), dtype=np.uint64)
+    for i in range(MIN_DEPTH + 1):
+        key = _text.mix(key ^ rows[:, i].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return np.column_stack([rows[:, -1], key.view(np.int64)])
 
 
 def _region_pairs(table: np.ndarray) -> np.ndarray:
@@ -129,6 +166,34 @@ def _region_pairs(table: np.ndarray) -> np.ndarray:
     return np.unique(found[found[:, 0] != found[:, 1]], axis=0)
 
 
+def block_pairs(table: pa.Table) -> pa.Table:
+    """Rows (i, j, block, rep, component, n, low) of two blocks i and j of a region → pairs across components and blocks that may reach the threshold."""
+    rep, component, n, block, i, j = (table.column(c).to_numpy() for c in ("rep", "component", "n", "block", "i", "j"))
+    low = np.frombuffer(b"".join(table.column("low").to_pylist()), dtype=np.uint8).reshape(-1, LONG)
+    within = i[0] == j[0]
+    one, two = (np.arange(len(rep)),) * 2 if within else (np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0]))
+    turned = np.ascontiguousarray(low[two, : ORDERS * STEP].T)
+    found = [np.zeros((0, 3), dtype=np.int64)]
+    for at in range(0, len(one), 128):
+        rows = one[at : at + 128]
+        equal = np.zeros((len(rows), len(two)), dtype=np.uint8)
+        for k in range(ORDERS * STEP):
+            equal += low[rows, k][:, None] == turned[k]
+        x, y = np.nonzero((equal >= LEAST_EQUAL) & (component[rows][:, None] != component[two]))
+        x, y = rows[x], two[y]
+        keep = np.minimum(n[x], n[y]) * DENOMINATOR >= np.maximum(n[x], n[y]) * NUMERATOR
+        if within:
+            keep &= x < y
+        x, y = x[keep], y[keep]
+        for k in range(0, len(x), 4096):
+            p, q = x[k : k + 4096], y[k : k + 4096]
+            total = (low[p] == low[q]).sum(axis=1)
+            p, q, total = (v[total >= LEAST_LONG] for v in (p, q, total))
+            found.append(np.column_stack([np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q]), total]))
+    found = np.concatenate(found)
+    return pa.table({c: found[:, k] for k, c in enumerate(("a", "b", "equal"))})
+
+
 def confirm_rows(batches: Iterator[pa.RecordBatch], width: int = WORDS) -> Iterator[pa.RecordBatch]:
     """Pairs with both texts → the pairs whose sets reach the threshold."""
     for batch in batches:
@@ -148,13 +213,28 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """(rep, sig) → (a, b, n): candidate pairs and the number of orders that propose them."""
+    """(rep, sig) → (a, b, region): candidate pairs, with a null region; and for members of large regions the rep twice and its region."""
     size = ORDERS * STEP
     values = [F.element_at("sig", (F.col("t") * STEP + j) % size + 1).alias(f"v{j}") for j in range(MAX_DEPTH)]
     names = ["t", *(f"v{j}" for j in range(MAX_DEPTH)), "rep"]
     orders = reps.select("rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("t")).select("t", *values, "rep")
     ranged = orders.repartitionByRange(*names).sortWithinPartitions(*names)
-    return ranged.mapInArrow(neighbour_rows, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n"))
+    return ranged.mapInArrow(neighbour_rows, "a long, b long, region long").distinct()
+
+
+def crowded(members: DataFrame, groups: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, region) of large regions → (a, b, equal): all pairs of a region across components that may reach the threshold."""
+    known = groups.withColumnRenamed("node", "rep")
+    rows = save(members.join(known, "rep", "left").select("region", "rep", F.coalesce("component", "rep").alias("component")), "members")
+    mixed = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
+    rows = save(rows.join(mixed.select("region", "size"), "region"), "mixed")
+    ends = rows.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    long = save(texts.mapInArrow(long_rows, "rep long, n long, low binary"), "long")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component").join(long, "rep")
+    return dealt.groupBy("region", "i", "j").applyInArrow(block_pairs, "a long, b long, equal long").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -186,18 +266,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = [signed.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n_shingles").alias(f"n_{x}")) for x in "ab"]
     equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    likely = found.join(sizes[0], "a").join(sizes[1], "b").where((least * DENOMINATOR >= most * NUMERATOR)).select("a", "b", "n", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
+    pairs = found.where("region is null")
+    likely = pairs.join(sizes[0], "a").join(sizes[1], "b").where((least * DENOMINATOR >= most * NUMERATOR)).select("a", "b", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
     likely = save(likely, "likely")
-    ends = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    texts = save(docs.select("doc_id", "text").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-
-    best = F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"))).alias("best")
-    first = likely.groupBy("b").agg(best).select("best.a", "best.b")
-    links = save(_confirmed(first, texts), "links")
+    links = _linked(likely, docs, None)
     groups = save(components(links), "groups")
-    rest = _across(likely.join(first, ["a", "b"], "left_anti"), groups)
-    links = save(links.unionByName(_confirmed(rest, texts)), "links")
-    groups = components(links)
+    members = found.where("region is not null").select("region", F.col("a").alias("rep"))
+    likely = save(crowded(members, groups, docs), "crowded")
+    if not likely.isEmpty():
+        links = _linked(likely, docs, links)
+        groups = components(links)
 
     member = rows.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"))
     out = member.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
@@ -206,6 +284,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "copy_of")
 
 
+def _linked(likely: DataFrame, docs: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``links`` and those of the pairs (a, b, equal) that reach the threshold: first the best of each b, then what still joins two components."""
+    ends = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
+    texts = save(docs.select("doc_id", "text").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    best = F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"))).alias("best")
+    first = likely.groupBy("b").agg(best).select("best.a", "best.b")
+    found = _confirmed(first, texts)
+    links = save(found if links is None else links.unionByName(found), "links")
+    rest = _across(likely.join(first, ["a", "b"], "left_anti"), save(components(links), "groups"))
+    return save(links.unionByName(_confirmed(rest, texts)), "links")
+
+
 def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """The pairs whose ends are not yet in one group."""
     a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab")

@@ -103,6 +103,27 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_a_text_that_is_linked_to_one_member_of_a_large_group_joins_it(spark):
+    """Of 300 near copies, each of the other texts reaches the threshold with one (the last one with more), and is almost as near to all."""
+    rng = random.Random(8)
+    base = words(rng, 200).split()
+    texts = []
+    for v in range(300):
+        own = list(base)
+        own[rng.randrange(200)] = f"v{v}"
+        texts.append(" ".join(own))
+    for k in range(40):
+        own = texts[k].split()
+        mine = own.index(f"v{k}")
+        for at in [at for at in range(10 + k % 3, 200, 36) if abs(at - mine) > 5][:5]:
+            own[at] = f"e{k}.{at}"
+        texts.append(" ".join(own))
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs(spark, texts)).collect()}
+    want, _ = brute_groups(texts, range(len(texts)))
+    assert set(want.values()) == {0}
+    assert got == want
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert near_dup.near_duplicates(docs(spark, [])).collect() == []
     rows = near_dup.near_duplicates(docs(spark, ["a b c d e f", "a b c d e f", "a b c d e f"], [7, 7, None])).collect()
