@@ -119,31 +119,49 @@ def train(findings: DataFrame) -> Callable[[list[Column]], Column]:
 def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``findings``: array of (value, position, occurrences, score, is_secret), one for each candidate value.
 
-    position is that of the first occurrence (1-based, in characters); its surroundings are what the forest sees.
+    position is that of the first match (1-based, in characters). The forest sees the surroundings of every match, and
+    score is the largest one: a value that is a secret in one place is one in all. occurrences counts all places of the value,
+    those inside longer candidates too, as redact masks them.
     ``findings`` are labelled ones to train from; without them those of ``labelled_findings`` are taken. Null and empty
     texts have no findings. A column findings is replaced, others stay; repeated rows get equal findings, in
     order of position. An empty table gives an empty result. Texts are scanned whole.
     """
     share = train(labelled_findings(docs.sparkSession) if findings is None else findings)
     text = F.coalesce(F.col("text"), F.lit(""))
-    values = F.array_distinct(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
-    placed = F.transform(values, lambda v: F.struct(F.position(v, text).cast("long").alias("position"), v.alias("value")))
+    values, gaps = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE)
+
+    def place(done: Column, f: Column) -> Column:
+        start = done["next"] + F.length(f["gap"])
+        return F.struct((start + F.length(f["value"])).alias("next"), F.concat(done["placed"], F.array(F.struct(start.cast("long").alias("position"), f["value"].alias("value")))).alias("placed"))
+
+    pairs = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
+    none = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<position:bigint,value:string>>").alias("placed"))
+    placed = F.aggregate(pairs, none, place, lambda done: done["placed"])
 
     def around(f: Column) -> Column:
         start, n = f["position"].cast("int"), F.length(f["value"])
         before = F.greatest(start - CONTEXT, F.lit(1))
         left = F.substring(text, before, start - before)
         right = F.substring(text, start + n, F.lit(CONTEXT))
-        occurrences = ((F.length(text) - F.length(F.replace(text, f["value"], F.lit("")))) / n).cast("long")
         numbers = F.array(*features(f["value"], left, right))
-        return F.struct(f["value"].alias("value"), f["position"].alias("position"), occurrences.alias("occurrences"), numbers.alias("x"))
+        return F.struct(f["value"].alias("value"), f["position"].alias("position"), numbers.alias("x"))
 
     def judge(f: Column) -> Column:
         score = share([f["x"][k] for k in range(len(NAMES))])
-        return F.struct(f["value"].alias("value"), f["position"].alias("position"), f["occurrences"].alias("occurrences"), score.alias("score"), (score >= THRESHOLD).alias("is_secret"))
+        return F.struct(f["value"].alias("value"), f["position"].alias("position"), score.alias("score"))
+
+    def merge(judged: Column) -> Column:
+        def one(v: Column) -> Column:
+            own = F.filter(judged, lambda f: f["value"] == v)
+            occurrences = ((F.length(text) - F.length(F.replace(text, v, F.lit("")))) / F.length(v)).cast("long")
+            score = F.array_max(F.transform(own, lambda f: f["score"]))
+            return F.struct(v.alias("value"), own[0]["position"].alias("position"), occurrences.alias("occurrences"), score.alias("score"), (score >= THRESHOLD).alias("is_secret"))
+
+        return F.transform(F.array_distinct(F.transform(judged, lambda f: f["value"])), one)
 
-    found = F.array_sort(F.transform(placed, around), lambda a, b: (a["position"] - b["position"]).cast("int"))
-    return docs.drop("findings").withColumn("_around", found).withColumn("findings", F.transform("_around", judge)).drop("_around")
+    # an array of one binds what has been judged, so that it is not worked out again for each value
+    findings = F.transform(F.array(F.transform("_around", judge)), merge)[0]
+    return docs.drop("findings").withColumn("_around", F.transform(placed, around)).withColumn("findings", findings).drop("_around")
 
 
 def redact(scanned: DataFrame) -> DataFrame:

@@ -309,6 +309,16 @@ def test_secrets_are_found_masked_and_words_are_left(spark):
     assert secrets.scan(docs(spark, [])).collect() == []
 
 
+def test_a_secret_is_judged_at_each_of_its_places(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = [f'commit {key} fixed, then token = "{key}" y', f"é commit {key} fixed, commit {key} again", f'commit {key}/abcdef fixed, token = "{key}" y']
+    out = secrets.scan(docs(spark, texts))
+    found = {r.doc_id: [(f["value"], f["position"], f["occurrences"], f["is_secret"]) for f in r.findings] for r in out.collect()}
+    assert found[0] == [(key, 8, 2, True)] and found[1] == [(key, 10, 2, False)]
+    assert found[2][1] == (key, texts[2].rindex(key) + 1, 2, True)
+    assert {r.doc_id: r.text for r in secrets.redact(out).collect()}[0] == 'commit [SECRET] fixed, then token = "[SECRET]" y'
+
+
 # ---- main text
 
 
