@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = pairs.join(sizes[0], "a").join(sizes[1], "b").where((least * DENOMINATOR >= most * NUMERATOR)).select("a", "b", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
     likely = save(likely, "likely")
     links = _linked(likely, docs, None)
-    groups = save(components(links), "groups")
+    groups = components(links)
     members = found.where("region is not null").select("region", F.col("a").alias("rep"))
     likely = save(crowded(members, groups, docs), "crowded")
     if not likely.isEmpty():
@@ -292,7 +292,7 @@ def _linked(likely: DataFrame, docs: DataFrame, links: DataFrame | None) -> Data
     first = likely.groupBy("b").agg(best).select("best.a", "best.b")
     found = _confirmed(first, texts)
     links = save(found if links is None else links.unionByName(found), "links")
-    rest = _across(likely.join(first, ["a", "b"], "left_anti"), save(components(links), "groups"))
+    rest = _across(likely.join(first, ["a", "b"], "left_anti"), components(links))
     return save(links.unionByName(_confirmed(rest, texts)), "links")
 
 

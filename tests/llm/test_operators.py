@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from probewell.llm import _text, html, main_text, media, mixing, near_dup, pieces, quality, repeats, secrets, token_counts, toxicity
+from probewell.llm import components as components_module
 from probewell.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, pieces string, findings int, label string, rate int, th int"
@@ -130,7 +131,9 @@ def test_near_duplicates_of_odd_tables(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in rows) == [(0, 0, True), (7, 7, True), (7, 7, True)]
 
 
-def test_components_of_a_chain_and_a_star(spark):
+@pytest.mark.parametrize("block", [1_000_000, 15])
+def test_components_of_a_chain_and_a_star(spark, monkeypatch, block):
+    monkeypatch.setattr(components_module, "BLOCK", block)
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(5, 5)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert set(got.values()) == {0, 100} and len(got) == 81
