@@ -44,6 +44,8 @@ BLOCK = 2000
 LONG = 640
 #: Of LONG equal minima, those that a true pair at 0.75 misses about once in three million (480 - 5 * 10.95).
 LEAST_LONG = 425
+#: Hash values by which pairs are dealt over cells, at least, and bytes of text for each of them beyond.
+LEAST_CELLS, CELL_BYTES = 6, 4 << 20
 NUMERATOR, DENOMINATOR = 75, 100
 
 
@@ -166,8 +168,11 @@ def _region_pairs(table: np.ndarray) -> np.ndarray:
     return np.unique(found[found[:, 0] != found[:, 1]], axis=0)
 
 
-def block_pairs(table: pa.Table) -> pa.Table:
-    """Rows (i, j, block, rep, component, n, low) of two blocks i and j of a region → pairs across components and blocks that may reach the threshold."""
+def block_pairs(table: pa.Table, cells: int) -> pa.Table:
+    """Rows (i, j, block, rep, component, n, low) of two blocks i and j of a region → pairs across components and blocks that may reach the threshold.
+
+    The pairs come packed, as a row of lists for each cell (x, y) of the documents' hashes modulo ``cells``.
+    """
     rep, component, n, block, i, j = (table.column(c).to_numpy() for c in ("rep", "component", "n", "block", "i", "j"))
     low = np.frombuffer(b"".join(table.column("low").to_pylist()), dtype=np.uint8).reshape(-1, LONG)
     within = i[0] == j[0]
@@ -190,8 +195,64 @@ def block_pairs(table: pa.Table) -> pa.Table:
             total = (low[p] == low[q]).sum(axis=1)
             p, q, total = (v[total >= LEAST_LONG] for v in (p, q, total))
             found.append(np.column_stack([np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q]), total]))
-    found = np.concatenate(found)
-    return pa.table({c: found[:, k] for k, c in enumerate(("a", "b", "equal"))})
+    return _packed(np.concatenate(found), cells)
+
+
+_CELL = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("equal", pa.list_(pa.int64()))])
+
+
+def _packed(found: np.ndarray, cells: int) -> pa.Table:
+    """Pairs (a, b, equal) → a row for each cell."""
+    a, b = ((_text.mix(found[:, k].astype(np.uint64)) % np.uint64(cells)).astype(np.int64) for k in (0, 1))
+    turn = np.lexsort((b, a))
+    found, a, b = found[turn], a[turn], b[turn]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    at = pa.array(np.concatenate([first, [len(a)]]).astype(np.int32))
+    return pa.Table.from_arrays([pa.array(a[first]), pa.array(b[first]), *(pa.ListArray.from_arrays(at, pa.array(found[:, k])) for k in range(3))], schema=_CELL)
+
+
+def _unpacked(table: pa.Table) -> np.ndarray:
+    """The distinct pairs (a, b, equal) of the rows of a cell."""
+    return np.unique(np.column_stack([pa.chunked_array(table.column(c).chunks).combine_chunks().flatten().to_numpy() for c in ("a", "b", "equal")]), axis=0)
+
+
+def distinct_pairs(table: pa.Table) -> pa.Table:
+    """The rows of a cell → one row."""
+    x, y = (int(table.column(c)[0].as_py()) for c in ("x", "y"))
+    found = _unpacked(table)
+    return pa.Table.from_arrays([pa.array([x]), pa.array([y]), *(pa.array([found[:, k]], pa.list_(pa.int64())) for k in range(3))], schema=_CELL)
+
+
+def confirm_cell(pairs: pa.Table, held: pa.Table) -> pa.Table:
+    """The pairs of a cell and its documents (rep, component, text) → links between different components.
+
+    The best pairs come first; a pair whose ends the cell has already linked is not compared.
+    """
+    rep, group = (held.column(c).to_numpy() for c in ("rep", "component"))
+    sets, at = _sets(*_text.buffers(pa.chunked_array(held.column("text").chunks, pa.string()).combine_chunks()), WORDS)
+    place = {r: k for k, r in enumerate(rep.tolist())}
+    found = _unpacked(pairs)
+    up = {g: g for g in group.tolist()}
+
+    def root(g: int) -> int:
+        while up[g] != g:
+            up[g] = g = up[up[g]]
+        return g
+
+    out = []
+    for a, b, _ in found[np.lexsort((found[:, 1], found[:, 0], -found[:, 2]))].tolist():
+        i, j = place[a], place[b]
+        c, d = root(int(group[i])), root(int(group[j]))
+        if c != d:
+            one, two = sets[at[i] : at[i + 1]], sets[at[j] : at[j + 1]]
+            both = len(np.intersect1d(one, two, assume_unique=True))
+            if DENOMINATOR * both >= NUMERATOR * (len(one) + len(two) - both):
+                up[max(c, d)] = min(c, d)
+                out.append((a, b))
+    links = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
 
 def confirm_rows(batches: Iterator[pa.RecordBatch], width: int = WORDS) -> Iterator[pa.RecordBatch]:
@@ -223,18 +284,26 @@ def candidates(reps: DataFrame) -> DataFrame:
 
 
 def crowded(members: DataFrame, groups: DataFrame, docs: DataFrame) -> DataFrame:
-    """(rep, region) of large regions → (a, b, equal): all pairs of a region across components that may reach the threshold."""
+    """(rep, region) of large regions → links (a, b) between components: all pairs of a region are compared, those that may reach the threshold on full sets.
+
+    Pairs lie packed in cells of two hash values, and each cell gets a document's text once, not once for each pair.
+    """
     known = groups.withColumnRenamed("node", "rep")
     rows = save(members.join(known, "rep", "left").select("region", "rep", F.coalesce("component", "rep").alias("component")), "members")
     mixed = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
     rows = save(rows.join(mixed.select("region", "size"), "region"), "mixed")
-    ends = rows.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    long = save(texts.mapInArrow(long_rows, "rep long, n long, low binary"), "long")
+    ends = rows.select(F.col("rep").alias("doc_id"), "component").distinct()
+    texts = save(docs.select("doc_id", "text").join(ends, "doc_id").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "texts")
+    long = save(texts.select(F.col("rep").alias("doc_id"), "text").mapInArrow(long_rows, "rep long, n long, low binary"), "long")
+    cells = max(LEAST_CELLS, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // CELL_BYTES))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component").join(long, "rep")
-    return dealt.groupBy("region", "i", "j").applyInArrow(block_pairs, "a long, b long, equal long").distinct()
+    schema = "x long, y long, a array<long>, b array<long>, equal array<long>"
+    found = dealt.groupBy("region", "i", "j").applyInArrow(lambda table: block_pairs(table, cells), schema)
+    found = save(found.groupBy("x", "y").applyInArrow(distinct_pairs, schema), "cells")
+    held = found.select(F.col("x").alias("hx"), F.col("y").alias("hy"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("rep")).join(texts, "rep")
+    return found.groupBy("x", "y").cogroup(held.groupBy("hx", "hy")).applyInArrow(confirm_cell, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -269,13 +338,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = found.where("region is null")
     likely = pairs.join(sizes[0], "a").join(sizes[1], "b").where((least * DENOMINATOR >= most * NUMERATOR)).select("a", "b", equal.alias("equal")).where(F.col("equal") >= LEAST_EQUAL)
     likely = save(likely, "likely")
-    links = _linked(likely, docs, None)
+    links = _linked(likely, docs)
     groups = components(links)
     members = found.where("region is not null").select("region", F.col("a").alias("rep"))
-    likely = save(crowded(members, groups, docs), "crowded")
-    if not likely.isEmpty():
-        links = _linked(likely, docs, links)
-        groups = components(links)
+    groups = components(save(links.unionByName(crowded(members, groups, docs)), "links"))
 
     member = rows.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).alias("rep"))
     out = member.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
@@ -284,14 +350,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "copy_of")
 
 
-def _linked(likely: DataFrame, docs: DataFrame, links: DataFrame | None) -> DataFrame:
-    """``links`` and those of the pairs (a, b, equal) that reach the threshold: first the best of each b, then what still joins two components."""
+def _linked(likely: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links among the pairs (a, b, equal) that reach the threshold: first the best of each b, then what still joins two components."""
     ends = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
     texts = save(docs.select("doc_id", "text").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     best = F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"))).alias("best")
     first = likely.groupBy("b").agg(best).select("best.a", "best.b")
-    found = _confirmed(first, texts)
-    links = save(found if links is None else links.unionByName(found), "links")
+    links = save(_confirmed(first, texts), "links")
     rest = _across(likely.join(first, ["a", "b"], "left_anti"), components(links))
     return save(links.unionByName(_confirmed(rest, texts)), "links")
 
