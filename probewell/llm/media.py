@@ -20,6 +20,7 @@ _BLOCKS = frozenset("address article aside blockquote body center dd div dl dt f
 _HIDDEN = frozenset(("script", "style", "title", "noscript", "template", "iframe"))
 _MEDIA = frozenset(("img", "audio", "video", "source", "embed"))
 
+_ITEM_NAMES = ("position", "kind", "text", "digest", "caption")
 ITEM = "struct<position:int,kind:string,text:string,digest:string,caption:string>"
 _ITEM_TYPE = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())])
 
@@ -161,10 +162,15 @@ def resolve(sequenced: DataFrame, resolved: DataFrame) -> DataFrame:
     """One row for each item, with the columns that ``resolved`` has for its digest (null: text, or not stored).
 
     Items keep position and caption, so that a sort by position gives the document back. Pages without items give
-    no row. ``resolved`` must hold a digest once.
+    no row. ``resolved`` must hold a digest once. Columns of ``sequenced`` with the name of an item's field or of a column of
+    ``resolved`` are dropped, as are columns of ``resolved`` with the name of an item's field. An empty table gives an empty result.
     """
-    rest = [c for c in sequenced.columns if c != "items"]
-    return sequenced.select(*rest, F.inline("items")).join(resolved, "digest", "left")
+    rest = [c for c in sequenced.columns if c not in ("items", *_ITEM_NAMES, *resolved.columns)]
+    items = sequenced.select(*rest, F.inline("items"))
+    more = [c for c in resolved.columns if c not in ("digest", *_ITEM_NAMES)]
+    media = items.where("digest is not null").join(resolved.select("digest", *more), "digest", "left").select(*items.columns, *more)
+    # text items have no digest: they stay out of the join, where all of them would meet in one partition
+    return items.where("digest is null").select("*", *[F.lit(None).cast(resolved.schema[c].dataType).alias(c) for c in more]).unionByName(media)
 
 
 def regroup(items: DataFrame, *key: str) -> DataFrame:
@@ -174,11 +180,15 @@ def regroup(items: DataFrame, *key: str) -> DataFrame:
 
 
 def op2_query(spark, sf_dir: str) -> DataFrame:
-    """Each document's text as the medium of a one-figure page: stored, parsed, joined by digest and read back."""
+    """Each document as an interleaved page: a heading, its text as a captioned medium, a closing line; stored, parsed, joined by digest and read back.
+
+    A row for each document: null and empty texts are a medium of one line of spaces, a null doc_id stays null, repeated rows
+    give equal rows. An empty table gives an empty result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     image = as_image(payload(F.col("text")))
     kept = store(docs.select(F.sha2(image, 256).alias("digest"), image.alias("media")))
-    page = F.concat(F.lit('<article><figure><img src="sha256:'), F.sha2(image, 256), F.lit('" alt="text"><figcaption>'), F.octet_length("text").cast("string"), F.lit(" bytes</figcaption></figure></article>"))
+    page = F.concat(F.lit('<article><h1>Document</h1><figure><img src="sha256:'), F.sha2(image, 256), F.lit('" alt="text"><figcaption>'), F.octet_length("text").cast("string"), F.lit(" bytes</figcaption></figure><p>End</p></article>"))
     pages = docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), page.alias("html"))
     # written first: the join then shuffles a plain table and can split a very frequent digest over tasks
-    return resolve(sequences(pages), save(measure(kept), "measured")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
+    return resolve(sequences(pages), save(measure(kept), "measured")).where("kind = 'img'").select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")

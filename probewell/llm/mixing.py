@@ -60,26 +60,28 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     A document's number of copies is the Poisson quantile of a uniform number hashed from seed and doc_id: 0 or more, the
     same in every run. Null sources form one source of their own; a null doc_id hashes as the word null. Repeated rows
     are replicated alike. Null and empty texts count as one character. An empty table gives an empty result. Columns
-    copy_no, rate and shuffle_key of the input are replaced. Rows lie in partitions chosen by a hash of document and copy
+    copy_no, rate and shuffle_key of the input are replaced; all others stay, whatever their names. Rows lie in partitions chosen by a hash of document and copy
     and are sorted by it there, so any prefix of the written files is a fair sample.
     """
     docs = docs.drop("copy_no", "rate", "shuffle_key")
-    table = rates(docs, weights, alpha).withColumnRenamed("source", "_source")
-    few = save(table, "rates")
-    if few.count() <= BROADCAST_SOURCES:
+    table = save(rates(docs, weights, alpha), "rates")
+    few = table.select(F.col("source").alias("_source"), "rate", F.struct("draws", "cdf").alias("_draw"))
+    if table.count() <= BROADCAST_SOURCES:
         few = F.broadcast(few)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    one = lambda j: F.size(F.filter("cdf", lambda c: c <= uniform(seed, key, j)))
-    times = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda s, j: s + one(j))
-    joined = docs.join(few, docs["source"].eqNullSafe(few["_source"])).withColumn("_times", times).where("_times > 0")
-    copies = joined.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    copies = copies.withColumn("shuffle_key", F.xxhash64(F.lit(seed), key, "copy_no")).drop("_source", "_times", "draws", "cdf")
+    key = F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null"))
+    one = lambda j: F.size(F.filter("_draw.cdf", lambda c: c <= uniform(seed, key, j)))
+    times = F.aggregate(F.sequence(F.lit(1), F.col("_draw.draws")), F.lit(0), lambda s, j: s + one(j))
+    # the row is one struct here, so that no column of it can clash with one of the rates
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(few, F.col("row.source").eqNullSafe(F.col("_source"))).withColumn("_times", times).where("_times > 0")
+    copies = joined.select("row.*", "rate", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy_no"))
+    copies = copies.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "copy_no"))
     return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def op4_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).select("doc_id", "source", "text", F.col("copy_no").cast("long").alias("copy_no"), F.round("rate", 6).alias("rate"))
+    return mix(docs.select("doc_id", "source", "text")).select("doc_id", "source", "text", F.col("copy_no").cast("long").alias("copy_no"), F.round("rate", 6).alias("rate"))
 
 
 ORACLE = f"""

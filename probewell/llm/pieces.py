@@ -266,9 +266,14 @@ def decode_slice(m: Model, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     return data[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
-def row_keys(doc_ids: pa.Array, seed: int) -> np.ndarray:
+def row_keys(doc_ids: pa.Array, seed: int, copies: pa.Array | None = None) -> np.ndarray:
+    """The hash key of each row; copy 1 (or null) of a document has the key of the document alone."""
     ids = doc_ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-    return _text.mix(ids.view(np.uint64) + np.uint64(_text.mix_int(seed)))
+    key = _text.mix(ids.view(np.uint64) + np.uint64(_text.mix_int(seed)))
+    if copies is None:
+        return key
+    more = copies.cast(pa.int64()).fill_null(1).to_numpy(zero_copy_only=False) - 1
+    return np.where(more == 0, key, _text.mix(key ^ (more.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
 
 
 def encode(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, path: str = MODEL) -> DataFrame:
@@ -312,7 +317,8 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 def encoded_rows(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, path: str = MODEL) -> DataFrame:
     """doc_id, n_chars, n_pieces, pieces, decoded_sha256 and lossless (the pieces decode to the text), as ``encode`` defines them.
 
-    Encoding and decoding of a slice follow each other in one task, so that a row goes to Python once.
+    A column copy_no of ``docs``, if there is one, enters the key, so that the copies of a document get different pieces;
+    copy 1 and a null one have those of the document. Null texts are empty ones; an empty table gives an empty result. Encoding and decoding of a slice follow each other in one task, so that a row goes to Python once.
     """
     limit = min(int(dropout * 2**64), 2**64 - 1)
 
@@ -321,7 +327,7 @@ def encoded_rows(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, pa
         for batch in batches:
             for part in _text.slices(batch, "text", SLICE):
                 data, offsets = _text.buffers(part.column("text"))
-                ids, at = encode_slice(m, data, offsets, row_keys(part.column("doc_id"), seed), limit)
+                ids, at = encode_slice(m, data, offsets, row_keys(part.column("doc_id"), seed, part.column("copy_no")), limit)
                 back, ends = decode_slice(m, ids, at)
                 raw, decoded = data.tobytes(), back.tobytes()
                 spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True))
@@ -334,7 +340,8 @@ def encoded_rows(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, pa
                     ["doc_id", "n_chars", "n_pieces", "pieces", "decoded_sha256", "lossless"],
                 )
 
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    copy = F.col("copy_no").cast("long") if "copy_no" in docs.columns else F.lit(1).cast("long")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), copy.alias("copy_no"))
     return texts.mapInArrow(rows, "doc_id long, n_chars long, n_pieces long, pieces array<int>, decoded_sha256 string, lossless boolean")
 
 

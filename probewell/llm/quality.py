@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import _text
 from ._linear import Sparse, fit, sigmoid
 from ._store import save
-from .toxicity import remainder
+from .toxicity import remainder, settled_labels
 
 #: Bounds of the labelled rows that are fitted and that calibrate, taken in the order of a hash of doc_id.
 TRAIN_ROWS, CALIBRATION_ROWS = 4000, 4000
@@ -104,12 +104,12 @@ def raw_scores(data: np.ndarray, offsets: np.ndarray, words: _text.Words, w: np.
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, float]:
     """Weights, slope and intercept: the fit uses four of five folds less one, that one calibrates; fold 0 is never read."""
-    marks = labels.select("doc_id", F.col("quality").cast("int").alias("label"), remainder().alias("fold")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+    marks = settled_labels(labels, "quality").withColumn("fold", remainder())
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     marks = marks.where("fold > 1").orderBy(*order).limit(TRAIN_ROWS).unionByName(marks.where("fold = 1").orderBy(*order).limit(CALIBRATION_ROWS))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # at most 8000 ids: small enough to send to every task, so that no text is shuffled
-    rows = save(texts.join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).select("text", "label", F.col("fold").cast("int").alias("fold")), "labelled")
+    rows = save(texts.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label", "fold").agg(F.min("text").alias("text")).select("text", "label", F.col("fold").cast("int").alias("fold")), "labelled")
     table = rows.mapInArrow(train_rows, "label int, fold int, columns array<int>, shares array<float>")
 
     def read(where: str) -> tuple[Sparse, np.ndarray]:
@@ -138,7 +138,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and quality; other columns are ignored. A text fails the base rules
     with under 20 words or more than 30 % of its words in repeated 8-word windows; else it is kept if the probability is
-    0.5 or more. Null and empty texts have no words and fail. Null labels and null doc_ids are not learned from; without
+    0.5 or more. Null and empty texts have no words and fail. Null labels, null doc_ids and documents with labels of both kinds are not learned from; without
     labels every probability is 1, with labels of one class that class. Repeated rows get equal results; an empty table
     gives an empty result.
     """

@@ -39,7 +39,11 @@ def encoding(path: str):
 
 
 def count_tokens(texts: DataFrame, column: str = "text", path: str = RANKS) -> DataFrame:
-    """``texts`` with ``counts``: a struct of the tokens of each of ``VERSIONS``; null texts count 0."""
+    """``texts`` without ``column``, with n_bpe and n_words: its tokens by each of ``VERSIONS``. Null texts count 0.
+
+    Columns n_bpe and n_words of the input are replaced; others stay. An empty table gives an empty result.
+    """
+    texts = texts.drop(*[c for c in ("n_bpe", "n_words") if c != column])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path).encode_ordinary
@@ -110,10 +114,13 @@ class Ledger:
         return rolled.where("level < 7").select("version", "source", "lang", F.col("level").cast("int").alias("level"), *SUMS)
 
 
-def _measured(docs: DataFrame, path: str) -> DataFrame:
+def _measured(docs: DataFrame, path: str, revise: bool = False) -> DataFrame:
+    """The counts of each text (or of what ``REVISED`` leaves of it), with a hash and the size of the text as it came, and whether it is to be revised."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", "source", "lang", F.xxhash64(text, F.reverse(text)).alias("same"), F.length(text).cast("long").alias("n_chars"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    return count_tokens(rows, path=path)
+    left = F.regexp_replace(text, REVISED, "") if revise else text
+    key = [F.xxhash64(text, F.reverse(text)).alias("same"), F.octet_length(text).alias("size"), F.rlike(text, F.lit(REVISED)).alias("revised")]
+    rows = docs.select("doc_id", "source", "lang", *key, F.length(left).cast("long").alias("n_chars"), F.octet_length(left).cast("long").alias("n_bytes"), left.alias("text"))
+    return count_tokens(rows.where("revised") if revise else rows, path=path)
 
 
 #: What a revision takes out of a text: runs of three or more symbols.
@@ -123,24 +130,23 @@ REVISED = r"[#*$%&|<>]{3,}"
 def op8_query(spark: SparkSession, sf_dir: str, path: str = RANKS) -> DataFrame:
     """The ledger of all documents: inserted, freed of exact copies, revised, and each batch delivered twice.
 
-    Batch ``insert`` has every document. Batch ``delete`` takes back every document whose text also has a smaller doc_id
-    (a null doc_id counts as the largest). Batch ``revise`` replaces the counts of the remaining documents from whose text
-    runs of three or more symbols are taken out. Null sources and languages are groups of their own. Returns the rollup.
+    Batch ``insert`` has every row. Batch ``delete`` takes back every row whose text also has a smaller doc_id (a null
+    doc_id counts as the largest; null texts are empty ones). Batch ``revise`` replaces the counts of the remaining rows
+    from whose text runs of three or more symbols are taken out. Rows are judged one by one: repeated rows all stay or all
+    go, as do rows with a null doc_id, and a doc_id may stand at different texts. Null sources and languages are groups of
+    their own. An empty table gives an empty rollup. Returns the rollup.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     ledger = Ledger(spark, new_path(spark, "ledger"))
-    before = save(_measured(docs, path), "counts")
-    first = before.groupBy("same", "n_bytes").agg(F.min(F.coalesce("doc_id", F.lit(2**63 - 1))).alias("first"))
+    before, after = save(_measured(docs, path), "counts"), save(_measured(docs, path, revise=True), "revised")
+    number = F.coalesce("doc_id", F.lit(2**63 - 1))
+    first = before.groupBy("same", "size").agg(F.min(number).alias("first"))
     # written first: the join then shuffles a plain table and can split a very frequent text over tasks
     first = save(first, "firsts")
-    extra = before.join(first, ["same", "n_bytes"]).where(F.coalesce("doc_id", F.lit(2**63 - 1)) > F.col("first"))
-    revised = docs.where(F.rlike("text", F.lit(REVISED)))
-    after = save(_measured(revised.withColumn("text", F.regexp_replace("text", REVISED, "")), path), "revised")
-    gone = extra.select("doc_id")
-    old = before.join(revised.select("doc_id"), "doc_id", "left_semi")
-    kept = lambda rows: rows.join(gone, "doc_id", "left_anti")
+    judged = [rows.join(first, ["same", "size"]).withColumn("extra", number > F.col("first")) for rows in (before, after)]
+    old, new = (rows.where("revised and not extra") for rows in judged)
     for _ in range(2):
         ledger.commit("insert", deltas(before, 1))
-        ledger.commit("delete", deltas(extra, -1))
-        ledger.commit("revise", deltas(kept(old), -1), deltas(kept(after), 1))
+        ledger.commit("delete", deltas(judged[0].where("extra"), -1))
+        ledger.commit("revise", deltas(old, -1), deltas(new, 1))
     return ledger.rollup()

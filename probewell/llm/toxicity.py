@@ -132,10 +132,20 @@ def train(rows: DataFrame) -> tuple[Matcher, np.ndarray, float]:
                 yield pa.RecordBatch.from_arrays([part.column("label"), *lists], ["label", "x", "swapped"])
 
     table = rows.mapInArrow(match, "label int, x array<int>, swapped array<int>").toArrow()
-    x, swapped = table.column("x").to_pylist(), table.column("swapped").to_pylist()
-    pairs = [(sorted(set(b) - set(a)), sorted(set(a) - set(b))) for a, b in zip(x, swapped, strict=True) if a != b]
-    delta = Sparse([len(u) + len(v) for u, v in pairs], [c for u, v in pairs for c in u + v], [s for u, v in pairs for s in [1.0] * len(u) + [-1.0] * len(v)])
-    w, b = fit(Sparse([len(r) for r in x], [c for r in x for c in r]), table.column("label").to_numpy(), len(matcher.known), L2, pairs=delta, pair_weight=PAIR_WEIGHT, balance=BALANCE)
+    width = len(matcher.known)
+    keys, sizes = [], []
+    for name in ("x", "swapped"):
+        parts = table.column(name).chunks
+        size = np.concatenate([np.zeros(0, np.int64), *(c.value_lengths().to_numpy(zero_copy_only=False) for c in parts)]).astype(np.int64)
+        column = np.concatenate([np.zeros(0, np.int32), *(c.flatten().to_numpy(zero_copy_only=False) for c in parts)])
+        sizes.append(size)
+        keys.append(np.repeat(np.arange(len(size)), size) * width + column)
+    more, less = np.setdiff1d(keys[1], keys[0]), np.setdiff1d(keys[0], keys[1])
+    both, sign = np.concatenate([more, less]), np.concatenate([np.ones(len(more)), -np.ones(len(less))])
+    row, length = np.unique(both // max(width, 1), return_counts=True)
+    turn = np.argsort(both, kind="stable")
+    delta = Sparse(length, both[turn] % max(width, 1), sign[turn])
+    w, b = fit(Sparse(sizes[0], keys[0] % max(width, 1)), table.column("label").to_numpy(), width, L2, pairs=delta, pair_weight=PAIR_WEIGHT, balance=BALANCE)
     return matcher, w, b
 
 
@@ -143,13 +153,18 @@ def remainder(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
+def settled_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the documents that all their labels call 0, or all 1; those with labels of both kinds are left out."""
+    marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
+    return marks.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").select("doc_id", "label")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """Labelled rows outside the held-out fifth, at most ``limit``, chosen by a hash of doc_id."""
-    marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
-    marks = marks.where(remainder() != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    """Labelled rows outside the held-out fifth, at most ``limit``, chosen by a hash of doc_id; of several texts of a doc_id the least one."""
+    marks = settled_labels(labels, label).where(remainder() != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # at most ``limit`` ids: small enough to send to every task, so that no text is shuffled
-    return save(texts.join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).select("text", "label"), "labelled")
+    return save(texts.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label"), "labelled")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -158,7 +173,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Every whole text is scored; null and empty texts get the score of a text without any feature. Only ``text`` enters
     a score. Rows of ``labels`` (doc_id, toxic) whose crc32(doc_id as text) mod 5 is 0, null labels and null doc_ids are
     not learned from; without labels of both classes all scores are 0 (or 1, if every label is 1). Repeated rows get equal
-    scores; a doc_id labelled twice counts once. An empty table gives an empty result. Other columns of ``docs`` stay,
+    scores; a doc_id labelled twice counts once, or not at all if its labels differ. An empty table gives an empty result. Other columns of ``docs`` stay,
     but for columns named score and predicted, which are replaced.
     """
     docs = docs.drop("score", "predicted")
