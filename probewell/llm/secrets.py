@@ -132,19 +132,28 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 
     def place(done: Column, f: Column) -> Column:
         start = done["next"] + F.length(f["gap"])
-        return F.struct((start + F.length(f["value"])).alias("next"), F.concat(done["placed"], F.array(F.struct(start.cast("long").alias("position"), f["value"].alias("value")))).alias("placed"))
+        return F.struct((start + F.length(f["value"])).alias("next"), F.concat(done["places"], F.array(start.cast("long"))).alias("places"))
 
-    pairs = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
-    none = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<position:bigint,value:string>>").alias("placed"))
-    placed = F.aggregate(pairs, none, place, lambda done: done["placed"])
+    def located(found: Column) -> Column:
+        """Candidates with their places and neighbourhoods, put together from what stands between the candidates."""
+        v, g = found["values"], found["gaps"]
+        pairs = F.zip_with(v, F.slice(g, F.lit(1), F.size(v)), lambda value, gap: F.struct(value.alias("value"), gap.alias("gap")))
+        none = F.struct(F.lit(1).alias("next"), F.array().cast("array<bigint>").alias("places"))
+        places = F.aggregate(pairs, none, place, lambda done: done["places"])
 
-    def around(f: Column) -> Column:
-        start, n = f["position"].cast("int"), F.length(f["value"])
-        before = F.greatest(start - CONTEXT, F.lit(1))
-        left = F.substring(text, before, start - before)
-        right = F.substring(text, start + n, F.lit(CONTEXT))
-        numbers = F.array(*features(f["value"], left, right))
-        return F.struct(f["value"].alias("value"), f["position"].alias("position"), numbers.alias("x"))
+        def around(value: Column, k: Column) -> Column:
+            # a candidate has 16 characters at least, so that two of them and the gaps reach CONTEXT characters
+            at = lambda a, j: F.coalesce(F.get(a, k + j), F.lit(""))
+            before = F.concat(F.right(at(g, -2), F.lit(CONTEXT)), at(v, -2), F.right(at(g, -1), F.lit(CONTEXT)), at(v, -1), F.right(at(g, 0), F.lit(CONTEXT)))
+            after = F.concat(F.left(at(g, 1), F.lit(CONTEXT)), at(v, 1), F.left(at(g, 2), F.lit(CONTEXT)), at(v, 2), F.left(at(g, 3), F.lit(CONTEXT)))
+            numbers = F.array(*features(value, F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT))))
+            return F.struct(value.alias("value"), F.lit(0).cast("long").alias("position"), numbers.alias("x"))
+
+        return F.zip_with(F.transform(v, around), places, lambda f, p: F.struct(f["value"].alias("value"), p.alias("position"), f["x"].alias("x")))
+
+    # an array of one binds what has been found, so that the text is searched once only, and only if it holds a candidate
+    bound = F.transform(F.array(F.struct(values.alias("values"), gaps.alias("gaps"))), located)[0]
+    around = F.when(F.rlike(text, F.lit(CANDIDATE)), bound).otherwise(F.array())
 
     def judge(f: Column) -> Column:
         score = share([f["x"][k] for k in range(len(NAMES))])
@@ -159,9 +168,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 
         return F.transform(F.array_distinct(F.transform(judged, lambda f: f["value"])), one)
 
-    # an array of one binds what has been judged, so that it is not worked out again for each value
     findings = F.transform(F.array(F.transform("_around", judge)), merge)[0]
-    return docs.drop("findings").withColumn("_around", F.transform(placed, around)).withColumn("findings", findings).drop("_around")
+    return docs.drop("findings").withColumn("_around", around).withColumn("findings", findings).drop("_around")
 
 
 def redact(scanned: DataFrame) -> DataFrame:
