@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .coords import interval_join
 from .pileup import small
 
 SAMPLES = {"smart": None, "upper": 2, "quartile": 4, "decile": 10, "vigintile": 20}
@@ -114,11 +115,8 @@ def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "compl
     Contigs under 50 bases are left out. The dense axis is the sequence of a contig's places, joined with the counts.
     """
     key = ["contig", "strand"]
-    axis = sizes.where(F.col("length") >= min_size).select("contig", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"), F.col("length").cast("long").alias("length"))
-    axis = axis.join(small(counts.select(*key).distinct()), key, "left_semi")
-    places = axis.select(*key, "length", F.explode(F.expr("sequence(0L, length - 1)")).alias("pos"))
     names = ["n_rt", "n_bd", "d_rt", "d_bd"]
-    full = places.join(counts.select(*key, "pos", *names), [*key, "pos"], "left").fillna(0, names).persist()  # read seven times
+    full = _dense(counts, sizes, names, min_size).persist()  # read seven times
     window = full.where(F.col("pos") <= F.col("length") - tail - 1)
     valid = valid_cov(window, key, "d_bd", "n_rt")
     scaled = window.join(small(valid.where("valid").drop("valid")), key, "left_semi")
@@ -131,6 +129,30 @@ def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "compl
     return full.where("pos >= 1").join(kept, [*key, "pos"], "left").select(*key, "pos", *names, "score")
 
 
+def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt", sink: float = 0.0, winsor: float = 0.05, min_cov: float = 100, head: int = 5, tail: int = 30, min_size: int = 50) -> DataFrame:
+    """``whole_contig_score`` of one sample (rt, bd) without control: enrichment, sink and winsorisation, no scaling.
+
+    A score needs a coverage of ``min_cov``. Contigs under 50 bases are left out.
+    """
+    key = ["contig", "strand"]
+    full = _dense(counts, sizes, ["rt", "bd"], min_size)
+    window = full.where(F.col("pos") <= F.col("length") - tail - 1)
+    valid = valid_cov(window, key, "bd", "rt").where("valid").drop("valid")
+    scaled = window.join(small(valid), key, "left_semi")
+    scored = winsorize(sink_score(enrich_noctrl(scaled, enrich), "score", key, sink), "score", key, winsor)
+    kept = scored.where((F.col("pos") > head) & (F.col("bd") >= min_cov)).select(*key, "pos", "score")
+    return full.where("pos >= 1").join(kept, [*key, "pos"], "left").select(*key, "pos", "rt", "bd", "score")
+
+
+def _dense(counts: DataFrame, sizes: DataFrame, names: list[str], min_size: int) -> DataFrame:
+    """A row for each place 0..length-1 of a contig and strand with counts; 0 where there is none."""
+    key = ["contig", "strand"]
+    axis = sizes.where(F.col("length") >= min_size).select("contig", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"), F.col("length").cast("long").alias("length"))
+    axis = axis.join(small(counts.select(*key).distinct()), key, "left_semi")
+    places = axis.select(*key, "length", F.explode(F.expr("sequence(0L, length - 1)")).alias("pos"))
+    return places.join(counts.select(*key, "pos", *names), [*key, "pos"], "left").fillna(0, names)
+
+
 # ---- sliding windows -------------------------------------------------------------------------------------------------
 
 
@@ -166,8 +188,11 @@ def _winsor(x: np.ndarray, factor: float, min_n: int = 20) -> np.ndarray:
     return np.where(ok[:, None], out, np.nan)
 
 
-def score_windows(n_rt, n_bd, d_rt, d_bd, mask=None, enrich="complex", sub=0.25, div=10.0, add=1.0, sample="decile", index=2, calc="median", winsor=0.05, min_bd=50, min_rt=1.0, low_bd=10) -> np.ndarray:
-    """Scores of windows, one a row; nan where there is none. With a mask, windows are scored one by one on what it lets in."""
+def score_windows(n_rt, n_bd, d_rt, d_bd, mask=None, enrich="complex", sub=0.25, div=10.0, add=1.0, sample="decile", index=2, calc="median", winsor=0.05, min_bd=50, min_rt=1.0, low_bd=10, mask_bd=100) -> np.ndarray:
+    """Scores of windows, one a row; nan where there is none.
+
+    With a mask, windows are scored one by one on what it lets in; half of that must have the coverage ``mask_bd``.
+    """
     n, w = n_rt.shape
     out = np.full((n, w), np.nan)
     low = (d_bd >= low_bd).sum(axis=1) < w // 5
@@ -175,7 +200,7 @@ def score_windows(n_rt, n_bd, d_rt, d_bd, mask=None, enrich="complex", sub=0.25,
         for i in np.flatnonzero(~low):
             m = mask[i]
             if m.sum():
-                out[i, m] = score_windows(n_rt[i : i + 1, m], n_bd[i : i + 1, m], d_rt[i : i + 1, m], d_bd[i : i + 1, m], None, enrich, sub, div, add, sample, index, calc, winsor, min_bd, 0.0, -1)[0]
+                out[i, m] = score_windows(n_rt[i : i + 1, m], n_bd[i : i + 1, m], d_rt[i : i + 1, m], d_bd[i : i + 1, m], None, enrich, sub, div, add, sample, index, calc, winsor, mask_bd, 0.0, -1)[0]
         return out
     go = ~low & ((d_bd >= min_bd).sum(axis=1) > w // 2) & (n_rt.mean(axis=1) >= min_rt)
     if not go.any():
@@ -193,6 +218,30 @@ def score_windows(n_rt, n_bd, d_rt, d_bd, mask=None, enrich="complex", sub=0.25,
     return out
 
 
+def score_windows_noctrl(rt, bd, mask=None, enrich="rt", add=1.0, sink=0.0, winsor=0.05, min_bd=50, min_rt=1.0, low_bd=10, mask_bd=100) -> np.ndarray:
+    """Scores of windows of one sample, one a row: enrichment, sink (the value at rank floor(sink * n), missing ones lowest), winsorisation."""
+    n, w = rt.shape
+    out = np.full((n, w), np.nan)
+    low = (bd >= low_bd).sum(axis=1) < w // 5
+    if mask is not None:
+        for i in np.flatnonzero(~low):
+            m = mask[i]
+            if m.sum():
+                out[i, m] = score_windows_noctrl(rt[i : i + 1, m], bd[i : i + 1, m], None, enrich, add, sink, winsor, mask_bd, 0.0, -1)[0]
+        return out
+    go = ~low & ((bd >= min_bd).sum(axis=1) > w // 2) & (rt.mean(axis=1) >= min_rt)
+    if not go.any():
+        return out
+    a, b = rt[go].astype(float), bd[go].astype(float)
+    with np.errstate(all="ignore"):
+        s = np.where(b > 0, {"rt": lambda: a, "div": lambda: a / b, "log": lambda: np.log2(a + add)}[enrich](), np.nan)
+    if sink:
+        base = np.sort(np.where(np.isnan(s), -np.inf, s), axis=1)[:, min(int(sink * w), w - 1)]
+        s = s - np.where(np.isinf(base), 0.0, base)[:, None]
+    out[go] = _winsor(s, winsor)
+    return out
+
+
 def window_starts(low: np.ndarray, first: int, size: int, wsize: int, wstep: int, jump: int) -> np.ndarray:
     """Starts of the data-dependent grid on an axis of ``size`` places: after a low window the step is ``jump``.
 
@@ -210,7 +259,7 @@ def window_starts(low: np.ndarray, first: int, size: int, wsize: int, wstep: int
 
 def sliding_score(
     counts: DataFrame, sizes: DataFrame, junctions: DataFrame | None = None, wsize: int = 200, wstep: int = 5, grid: str = "exact", bases: str | None = None,
-    min_cov: int = 100, out_min_cov: int = 50, tile: int = 20_000, **scoring,
+    min_cov: int = 100, out_min_cov: int = 50, tile: int = 20_000, control: bool = True, **scoring,
 ) -> DataFrame:
     """Sliding-window scores: contig, strand, pos, n_rt, n_bd, d_rt, d_bd, score, n_windows, valid_count.
 
@@ -218,18 +267,15 @@ def sliding_score(
     sorted). ``grid='fixed'`` starts windows at all multiples of ``wstep`` from there, and once more at the end;
     ``'exact'`` follows the data-dependent step (wsize - 1 after a low-expression window). The axis is cut into tiles; each
     tile is scored alone with a halo of ``wsize`` places on both sides, so no contig is held in one task but
-    for the walk of the exact grid, which sees one flag for each place. With ``bases`` (and a column base in counts) only
+    for the walk of the exact grid, which sees one bit for each place. With ``bases`` (and a column base in counts) only
     these bases are ranked against each other. Contigs under 2 * wsize bases are skipped. Rows need a stop or out_min_cov.
+    Without ``control`` the counts are rt and bd of one sample, and so are the columns of the result.
     """
-    if grid not in ("exact", "fixed"):
-        raise ValueError("grid must be exact or fixed")
-    key = ["contig", "strand"]
-    names = ["n_rt", "n_bd", "d_rt", "d_bd"]
+    key, names, extra = _columns(grid, bases, control)
     big = sizes.where(F.col("length") >= 2 * wsize).select("contig", F.col("length").cast("long").alias("length"))
-    extra = ["base"] if bases else []
     counts = counts.select(*key, "pos", *names, *extra).persist()  # read for the origins, the grid and the tiles
     rows = counts.join(small(big), "contig").where("pos between 1 and length")
-    origin = rows.groupBy(*key, "length").agg(F.min(F.when(F.col("n_rt") > 0, F.col("pos"))).alias("origin")).where("origin is not null").persist()
+    origin = rows.groupBy(*key, "length").agg(F.min(F.when(F.col(names[0]) > 0, F.col("pos"))).alias("origin")).where("origin is not null").persist()
     rows = rows.drop("length").join(small(origin), key).where("pos >= origin")
     shift, cut = F.lit(0).cast("long"), None
     if junctions is not None:
@@ -243,44 +289,97 @@ def sliding_score(
     if cut is not None:
         ends = ends.join(cut, key, "left").withColumn("size", total - F.expr("coalesce(aggregate(js, 0L, (s, j) -> s + j.second - j.first + 1), 0L)")).drop("js")
     ends = ends.where(F.col("size") >= wsize).select(*key, "size")
-    rows = rows.join(small(ends), key)
+    return _score_axes(rows.join(small(ends), key), names, wsize, wstep, wsize - 1, grid, bases, min_cov, out_min_cov, tile, scoring)
+
+
+def sliding_junction(
+    counts: DataFrame, junctions: DataFrame, wsize: int = 200, wstep: int = 5, grid: str = "exact", bases: str | None = None,
+    min_cov: int = 100, out_min_cov: int = 50, tile: int = 20_000, control: bool = True, **scoring,
+) -> DataFrame:
+    """The scores of the places inside each junction of at least ``wsize`` bases; the columns are those of ``sliding_score``.
+
+    The axis of a junction is the genome from wsize - 1 bases before its first one to its last one, whatever stops it holds.
+    After a low-expression window the exact grid steps wsize / 2. A place in several junctions has a row for each of them.
+    """
+    key, names, extra = _columns(grid, bases, control)
+    long = junctions.where(F.col("second") - F.col("first") + 1 >= wsize)
+    axis = F.when(F.col("first") > wsize, F.col("first") - wsize + 1).otherwise(F.lit(1).cast("long"))
+    spans = long.select("contig", "strand", axis.alias("first"), "second", F.col("first").alias("start"))
+    points = counts.select(*key, F.col("pos").alias("first"), F.col("pos").alias("second"), *names, *extra)
+    inside = interval_join(points, spans)
+    name = F.concat_ws(":", "contig", "strand", "start", "r_second")
+    rows = inside.select(name.alias("contig"), "strand", F.col("first").alias("pos"), (F.col("first") - F.col("r_first")).alias("at"), (F.col("r_second") - F.col("r_first") + 1).alias("size"), *names, *extra)
+    scored = _score_axes(rows, names, wsize, wstep, wsize // 2, grid, bases, min_cov, out_min_cov, tile, scoring)
+    parts = F.split("contig", ":")
+    at = lambda k: F.element_at(parts, k).cast("long")
+    named = F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 3), ":")
+    return scored.where(F.col("pos") >= at(-2)).withColumn("contig", named)
+
+
+def _columns(grid: str, bases: str | None, control: bool) -> tuple[list[str], list[str], list[str]]:
+    if grid not in ("exact", "fixed"):
+        raise ValueError("grid must be exact or fixed")
+    return ["contig", "strand"], ["n_rt", "n_bd", "d_rt", "d_bd"] if control else ["rt", "bd"], ["base"] if bases else []
+
+
+def separate_bases(score_of, bases: str) -> DataFrame:
+    """``score_of(base)`` for each letter of ``bases`` (T and U are one), so that a base is ranked against its own kind only; rows of all."""
+    letters = list(dict.fromkeys(bases.replace("U", "T")))
+    parts = [score_of(b) for b in letters]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump: int, grid: str, bases: str | None, min_cov: int, out_min_cov: int, tile: int, scoring: dict) -> DataFrame:
+    """Rows (contig, strand, pos, at, size, counts) on axes of ``size`` places → scores, tile by tile."""
+    tile = max(tile, wsize)  # a window lies in two tiles at most
+    key, cover, window = ["contig", "strand"], names[-1], score_windows if len(names) == 4 else score_windows_noctrl
     last = F.floor((F.col("size") - 1) / tile)
     # a tile also sees the halo: places up to wsize before its first and after its last
-    own = F.floor(F.col("at") / tile)
-    spread = rows.withColumn("tile", F.explode(F.sequence(F.greatest(F.floor((F.col("at") - 2 * wsize) / tile), F.lit(0)), F.least(F.floor((F.col("at") + 2 * wsize) / tile), last))))
+    tiles = F.sequence(F.greatest(F.floor((F.col("at") - 2 * wsize) / tile), F.lit(0)), F.least(F.floor((F.col("at") + 2 * wsize) / tile), last))
+    extra = ["base"] if bases else []
     keep = ["pos", "at", "size", *names, *extra]
+    spread = rows.select(*key, *keep, F.explode(tiles).alias("tile"))
+    grouped = spread.groupBy(*key, "tile")
+    low_bd = scoring.get("low_bd", 10)
+    letters = set(bases.replace("U", "T")) if bases else set()
 
-    starts = None
-    if grid == "exact":
-        lows = rows.where("d_bd >= 10").groupBy(*key).agg(F.max("size").alias("size"), F.array_sort(F.collect_list("at")).alias("covered"))
-        lows = ends.join(lows.drop("size"), key, "left")
-
-        def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for r in pdf.itertuples(index=False):
-                    flag = np.zeros(r.size + 1, dtype=np.int64)
-                    if r.covered is not None:
-                        flag[np.asarray(r.covered, dtype=np.int64) + 1] = 1
-                    seen = np.cumsum(flag)
-                    low = (seen[wsize:] - seen[:-wsize]) < wsize // 5
-                    s = window_starts(low, 0, r.size, wsize, wstep, wsize - 1)
-                    t0, t1 = s // tile, (s + wsize - 1) // tile
-                    pairs = np.concatenate([np.column_stack([t0, s]), np.column_stack([t1, s])[t1 != t0]])
-                    yield pd.DataFrame({"contig": r.contig, "strand": r.strand, "tile": pairs[:, 0], "start": pairs[:, 1]})
-
-        grid_rows = lows.select(*key, "size", "covered").mapInPandas(walk, "contig string, strand string, tile long, start long")
-        starts = grid_rows.groupBy(*key, "tile").agg(F.collect_list("start").alias("starts"))
+    def tested(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        """One bit for each window start of a tile: whether it is of enough expression."""
+        t, size = int(name[2]), int(pdf["size"].iloc[0])
+        at = pdf["at"].to_numpy() - t * tile
+        flag = np.zeros(tile + wsize, dtype=np.int64)
+        held = at[(pdf[cover].to_numpy() >= low_bd) & (at >= 0) & (at < tile + wsize - 1)]
+        flag[held + 1] = 1
+        seen = np.cumsum(flag)
+        enough = (seen[wsize:] - seen[:-wsize]) >= wsize // 5
+        return pd.DataFrame({"contig": [name[0]], "strand": [name[1]], "tile": [t], "size": [size], "bits": [np.packbits(enough).tobytes()]})
+
+    def walk(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        """The starts of one axis, by the tiles that they reach."""
+        size = int(pdf["size"].iloc[0])
+        low = np.ones((size // tile + 1) * tile, dtype=bool)
+        for t, bits in zip(pdf["tile"], pdf["bits"], strict=True):
+            low[t * tile : (t + 1) * tile] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=tile) == 0
+        s = window_starts(low, 0, size, wsize, wstep, jump)
+        t0, t1 = s // tile, (s + wsize - 1) // tile
+        pairs = np.concatenate([np.column_stack([t0, s]), np.column_stack([t1, s])[t1 != t0]])
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        which, at = np.unique(pairs[:, 0], return_index=True)
+        return pd.DataFrame({"contig": name[0], "strand": name[1], "tile": which, "starts": [x.tolist() for x in np.split(pairs[:, 1], at[1:])]})
 
     def score_tile(name: tuple, pdf: pd.DataFrame, given) -> pd.DataFrame:
         t, size = int(name[2]), int(pdf["size"].iloc[0])
         lo, hi = max(t * tile - 2 * wsize, 0), min((t + 1) * tile + 2 * wsize, size)
-        dense = np.zeros((4, hi - lo))
+        dense = np.zeros((len(names), hi - lo))
         place = pdf["at"].to_numpy() - lo
         dense[:, place] = pdf[names].to_numpy().T
         mask = None
         if bases:
             mask = np.zeros(hi - lo, dtype=bool)
-            mask[place] = pdf["base"].isin(list(bases)).to_numpy()
+            mask[place] = pdf["base"].str.replace("U", "T").isin(letters).to_numpy()
         end = min((t + 1) * tile, size)
         if given is None:
             first = max(-(-(t * tile - wsize + 1) // wstep) * wstep, 0)
@@ -294,26 +393,28 @@ def sliding_score(
             if not len(part):
                 continue
             index = (part - lo)[:, None] + np.arange(wsize)
-            got = score_windows(*(dense[k][index] for k in range(4)), mask=None if mask is None else mask[index], **scoring)
+            got = window(*(x[index] for x in dense), mask=None if mask is None else mask[index], **{"mask_bd": min_cov, **scoring})
             ok = ~np.isnan(got)
             np.add.at(total_sum, index, np.where(ok, got, 0.0))
             np.add.at(good, index, ok)
             np.add.at(n, index, 1)
         mine = (pdf["at"] // tile == t).to_numpy()
         at = place[mine]
-        enough = (n[at] >= 2) & (good[at] > n[at] // 2) & (dense[3][at] >= min_cov)
+        enough = (n[at] >= 2) & (good[at] > n[at] // 2) & (dense[-1][at] >= min_cov)
         with np.errstate(all="ignore"):
             score = np.where(enough, total_sum[at] / good[at], np.nan)
         out = pdf.loc[mine, ["contig", "strand", "pos", *names]].copy()
         out["score"] = pd.array(score, dtype="Float64")
         out.loc[np.isnan(score), "score"] = None
         out["n_windows"], out["valid_count"] = n[at].astype(np.int64), np.where(n[at] < 2, 0, good[at]).astype(np.int64)
-        return out[(out["n_rt"] >= 1) | (out["d_rt"] >= 1) | (out["d_bd"] >= out_min_cov)]
+        shown = (out[names[::2]] >= 1).any(axis=1) | (out[cover] >= out_min_cov)
+        return out[shown & mask[at]] if mask is not None else out[shown]
 
-    schema = "contig string, strand string, pos long, n_rt long, n_bd long, d_rt long, d_bd long, score double, n_windows long, valid_count long"
-    grouped = spread.select(*key, "tile", *keep).groupBy(*key, "tile")
-    if starts is None:
+    schema = "contig string, strand string, pos long, " + ", ".join(f"{c} long" for c in names) + ", score double, n_windows long, valid_count long"
+    if grid == "fixed":
         return grouped.applyInPandas(lambda name, pdf: score_tile(name, pdf, None), schema)
+    bits = grouped.applyInPandas(tested, "contig string, strand string, tile long, size long, bits binary")
+    starts = bits.groupBy(*key).applyInPandas(walk, "contig string, strand string, tile long, starts array<long>")
 
     def both(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
@@ -323,18 +424,6 @@ def sliding_score(
     return grouped.cogroup(starts.groupBy(*key, "tile")).applyInPandas(both, schema)
 
 
-def sliding_junction(counts: DataFrame, junctions: DataFrame, wsize: int = 200, **same) -> DataFrame:
-    """The same inside each junction of at least ``wsize`` bases; each junction is a short axis of its own."""
-    long = junctions.where(F.col("second") - F.col("first") + 1 >= wsize).select("contig", "strand", "first", "second")
-    name = F.concat_ws(":", "contig", "strand", "first")
-    inside = counts.join(small(long), ["contig", "strand"]).where("pos between first and second")
-    local = inside.withColumn("contig", name).withColumn("pos", F.col("pos") - F.col("first") + 1)
-    sizes = long.select(name.alias("contig"), (F.col("second") - F.col("first") + 1).alias("length")).where(F.col("length") >= 2 * wsize)
-    scored = sliding_score(local, sizes, None, wsize, **same)
-    parts = F.split("contig", ":")
-    return scored.withColumn("pos", F.col("pos") + parts[2].cast("long") - 1).withColumn("contig", parts[0])
-
-
 def output_filter_gtab(scored: DataFrame, out_min_cov: int = 50) -> DataFrame:
     """Rows with a stop in either condition or enough control coverage."""
     return scored.where(f"n_rt >= 1 or d_rt >= 1 or d_bd >= {int(out_min_cov)}")

@@ -146,6 +146,54 @@ def model_sliding(counts, size, wsize, wstep, min_cov, exact):
     return out
 
 
+def model_junction(counts, first, second, wsize, wstep, min_cov, cover, window):
+    """The exact grid inside one junction, place by place; ``cover`` is the column of the coverage that counts."""
+    width = len(next(iter(counts.values())))
+    at = lambda p: counts.get(p, (0,) * width)
+    s = lo = max(first - wsize + 1, 1) if first > wsize else 1
+    values, step = {}, wstep
+    while True:
+        rows = np.array([[at(p) for p in range(s, s + wsize)]]).transpose(2, 0, 1)
+        for p, x in zip(range(s, s + wsize), window(*rows)[0], strict=True):
+            values.setdefault(p, []).append(x)
+        if s + wsize - 1 >= second:
+            break
+        if s > lo:
+            step = wsize // 2 if sum(at(p)[cover] >= 10 for p in range(s, s + wsize)) < wsize // 5 else wstep
+        s = min(s + step, second - wsize + 1)
+    out = {}
+    for p in range(first, second + 1):
+        good = [x for x in values[p] if not math.isnan(x)]
+        out[p] = sum(good) / len(good) if len(values[p]) >= 2 and len(good) > len(values[p]) // 2 and at(p)[cover] >= min_cov else None
+    return out
+
+
+@pytest.mark.parametrize(("first", "second", "control"), [(250, 399, True), (150, 700, True), (40, 800, False), (350, 449, False)])
+def test_junction_scores_match_a_literal_model(spark, first, second, control):
+    """Junctions of 1.5 and of 1 window length, and ones over the stretch of low expression."""
+    counts = random_counts(3) if control else {p: (c[0], c[3]) for p, c in random_counts(3).items()}
+    names = ("n_rt", "n_bd", "d_rt", "d_bd") if control else ("rt", "bd")
+    rows = spark.createDataFrame([("c:x", "+", p, *v) for p, v in counts.items()], "contig string, strand string, pos long, " + ", ".join(f"{c} long" for c in names))
+    spans = spark.createDataFrame([("c:x", "+", first, second), ("c:x", "+", 10, 60), ("c:x", "-", first, second)], "contig string, strand string, first long, second long")
+    options = {} if control else {"sink": 0.2}
+    got = {r.pos: r.score for r in score.sliding_junction(rows, spans, wsize=100, wstep=5, tile=70, out_min_cov=0, control=control, **options).collect() if r.contig == "c:x"}
+    window = score.score_windows if control else (lambda *x: score.score_windows_noctrl(*x, sink=0.2))
+    want = model_junction(counts, first, second, 100, 5, 100, len(names) - 1, window)
+    assert set(got) == set(want)
+    assert all((got[p] is None) == (want[p] is None) and (want[p] is None or abs(got[p] - want[p]) < 1e-9) for p in want)
+
+
+def test_bases_apart_are_ranked_apart(spark):
+    counts = random_counts(4)
+    rows = spark.createDataFrame([("c", "+", p, *v, "ACGU"[p % 4]) for p, v in counts.items()], "contig string, strand string, pos long, n_rt long, n_bd long, d_rt long, d_bd long, base string")
+    sizes = spark.createDataFrame([("c", 900)], "contig string, length long")
+    run = lambda b: score.sliding_score(rows, sizes, grid="fixed", wsize=200, wstep=20, out_min_cov=0, min_cov=60, bases=b)
+    apart = {r.pos: r.score for r in score.separate_bases(run, "AT").collect()}
+    assert set(apart) <= {p for p in counts if p % 4 in (0, 3)} and {p % 4 for p in apart} == {0, 3}
+    one = {r.pos: r.score for r in run("U").collect()}
+    assert {p: apart[p] for p in one} == one and any(x is not None for x in one.values())
+
+
 @pytest.mark.parametrize(("grid", "tile"), [("exact", 250), ("exact", 10_000), ("fixed", 97), ("fixed", 10_000)])
 def test_sliding_scores_match_a_literal_model(spark, grid, tile):
     counts = random_counts()
