@@ -77,13 +77,13 @@ def strip_version(name: Column | str) -> Column:
 
 
 def gene_type_class(raw: Column | str) -> Column:
-    """A raw biotype's class."""
+    """A raw biotype's class: mRNA, pseudogene, lncRNA, a small RNA's own name, or other (tRNA, ribozymes and the rest)."""
     r = _c(raw)
     return (
         F.when(r.isin("protein_coding", "mRNA"), "mRNA")
         .when(F.rlike(r, F.lit("pseudo")), "pseudogene")
-        .when(r.isin("lincRNA", "lncRNA", "lnc_RNA", "antisense", "sense_intronic", "sense_overlapping", "processed_transcript", "3prime_overlapping_ncRNA", "bidirectional_promoter_lncRNA", "macro_lncRNA", "non_coding"), "lncRNA")
-        .when(r.isin("miRNA", "misc_RNA", "rRNA", "snRNA", "snoRNA", "tRNA", "scaRNA", "ribozyme", "vaultRNA", "Y_RNA"), r)
+        .when(r.isin("lincRNA", "lncRNA", "lnc_RNA", "antisense", "sense_intronic", "sense_overlapping", "processed_transcript", "3prime_overlapping_ncRNA", "3prime_overlapping_ncrna", "bidirectional_promoter_lncRNA", "macro_lncRNA", "non_coding"), "lncRNA")
+        .when(r.isin("miRNA", "misc_RNA", "rRNA", "snRNA", "snoRNA"), r)
         .otherwise("other")
     )
 

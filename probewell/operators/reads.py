@@ -67,18 +67,27 @@ def quality_codes(qual: Column | str) -> Column:
 
 def quality_trim(fastq: DataFrame, leading: int = 13, trailing: int = 20, window: int = 4, window_q: int = 15, min_len: int = 25) -> DataFrame:
     """Cut ``leading`` letters, then bad letters at the end, then from the first window whose mean is too low; drop short reads."""
-    head = fastq.withColumn("seq", F.substring("seq", leading + 1, 1 << 30)).withColumn("qual", F.substring("qual", leading + 1, 1 << 30)).withColumn("_q", quality_codes("qual"))
-    good = F.filter(F.transform("_q", lambda q, i: F.when(q >= trailing, i + 1)), lambda x: x.isNotNull())
-    rows = head.withColumn("_n", F.coalesce(F.array_max(good), F.lit(0)))
-    rows = rows.withColumn("_q", F.slice("_q", F.lit(1), F.col("_n")))
-    starts = F.when(F.col("_n") >= window, F.sequence(F.lit(1), F.col("_n") - window + 1)).otherwise(F.array().cast("array<int>"))
-    bad = F.filter(starts, lambda i: F.aggregate(F.slice("_q", i, F.lit(window)), F.lit(0), lambda s, q: s + q) < window * window_q)
-    # the read ends before the first bad window; letters of it that are good themselves stay
-    first_bad = F.array_min(bad)
-    kept_in = F.aggregate(F.slice("_q", first_bad, F.lit(window)), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, q: F.when(s["go"] & (q >= window_q), F.struct((s["n"] + 1).alias("n"), F.lit(True).alias("go"))).otherwise(F.struct(s["n"].alias("n"), F.lit(False).alias("go"))), lambda s: s["n"])
-    rows = rows.withColumn("_n", F.when(first_bad.isNotNull(), first_bad - 1 + kept_in).otherwise(F.col("_n")))
-    cut = rows.withColumn("seq", F.substring("seq", F.lit(1), F.col("_n"))).withColumn("qual", F.substring("qual", F.lit(1), F.col("_n")))
-    return cut.where(F.length("seq") >= min_len).drop("_q", "_n")
+    zero = F.lit(0)
+
+    def end(q: Column) -> Column:
+        """Letters that stay of the codes after the head: those to the last good one, and of them those before the first bad window."""
+        n = F.coalesce(F.array_max(F.transform(q, lambda x, i: F.when(x >= trailing, i + 1))), zero)
+        starts = F.when(n >= window, F.sequence(F.lit(1), n - window + 1)).otherwise(F.array().cast("array<int>"))
+        sums = lambda i: sum((F.get(q, i - 1 + k) for k in range(1, window)), F.get(q, i - 1))
+        bad = F.array_min(F.filter(starts, lambda i: sums(i) < window * window_q))
+        good = lambda k: F.get(q, bad - 1 + k) >= window_q
+        # the read ends in the first bad window; letters at its start that are good themselves stay
+        more, run = zero, F.lit(True)
+        for k in range(window):
+            run = run & good(k)
+            more = more + F.when(run, 1).otherwise(0)
+        return F.when(bad.isNotNull(), bad - 1 + more).otherwise(n)
+
+    codes = quality_codes(F.substring("qual", leading + 1, 1 << 30))
+    # an array of one binds the codes, so that they are not worked out again for each window
+    rows = fastq.withColumn("_n", F.transform(F.array(codes), end)[0])
+    cut = rows.withColumn("seq", F.substring("seq", F.lit(leading + 1), F.col("_n"))).withColumn("qual", F.substring("qual", F.lit(leading + 1), F.col("_n")))
+    return cut.where(F.length("seq") >= min_len).drop("_n")
 
 
 def collapse_reads(fastq: DataFrame, simplify: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -32,16 +32,30 @@ def scaling_factor(df: DataFrame, value: str, by: list[str], sample: str = "deci
     """by + factor: median, mean or peak of a rank range of the values, sorted downwards; 1 where the range is empty."""
     if calc not in ("median", "mean", "peak"):
         raise ValueError("calc must be median, mean or peak")
-    down = Window.partitionBy(*by).orderBy(F.col(value).desc())
-    ranked = df.select(*by, F.col(value).cast("double").alias("v"), (F.row_number().over(down) - 1).alias("r"), F.count("*").over(Window.partitionBy(*by)).alias("n"))
+    rows = _ranks(df.select(*by, F.col(value).cast("double").alias("v")), by, F.col("v").desc_nulls_last())
     if sample == "smart":
-        taken = F.col("v") > 0
+        taken = F.when(F.col("v") > 0, F.col("c")).otherwise(0)
     else:
         lo, hi = _rank_range(sample, index, F.col("n"))
-        taken = (F.col("r") >= lo) & (F.col("r") < hi)
-    x = F.when(taken, F.col("v"))
-    found = {"median": F.median(x), "mean": F.avg(x), "peak": F.max(x)}[calc]
-    return ranked.groupBy(*by).agg(F.coalesce(found, F.lit(1.0)).alias("factor"))
+        taken = F.greatest(F.least(F.col("r") + F.col("c"), hi) - F.greatest("r", lo), F.lit(0))
+    rows = rows.withColumn("t", F.when(F.col("v").isNull(), 0).otherwise(taken).cast("long"))
+    upto = F.sum("t").over(Window.partitionBy(*by).orderBy(F.col("v").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("b", upto - F.col("t")).withColumn("m", F.sum("t").over(Window.partitionBy(*by)))
+    at = lambda k: F.max(F.when((F.col("b") <= k) & (k < F.col("b") + F.col("t")), F.col("v")))
+    half = F.floor(F.col("m") / 2)
+    found = {"median": (at(half) + at(F.floor((F.col("m") - 1) / 2))) / 2, "mean": F.sum(F.col("v") * F.col("t")) / F.nullif(F.sum("t"), F.lit(0)), "peak": F.max(F.when(F.col("t") > 0, F.col("v")))}[calc]
+    return rows.groupBy(*by).agg(F.coalesce(found, F.lit(1.0)).alias("factor"))
+
+
+def _ranks(values: DataFrame, by: list[str], order: Column) -> DataFrame:
+    """by, v, c (rows of that value), r (rows before them in ``order``), n (rows of the group).
+
+    Equal values are counted before the shuffle, so a window holds a group's distinct values, not its rows.
+    """
+    w = Window.partitionBy(*by)
+    counted = values.groupBy(*by, "v").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return counted.withColumn("r", upto - F.col("c")).withColumn("n", F.sum("c").over(w))
 
 
 def enrich_ctrl(df: DataFrame, method: str = "complex", sub: float = 0.25, div: float = 10.0, add: float = 1.0, factors: tuple = ("n_rt_f", "n_bd_f", "d_rt_f", "d_bd_f")) -> DataFrame:
@@ -72,20 +86,18 @@ def sink_score(df: DataFrame, value: str, by: list[str], index: float = 0.0) ->
     """Subtract the value at ascending rank floor(index * n); nulls count as the lowest values and stay null."""
     if index == 0:
         return df
-    up = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_first())
-    n = F.count("*").over(Window.partitionBy(*by))
-    ranked = df.withColumn("_r", F.row_number().over(up) - 1).withColumn("_at", F.least(F.floor(n * index), n - 1))
-    base = F.max(F.when(F.col("_r") == F.col("_at"), F.col(value))).over(Window.partitionBy(*by))
-    return ranked.withColumn(value, F.col(value) - F.coalesce(base, F.lit(0.0))).drop("_r", "_at")
+    ranks = _ranks(df.select(*by, F.col(value).alias("v")), by, F.col("v").asc_nulls_first())
+    at = F.least(F.floor(F.col("n") * index), F.col("n") - 1)
+    base = ranks.groupBy(*by).agg(F.max(F.when((F.col("r") <= at) & (at < F.col("r") + F.col("c")), F.col("v"))).alias("_base"))
+    return df.join(small(base), by).withColumn(value, F.col(value) - F.coalesce("_base", F.lit(0.0))).drop("_base")
 
 
 def winsorize(df: DataFrame, value: str, by: list[str], factor: float = 0.05, min_n: int = 20) -> DataFrame:
     """``value`` scaled to 0..1 between its ranks floor(f*n) and n-1-floor(f*n); null in groups of under ``min_n`` values."""
-    up = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_last())
-    valid = df.where(F.col(value).isNotNull())
-    ranked = valid.select(*by, F.col(value).alias("v"), (F.row_number().over(up) - 1).alias("r"), F.count(value).over(Window.partitionBy(*by)).alias("n"))
+    ranked = _ranks(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v")), by, F.col("v").asc())
     cut = F.floor(F.lit(factor) * F.col("n"))
-    bounds = ranked.groupBy(*by).agg(F.max(F.when(F.col("r") == cut, F.col("v"))).alias("_lo"), F.max(F.when(F.col("r") == F.col("n") - 1 - cut, F.col("v"))).alias("_hi"), F.max("n").alias("_n"))
+    at = lambda k: F.max(F.when((F.col("r") <= k) & (k < F.col("r") + F.col("c")), F.col("v")))
+    bounds = ranked.groupBy(*by).agg(at(cut).alias("_lo"), at(F.col("n") - 1 - cut).alias("_hi"), F.max("n").alias("_n"))
     joined = df.join(bounds, by, "left").withColumn("_lo", F.greatest("_lo", F.lit(0.0)))
     x = (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     scaled = F.when(F.col(value).isNotNull() & (F.col("_n") >= min_n) & (F.col("_lo") < F.col("_hi")), F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
@@ -109,7 +121,7 @@ def mean_score(values: DataFrame, by: list[str], value: str = "score") -> DataFr
     return values.groupBy(*by).agg(F.when((n >= 2) & (good > F.floor(n / 2)), F.avg(value)).alias("score"), F.when(n >= 2, good).otherwise(0).cast("long").alias("valid_count"))
 
 
-def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "complex", sample: str = "decile", index: int = 2, calc: str = "median", winsor: float = 0.05, head: int = 5, tail: int = 30, min_size: int = 50) -> DataFrame:
+def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "complex", sample: str = "decile", index: int = 2, calc: str = "median", winsor: float = 0.05, head: int = 5, tail: int = 30, min_size: int = 50, min_bd: float = 50, min_rt: float = 1.0) -> DataFrame:
     """One window for each contig and strand: array places 0..size-31. Scores stand at 6..size-31, rows at 1..size-1.
 
     Contigs under 50 bases are left out. The dense axis is the sequence of a contig's places, joined with the counts.
@@ -118,7 +130,7 @@ def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "compl
     names = ["n_rt", "n_bd", "d_rt", "d_bd"]
     full = _dense(counts, sizes, names, min_size).persist()  # read seven times
     window = full.where(F.col("pos") <= F.col("length") - tail - 1)
-    valid = valid_cov(window, key, "d_bd", "n_rt")
+    valid = valid_cov(window, key, "d_bd", "n_rt", min_bd, min_rt)
     scaled = window.join(small(valid.where("valid").drop("valid")), key, "left_semi")
     factors = None
     for c in names:
@@ -129,7 +141,7 @@ def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "compl
     return full.where("pos >= 1").join(kept, [*key, "pos"], "left").select(*key, "pos", *names, "score")
 
 
-def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt", sink: float = 0.0, winsor: float = 0.05, min_cov: float = 100, head: int = 5, tail: int = 30, min_size: int = 50) -> DataFrame:
+def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt", sink: float = 0.0, winsor: float = 0.05, min_cov: float = 100, head: int = 5, tail: int = 30, min_size: int = 50, min_bd: float = 50, min_rt: float = 1.0) -> DataFrame:
     """``whole_contig_score`` of one sample (rt, bd) without control: enrichment, sink and winsorisation, no scaling.
 
     A score needs a coverage of ``min_cov``. Contigs under 50 bases are left out.
@@ -137,7 +149,7 @@ def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt",
     key = ["contig", "strand"]
     full = _dense(counts, sizes, ["rt", "bd"], min_size)
     window = full.where(F.col("pos") <= F.col("length") - tail - 1)
-    valid = valid_cov(window, key, "bd", "rt").where("valid").drop("valid")
+    valid = valid_cov(window, key, "bd", "rt", min_bd, min_rt).where("valid").drop("valid")
     scaled = window.join(small(valid), key, "left_semi")
     scored = winsorize(sink_score(enrich_noctrl(scaled, enrich), "score", key, sink), "score", key, winsor)
     kept = scored.where((F.col("pos") > head) & (F.col("bd") >= min_cov)).select(*key, "pos", "score")

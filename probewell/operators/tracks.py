@@ -78,13 +78,15 @@ def transcript_rt(sam: DataFrame, rpkm: DataFrame, cutoff: float = 5.0, legacy_m
     stops = placed.groupBy("transcript_id", (F.col("first") - 1).alias("pos")).agg(F.sum("w").alias("rt"))
     edges = placed.select("transcript_id", F.inline(F.array(F.struct(F.col("first").alias("pos"), F.col("w").alias("d")), F.struct((F.col("second") + 1).alias("pos"), (-F.col("w")).alias("d")))))
     summed = edges.groupBy("transcript_id", "pos").agg(F.sum("d").alias("d"))
-    both = summed.select("transcript_id", "pos", F.struct("d", F.lit(0.0).alias("rt")).alias("x")).unionByName(stops.select("transcript_id", "pos", F.struct(F.lit(0.0).alias("d"), "rt").alias("x")))
-    grouped = both.groupBy("transcript_id", "pos").agg(F.sum("x.d").alias("d"), F.sum("x.rt").alias("rt")).groupBy("transcript_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.struct("d", "rt")))).alias("m"))
-    rows = grouped.join(keep, "transcript_id")
-    place = F.sequence(F.lit(0).cast("long"), F.col("length"))
-    change = F.transform(place, lambda i: F.coalesce(F.try_element_at("m", i)["d"], F.lit(0.0)))
-    running = F.aggregate(change, F.array().cast("array<double>"), lambda s, x: F.concat(s, F.array(F.coalesce(F.try_element_at(s, F.lit(-1)), F.lit(0.0)) + x)))
-    return rows.select("transcript_id", "length", "rpkm", F.transform(running, lambda x: F.round(x, 9)).alias("bd"), F.transform(place, lambda i: F.coalesce(F.try_element_at("m", i)["rt"], F.lit(0.0))).alias("rt"))
+    zero = F.lit(0.0)
+    both = summed.select("transcript_id", "pos", "d", zero.alias("rt")).unionByName(stops.select("transcript_id", "pos", zero.alias("d"), "rt"))
+    # every place of a transcript that has a read, so that a window over the place gives the running sum
+    seen = both.select("transcript_id").distinct().join(small(keep), "transcript_id").select("transcript_id", F.explode(F.expr("sequence(0L, length)")).alias("pos"), zero.alias("d"), zero.alias("rt"))
+    dense = both.unionByName(seen).groupBy("transcript_id", "pos").agg(F.sum("d").alias("d"), F.sum("rt").alias("rt"))
+    upto = Window.partitionBy("transcript_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = dense.select("transcript_id", "pos", F.round(F.sum("d").over(upto), 9).alias("bd"), "rt").join(small(keep), "transcript_id").where(F.col("pos") <= F.col("length"))
+    lists = rows.groupBy("transcript_id", "length", "rpkm").agg(F.array_sort(F.collect_list(F.struct("pos", "bd", "rt"))).alias("a"))
+    return lists.select("transcript_id", "length", "rpkm", F.transform("a", lambda x: x["bd"]).alias("bd"), F.transform("a", lambda x: x["rt"]).alias("rt"))
 
 
 def combine_replicates(rt_files: DataFrame) -> DataFrame:

@@ -51,14 +51,14 @@ def sizes(read_rows: DataFrame) -> DataFrame:
 
 
 def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct gaps of every read of a tenth of the parts, and decoys shifted by one."""
+    """The distinct gaps of all reads, and decoys shifted by one."""
     rows = reads(spark, sf_dir).where(F.size("regions") > 1)
-    gap = rows.select("contig", "strand", (F.element_at("regions", 1)["second"] + 1).alias("first"), (F.element_at("regions", 2)["first"] - 1).alias("second")).where("first % 10 = 0").distinct()
+    gap = rows.select("contig", "strand", (F.element_at("regions", 1)["second"] + 1).alias("first"), (F.element_at("regions", 2)["first"] - 1).alias("second")).distinct()
     return gap.unionByName(gap.select("contig", "strand", F.col("first") + 1, F.col("second") + 1).toDF("contig", "strand", "first", "second")).distinct()
 
 
 JUNCTIONS = READS + """,
-gap AS (SELECT DISTINCT contig, strand, e1 + 1 AS first, s1 + 199 AS second FROM reads WHERE split AND (e1 + 1) % 10 = 0),
+gap AS (SELECT DISTINCT contig, strand, e1 + 1 AS first, s1 + 199 AS second FROM reads WHERE split),
 junctions AS (SELECT * FROM gap UNION SELECT contig, strand, first + 1, second + 1 FROM gap)"""
 
 
@@ -78,6 +78,17 @@ def sam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_sam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sam`` with seq and qual, as long as the first match and 5 letters more."""
+    n = F.regexp_extract("cigar", r"(\d+)M", 1).cast("int") + 5
+    shift = F.pmod(F.col("pos"), F.lit(7)).cast("int")
+    rows = sam(spark, sf_dir)
+    return rows.withColumn("seq", F.substring(F.repeat(F.lit("ACGTTGCANC"), 8), shift + 1, n)).withColumn("qual", F.substring(F.repeat(F.lit("IHGFEDCBA"), 9), shift + 1, n))
+
+
+READ_SAM = """rs AS (SELECT *, substr(repeat('ACGTTGCANC', 8), CAST(pos % 7 AS INTEGER) + 1, CAST(q AS INTEGER) + 5) AS seq, substr(repeat('IHGFEDCBA', 9), CAST(pos % 7 AS INTEGER) + 1, CAST(q AS INTEGER) + 5) AS qual FROM cig)"""
+
+
 SAM = """sam AS (SELECT 'r' || CAST(l_orderkey AS VARCHAR) AS read_id,
   CASE WHEN l_suppkey % 11 = 0 THEN 4 WHEN l_suppkey % 7 = 0 THEN 256 WHEN l_linestatus = 'F' THEN 0 ELSE 16 END AS flag,
   'c' || CAST(l_suppkey % 5 AS VARCHAR) AS chr_id, CAST(l_partkey * 3 + 101 AS BIGINT) AS pos, CAST(l_quantity AS BIGINT) AS q, CAST(l_linenumber AS INTEGER) AS line,
@@ -109,16 +120,19 @@ exons AS (SELECT contig, strand, gene_id, transcript_id, type, CAST(exon AS INTE
 
 
 def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads from texts: id, key, seq (60 letters of a text as bases), tag, qual (Phred+33)."""
+    """Reads from texts: id, key, seq (all letters of a text as bases, 60 in a read), tag, qual (Phred+33). An empty text is one empty read."""
     rows = table(spark, sf_dir, "documents")
     base = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
-    seq = F.translate(F.substring(base, 1, 60), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
-    code = F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.char((F.lit(73) - F.floor(i / 3) - F.pmod(i * 7 + F.col("doc_id"), F.lit(11))).cast("int")))
-    return rows.select(F.col("doc_id").alias("id"), F.concat(F.lit("@read"), F.col("doc_id").cast("string"), F.lit(" lane1")).alias("key"), seq.alias("seq"), F.lit("+x").alias("tag"), F.when(F.length(seq) > 0, F.array_join(code, "")).otherwise("").alias("qual"))
+    base = F.translate(base, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
+    reads = rows.select("doc_id", F.posexplode_outer(F.regexp_extract_all(base, F.lit(".{1,60}"), F.lit(0))).alias("k", "seq"))
+    reads = reads.select((F.col("doc_id") * 1_000_000 + F.coalesce("k", F.lit(0))).cast("long").alias("id"), F.coalesce("seq", F.lit("")).alias("seq"))
+    code = F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.char((F.lit(73) - F.floor(i / 3) - F.pmod(i * 7 + F.col("id"), F.lit(11))).cast("int")))
+    return reads.select("id", F.concat(F.lit("@read"), F.col("id").cast("string"), F.lit(" lane1")).alias("key"), "seq", F.lit("+x").alias("tag"), F.when(F.length("seq") > 0, F.array_join(code, "")).otherwise("").alias("qual"))
 
 
-FASTQ = """fq AS (SELECT doc_id AS id, '@read' || CAST(doc_id AS VARCHAR) || ' lane1' AS key,
-  translate(substr(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), 1, 60), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS seq FROM documents)"""
+FASTQ = """letters AS (SELECT doc_id, translate(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS s FROM documents),
+fq AS (SELECT CAST(doc_id * 1000000 + k AS BIGINT) AS id, '@read' || CAST(doc_id * 1000000 + k AS VARCHAR) || ' lane1' AS key, substr(s, k * 60 + 1, 60) AS seq
+  FROM (SELECT *, unnest(range(0, greatest((length(s) + 59) // 60, 1))) AS k FROM letters))"""
 
 
 def hangs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,7 +170,7 @@ def _factor_sql(c: str, source: str) -> str:
 _WHOLE = a.COUNTS + f""",
 axis AS (SELECT contig, strand, length, unnest(range(0, length)) AS pos FROM (SELECT DISTINCT contig, strand, length FROM counts JOIN sizes USING (contig) WHERE length >= 50)),
 fullt AS (SELECT x.contig, x.strand, x.length, x.pos, coalesce(n_rt, 0) AS n_rt, coalesce(n_bd, 0) AS n_bd, coalesce(d_rt, 0) AS d_rt, coalesce(d_bd, 0) AS d_bd FROM axis x LEFT JOIN counts c ON x.contig = c.contig AND x.strand = c.strand AND x.pos = c.pos),
-okay AS (SELECT contig, strand FROM fullt WHERE pos <= length - 31 GROUP BY ALL HAVING sum(CASE WHEN d_bd >= 50 THEN 1 ELSE 0 END) > floor(count(*) / 2.0) AND avg(n_rt) >= 1.0),
+okay AS (SELECT contig, strand FROM fullt WHERE pos <= length - 31 GROUP BY ALL HAVING sum(CASE WHEN d_bd >= 5 THEN 1 ELSE 0 END) > floor(count(*) / 2.0) AND avg(n_rt) >= 0.5),
 win AS (SELECT fullt.* FROM fullt JOIN okay USING (contig, strand) WHERE pos <= length - 31),
 {", ".join(_factor_sql(c, "win") for c in ("n_rt", "n_bd", "d_rt", "d_bd"))},
 wscore AS (SELECT win.*, CASE WHEN d_bd > 0 THEN 10.0 * (n_rt / n_rt_f - 0.25 * (d_rt / d_rt_f)) / (d_bd / d_bd_f) END AS score FROM win JOIN f_n_rt USING (contig, strand) JOIN f_n_bd USING (contig, strand) JOIN f_d_rt USING (contig, strand) JOIN f_d_bd USING (contig, strand))"""
@@ -179,13 +179,19 @@ wscore AS (SELECT win.*, CASE WHEN d_bd > 0 THEN 10.0 * (n_rt / n_rt_f - 0.25 *
 def whole_contig(spark, d):
     r = a.reads(spark, d)
     sizes = a.sizes(r)
-    return score.whole_contig_score(pileup.condition_counts(r, sizes), sizes).withColumn("score", F.round("score", 6))
+    # thin coverage: the thresholds go with it, here and in the SQL
+    return score.whole_contig_score(pileup.condition_counts(r, sizes), sizes, min_bd=5, min_rt=0.5).withColumn("score", _off_halves("score"))
+
+
+def _off_halves(c):
+    """Six decimals. Scores are simple fractions, many just between two decimals, where the order of a sum decides; so the cut lies off such values."""
+    return F.floor(F.col(c) * 1e6 + 0.3137) / 1e6
 
 
 query(
     "whole_contig_score",
     f"""WITH {_WHOLE}{_WINSOR.format(name='w', source='wscore')}
-    SELECT f.contig, f.strand, f.pos, CAST(f.n_rt AS BIGINT) AS n_rt, CAST(f.n_bd AS BIGINT) AS n_bd, CAST(f.d_rt AS BIGINT) AS d_rt, CAST(f.d_bd AS BIGINT) AS d_bd, round(CASE WHEN f.pos > 5 THEN {_SCALED} END, 6) AS score
+    SELECT f.contig, f.strand, f.pos, CAST(f.n_rt AS BIGINT) AS n_rt, CAST(f.n_bd AS BIGINT) AS n_bd, CAST(f.d_rt AS BIGINT) AS d_rt, CAST(f.d_bd AS BIGINT) AS d_bd, floor((CASE WHEN f.pos > 5 THEN {_SCALED} END) * 1e6 + 0.3137) / 1e6 AS score
     FROM fullt f LEFT JOIN wscore s ON f.contig = s.contig AND f.strand = s.strand AND f.pos = s.pos LEFT JOIN wb ON f.contig = wb.contig AND f.strand = wb.strand WHERE f.pos >= 1""",
 )(whole_contig)
 
@@ -222,6 +228,77 @@ query(
     SELECT c.contig, c.strand, c.pos, c.n_rt, c.n_bd, c.d_rt, c.d_bd, floor((CASE WHEN n_windows >= 2 AND coalesce(good, 0) > floor(n_windows / 2.0) AND d_bd >= 5 THEN val.score END) * 1e6 + 0.3137) / 1e6 AS score, n_windows, CASE WHEN n_windows < 2 THEN 0 ELSE coalesce(good, 0) END AS valid_count
     FROM counts c JOIN per USING (contig, strand, pos) LEFT JOIN val USING (contig, strand, pos) WHERE c.n_rt >= 1 OR c.d_rt >= 1 OR c.d_bd >= 5""",
 )(lambda spark, d: _sliding(spark, d, "fixed"))
+
+_ONE = """, one AS (SELECT contig, strand, pos, n_rt AS rt, n_bd AS bd FROM counts JOIN sizes USING (contig) WHERE pos <= length)"""
+
+
+def _one_sample(spark, d):
+    r = a.reads(spark, d)
+    sizes = a.sizes(r)
+    return pileup.condition_counts(r, sizes).select("contig", "strand", "pos", F.col("n_rt").alias("rt"), F.col("n_bd").alias("bd")), sizes
+
+
+@query(
+    "whole_contig_noctrl",
+    f"""WITH {a.COUNTS}{_ONE},
+    axis AS (SELECT contig, strand, length, unnest(range(0, length)) AS pos FROM (SELECT DISTINCT contig, strand, length FROM counts JOIN sizes USING (contig) WHERE length >= 50)),
+    fullt AS (SELECT x.contig, x.strand, x.length, x.pos, coalesce(rt, 0) AS rt, coalesce(bd, 0) AS bd FROM axis x LEFT JOIN one c ON x.contig = c.contig AND x.strand = c.strand AND x.pos = c.pos),
+    okay AS (SELECT contig, strand FROM fullt WHERE pos <= length - 31 GROUP BY ALL HAVING sum(CASE WHEN bd >= 5 THEN 1 ELSE 0 END) > floor(count(*) / 2.0) AND avg(rt) >= 0.5),
+    raw AS (SELECT fullt.*, CASE WHEN bd > 0 THEN log2(rt + 1.0) END AS score FROM fullt JOIN okay USING (contig, strand) WHERE pos <= length - 31),
+    rk AS (SELECT *, row_number() OVER (PARTITION BY contig, strand ORDER BY score NULLS FIRST) - 1 AS r, count(*) OVER (PARTITION BY contig, strand) AS n FROM raw),
+    sunk AS (SELECT contig, strand, pos, bd, score - coalesce(b, 0.0) AS score FROM raw JOIN (SELECT contig, strand, max(CASE WHEN r = least(floor(0.2 * n), n - 1) THEN score END) AS b FROM rk GROUP BY ALL) USING (contig, strand))
+    {_WINSOR.format(name='w', source='sunk')}
+    SELECT f.contig, f.strand, f.pos, CAST(f.rt AS BIGINT) AS rt, CAST(f.bd AS BIGINT) AS bd, floor((CASE WHEN f.pos > 5 AND f.bd >= 8 THEN {_SCALED} END) * 1e6 + 0.3137) / 1e6 AS score
+    FROM fullt f LEFT JOIN sunk s ON f.contig = s.contig AND f.strand = s.strand AND f.pos = s.pos LEFT JOIN wb ON f.contig = wb.contig AND f.strand = wb.strand WHERE f.pos >= 1""",
+)
+def _whole_noctrl(spark, d):
+    counts, sizes = _one_sample(spark, d)
+    return score.whole_contig_noctrl(counts, sizes, enrich="log", sink=0.2, min_cov=8, min_bd=5, min_rt=0.5).withColumn("score", _off_halves("score"))
+
+
+_AVERAGED = """sr AS (SELECT {key}, start, score AS v, row_number() OVER (PARTITION BY {key}, start ORDER BY score) - 1 AS r, count(*) OVER (PARTITION BY {key}, start) AS n FROM sc WHERE score IS NOT NULL),
+    sb AS (SELECT {key}, start, greatest(max(CASE WHEN r = floor(0.05 * n) THEN v END), 0.0) AS lo, max(CASE WHEN r = n - 1 - floor(0.05 * n) THEN v END) AS hi, max(n) AS n FROM sr GROUP BY ALL),
+    sw AS (SELECT {key}, pos, {scaled} AS score FROM sc JOIN sb USING ({key}, start)),
+    per AS (SELECT {key}, pos, CAST(count(*) AS BIGINT) AS n_windows FROM wrows GROUP BY ALL),
+    val AS (SELECT {key}, pos, avg(score) AS score, CAST(count(score) AS BIGINT) AS good FROM sw GROUP BY ALL)"""
+
+query(
+    "sliding_noctrl_fixed",
+    f"""WITH {a.COUNTS}{_ONE},
+    org AS (SELECT contig, strand, length, min(CASE WHEN rt > 0 THEN pos END) AS origin FROM one JOIN sizes USING (contig) WHERE length >= 100 AND pos BETWEEN 1 AND length GROUP BY ALL HAVING min(CASE WHEN rt > 0 THEN pos END) IS NOT NULL),
+    org2 AS (SELECT *, length - origin + 1 AS size FROM org WHERE length - origin + 1 >= 50),
+    st AS (SELECT contig, strand, origin, size, unnest(range(0, size - 49, 10)) AS start FROM org2 UNION SELECT contig, strand, origin, size, size - 50 FROM org2),
+    wcells AS (SELECT contig, strand, origin, start, start + unnest(range(0, 50)) AS at FROM st),
+    wrows AS (SELECT w.contig, w.strand, w.start, w.at, w.origin + w.at AS pos, coalesce(rt, 0) AS rt, coalesce(bd, 0) AS bd FROM wcells w LEFT JOIN one c ON w.contig = c.contig AND w.strand = c.strand AND c.pos = w.origin + w.at),
+    good AS (SELECT contig, strand, start FROM wrows GROUP BY ALL HAVING sum(CASE WHEN bd >= 2 THEN 1 ELSE 0 END) >= 10 AND sum(CASE WHEN bd >= 5 THEN 1 ELSE 0 END) > 25 AND avg(rt) >= 0.5),
+    en AS (SELECT w.*, CASE WHEN bd > 0 THEN rt * CAST(1 AS DOUBLE) / bd END AS e FROM wrows w JOIN good USING (contig, strand, start)),
+    sk AS (SELECT contig, strand, start, max(CASE WHEN r = 10 THEN e END) AS b FROM (SELECT *, row_number() OVER (PARTITION BY contig, strand, start ORDER BY e NULLS FIRST) - 1 AS r FROM en) GROUP BY ALL),
+    sc AS (SELECT contig, strand, start, pos, e - coalesce(b, 0.0) AS score FROM en JOIN sk USING (contig, strand, start)),
+    {_AVERAGED.format(key="contig, strand", scaled=_SCALED)}
+    SELECT c.contig, c.strand, c.pos, c.rt, c.bd, floor((CASE WHEN n_windows >= 2 AND coalesce(good, 0) > floor(n_windows / 2.0) AND bd >= 5 THEN val.score END) * 1e6 + 0.3137) / 1e6 AS score, n_windows, CASE WHEN n_windows < 2 THEN 0 ELSE coalesce(good, 0) END AS valid_count
+    FROM one c JOIN per USING (contig, strand, pos) LEFT JOIN val USING (contig, strand, pos) WHERE c.rt >= 1 OR c.bd >= 5""",
+)(lambda spark, d: score.sliding_score(*_one_sample(spark, d), grid="fixed", control=False, enrich="div", sink=0.2, wsize=50, wstep=10, min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2).withColumn("score", _off_halves("score")))
+
+
+def _span_factor(c: str) -> str:
+    return f"""g_{c} AS (SELECT id, start, CASE WHEN f = 0 THEN 1.0 ELSE f END AS {c}_f FROM (SELECT id, start, coalesce(median(CASE WHEN r >= 19 AND r < 39 THEN v END), 1.0) AS f
+      FROM (SELECT id, start, CAST({c} AS DOUBLE) AS v, row_number() OVER (PARTITION BY id, start ORDER BY {c} DESC) - 1 AS r FROM wrows) GROUP BY ALL))"""
+
+
+query(
+    "sliding_junction_fixed",
+    f"""WITH {a.COUNTS}, {a.JUNCTIONS.removeprefix(a.READS).lstrip(",")},
+    js AS (SELECT row_number() OVER () AS id, contig, strand, first, second, CASE WHEN first > 195 THEN first - 194 ELSE 1 END AS lo FROM junctions WHERE second - first + 1 >= 195),
+    st AS (SELECT *, unnest(range(0, second - lo - 193, 60)) AS start FROM js UNION SELECT *, second - lo - 194 FROM js),
+    wcells AS (SELECT *, lo + start + unnest(range(0, 195)) AS pos FROM st),
+    wrows AS (SELECT w.id, w.first, w.contig, w.strand, w.start, w.pos, coalesce(n_rt, 0) AS n_rt, coalesce(n_bd, 0) AS n_bd, coalesce(d_rt, 0) AS d_rt, coalesce(d_bd, 0) AS d_bd FROM wcells w LEFT JOIN counts c ON w.contig = c.contig AND w.strand = c.strand AND c.pos = w.pos),
+    good AS (SELECT id, start FROM wrows GROUP BY ALL HAVING sum(CASE WHEN d_bd >= 2 THEN 1 ELSE 0 END) >= 39 AND sum(CASE WHEN d_bd >= 5 THEN 1 ELSE 0 END) > 97 AND avg(n_rt) >= 0.5),
+    {", ".join(_span_factor(c) for c in ("n_rt", "n_bd", "d_rt", "d_bd"))},
+    sc AS (SELECT w.id, w.start, w.pos, CASE WHEN d_bd > 0 THEN 10.0 * (n_rt / n_rt_f - 0.25 * (d_rt / d_rt_f)) / (d_bd / d_bd_f) END AS score FROM wrows w JOIN good USING (id, start) JOIN g_n_rt USING (id, start) JOIN g_n_bd USING (id, start) JOIN g_d_rt USING (id, start) JOIN g_d_bd USING (id, start)),
+    {_AVERAGED.format(key="id", scaled=_SCALED)}
+    SELECT c.contig, c.strand, c.pos, c.n_rt, c.n_bd, c.d_rt, c.d_bd, floor((CASE WHEN n_windows >= 2 AND coalesce(good, 0) > floor(n_windows / 2.0) AND d_bd >= 5 THEN val.score END) * 1e6 + 0.3137) / 1e6 AS score, n_windows, CASE WHEN n_windows < 2 THEN 0 ELSE coalesce(good, 0) END AS valid_count
+    FROM js JOIN counts c ON c.contig = js.contig AND c.strand = js.strand AND c.pos BETWEEN js.first AND js.second JOIN per ON per.id = js.id AND per.pos = c.pos LEFT JOIN val ON val.id = js.id AND val.pos = c.pos WHERE c.n_rt >= 1 OR c.d_rt >= 1 OR c.d_bd >= 5""",
+)(lambda spark, d: score.sliding_junction(_counts(spark, d), a.junctions(spark, d), grid="fixed", wsize=195, wstep=60, min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2).withColumn("score", _off_halves("score")))
 query("sliding_score_exact")(lambda spark, d: _sliding(spark, d, "exact"))
 
 
@@ -408,11 +485,11 @@ def _collapse(spark, d):
     return unique.select("id", "seq").join(freq, "seq")
 
 
-@query("collapse_pairs", f"WITH {a.FASTQ} SELECT min(id) AS id, substr(seq, 1, 20) AS seq_1, substr(seq, 21, 20) AS seq_2 FROM fq GROUP BY 2, 3")
+@query("collapse_pairs", f"WITH {a.FASTQ} SELECT min(id) AS id, substr(seq, 1, 30) AS seq_1, substr(seq, 31, 30) AS seq_2 FROM fq GROUP BY 2, 3")
 def _collapse_pairs(spark, d):
     f = a.fastq(spark, d)
-    part = lambda p: f.withColumn("seq", F.substring("seq", p, 20)).withColumn("qual", F.substring("qual", p, 20))
-    one, two = reads.collapse_pairs(part(1), part(21))
+    part = lambda p: f.withColumn("seq", F.substring("seq", p, 30)).withColumn("qual", F.substring("qual", p, 30))
+    one, two = reads.collapse_pairs(part(1), part(31))
     return one.select("id", F.col("seq").alias("seq_1")).join(two.select("id", F.col("seq").alias("seq_2")), "id")
 
 
@@ -426,7 +503,7 @@ def _barcodes(spark, d):
     return reads.barcode_counts(a.fastq(spark, d), 5, 3, lib).withColumn("share", F.round("share", 6))
 
 
-@query("simplify_read_name", "SELECT doc_id AS id, '@read' || CAST(doc_id AS VARCHAR) AS key, '+' AS tag FROM documents")
+@query("simplify_read_name", f"WITH {a.FASTQ} SELECT id, '@read' || CAST(id AS VARCHAR) AS key, '+' AS tag FROM fq")
 def _simplify(spark, d):
     return reads.simplify_read_name(a.fastq(spark, d)).select("id", "key", "tag")
 
@@ -460,13 +537,25 @@ def _quality_trim(spark, d):
     return reads.quality_trim(a.fastq(spark, d)).select("id", "seq", "qual")
 
 
-@query("mutation_profile")
+@query(
+    "mutation_profile",
+    f"""WITH {a.SAM}, {a.READ_SAM}, m AS (SELECT flag, length(seq) AS len, CAST(substr(md, 1, 1) AS INTEGER) AS p FROM rs WHERE flag <> 4 UNION ALL SELECT flag, length(seq), CAST(substr(md, 1, 1) AS INTEGER) + 1 + CAST(q AS INTEGER) FROM rs WHERE flag <> 4 AND md LIKE '%G0'),
+    e AS (SELECT len, CASE WHEN flag = 16 THEN len - 1 - p ELSE p END AS place FROM m), s AS (SELECT 5 AS side, place AS off FROM e UNION ALL SELECT 3, len - 1 - place FROM e)
+    SELECT CAST(side AS INTEGER) AS side, CAST(off AS INTEGER) AS off, CAST(count(*) AS BIGINT) AS mutations, round(count(*) / CAST((SELECT count(*) FROM rs WHERE flag <> 4) AS DOUBLE), 9) AS rate FROM s WHERE off BETWEEN 0 AND 14 GROUP BY ALL""",
+)
 def _mutations(spark, d):
-    q = F.regexp_extract("cigar", r"(\d+)M", 1).cast("int")
-    return reads.mutation_profile(a.sam(spark, d).withColumn("seq", F.repeat(F.lit("A"), q + 5)))
+    return reads.mutation_profile(a.read_sam(spark, d)).select("side", F.col("offset").cast("int").alias("off"), "mutations", F.round("rate", 9).alias("rate"))
 
 
-@query("sam_read_classes")
+@query(
+    "sam_read_classes",
+    f"""WITH {a.SAM}, {a.TRANSCRIPTS}, {_GENES}, m AS (SELECT row_number() OVER () AS row, chr_id AS contig, CASE WHEN flag = 16 THEN '-' ELSE '+' END AS strand, pos AS first, pos - 1 + CASE line WHEN 1 THEN q WHEN 2 THEN q WHEN 3 THEN 2 * q + 100 WHEN 4 THEN 2 * q ELSE 2 * q + 1 END AS second FROM cig WHERE flag <> 4),
+    h AS (SELECT DISTINCT m.row, e.transcript_id, e.type FROM m JOIN exons e ON m.contig = e.contig AND m.strand = e.strand AND m.first <= e.second AND e.first <= m.second),
+    w AS (SELECT type, CAST(1 AS DOUBLE) / count(*) OVER (PARTITION BY row) AS w FROM h),
+    rest AS (SELECT m.*, EXISTS (SELECT 1 FROM genes g WHERE g.contig = m.contig AND g.strand = m.strand AND m.first <= g.second AND g.first <= m.second) AS g, EXISTS (SELECT 1 FROM genes g WHERE g.contig = m.contig) AS k FROM m ANTI JOIN h USING (row))
+    SELECT 'exon' AS class, type, round(sum(w), 6) AS reads FROM w GROUP BY type UNION ALL SELECT CASE WHEN g THEN 'intron' WHEN k THEN 'intergenic' ELSE 'un-annotated' END, NULL, CAST(count(*) AS DOUBLE) FROM rest GROUP BY 1
+    UNION ALL SELECT 'un-mapped', NULL, CAST(count(*) AS DOUBLE) FROM cig WHERE flag = 4 HAVING count(*) > 0""",
+)
 def _classes(spark, d):
     t = a.transcripts(spark, d)
     return reads.sam_read_classes(a.sam(spark, d), annotation.gene_table(t), annotation.exon_offsets(t)).withColumn("reads", F.round("reads", 6))
@@ -546,7 +635,12 @@ def _bedgraph(spark, d):
     return tracks.shape_bedgraph(score.enrich_ctrl(_counts(spark, d)).withColumn("shape", F.round("score", 6)))
 
 
-@query("rt_replicate_corr")
+@query(
+    "rt_replicate_corr",
+    f"""WITH {a.COUNTS}, b AS (SELECT contig, strand, pos, n_rt, d_rt, floor((row_number() OVER (ORDER BY contig, strand, pos) - 1) / 100) AS win FROM counts JOIN sizes USING (contig) WHERE pos <= length AND n_bd >= 3 AND d_bd >= 3),
+    v AS (SELECT win, covar_pop(d_rt, n_rt) / nullif(stddev_pop(d_rt) * stddev_pop(n_rt), 0) AS r FROM b GROUP BY win HAVING count(*) = 100)
+    SELECT 'D' AS sample_1, 'N' AS sample_2, CAST(count(*) AS BIGINT) AS n, round(avg(r), 6) AS r FROM v WHERE abs(r) > {qc.least_correlation(100)!r}""",
+)
 def _rt_corr(spark, d):
     r = a.reads(spark, d)
     return qc.rt_replicate_corr(pileup.count_rt(r.withColumnRenamed("condition", "sample"), a.sizes(r)), min_bd=3).withColumn("r", F.round("r", 6))
@@ -575,11 +669,15 @@ def _contact(spark, d):
     return _coo(spark, d)
 
 
-@query("matrix_compress", f"WITH {_MATRIX}, b AS (SELECT contig, strand, CAST(floor((x - 1) * 40 / 8000.0) AS BIGINT) + 1 AS x, CAST(floor((y - 1) * 40 / 8000.0) AS BIGINT) + 1 AS y, value FROM coo WHERE x <= 8000 AND y <= 8000) SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL")
+@query("matrix_compress", f"""WITH {_MATRIX}, s AS (SELECT contig, CAST(max(x) AS DOUBLE) AS n FROM coo GROUP BY contig),
+    b AS (SELECT contig, strand, CAST(floor((x - 1) * 40 / n) AS BIGINT) + 1 AS x, CAST(floor((y - 1) * 40 / n) AS BIGINT) + 1 AS y, value FROM coo JOIN s USING (contig)) SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL""")
 def _compress(spark, d):
-    coo = _coo(spark, d).where("x <= 8000 and y <= 8000")
-    size = coo.select("contig").distinct().withColumn("length", F.lit(8000).cast("long"))
-    return matrix.matrix_compress(coo, size, 40, "sum")
+    coo = _coo(spark, d)
+    return matrix.matrix_compress(coo, _lengths(coo), 40, "sum")
+
+
+def _lengths(coo):
+    return coo.groupBy("contig").agg(F.max("x").alias("length"))
 
 
 @query(
@@ -608,7 +706,11 @@ def _group_score(spark, d):
     return duplex.group_score(duplex.cluster_hangs(h)[0], h)
 
 
-@query("sam_to_dh")
+@query(
+    "sam_to_dh",
+    f"""WITH {a.SAM} SELECT read_id, chr_id AS chr_1, CASE WHEN flag = 16 THEN '-' ELSE '+' END AS strand_1, CAST(flag AS INTEGER) AS flag_1, cigar AS cigar_1, pos AS start_1, pos + q - 1 AS end_1,
+    chr_id AS chr_2, CASE WHEN flag = 16 THEN '-' ELSE '+' END AS strand_2, CAST(flag AS INTEGER) AS flag_2, cigar AS cigar_2, pos + q + 100 AS start_2, pos + 2 * q + 99 AS end_2 FROM cig WHERE flag <> 4 AND line = 3 AND q >= 10""",
+)
 def _sam_to_dh(spark, d):
     return duplex.sam_to_dh(a.sam(spark, d), mode="single")
 
@@ -616,8 +718,7 @@ def _sam_to_dh(spark, d):
 @query("call_interactions")
 def _interactions(spark, d):
     coo = _coo(spark, d)
-    size = coo.groupBy("contig").agg(F.max("x").alias("length"))
-    return matrix.call_interactions(coo, size, perceive=20.0, extend=5.0)
+    return matrix.call_interactions(coo, _lengths(coo), perceive=20.0, extend=5.0)
 
 
 # ---- more of coordinates, transcripts and matrices -------------------------------------------------------------------
@@ -630,11 +731,11 @@ def _exons_in_gene(spark, d):
     return annotation.exons_in_gene(t, annotation.gene_table(t))
 
 
-@query("gene_to_genome", f"""WITH {a.TRANSCRIPTS}, {_GENES}, p AS (SELECT gene_id, unnest(range(1, 2000, 37)) AS g_pos FROM genes)
+@query("gene_to_genome", f"""WITH {a.TRANSCRIPTS}, {_GENES}, p AS (SELECT gene_id, unnest(range(1, second - first + 2)) AS g_pos FROM genes)
     SELECT p.gene_id, p.g_pos, contig, strand, CASE WHEN strand = '+' THEN first + g_pos - 1 ELSE second - g_pos + 1 END AS pos FROM p JOIN genes g ON p.gene_id = g.gene_id AND g_pos <= second - first + 1""")
 def _gene_to_genome(spark, d):
     genes = annotation.gene_table(a.transcripts(spark, d))
-    return coords.gene_to_genome(genes.select("gene_id", F.explode(F.expr("sequence(1L, 1999L, 37L)")).alias("g_pos")), genes)
+    return coords.gene_to_genome(genes.select("gene_id", F.explode(F.expr("sequence(1L, second - first + 1)")).alias("g_pos")), genes)
 
 
 @query("transcript_to_gene", f"""WITH {a.TRANSCRIPTS}, {_GENES}, h AS (SELECT e.transcript_id, e.gene_id, e.strand, CASE WHEN strand = '+' THEN first + greatest(20, t_first) - t_first ELSE second - (least(90, t_second) - t_first) END AS p_first,
@@ -709,13 +810,13 @@ def _submatrix(spark, d):
     return matrix.matrix_submatrix(_coo(spark, d), 200, 500, 300, 700)
 
 
-@query("background_quantile", f"""WITH {_MATRIX}, r AS (SELECT *, row_number() OVER (PARTITION BY contig, strand, x ORDER BY value DESC) AS r FROM coo),
-    q AS (SELECT contig, strand, x, coalesce(max(CASE WHEN r = 80 THEN value END), 0.0) AS q FROM r GROUP BY ALL)
+@query("background_quantile", f"""WITH {_MATRIX}, l AS (SELECT contig, max(x) AS n FROM coo GROUP BY contig),
+    r AS (SELECT *, row_number() OVER (PARTITION BY contig, strand, x ORDER BY value DESC) AS r FROM coo JOIN l USING (contig)),
+    q AS (SELECT contig, strand, x, coalesce(max(CASE WHEN r = n - floor(CAST(0.99 AS DOUBLE) * n) THEN value END), 0.0) AS q FROM r GROUP BY ALL)
     SELECT c.contig, c.strand, c.x, c.y, c.value - p.q - s.q AS value FROM coo c JOIN q p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN q s ON c.contig = s.contig AND c.strand = s.strand AND c.y = s.x WHERE c.value - p.q - s.q > 0""")
 def _background_quantile(spark, d):
     coo = _coo(spark, d)
-    size = coo.select("contig").distinct().withColumn("length", F.lit(100).cast("long"))
-    return matrix.background_quantile(coo, size, 0.2)
+    return matrix.background_quantile(coo, _lengths(coo), 0.99)
 
 
 @query("matrix_quantiles", f"""WITH {_MATRIX}, r AS (SELECT value, row_number() OVER (ORDER BY value, contig, strand, x, y) - 1 AS place FROM coo WHERE value <> 0), n AS (SELECT count(*) AS n FROM r)
@@ -724,22 +825,86 @@ def _matrix_quantiles(spark, d):
     return matrix.matrix_quantiles(_coo(spark, d))
 
 
-@query("region_algebra", f"""WITH {a.HANGS} SELECT read_id, least(end_1, end_2) - greatest(start_1, start_2) + 1 AS overlap, CAST(CASE WHEN least(end_1, end_2) >= greatest(start_1, start_2) THEN 1 ELSE 2 END AS INTEGER) AS parts FROM hangs""")
+@query("region_algebra", f"""WITH {a.HANGS}, o AS (SELECT *, least(end_1, end_2) - greatest(start_1, start_2) + 1 AS overlap FROM hangs)
+    SELECT read_id, overlap, least(start_1, start_2) AS first,
+      CASE WHEN overlap >= 1 THEN greatest(end_1, end_2) ELSE least(end_1, end_2) END AS second, CASE WHEN overlap < 1 THEN greatest(start_1, start_2) END AS more_first, CASE WHEN overlap < 1 THEN greatest(end_1, end_2) END AS more_second,
+      overlap >= 1 AND (start_1 < start_2 OR end_1 > end_2) AS rest FROM o""")
 def _regions(spark, d):
-    from ..functions.intervals import region, region_overlap, region_union
+    from ..functions.intervals import region, region_minus, region_overlap, region_union
 
     one, two = region(F.col("start_1"), F.col("end_1")), region(F.col("start_2"), F.col("end_2"))
-    return a.hangs(spark, d).select("read_id", region_overlap(one, two).alias("overlap"), F.size(region_union(one, two)).alias("parts"))
+    rows = a.hangs(spark, d).select("read_id", region_overlap(one, two).alias("overlap"), F.array_sort(region_union(one, two)).alias("u"), F.size(region_minus(one, two)).alias("m"))
+    part = lambda k, c: F.get("u", F.lit(k))[c]
+    return rows.select("read_id", "overlap", part(0, "first").alias("first"), part(0, "second").alias("second"), part(1, "first").alias("more_first"), part(1, "second").alias("more_second"), (F.col("m") > 0).alias("rest"))
 
 
-@query("translate_codons", f"WITH {a.FASTQ} SELECT id, CAST(length(seq) // 3 AS INTEGER) AS n, CASE WHEN length(seq) < 3 THEN 0 WHEN substr(seq, 1, 3) IN ('TAA', 'TAG', 'TGA') THEN 1 ELSE 0 END AS stop FROM fq")
+@query("translate_codons", f"""WITH {a.FASTQ}, c AS (SELECT id, k, substr(seq, k * 3 + 1, 1) AS x, substr(seq, k * 3 + 2, 1) AS y, substr(seq, k * 3 + 3, 1) AS z FROM (SELECT *, unnest(range(0, length(seq) // 3)) AS k FROM fq)),
+    p AS (SELECT id, string_agg(substr('{sequence._AMINO}', 16 * (strpos('TCAG', x) - 1) + 4 * (strpos('TCAG', y) - 1) + strpos('TCAG', z), 1), '' ORDER BY k) AS protein FROM c GROUP BY id)
+    SELECT fq.id, coalesce(protein, '') AS protein FROM fq LEFT JOIN p ON fq.id = p.id""")
 def _translate(spark, d):
-    protein = sequence.translate_codons("seq")
-    return a.fastq(spark, d).select("id", F.length(protein).alias("n"), F.startswith(protein, F.lit("*")).cast("int").alias("stop"))
+    return a.fastq(spark, d).select("id", sequence.translate_codons("seq").alias("protein"))
 
 
-@query("duplex_sort_and_tag", f"WITH {a.HANGS} SELECT count(DISTINCT read_id) AS n FROM hangs")
+@query("duplex_sort_and_tag")
 def _tagged(spark, d):
     h = a.hangs(spark, d)
     _, members = duplex.cluster_hangs(h)
-    return duplex.tag_reads_with_group(duplex.sort_dh(h), members).agg(F.countDistinct("read_id").alias("n"))
+    return duplex.sort_dh(duplex.tag_reads_with_group(h, members)).select("read_id", "group_id")
+
+
+# ---- alignments as reads, names, transcripts -------------------------------------------------------------------------
+
+
+@query("sam2fq", f"""WITH {a.SAM}, {a.READ_SAM}, t AS (SELECT read_id, flag, CASE WHEN flag = 16 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq, CASE WHEN flag = 16 THEN reverse(qual) ELSE qual END AS qual FROM rs),
+    o AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY flag, seq, qual) AS r FROM t) SELECT '@' || read_id AS key, seq, '+' AS tag, qual FROM o WHERE r = 1""")
+def _sam2fq(spark, d):
+    return reads.sam2fq(a.read_sam(spark, d))
+
+
+@query("route_alignments", f"WITH {a.SAM}, {a.READ_SAM} SELECT 'aligned' AS kind, read_id AS name, seq FROM rs WHERE flag = 0 UNION ALL SELECT 'reads', '@' || read_id, seq FROM rs WHERE flag = 4")
+def _route(spark, d):
+    aligned, left = reads.route_alignments(a.read_sam(spark, d))
+    return aligned.select(F.lit("aligned").alias("kind"), F.col("read_id").alias("name"), "seq").unionByName(left.select(F.lit("reads").alias("kind"), F.col("key").alias("name"), "seq"))
+
+
+@query("read_length_hist", f"WITH {a.SAM}, {a.READ_SAM} SELECT CAST(length(seq) AS INTEGER) AS length, CAST(count(*) AS BIGINT) AS n FROM rs GROUP BY 1")
+def _length_hist(spark, d):
+    return reads.read_length_hist(a.read_sam(spark, d))
+
+
+@query("subsequence", f"WITH {a.FASTQ} SELECT id, substr(seq, 6, 12) AS plus, reverse(translate(substr(seq, 6, 12), 'ACGT', 'TGCA')) AS minus FROM fq")
+def _subsequence(spark, d):
+    return a.fastq(spark, d).select("id", sequence.subsequence("seq", 5, 12).alias("plus"), sequence.subsequence("seq", 5, 12, "-").alias("minus"))
+
+
+@query(
+    "name_rules",
+    """SELECT p_partkey, NOT (n LIKE 'chr%') AND NOT (n LIKE 'NC_%') AND length(n) > 6 AS scaffold, regexp_replace(n, '\\.[^.]*$', '') AS plain,
+    CASE k WHEN 'protein_coding' THEN 'mRNA' WHEN 'lincRNA' THEN 'lncRNA' WHEN 'snoRNA' THEN 'snoRNA' WHEN 'processed_pseudogene' THEN 'pseudogene' ELSE 'other' END AS class FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'chr' WHEN 1 THEN 'NC_' ELSE 'x' END || CAST(p_partkey * 101 AS VARCHAR) || '.' || CAST(p_size AS VARCHAR) AS n,
+      CASE p_partkey % 5 WHEN 0 THEN 'protein_coding' WHEN 1 THEN 'lincRNA' WHEN 2 THEN 'snoRNA' WHEN 3 THEN 'processed_pseudogene' ELSE 'tRNA' END AS k FROM part)""",
+)
+def _names(spark, d):
+    rows = a.table(spark, d, "part")
+    key = F.col("p_partkey")
+    name = F.concat(F.element_at(F.array(F.lit("chr"), F.lit("NC_"), F.lit("x")), (key % 3 + 1).cast("int")), (key * 101).cast("string"), F.lit("."), F.col("p_size").cast("string"))
+    kind = F.element_at(F.array(*map(F.lit, ("protein_coding", "lincRNA", "snoRNA", "processed_pseudogene", "tRNA"))), (key % 5 + 1).cast("int"))
+    return rows.select("p_partkey", sequence.is_scaffold(name).alias("scaffold"), sequence.strip_version(name).alias("plain"), sequence.gene_type_class(kind).alias("class"))
+
+
+@query(
+    "transcript_rt",
+    f"""WITH {a.SAM}, r AS (SELECT chr_id, pos AS first, least(pos - 1 + CASE line WHEN 1 THEN q WHEN 2 THEN q WHEN 3 THEN 2 * q + 100 WHEN 4 THEN 2 * q ELSE 2 * q + 1 END, 70000) AS second, CAST(1 AS DOUBLE) / count(*) OVER (PARTITION BY read_id) AS w FROM cig WHERE flag IN (0, 256)),
+    d AS (SELECT chr_id, first - 1 AS pos, 0.0 AS bd, w AS rt FROM r WHERE first <= second UNION ALL SELECT chr_id, unnest(range(first, second + 1)), w, 0.0 FROM r WHERE first <= second)
+    SELECT chr_id AS transcript_id, CAST(pos AS INTEGER) AS pos, round(sum(bd), 6) AS bd, round(sum(rt), 6) AS rt FROM d GROUP BY ALL""",
+)
+def _transcript_rt(spark, d):
+    s = a.sam(spark, d)
+    known = s.select(F.col("chr_id").alias("contig")).distinct().select("contig", F.lit(70000).cast("long").alias("length"), F.lit(9.0).alias("rpkm"))
+    rows = tracks.transcript_rt(s, known).select("transcript_id", F.posexplode(F.arrays_zip("bd", "rt")).alias("pos", "x"))
+    return rows.select("transcript_id", "pos", F.round("x.bd", 6).alias("bd"), F.round("x.rt", 6).alias("rt")).where("bd <> 0 or rt <> 0")
+
+
+@query("union_replicates", f"WITH {a.COUNTS} SELECT contig, strand, pos, CAST(sum(n_rt + d_rt) AS BIGINT) AS rt, CAST(sum(n_bd + d_bd) AS BIGINT) AS bd FROM counts JOIN sizes USING (contig) WHERE pos <= length GROUP BY ALL")
+def _union(spark, d):
+    c = _counts(spark, d)
+    return pileup.union_replicates(*[c.select("contig", "strand", "pos", F.col(f"{s}_rt").alias("rt"), F.col(f"{s}_bd").alias("bd")) for s in "nd"])
