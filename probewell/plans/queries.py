@@ -427,11 +427,12 @@ def _g2g(spark, d):
 
 @query(
     "transcript_to_genome",
-    f"WITH {a.TRANSCRIPTS}, p AS (SELECT DISTINCT transcript_id, unnest(range(1, 400, 7)) AS t_pos FROM tx) SELECT p.transcript_id, p.t_pos, contig, strand, CASE WHEN strand = '+' THEN first + p.t_pos - t_first ELSE second - (p.t_pos - t_first) END AS pos FROM p JOIN exons e ON p.transcript_id = e.transcript_id AND p.t_pos BETWEEN t_first AND t_second",
+    f"WITH {a.TRANSCRIPTS}, p AS (SELECT transcript_id, unnest(range(1, n + 1)) AS t_pos FROM (SELECT transcript_id, max(t_second) AS n FROM exons GROUP BY transcript_id)) SELECT p.transcript_id, p.t_pos, contig, strand, CASE WHEN strand = '+' THEN first + p.t_pos - t_first ELSE second - (p.t_pos - t_first) END AS pos FROM p JOIN exons e ON p.transcript_id = e.transcript_id AND p.t_pos BETWEEN t_first AND t_second",
 )
 def _t2g(spark, d):
-    points = a.transcripts(spark, d).select("transcript_id", F.explode(F.expr("sequence(1L, 399L, 7L)")).alias("t_pos"))
-    return coords.transcript_to_genome(points, _exons(spark, d))
+    exons = _exons(spark, d)
+    points = exons.groupBy("transcript_id").agg(F.max("t_second").alias("n")).select("transcript_id", F.explode(F.expr("sequence(1L, n)")).alias("t_pos"))
+    return coords.transcript_to_genome(points, exons)
 
 
 @query(
