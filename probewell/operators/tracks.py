@@ -121,14 +121,19 @@ def normalize_rt(rt: DataFrame, head: int = 32, tail: int = 32, form: float = 10
 
 
 def enrich_fg_bg_join(fg: DataFrame, bg: DataFrame) -> DataFrame:
-    """Normalised foreground and background of transcripts of equal length: transcript_id, length, rpkms, scalings and four arrays."""
+    """Normalised foreground and background of transcripts of equal length: transcript_id, length, rpkms, scalings and four arrays.
+
+    ``rpkms`` lists foreground and background, ``scalings`` the factors of fg_rt, bg_bd and bg_rt, both with commas.
+    """
 
     def wide(df: DataFrame, p: str) -> DataFrame:
-        pick = lambda t: F.max(F.when(F.col("type") == t, F.col("values")))
-        return df.groupBy("transcript_id", "length").agg(F.max("rpkm").alias(f"{p}_rpkm"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("type", "scaling"))), lambda s: s["scaling"].cast("string")), ",").alias(f"{p}_scaling"), pick("RTstop").alias(f"{p}_rt"), pick("baseDensity").alias(f"{p}_bd"))
+        pick = lambda t, c: F.max(F.when(F.col("type") == t, F.col(c)))
+        kinds = (("rt", "RTstop"), ("bd", "baseDensity"))
+        return df.groupBy("transcript_id", "length").agg(F.max("rpkm").alias(f"{p}_rpkm"), *[pick(t, "values").alias(f"{p}_{k}") for k, t in kinds], *[pick(t, "scaling").alias(f"{p}_factor_{k}") for k, t in kinds])
 
     joined = wide(fg, "fg").join(wide(bg, "bg"), ["transcript_id", "length"])
-    return joined.select("transcript_id", "length", F.concat_ws(";", "fg_rpkm", "bg_rpkm").alias("rpkms"), F.concat_ws(";", "fg_scaling", "bg_scaling").alias("scalings"), "fg_rt", "fg_bd", "bg_rt", "bg_bd")
+    factors = F.concat_ws(",", *[F.col(c).cast("string") for c in ("fg_factor_rt", "bg_factor_bd", "bg_factor_rt")])
+    return joined.select("transcript_id", "length", F.concat_ws(",", "fg_rpkm", "bg_rpkm").alias("rpkms"), factors.alias("scalings"), "fg_rt", "fg_bd", "bg_rt", "bg_bd")
 
 
 def enrich_transcripts(joined: DataFrame, method: str = "complex", sub: float = 0.25, div: float = 10.0, add: float = 1.0, winsor: float = 0.05, head: int = 6, tail: int = 33) -> DataFrame:

@@ -119,12 +119,15 @@ exo AS (SELECT *, second - first + 1 AS len, sum(second - first + 1) OVER (PARTI
 exons AS (SELECT contig, strand, gene_id, transcript_id, type, CAST(exon AS INTEGER) AS exon, first, second, CAST(t_end - len + 1 AS BIGINT) AS t_first, CAST(t_end AS BIGINT) AS t_second FROM exo)"""
 
 
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, seq: all letters of a text as bases."""
+    base = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.translate(base, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC").alias("seq"))
+
+
 def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads from texts: id, key, seq (all letters of a text as bases, 60 in a read), tag, qual (Phred+33). An empty text is one empty read."""
-    rows = table(spark, sf_dir, "documents")
-    base = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
-    base = F.translate(base, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
-    reads = rows.select("doc_id", F.posexplode_outer(F.regexp_extract_all(base, F.lit(".{1,60}"), F.lit(0))).alias("k", "seq"))
+    reads = letters(spark, sf_dir).select("doc_id", F.posexplode_outer(F.regexp_extract_all("seq", F.lit(".{1,60}"), F.lit(0))).alias("k", "seq"))
     reads = reads.select((F.col("doc_id") * 1_000_000 + F.coalesce("k", F.lit(0))).cast("long").alias("id"), F.coalesce("seq", F.lit("")).alias("seq"))
     code = F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.char((F.lit(73) - F.floor(i / 3) - F.pmod(i * 7 + F.col("id"), F.lit(11))).cast("int")))
     return reads.select("id", F.concat(F.lit("@read"), F.col("id").cast("string"), F.lit(" lane1")).alias("key"), "seq", F.lit("+x").alias("tag"), F.when(F.length("seq") > 0, F.array_join(code, "")).otherwise("").alias("qual"))

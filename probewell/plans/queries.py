@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cigar, sequence
 from ..operators import annotation, coords, duplex, matrix, pileup, qc, reads, score, tracks
 from . import adapters as a
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return keep
-
+from .registry import ORACLES, QUERIES, query
 
 # ---- pile-up ---------------------------------------------------------------------------------------------------------
 
@@ -670,8 +654,11 @@ def _contact(spark, d):
     return _coo(spark, d)
 
 
-@query("matrix_compress", f"""WITH {_MATRIX}, s AS (SELECT contig, CAST(max(x) AS DOUBLE) AS n FROM coo GROUP BY contig),
-    b AS (SELECT contig, strand, CAST(floor((x - 1) * 40 / n) AS BIGINT) + 1 AS x, CAST(floor((y - 1) * 40 / n) AS BIGINT) + 1 AS y, value FROM coo JOIN s USING (contig)) SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL""")
+_COMPRESSED = f"""{_MATRIX}, s AS (SELECT contig, CAST(max(x) AS DOUBLE) AS n FROM coo GROUP BY contig),
+    b AS (SELECT contig, strand, CAST(floor((x - 1) * 40 / n) AS BIGINT) + 1 AS x, CAST(floor((y - 1) * 40 / n) AS BIGINT) + 1 AS y, value FROM coo JOIN s USING (contig))"""
+
+
+@query("matrix_compress", f"WITH {_COMPRESSED} SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL")
 def _compress(spark, d):
     coo = _coo(spark, d)
     return matrix.matrix_compress(coo, _lengths(coo), 40, "sum")

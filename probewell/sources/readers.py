@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.sequence import is_scaffold, parse_gff3_attributes, parse_gtf_attributes, strip_version
 
@@ -25,6 +26,24 @@ def _spans(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, ","), lambda x: x != ""), lambda x: F.struct(F.split(x, "-")[0].cast("long").alias("first"), F.split(x, "-")[1].cast("long").alias("second")))
 
 
+def _numbered(spark: SparkSession, path, keep: str | None = None) -> DataFrame:
+    """value, n: the lines (those that meet ``keep``), numbered 0, 1, ... in order of files and places.
+
+    A split's lines have consecutive ids; a pass of its own counts the lines of the splits before it. Only one row for each split
+    is ordered in one place. With ``keep`` the lines of a split are ranked, else its smallest id is taken off.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    lines = lines.withColumn("kept", F.lit(True) if keep is None else F.expr(keep))
+    counts = lines.groupBy("file", "split").agg(F.count_if("kept").alias("lines"), F.min("at").alias("first"))
+    before = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("file", "split", "first", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    if keep is None:
+        return lines.join(offsets, ["file", "split"]).select("value", (F.col("before") + F.col("at") - F.col("first")).alias("n"))
+    within = Window.partitionBy("file", "split").orderBy("at")
+    kept = lines.where("kept").withColumn("k", F.row_number().over(within) - 1)
+    return kept.join(offsets, ["file", "split"]).select("value", (F.col("before") + F.col("k")).alias("n"))
+
+
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Eleven columns and the tag map (name → value, with the type letter left out but for B). Header lines are skipped."""
     names = (("read_id", "string"), ("flag", "int"), ("chr_id", "string"), ("pos", "long"), ("mapq", "int"), ("cigar", "string"), ("rnext", "string"), ("pnext", "long"), ("tlen", "long"), ("seq", "string"), ("qual", "string"))
@@ -41,11 +60,9 @@ def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """id (0, 1, ... in file order), key, seq, tag, qual, plain or gz.
 
-    Lines are numbered over all splits by two passes (the second knows each split's line count); the four lines of a
-    record are then gathered by one grouped aggregate.
+    Lines are numbered by ``_numbered``; the four lines of a record are then gathered by one grouped aggregate.
     """
-    lines = spark.sparkContext.textFile(path).zipWithIndex()
-    rows = spark.createDataFrame(lines, "value string, n long")
+    rows = _numbered(spark, path)
     pick = lambda k: F.max(F.when(F.col("n") % 4 == k, F.col("value")))
     return rows.groupBy(F.floor(F.col("n") / 4).alias("id")).agg(pick(0).alias("key"), pick(1).alias("seq"), pick(2).alias("tag"), pick(3).alias("qual")).where("seq is not null")
 
@@ -175,8 +192,7 @@ def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """x, y, value (0-based) of a square table; zeros are left out."""
-    lines = spark.sparkContext.textFile(path).filter(lambda s: s.strip()).zipWithIndex()
-    rows = spark.createDataFrame(lines, "value string, x long")
+    rows = _numbered(spark, path, "trim(value) <> ''").withColumnRenamed("n", "x")
     cells = rows.select("x", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("y", "v"))
     return cells.select("x", F.col("y").cast("long").alias("y"), F.col("v").cast("double").alias("value")).where("value <> 0")
 
