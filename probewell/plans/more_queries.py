@@ -160,13 +160,13 @@ def _variability(spark, d):
     w AS (SELECT transcript_id, c, sum(t) OVER u AS tp, sum(f) OVER u AS fp, sum(t) OVER e AS p, sum(f) OVER e AS n FROM h WINDOW u AS (PARTITION BY transcript_id ORDER BY c), e AS (PARTITION BY transcript_id)),
     r AS (SELECT transcript_id, c, p, n, tp / CAST(p AS DOUBLE) AS tpr, fp / CAST(n AS DOUBLE) AS fpr FROM w WHERE p > 0 AND n > 0),
     z AS (SELECT transcript_id, p, n, (fpr - coalesce(lag(fpr) OVER o, 0)) * (tpr + coalesce(lag(tpr) OVER o, 0)) / 2 AS a FROM r WINDOW o AS (PARTITION BY transcript_id ORDER BY c))
-    SELECT transcript_id, round(sum(a), 5) AS auc, CAST(max(p) AS BIGINT) AS positives, CAST(max(n) AS BIGINT) AS negatives FROM z GROUP BY 1""",
+    SELECT transcript_id, floor(sum(a) * 1e6 + 0.3137) / 1e6 AS auc, CAST(max(p) AS BIGINT) AS positives, CAST(max(n) AS BIGINT) AS negatives FROM z GROUP BY 1""",
 )
 def _evaluate(spark, d):
     k = (F.col("p_size") % 20 + 5).cast("int")
     dot = F.concat(F.repeat(F.lit("("), k), F.repeat(F.lit("."), 70 - 2 * k), F.repeat(F.lit(")"), k))
     dots = a.table(spark, d, "part").select(F.concat(F.lit("t"), "p_partkey").alias("id"), F.repeat(F.lit("ACGUA"), 14).alias("seq"), dot.alias("dot"))
-    return qc.evaluate_structure(_shapes(spark, d), dots).select("transcript_id", F.round("auc", 5).alias("auc"), "positives", "negatives")
+    return qc.evaluate_structure(_shapes(spark, d), dots).select("transcript_id", (F.floor(F.col("auc") * 1e6 + 0.3137) / 1e6).alias("auc"), "positives", "negatives")
 
 
 def _enriched_values(spark, d) -> DataFrame:
