@@ -285,3 +285,17 @@ def _ct(spark, d):
     SELECT DISTINCT o.id, x, y FROM o JOIN db p ON o.id = p.id AND x = p.i AND p.base IN ('T', 'U') JOIN db q ON o.id = q.id AND y = q.i AND q.base IN ('T', 'U') WHERE x < y""")
 def _crosslinks(spark, d):
     return sequence.tt_crosslinks(_paired(spark, d)).select("id", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))
+
+
+@query("stockholm_file", "SELECT 't' || p_partkey AS id, 'part ' || p_size AS note, repeat('AC-G', CAST(p_size % 6 + 1 AS INTEGER)) || repeat('U.', CAST(p_partkey % 4 + 1 AS INTEGER)) AS aligned FROM part UNION ALL SELECT 'SS_cons', NULL, '<<..>>'")
+def _stockholm(spark, d):
+    """A family of all parts in two blocks, with notes and a consensus line."""
+    rows = a.table(spark, d, "part").select(F.concat(F.lit("t"), "p_partkey").alias("id"), "p_partkey", "p_size")
+    lines = [
+        F.concat(F.lit("#=GS "), "id", F.lit(" DE part "), F.col("p_size").cast("string")),
+        F.concat("id", F.lit("   "), F.repeat(F.lit("AC-G"), (F.col("p_size") % 6 + 1).cast("int"))),
+        F.concat("id", F.lit("   "), F.repeat(F.lit("U."), (F.col("p_partkey") % 4 + 1).cast("int"))),
+    ]
+    path = _written(rows, "stockholm", *lines)
+    spark.range(1).select(F.lit("# STOCKHOLM 1.0\n#=GC SS_cons  <<..>>\n//").alias("value")).write.mode("append").text(path)
+    return readers.read_stockholm(spark, path)
