@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import main_text, media, mixing, near_dup, pieces, quality, repeats, secrets, token_counts, toxicity
+from . import centroids, main_text, media, mixing, near_dup, packing, pieces, quality, repeats, secrets, spelling, token_counts, toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dup.op1_query,
@@ -15,8 +15,13 @@ QUERIES = {
     "op8_token_ledger": token_counts.op8_query,
     "op9_merge_dropout": pieces.op9_query,
     "op10_quality_rules": quality.op10_query,
+    "op11_spelling_variants": spelling.op11_query,
+    "op12_harmonic_packing": packing.op12_query,
+    "op13_centroid_clusters": centroids.op13_query,
 }
 
 ORACLES: dict[str, str] = {
     "op4_poisson_mixing": mixing.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op13_centroid_clusters": centroids.ORACLE,
 }
