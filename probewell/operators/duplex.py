@@ -6,12 +6,15 @@ A hang has read_id and two arms: chr_1, strand_1, start_1, end_1 and the same wi
 
 from __future__ import annotations
 
+from itertools import groupby
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.cigar import cigar_global_regions
+from . import scan
 from .pileup import base_density
 
 ARMS = ["chr_1", "strand_1", "start_1", "end_1", "chr_2", "strand_2", "start_2", "end_2"]
@@ -52,11 +55,11 @@ def dedup_hangs(hangs: DataFrame) -> DataFrame:
 
 
 def islands(hangs: DataFrame, max_gap: int = 10) -> DataFrame:
-    """hangs with island: runs whose first arms are at most ``max_gap`` apart. No group reaches over an island."""
-    order = Window.partitionBy(*_PAIR).orderBy("start_1", "end_1", "start_2", "end_2", "read_id")
-    before = F.max("end_1").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = hangs.withColumn("_new", (before.isNull() | (F.col("start_1") > before + max_gap)).cast("int"))
-    return new.withColumn("island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    """hangs with island: runs whose first arms are at most ``max_gap`` apart. No group reaches over an island.
+
+    Runs are found over range partitions, so that no task holds a pair of chromosomes.
+    """
+    return scan.runs(hangs, _PAIR, "start_1", "end_1", max_gap, ("start_2", "end_2", "read_id"))
 
 
 def _overlap(a0, a1, b0, b1) -> int:
@@ -109,44 +112,87 @@ def _groups_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named.groupBy("group_id", *ARMS).agg(F.count("*").alias("support")), named.select("group_id", "read_id")
 
 
-def collapse_groups(groups: DataFrame, members: DataFrame, max_gap: int = 10, max_total: int = 30) -> tuple[DataFrame, DataFrame]:
-    """Merge groups whose arms have gaps of at most ``max_gap`` and a joint length of at most ``max_total``, until none is left."""
+def collapse_groups(groups: DataFrame, members: DataFrame, max_gap: int = 10, max_total: int = 30, check_reads: bool = False, hangs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merge groups whose arms lie near each other, until none is left to merge: new groups and members.
 
-    near = lambda a0, a1, b0, b1: max(a0, b0) - min(a1, b1) - 1 <= max_gap and max(a1, b1) - min(a0, b0) + 1 <= max_total
-
-    def settle(rows: list[list]) -> list[list]:
-        changed = True
-        while changed:
-            changed = False
-            for i in range(len(rows)):
-                for j in range(i + 1, len(rows)):
-                    a, b = rows[i], rows[j]
-                    if near(a[1], a[2], b[1], b[2]) and near(a[3], a[4], b[3], b[4]):
-                        rows[i] = [a[0], min(a[1], b[1]), max(a[2], b[2]), min(a[3], b[3]), max(a[4], b[4]), a[5] + b[5]]
-                        del rows[j]
-                        changed = True
-                        break
-                if changed:
-                    break
-        return rows
+    In the order of their arms, each group joins the first one before it of which the second arms have a gap of at most
+    ``max_gap`` and the first arms of less than that, and both joint arms at most ``max_total`` bases; the joint arms are the new
+    ones. This is repeated until nothing joins. With ``check_reads`` two pairs of reads of both groups must overlap in both arms,
+    too; ``hangs`` then has the reads' arms, of which equal ones are counted first. A merged group has the id of its first
+    one. Islands are worked off apart; in one, candidates come from bins of ``max_total`` by the starts of both arms.
+    """
+    if check_reads and hangs is None:
+        raise ValueError("check_reads needs the hangs of the members")
+    arms = ["start_1", "end_1", "start_2", "end_2"]
+    order = ["island", *arms, "group_id"]
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        by_island: dict[int, list[list]] = {}
-        order = ["island", "start_1", "end_1", "start_2", "end_2", "group_id"]
-        for k, a, b, c, d, g in pdf.sort_values(order)[order].itertuples(index=False, name=None):
-            by_island.setdefault(k, []).append([g, a, b, c, d, [g]])
-        done = [r for rows in by_island.values() for r in settle(rows)]
-        return pd.DataFrame([(*r[:5], old) for r in done for old in r[5]], columns=["group_id", "start_1", "end_1", "start_2", "end_2", "old"])
-
-    marked = islands(groups.withColumn("read_id", F.col("group_id")), max_gap)
+        reads = pdf["reads"] if check_reads else [None] * len(pdf)
+        out: list[tuple] = []
+        rows = sorted(zip(*(pdf[c] for c in order), reads, strict=True), key=lambda r: r[:6])
+        for _, own in groupby(rows, key=lambda r: r[0]):
+            start = [[r[5], *r[1:5], [r[5]], _matrix(r[6])] for r in own]
+            out.extend((*g[:5], old) for g in _settled(start, max_gap, max_total, check_reads) for old in g[5])
+        return pd.DataFrame(out, columns=["group_id", *arms, "old"])
+
+    marked = islands(groups.withColumn("read_id", F.col("group_id")), max_gap).drop("read_id")
+    if check_reads:
+        counted = members.join(hangs.select("read_id", *arms), "read_id").groupBy("group_id", *arms).agg(F.count("*").alias("n"))
+        marked = marked.join(counted.groupBy("group_id").agg(F.collect_list(F.array(*arms, "n")).alias("reads")), "group_id", "left")
     moved = marked.withColumn("_run", F.floor(F.col("island") / ISLANDS)).groupBy(*_PAIR, "_run").applyInPandas(merge, "group_id string, start_1 long, end_1 long, start_2 long, end_2 long, old string")
+    moved = scan.save(moved, "merged_groups")
     new_members = members.join(moved.select(F.col("old").alias("_old"), F.col("group_id").alias("_new")), members["group_id"] == F.col("_old")).select(F.col("_new").alias("group_id"), "read_id").distinct()
-    arms = groups.select("group_id", *_PAIR)
-    merged = moved.select("group_id", "start_1", "end_1", "start_2", "end_2").distinct().join(arms, "group_id")
+    merged = moved.select("group_id", *arms).distinct().join(groups.select("group_id", *_PAIR), "group_id")
     support = new_members.groupBy("group_id").agg(F.count("*").alias("support"))
     return merged.join(support, "group_id").select("group_id", *ARMS, "support"), new_members
 
 
+def _matrix(reads) -> np.ndarray:
+    """Arms and count of a group's reads, a row for each set of equal arms."""
+    return np.array([list(r) for r in reads] if reads is not None else [], dtype=np.int64).reshape(-1, 5)
+
+
+def _two_overlap(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether at least two pairs of reads overlap by more than one base in both arms."""
+    found = 0
+    for r in a if len(a) <= len(b) else b:
+        other = b if len(a) <= len(b) else a
+        both = (r[0] < other[:, 1]) & (other[:, 0] < r[1]) & (r[2] < other[:, 3]) & (other[:, 2] < r[3])
+        found += int(r[4] * other[both, 4].sum())
+        if found >= 2:
+            return True
+    return False
+
+
+def _settled(groups: list[list], max_gap: int, max_total: int, check_reads: bool) -> list[list]:
+    """Sorted groups [id, four arm ends, ids, reads] → what is left when no more can join."""
+    while True:
+        kept: list[list] = []
+        bins: dict[tuple[int, int], list[int]] = {}
+        for g in groups:
+            # joint arms of at most max_total: both starts lie in neighbouring bins, and no kept group starts behind this one
+            p, q = g[1] // max_total, g[3] // max_total
+            near = sorted(k for x in (p - 1, p) for y in (q - 1, q, q + 1) for k in bins.get((x, y), ()))
+            home = next((k for k in near if _joins(kept[k], g, max_gap, max_total) and (not check_reads or _two_overlap(kept[k][6], g[6]))), None)
+            if home is None:
+                bins.setdefault((p, q), []).append(len(kept))
+                kept.append(g)
+            else:
+                h = kept[home]
+                bins[h[1] // max_total, h[3] // max_total].remove(home)
+                kept[home] = h = [h[0], h[1], max(h[2], g[2]), min(h[3], g[3]), max(h[4], g[4]), h[5] + g[5], np.concatenate([h[6], g[6]])]
+                bins.setdefault((h[1] // max_total, h[3] // max_total), []).append(home)
+        if len(kept) == len(groups):
+            return kept
+        groups = kept
+
+
+def _joins(a: list, b: list, max_gap: int, max_total: int) -> bool:
+    if a[2] + max_gap < b[1] or max(a[2], b[2]) - a[1] + 1 > max_total:
+        return False
+    return max(a[3], b[3]) - min(a[4], b[4]) - 1 <= max_gap and max(a[4], b[4]) - min(a[3], b[3]) + 1 <= max_total
+
+
 def group_score(groups: DataFrame, hangs: DataFrame) -> DataFrame:
     """groups with left_cov, right_cov (largest coverage by strand under each arm) and score = support / 2 * (1 / (l + 1) + 1 / (r + 1))."""
     arm = lambda i: F.struct(F.col(f"chr_{i}").alias("contig"), F.col(f"strand_{i}").alias("strand"), F.array(F.struct(F.col(f"start_{i}").alias("first"), F.col(f"end_{i}").alias("second"))).alias("regions"))

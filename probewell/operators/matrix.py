@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import scan
 from .pileup import small
 
 KEY = ["contig", "strand"]
@@ -41,50 +41,62 @@ def matrix_compress(coo: DataFrame, size: DataFrame, bins: int = 40, feature: st
     return grouped.select(*KEY, F.col("bx").alias("x"), F.col("by").alias("y"), value.alias("value"))
 
 
-def background_estimate(coo: DataFrame, around: int = 5) -> DataFrame:
-    """value / (sqrt(bg_x * bg_y) * sqrt(avg_x * avg_y)): bg is the sum of the rows around, avg the row's own; both at least 1."""
+def background_estimate(coo: DataFrame, size: DataFrame, around: int = 5) -> DataFrame:
+    """value / (sqrt(bg_x * bg_y) * sqrt(avg_x * avg_y)): bg is the sum of the rows around over the row's own, avg the row's mean over all
+    places of the contig (``size``: contig, length); row, bg and avg are at least 1 each.
+
+    The rows around come from each row's sum, sent to the places it is around of, so that no task holds a contig.
+    """
     own = coo.groupBy(*KEY, "x").agg(F.sum("value").alias("s"))
-    # absent rows are 0, so a range frame over the rows that exist gives the sum around each
-    w = Window.partitionBy(*KEY).orderBy("x").rangeBetween(-around, around)
-    rows = own.select(*KEY, "x", F.greatest(F.col("s"), F.lit(1.0)).alias("avg"), F.greatest(F.sum("s").over(w) / F.greatest(F.col("s"), F.lit(1.0)), F.lit(1.0)).alias("bg"))
+    sent = own.select(*KEY, "x", F.col("s").alias("own"), F.explode(F.sequence(F.col("x") - around, F.col("x") + around)).alias("at"))
+    # absent rows are 0: they add nothing, and nothing is asked of them
+    sums = sent.groupBy(*KEY, F.col("at").alias("x")).agg(F.sum("own").alias("around"), F.max(F.when(F.col("x") == F.col("at"), F.col("own"))).alias("s")).where("s is not null")
+    rows = sums.join(small(size.select("contig", "length")), "contig").select(*KEY, "x", F.greatest(F.col("s") / F.col("length"), F.lit(1.0)).alias("avg"), F.greatest(F.col("around") / F.greatest("s", F.lit(1.0)), F.lit(1.0)).alias("bg"))
     two = rows.withColumnsRenamed({"x": "y", "avg": "avg_y", "bg": "bg_y"})
     joined = coo.join(rows, [*KEY, "x"]).join(two, [*KEY, "y"])
     return joined.select(*KEY, "x", "y", (F.col("value") / (F.sqrt(F.col("bg") * F.col("bg_y")) * F.sqrt(F.col("avg") * F.col("avg_y")))).alias("value"))
 
 
 def background_quantile(coo: DataFrame, size: DataFrame, ratio: float = 0.6) -> DataFrame:
-    """value less the row quantiles of x and y (zeros counted), at least 0; cells that come to 0 go."""
-    ranked = coo.join(small(size.select("contig", "length")), "contig").withColumn("r", F.row_number().over(Window.partitionBy(*KEY, "x").orderBy(F.desc("value"))))
+    """value less the row quantiles of x and y (zeros counted), at least 0; cells that come to 0 go.
+
+    Equal values of a row are counted first, so a window holds the distinct values of a row.
+    """
+    counted = coo.groupBy(*KEY, "x", "value").agg(F.count("*").alias("c")).join(small(size.select("contig", "length")), "contig")
+    upto = F.sum("c").over(Window.partitionBy(*KEY, "x").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0))
     # ascending rank floor(ratio * n) of n cells, the present ones at the top
     wanted = F.col("length") - F.floor(F.lit(ratio) * F.col("length"))
-    q = ranked.groupBy(*KEY, "x").agg(F.coalesce(F.max(F.when(F.col("r") == wanted, F.col("value"))), F.lit(0.0)).alias("q"))
+    ranked = counted.withColumn("r", upto)
+    q = ranked.groupBy(*KEY, "x").agg(F.coalesce(F.max(F.when((F.col("r") - F.col("c") < wanted) & (wanted <= F.col("r")), F.col("value"))), F.lit(0.0)).alias("q"))
     two = q.withColumnsRenamed({"x": "y", "q": "q_y"})
     joined = coo.join(q, [*KEY, "x"]).join(two, [*KEY, "y"])
     return joined.select(*KEY, "x", "y", (F.col("value") - F.col("q") - F.col("q_y")).alias("value")).where("value > 0")
 
 
-def _ranked(coo: DataFrame) -> tuple[DataFrame, int]:
-    from .qc import global_index
-
-    rows = global_index(coo.where("value <> 0"), "value", "contig", "strand", "x", "y")
-    return rows, rows.count()
+def _picked(coo: DataFrame, places, least: int, what: str) -> tuple[list[int], list[float]]:
+    """The 0-based ascending ranks ``places(n)`` of the n values, and the values there. Equal values are counted before they are sorted."""
+    counted = scan.save(coo.groupBy(F.col("value").alias("v")).agg(F.count("*").alias("c")), "values")
+    n = counted.agg(F.sum("c")).first()[0] or 0
+    if n < least:
+        raise ValueError(f"a matrix of fewer than {least} {what}")
+    at = places(n)
+    rows = scan.ranks(counted, [], F.col("v").asc())
+    hit = F.explode(F.array(*[F.lit(k).cast("long") for k in sorted(set(at))]))
+    found = rows.select("v", "c", "r", hit.alias("k")).where("r <= k and k < r + c").select("k", "v").collect()  # one row for each rank
+    known = {r.k: float(r.v) for r in found}
+    return at, [known[k] for k in at]
 
 
 def matrix_quantiles(coo: DataFrame, parts: int = 20) -> DataFrame:
-    """quantile (1..parts), value: the non-zero value at rank floor(n * k / parts); under 30 values is an error."""
-    rows, n = _ranked(coo)
-    if n < 30:
-        raise ValueError("a matrix of fewer than 30 non-zero cells has no quantiles")
-    at = {min(n * k // parts, n - 1): k for k in range(1, parts + 1)}
-    return rows.where(F.col("at").isin(*at)).select(F.element_at(F.create_map(*[F.lit(v) for p in at.items() for v in p]), F.col("at").cast("int")).alias("quantile"), "value")
+    """quantile (0..parts), value: of the values over 0 the one at rank floor(n * k / parts), and the largest for the last; under 30 is an error."""
+    _, values = _picked(coo.where("value > 0"), lambda n: [min(int(k / parts * n), n - 1) for k in range(parts)] + [n - 1], 30, "cells over 0 has no quantiles")
+    return coo.sparkSession.createDataFrame(list(enumerate(values)), "quantile int, value double")
 
 
 def matrix_normalize(coo: DataFrame, lower: float = 0.01, upper: float = 0.5, min_value: float = 0.0) -> DataFrame:
     """0..1 between the values at two ratios of the ranks above ``min_value``: 1 above, null below; under 40 values is an error."""
-    rows, n = _ranked(coo.where(F.col("value") > min_value))
-    if n < 40:
-        raise ValueError("a matrix of fewer than 40 cells is not normalised")
-    lo, hi = (float(rows.where(F.col("at") == min(int(n * r), n - 1)).first()["value"]) for r in (lower, upper))
+    coo = scan.save(coo, "matrix")  # read for the ranks and for the result
+    _, (lo, hi) = _picked(coo.where(F.col("value") > min_value), lambda n: [min(int(n * r), n - 1) for r in (lower, upper)], 40, "cells is not normalised")
     v = F.col("value")
     return coo.withColumn("value", F.when(v > hi, 1.0).when(v <= lo, None).otherwise((v - lo) / (hi - lo)))
 
@@ -101,47 +113,113 @@ def matrix_mask_noncanonical(coo: DataFrame, seqs: DataFrame) -> DataFrame:
 
 
 def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_win: int = 50, max_win: int = 200, perceive: float = 100.0, extend: float = 20.0) -> DataFrame:
-    """contig, strand, x0, x1, y0, y1, score: peaks of the upper triangle, best first, grown while an edge has enough signal.
+    """contig, strand, x0, x1, y0, y1, score, x_max, y_max: boxes around peaks of the matrix, x0..x1 before y0..y1, and their largest cell.
 
-    A window of ``min_win`` bases a side whose sum is at least ``perceive`` and whose sides lie ``min_dist`` apart is a call; it
-    grows by a row or a column while that adds ``extend``, up to ``max_win``; its cells are then used up. Calls of a contig
-    depend on one another, so each contig and strand is one task; contigs are RNAs, and the table is sparse.
-    """
+    Only cells with y - x of at least ``min_win`` + ``min_dist`` count. Windows on a grid of ``min_win`` (its corners that far apart, too) are looked
+    through by rising y, then x. One with a cell of at least ``perceive`` is a call: a window is centred on its largest cell (of equals
+    the one with the smallest y, then x), and again on the largest cell there, until that stays. Its sides then grow one
+    after another, a base at a time, while the outermost line holds a cell whose whole part is at least ``extend``, the side is
+    under ``max_win`` and the box ends ``min_dist`` before it begins in y. The cells of the box are used up, and the scan goes on.
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y, v = (pdf[c].to_numpy() for c in ("x", "y", "value"))
-        keep = y - x >= min_dist
-        x, y, v = x[keep].astype(int), y[keep].astype(int), v[keep].astype(float).copy()
-        n = int(pdf["length"].iloc[0])
-        inside = lambda a, b, c, d: (x >= a) & (x <= b) & (y >= c) & (y <= d)
-        total = lambda *box: float(v[inside(*box)].sum())
-        out = []
-        order = np.lexsort((y, x))
-        for k in order:
-            if v[k] <= 0:
-                continue
-            box = [x[k], min(x[k] + min_win - 1, n), y[k], min(y[k] + min_win - 1, n)]
-            if box[2] - box[1] < min_dist or total(*box) < perceive:
-                continue
-            grown = True
-            while grown:
-                grown = False
-                a, b, c, d = box
-                for edge, new in (((a - 1, a - 1, c, d), [a - 1, b, c, d]), ((b + 1, b + 1, c, d), [a, b + 1, c, d]), ((a, b, c - 1, c - 1), [a, b, c - 1, d]), ((a, b, d + 1, d + 1), [a, b, c, d + 1])):
-                    if new == box or new[0] < 1 or new[3] > n or new[1] - new[0] >= max_win or new[3] - new[2] >= max_win or new[2] - new[1] < min_dist:
-                        continue
-                    if total(*edge) >= extend:
-                        box, grown = new, True
-                        break
-            out.append((*box, total(*box)))
-            v[inside(*box)] = 0.0
-        frame = pd.DataFrame(out, columns=["x0", "x1", "y0", "y1", "score"])
+    Cells under both thresholds change nothing but a box's extent, so only the others are looked at; cells further than
+    ``max_win`` apart in a coordinate have nothing to do with each other, so runs of them are worked off apart.
+    """
+    if min(perceive, extend) <= 0:
+        raise ValueError("thresholds must be positive")
+    floor = min(perceive, extend)
+    strong = coo.where((F.col("value") >= floor) & (F.col("y") - F.col("x") >= min_win + min_dist)).join(small(size.select("contig", "length")), "contig")
+    # cut by gaps in x, then in y, then in x again: what is left in one piece may depend on one another
+    rows = strong.select(*KEY, "length", "x", "y", "value", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+    rows = scan.runs(rows, KEY, "x", "x", max_win, ("y",), "i").drop("a").withColumnRenamed("i", "a")
+    rows = scan.runs(rows, [*KEY, "a"], "y", "y", max_win, ("x",), "i").drop("b").withColumnRenamed("i", "b")
+    rows = scan.runs(rows, [*KEY, "a", "b"], "x", "x", max_win, ("y",), "c")
+
+    def calls(pdf: pd.DataFrame) -> pd.DataFrame:
+        cells = dict(zip(zip(pdf["y"].astype(int) - 1, pdf["x"].astype(int) - 1, strict=True), pdf["value"].astype(float), strict=True))
+        found = Peaks(cells, int(pdf["length"].iloc[0]), min_dist, min_win, max_win, perceive, extend).scan()
+        frame = pd.DataFrame(found, columns=["x0", "x1", "y0", "y1", "score", "x_max", "y_max"])
         frame.insert(0, "contig", pdf["contig"].iloc[0])
         frame.insert(1, "strand", pdf["strand"].iloc[0])
         return frame
 
-    rows = coo.where(F.col("y") > F.col("x")).join(small(size.select("contig", "length")), "contig")
-    return rows.groupBy(*KEY).applyInPandas(scan, "contig string, strand string, x0 long, x1 long, y0 long, y1 long, score double")
+    schema = "contig string, strand string, x0 long, x1 long, y0 long, y1 long, score double, x_max long, y_max long"
+    return rows.groupBy(*KEY, "a", "b", "c").applyInPandas(calls, schema)
+
+
+class Peaks:
+    """The cells of one island, 0-based and keyed by (y, x), in bins of the window size."""
+
+    def __init__(self, cells: dict[tuple[int, int], float], n: int, min_dist: int, min_win: int, max_win: int, perceive: float, extend: float):
+        self.cells, self.n, self.dist, self.win, self.most, self.perceive, self.extend = cells, n, min_dist, min_win, max_win, perceive, extend
+        self.bins: dict[tuple[int, int], set] = {}
+        for at in cells:
+            self.bins.setdefault((at[0] // min_win, at[1] // min_win), set()).add(at)
+
+    def inside(self, y0: int, y1: int, x0: int, x1: int) -> list[tuple[int, int]]:
+        """The cells left with y0 <= y < y1 and x0 <= x < x1."""
+        w = self.win
+        found = (at for b in range(y0 // w, (y1 - 1) // w + 1) for c in range(x0 // w, (x1 - 1) // w + 1) for at in self.bins.get((b, c), ()))
+        return [at for at in found if y0 <= at[0] < y1 and x0 <= at[1] < x1]
+
+    def top(self, *box: int) -> tuple[float, tuple[int, int] | None]:
+        best = min(((-self.cells[at], at) for at in self.inside(*box)), default=None)
+        return (-best[0], best[1]) if best else (0.0, None)
+
+    def line(self, *box: int) -> bool:
+        """Whether a line of the box holds enough for another one."""
+        return int(self.top(*box)[0]) >= self.extend
+
+    def window(self, at: tuple[int, int]) -> tuple[int, int]:
+        return max(at[0] - self.win // 2, 0), max(at[1] - self.win // 2, 0)
+
+    def scan(self) -> list[tuple]:
+        out, w = [], self.win
+        for b, c in sorted(self.bins):
+            if c * w + w + self.dist > b * w:
+                continue
+            while True:
+                value, at = self.top(b * w, (b + 1) * w, c * w, (c + 1) * w)
+                if value < self.perceive:
+                    break
+                out.append(self.call(at))
+        return out
+
+    def call(self, at: tuple[int, int]) -> tuple:
+        while True:
+            y, x = self.window(at)
+            _, again = self.top(y, min(y + self.win, self.n), x, min(x + self.win, self.n))
+            if again == at:
+                break
+            at = again
+        y, x, tall, wide = self.grown(y, x)
+        box = (y, min(y + tall, self.n), x, min(x + wide, self.n))
+        value, (my, mx) = self.top(*box)
+        for cell in self.inside(*box):
+            self.bins[cell[0] // self.win, cell[1] // self.win].discard(cell)
+            del self.cells[cell]
+        return box[2] + 1, box[3], box[0] + 1, box[1], value, mx + 1, my + 1
+
+    def grown(self, y: int, x: int) -> tuple[int, int, int, int]:
+        """Corner and sides of the box once no side can grow: lower y, lower x, upper y and upper x take turns."""
+        n, tall, wide = self.n, self.win, self.win
+        sides = [True] * 4
+        while any(sides):
+            for k in range(4):
+                if not sides[k]:
+                    continue
+                far_x, far_y = min(x + wide, n), min(y + tall, n)
+                free = x + wide + self.dist < y
+                if k == 0 and free and y > 0 and tall < self.most and self.line(y, y + 1, x, far_x):
+                    y, tall = y - 1, tall + 1
+                elif k == 1 and free and x > 0 and wide < self.most and self.line(y, far_y, x, x + 1):
+                    x, wide = x - 1, wide + 1
+                elif k == 2 and free and y + tall <= n and tall < self.most and self.line(far_y - 1, far_y, x, far_x):
+                    tall += 1
+                elif k == 3 and free and wide < self.most and self.line(y, far_y, far_x - 1, far_x):
+                    wide += 1
+                else:
+                    sides[k] = False
+        return y, x, tall, wide
 
 
 def alignment_coords(aln: DataFrame) -> DataFrame:
@@ -167,9 +245,21 @@ def matrix_mask_gaps(coo: DataFrame, coords: DataFrame, width: int, bins: int, r
     return rows.select(*KEY, "x", "y", F.when(F.col("ok_x").isNotNull() & F.col("ok_y").isNotNull(), F.col("value")).alias("value"))
 
 
-def compress_regions(regions: DataFrame, size: int, bins: int) -> DataFrame:
-    """(name, first, second) scaled to bins; a region starts behind the one before it."""
-    at = lambda c: F.floor((F.col(c) - 1) * bins / size) + 1
-    rows = regions.select("name", at("first").alias("a"), at("second").alias("b"), "first")
-    before = F.lag("b").over(Window.partitionBy(F.lit(0)).orderBy("first"))  # a handful of domains
-    return rows.select("name", F.greatest("a", F.coalesce(before + 1, F.lit(1))).alias("first"), F.col("b").alias("second"))
+def compress_regions(regions: DataFrame, size: DataFrame, bins: int) -> DataFrame:
+    """(contig, name, first, second), sorted and disjoint in a contig, scaled to bins of the contig's ``size`` (contig, length).
+
+    Both ends are divided by length / bins and rounded, halves upwards; the first start is at least 1 and the last end at most
+    ``bins``. A region that starts in the last bin of the one before starts one later, or goes if it lies in that bin only.
+    Overlapping regions are an error.
+    """
+    order = Window.partitionBy("contig").orderBy("first", "second")  # the domains of one RNA
+    rows = regions.join(small(size.select("contig", "length")), "contig")
+    step = F.col("length") / F.lit(float(bins))
+    at = lambda c: F.floor(F.col(c) / step + 0.5).cast("long")
+    disjoint = F.coalesce(F.lag("second").over(order) < F.col("first"), F.lit(True)) & (F.col("first") <= F.col("second"))
+    checked = rows.select("contig", "name", "first", "second", F.when(disjoint, at("first")).otherwise(F.raise_error(F.lit("regions overlap")).cast("long")).alias("a"), at("second").alias("b"), F.row_number().over(order).alias("i"), F.lead("first").over(order).isNull().alias("last"))
+    ends = checked.withColumn("a", F.when(F.col("i") == 1, F.greatest("a", F.lit(1))).otherwise(F.col("a"))).withColumn("b", F.when(F.col("last"), F.least("b", F.lit(bins))).otherwise(F.col("b")))
+    # an erased region ends where the one before it ends, so the one before in the input tells the same as the one that is left
+    touch = (F.lag("b").over(order) == F.col("a")).alias("touch")
+    kept = ends.select("contig", "name", "a", "b", "i", touch).where("not coalesce(touch, false) or a <> b")
+    return kept.select("contig", "name", F.when(F.col("touch"), F.col("a") + 1).otherwise(F.col("a")).alias("first"), F.col("b").alias("second"))

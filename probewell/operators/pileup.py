@@ -93,34 +93,26 @@ def combine_junctions(junctions: DataFrame, sizes: DataFrame) -> DataFrame:
     """Junctions of each contig and strand without overlaps.
 
     In order of (first, second): of overlapping ones the best supported stays; then one beyond the contig goes and two
-    that touch become one (each is merged with its successor once, as a chain of three merges in pairs). The fold is
-    sequential, so it runs once for each contig and strand, over a table of distinct introns.
+    that touch become one (each is merged with its successor once, as a chain of three merges in pairs). Overlaps are settled
+    inside a run of overlapping introns, so that no task holds a contig.
     """
+    from . import scan
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        size = int(pdf["length"].iloc[0])
-        rows = sorted(pdf[["first", "second", "support"]].itertuples(index=False, name=None))
-        best: list[list[int]] = []
-        for a, b, n in rows:
-            if best and best[-1][0] <= b and a <= best[-1][1]:
-                if n > best[-1][2]:
-                    best[-1] = [a, b, n]
-            else:
-                best.append([a, b, n])
-        best = sorted(r for r in best if r[1] <= size + 1)
-        i = 0
-        while i < len(best) - 1:
-            a, b, n = best[i]
-            c, d, m = best[i + 1]
-            if a <= d + 1 and c <= b + 1:
-                best[i] = [min(a, c), max(b, d), max(n, m)]
-                del best[i + 1]
-            i += 1
-        out = pd.DataFrame(best, columns=["first", "second", "support"])
-        return out.assign(contig=pdf["contig"].iloc[0], strand=pdf["strand"].iloc[0])[["contig", "strand", "first", "second", "support"]]
-
-    rows = junctions.join(small(sizes.select("contig", "length")), "contig")
-    return rows.groupBy("contig", "strand").applyInPandas(fold, "contig string, strand string, first long, second long, support long")
+    key = ["contig", "strand"]
+    rows = junctions.join(small(sizes.select("contig", "length")), "contig").select(*key, "length", "first", "second", F.col("support").cast("long").alias("support"))
+    marked = scan.runs(rows, key, "first", "second", 0, ("support",))
+    run = F.array_sort(F.collect_list(F.struct("first", "second", "support")))
+    kind = "array<struct<first:bigint,second:bigint,support:bigint>>"
+
+    def fold(kept, x):
+        last = F.element_at(kept, -1)
+        better = F.when(x["support"] > last["support"], F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(x))).otherwise(kept)
+        return F.when(F.size(kept) == 0, F.array(x)).when(x["first"] <= last["second"], better).otherwise(F.concat(kept, F.array(x)))
+
+    best = marked.groupBy(*key, "length", "island").agg(run.alias("run")).select(*key, "length", F.inline(F.aggregate(F.col("run").cast(kind), F.expr(f"cast(array() as {kind})"), fold)))
+    touching = scan.runs(best.where("second <= length + 1").drop("length"), key, "first", "second", 1)
+    pair = F.floor((F.row_number().over(Window.partitionBy(*key, "island").orderBy("first")) - 1) / 2)
+    return touching.withColumn("_pair", pair).groupBy(*key, "island", "_pair").agg(F.min("first").alias("first"), F.max("second").alias("second"), F.max("support").alias("support")).drop("island", "_pair")
 
 
 def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame, ext: int = 0) -> DataFrame:

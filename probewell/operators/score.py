@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import scan
 from .coords import interval_join
 from .pileup import small
 
@@ -30,34 +31,33 @@ def _rank_range(sample: str, index: int, n):
 
 def scaling_factor(df: DataFrame, value: str, by: list[str], sample: str = "decile", index: int = 2, calc: str = "median") -> DataFrame:
     """by + factor: median, mean or peak of a rank range of the values, sorted downwards; 1 where the range is empty."""
+    return _factor_of(_counted(df.select(*by, F.col(value).cast("double").alias("v")), by), by, sample, index, calc)
+
+
+def _counted(values: DataFrame, by: list[str]) -> DataFrame:
+    """by, v, c: equal values are counted before anything is sorted."""
+    return values.groupBy(*by, "v").agg(F.count("*").alias("c"))
+
+
+def _factor_of(counted: DataFrame, by: list[str], sample: str, index: int, calc: str) -> DataFrame:
     if calc not in ("median", "mean", "peak"):
         raise ValueError("calc must be median, mean or peak")
-    rows = _ranks(df.select(*by, F.col(value).cast("double").alias("v")), by, F.col("v").desc_nulls_last())
+    valued, positive = F.when(F.col("v").isNotNull(), F.col("c")).otherwise(0), F.when(F.col("v") > 0, F.col("c")).otherwise(0)
+    rows = scan.ranks(counted, by, F.col("v").desc_nulls_last(), valued=valued, positive=positive)
+    # values stand in falling order, nulls last: the range taken is [lo, hi) of the ranks, as far as there are values
     if sample == "smart":
-        taken = F.when(F.col("v") > 0, F.col("c")).otherwise(0)
+        lo, hi = F.lit(0), F.col("positive")
     else:
         lo, hi = _rank_range(sample, index, F.col("n"))
-        taken = F.greatest(F.least(F.col("r") + F.col("c"), hi) - F.greatest("r", lo), F.lit(0))
-    rows = rows.withColumn("t", F.when(F.col("v").isNull(), 0).otherwise(taken).cast("long"))
-    upto = F.sum("t").over(Window.partitionBy(*by).orderBy(F.col("v").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("b", upto - F.col("t")).withColumn("m", F.sum("t").over(Window.partitionBy(*by)))
-    at = lambda k: F.max(F.when((F.col("b") <= k) & (k < F.col("b") + F.col("t")), F.col("v")))
-    half = F.floor(F.col("m") / 2)
-    found = {"median": (at(half) + at(F.floor((F.col("m") - 1) / 2))) / 2, "mean": F.sum(F.col("v") * F.col("t")) / F.nullif(F.sum("t"), F.lit(0)), "peak": F.max(F.when(F.col("t") > 0, F.col("v")))}[calc]
+        hi = F.least(hi, F.col("valued"))
+    rows = rows.withColumns({"lo": lo.cast("long"), "hi": hi.cast("long")}).withColumn("m", F.greatest(F.col("hi") - F.col("lo"), F.lit(0)))
+    taken = F.greatest(F.least(F.col("r") + F.col("c"), "hi") - F.greatest("r", "lo"), F.lit(0))
+    at = lambda k: F.max(F.when((F.col("m") > 0) & (F.col("r") <= F.col("lo") + k) & (F.col("lo") + k < F.col("r") + F.col("c")), F.col("v")))
+    half, below = F.floor(F.col("m") / 2), F.floor((F.col("m") - 1) / 2)
+    found = {"median": (at(half) + at(below)) / 2, "mean": F.sum(F.col("v") * taken) / F.nullif(F.sum(taken), F.lit(0)), "peak": F.max(F.when(taken > 0, F.col("v")))}[calc]
     return rows.groupBy(*by).agg(F.coalesce(found, F.lit(1.0)).alias("factor"))
 
 
-def _ranks(values: DataFrame, by: list[str], order: Column) -> DataFrame:
-    """by, v, c (rows of that value), r (rows before them in ``order``), n (rows of the group).
-
-    Equal values are counted before the shuffle, so a window holds a group's distinct values, not its rows.
-    """
-    w = Window.partitionBy(*by)
-    counted = values.groupBy(*by, "v").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return counted.withColumn("r", upto - F.col("c")).withColumn("n", F.sum("c").over(w))
-
-
 def enrich_ctrl(df: DataFrame, method: str = "complex", sub: float = 0.25, div: float = 10.0, add: float = 1.0, factors: tuple = ("n_rt_f", "n_bd_f", "d_rt_f", "d_bd_f")) -> DataFrame:
     """df with ``score`` from n_rt, n_bd, d_rt, d_bd, each divided by its factor column where there is one."""
     if method not in METHODS:
@@ -86,22 +86,34 @@ def sink_score(df: DataFrame, value: str, by: list[str], index: float = 0.0) ->
     """Subtract the value at ascending rank floor(index * n); nulls count as the lowest values and stay null."""
     if index == 0:
         return df
-    ranks = _ranks(df.select(*by, F.col(value).alias("v")), by, F.col("v").asc_nulls_first())
-    at = F.least(F.floor(F.col("n") * index), F.col("n") - 1)
-    base = ranks.groupBy(*by).agg(F.max(F.when((F.col("r") <= at) & (at < F.col("r") + F.col("c")), F.col("v"))).alias("_base"))
+    base = _sink_base(_counted(df.select(*by, F.col(value).alias("v")), by), by, index)
     return df.join(small(base), by).withColumn(value, F.col(value) - F.coalesce("_base", F.lit(0.0))).drop("_base")
 
 
+def _sink_base(counted: DataFrame, by: list[str], index: float) -> DataFrame:
+    """by + _base, the value at that rank; null if a null stands there."""
+    ranked = scan.ranks(counted, by, F.col("v").asc_nulls_first())
+    at = F.least(F.floor(F.col("n") * index), F.col("n") - 1)
+    return ranked.groupBy(*by).agg(F.max(F.when((F.col("r") <= at) & (at < F.col("r") + F.col("c")), F.col("v"))).alias("_base"))
+
+
 def winsorize(df: DataFrame, value: str, by: list[str], factor: float = 0.05, min_n: int = 20) -> DataFrame:
     """``value`` scaled to 0..1 between its ranks floor(f*n) and n-1-floor(f*n); null in groups of under ``min_n`` values."""
-    ranked = _ranks(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v")), by, F.col("v").asc())
+    bounds = _winsor_bounds(_counted(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v")), by), by, factor)
+    return df.join(bounds, by, "left").withColumn(value, _winsorized(F.col(value), min_n)).drop("_lo", "_hi", "_n")
+
+
+def _winsor_bounds(counted: DataFrame, by: list[str], factor: float) -> DataFrame:
+    """by + _lo, _hi, _n of values without nulls."""
+    ranked = scan.ranks(counted, by, F.col("v").asc())
     cut = F.floor(F.lit(factor) * F.col("n"))
     at = lambda k: F.max(F.when((F.col("r") <= k) & (k < F.col("r") + F.col("c")), F.col("v")))
-    bounds = ranked.groupBy(*by).agg(at(cut).alias("_lo"), at(F.col("n") - 1 - cut).alias("_hi"), F.max("n").alias("_n"))
-    joined = df.join(bounds, by, "left").withColumn("_lo", F.greatest("_lo", F.lit(0.0)))
-    x = (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    scaled = F.when(F.col(value).isNotNull() & (F.col("_n") >= min_n) & (F.col("_lo") < F.col("_hi")), F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
-    return joined.withColumn(value, scaled).drop("_lo", "_hi", "_n")
+    return ranked.groupBy(*by).agg(F.greatest(at(cut), F.lit(0.0)).alias("_lo"), at(F.col("n") - 1 - cut).alias("_hi"), F.max("n").alias("_n"))
+
+
+def _winsorized(value: Column, min_n: int = 20) -> Column:
+    x = (value - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    return F.when(value.isNotNull() & (F.col("_n") >= min_n) & (F.col("_lo") < F.col("_hi")), F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
 
 
 def valid_cov(df: DataFrame, by: list[str], bd: str, rt: str, min_bd: float = 50, min_rt: float = 1.0) -> DataFrame:
@@ -121,24 +133,26 @@ def mean_score(values: DataFrame, by: list[str], value: str = "score") -> DataFr
     return values.groupBy(*by).agg(F.when((n >= 2) & (good > F.floor(n / 2)), F.avg(value)).alias("score"), F.when(n >= 2, good).otherwise(0).cast("long").alias("valid_count"))
 
 
+_KEY = ["contig", "strand"]
+
+
 def whole_contig_score(counts: DataFrame, sizes: DataFrame, enrich: str = "complex", sample: str = "decile", index: int = 2, calc: str = "median", winsor: float = 0.05, head: int = 5, tail: int = 30, min_size: int = 50, min_bd: float = 50, min_rt: float = 1.0) -> DataFrame:
     """One window for each contig and strand: array places 0..size-31. Scores stand at 6..size-31, rows at 1..size-1.
 
-    Contigs under 50 bases are left out. The dense axis is the sequence of a contig's places, joined with the counts.
+    Contigs under 50 bases are left out. All statistics come from the places with counts and the number of the others, which
+    are zeros; the dense axis is only spread for the result.
     """
-    key = ["contig", "strand"]
     names = ["n_rt", "n_bd", "d_rt", "d_bd"]
-    full = _dense(counts, sizes, names, min_size).persist()  # read seven times
-    window = full.where(F.col("pos") <= F.col("length") - tail - 1)
-    valid = valid_cov(window, key, "d_bd", "n_rt", min_bd, min_rt)
-    scaled = window.join(small(valid.where("valid").drop("valid")), key, "left_semi")
-    factors = None
-    for c in names:
-        f = scaling_factor(scaled, c, key, sample, index, calc).select(*key, F.when(F.col("factor") == 0, 1.0).otherwise(F.col("factor")).alias(f"{c}_f"))
-        factors = f if factors is None else factors.join(f, key)
-    scored = winsorize(enrich_ctrl(scaled.join(small(factors), key), enrich), "score", key, winsor)
-    kept = scored.where(F.col("pos") > head).select(*key, "pos", "score")
-    return full.where("pos >= 1").join(kept, [*key, "pos"], "left").select(*key, "pos", *names, "score")
+    rows, window, valid = _whole(counts, sizes, names, min_size, tail, "d_bd", "n_rt", min_bd, min_rt)
+    inside = window.join(small(valid.select(*_KEY)), _KEY)
+    values = inside.select(*_KEY, F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in names])))
+    counted = values.groupBy(*_KEY, "name", "v").agg(F.count("*").alias("c"))
+    zeros = valid.select(*_KEY, F.explode(F.array(*map(F.lit, names))).alias("name"), F.lit(0.0).alias("v"), F.col("absent").alias("c")).where("c > 0")
+    counted = counted.unionByName(zeros).groupBy(*_KEY, "name", "v").agg(F.sum("c").alias("c"))
+    factors = _factor_of(counted, [*_KEY, "name"], sample, index, calc).withColumn("factor", F.when(F.col("factor") == 0, 1.0).otherwise(F.col("factor")))
+    groups = scan.save(valid.join(factors.groupBy(*_KEY).agg(*[F.max(F.when(F.col("name") == c, F.col("factor"))).alias(f"{c}_f") for c in names]), _KEY), "factors")
+    scored = enrich_ctrl(_weighted(inside.select(*_KEY, *names), groups, names), enrich)
+    return _spread(rows, sizes, names, groups, scored, lambda df: enrich_ctrl(df, enrich), winsor, head, tail, min_size)
 
 
 def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt", sink: float = 0.0, winsor: float = 0.05, min_cov: float = 100, head: int = 5, tail: int = 30, min_size: int = 50, min_bd: float = 50, min_rt: float = 1.0) -> DataFrame:
@@ -146,23 +160,64 @@ def whole_contig_noctrl(counts: DataFrame, sizes: DataFrame, enrich: str = "rt",
 
     A score needs a coverage of ``min_cov``. Contigs under 50 bases are left out.
     """
-    key = ["contig", "strand"]
-    full = _dense(counts, sizes, ["rt", "bd"], min_size)
-    window = full.where(F.col("pos") <= F.col("length") - tail - 1)
-    valid = valid_cov(window, key, "bd", "rt", min_bd, min_rt).where("valid").drop("valid")
-    scaled = window.join(small(valid), key, "left_semi")
-    scored = winsorize(sink_score(enrich_noctrl(scaled, enrich), "score", key, sink), "score", key, winsor)
-    kept = scored.where((F.col("pos") > head) & (F.col("bd") >= min_cov)).select(*key, "pos", "score")
-    return full.where("pos >= 1").join(kept, [*key, "pos"], "left").select(*key, "pos", "rt", "bd", "score")
+    names = ["rt", "bd"]
+    rows, window, valid = _whole(counts, sizes, names, min_size, tail, "bd", "rt", min_bd, min_rt)
+    inside = window.join(small(valid.select(*_KEY)), _KEY)
+    groups, base = valid, F.lit(0.0)
+    if sink:
+        weighted = enrich_noctrl(_weighted(inside.select(*_KEY, *names), valid, names), enrich)
+        found = _sink_base(weighted.groupBy(*_KEY, F.col("score").alias("v")).agg(F.sum("c").alias("c")), _KEY, sink)
+        groups, base = scan.save(valid.join(found, _KEY), "sinks"), F.coalesce("_base", F.lit(0.0))
+    score = lambda df: enrich_noctrl(df, enrich).withColumn("score", F.col("score") - base)
+    scored = score(_weighted(inside.select(*_KEY, *names), groups, names))
+    return _spread(rows, sizes, names, groups, scored, score, winsor, head, tail, min_size, F.col("bd") >= min_cov)
 
 
-def _dense(counts: DataFrame, sizes: DataFrame, names: list[str], min_size: int) -> DataFrame:
-    """A row for each place 0..length-1 of a contig and strand with counts; 0 where there is none."""
-    key = ["contig", "strand"]
-    axis = sizes.where(F.col("length") >= min_size).select("contig", F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"), F.col("length").cast("long").alias("length"))
-    axis = axis.join(small(counts.select(*key).distinct()), key, "left_semi")
-    places = axis.select(*key, "length", F.explode(F.expr("sequence(0L, length - 1)")).alias("pos"))
-    return places.join(counts.select(*key, "pos", *names), [*key, "pos"], "left").fillna(0, names)
+def _whole(counts: DataFrame, sizes: DataFrame, names: list[str], min_size: int, tail: int, bd: str, rt: str, min_bd: float, min_rt: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The counts on contigs that are long enough, those inside the window, and the contigs and strands with enough of them.
+
+    The counts are saved, as all statistics read them. ``absent``: places of the window without counts.
+    """
+    lengths = sizes.where(F.col("length") >= min_size).select("contig", F.col("length").cast("long").alias("length"))
+    rows = scan.save(counts.select(*_KEY, "pos", *names).join(small(lengths), "contig").where("pos between 0 and length - 1"), "counts")
+    window = rows.where(F.col("pos") <= F.col("length") - tail - 1)
+    places = F.greatest(F.col("length") - tail, F.lit(0))
+    enough = F.sum(F.when(F.col(bd) >= min_bd, 1).otherwise(0)) > F.floor(places / 2)
+    mean = F.sum(rt) / F.nullif(places, F.lit(0))
+    valid = window.groupBy(*_KEY, "length").agg((enough & (mean >= min_rt)).alias("valid"), (places - F.count("*")).alias("absent")).where("valid")
+    return rows, window, scan.save(valid.select(*_KEY, "absent"), "valid")
+
+
+def _weighted(rows: DataFrame, groups: DataFrame, names: list[str]) -> DataFrame:
+    """The rows with weight c = 1 and the columns of their group, and a row of zeros with the group's absent places as its weight."""
+    zero = groups.select(*_KEY, *[F.lit(0).cast("long").alias(n) for n in names], F.col("absent").alias("c")).where("c > 0")
+    return rows.withColumn("c", F.lit(1).cast("long")).unionByName(zero).join(small(groups.drop("absent")), _KEY)
+
+
+def _spread(rows: DataFrame, sizes: DataFrame, names: list[str], groups: DataFrame, scored: DataFrame, score, winsor: float, head: int, tail: int, min_size: int, also: Column | None = None) -> DataFrame:
+    """All places 1..length-1 of contigs and strands with counts, with the winsorised ``score``."""
+    values = scored.where("score is not null").groupBy(*_KEY, F.col("score").alias("v")).agg(F.sum("c").alias("c"))
+    bounds = scan.save(groups.join(_winsor_bounds(values, _KEY, winsor), _KEY, "left").withColumn("_go", F.lit(True)), "bounds")
+    dense = score(_dense(rows, sizes, names, min_size).where("pos >= 1").join(small(bounds), _KEY, "left"))
+    shown = F.col("_go") & (F.col("pos") > head) & (F.col("pos") <= F.col("length") - tail - 1)
+    shown = shown if also is None else shown & also
+    return dense.select(*_KEY, "pos", *names, F.when(shown, _winsorized(F.col("score"))).alias("score"))
+
+
+def _dense(counts: DataFrame, sizes: DataFrame, names: list[str], min_size: int, tile: int = 1 << 16) -> DataFrame:
+    """A row for each place 0..length-1 of a contig and strand with counts; 0 where there is none.
+
+    Only the counts and one mark for each tile are shuffled: in its tile a row also stands for the empty places up to the next one.
+    """
+    key = [*_KEY, "tile"]
+    lengths = sizes.where(F.col("length") >= min_size).select("contig", F.col("length").cast("long").alias("length"))
+    marks = counts.select(*_KEY).distinct().join(small(lengths), "contig").select(*_KEY, "length", F.explode(F.expr(f"sequence(0L, (length - 1) div {tile})")).alias("tile"))
+    marks = marks.select(*key, "length", (F.col("tile") * tile).alias("pos"), *[F.lit(0).cast("long").alias(n) for n in names], F.lit(0).alias("real"))
+    real = counts.select(*_KEY, F.expr(f"pos div {tile}").alias("tile"), "length", "pos", *[F.col(n).cast("long").alias(n) for n in names], F.lit(1).alias("real"))
+    after = F.lead("pos").over(Window.partitionBy(*key).orderBy("pos", "real"))
+    rows = marks.unionByName(real).withColumn("_next", F.coalesce(after, F.least(F.lit(tile) * (F.col("tile") + 1), "length"))).where("_next > pos")
+    every = rows.withColumn("_at", F.explode(F.expr("sequence(pos, _next - 1)")))
+    return every.select(*_KEY, "length", F.col("_at").alias("pos"), *[F.when(F.col("_at") == F.col("pos"), F.col(n)).otherwise(0).alias(n) for n in names])
 
 
 # ---- sliding windows -------------------------------------------------------------------------------------------------
@@ -254,19 +309,89 @@ def score_windows_noctrl(rt, bd, mask=None, enrich="rt", add=1.0, sink=0.0, wins
     return out
 
 
-def window_starts(low: np.ndarray, first: int, size: int, wsize: int, wstep: int, jump: int) -> np.ndarray:
-    """Starts of the data-dependent grid on an axis of ``size`` places: after a low window the step is ``jump``.
+def tile_map(low: np.ndarray, wstep: int, jump: int, first: bool = False) -> np.ndarray:
+    """Where the data-dependent grid leaves a tile, for each place where it can enter: both counted from a border, below ``jump``.
 
-    ``low[s]`` says whether the window at s is of low expression. The first step is always ``wstep``; the last window is
-    moved back to end with the axis.
+    A start of low expression is followed after ``jump`` places, any other after ``wstep``. The grid begins at place 0 of the
+    ``first`` tile with a step of ``wstep``, wherever it is said to enter.
     """
-    at, out, step = first, [first], wstep
-    last = size - wsize
-    while at < last:
-        at = min(at + step, last)
+    n = len(low)
+    step = np.where(low, jump, wstep)
+    if first and n:
+        step[0] = wstep
+    to = np.arange(n + jump)
+    for hi in range(n, 0, -wstep):  # no step is shorter, so the starts of a stretch all lead behind it
+        at = np.arange(max(hi - wstep, 0), hi)
+        to[at] = to[at + step[at]]
+    return np.full(jump, to[0] - n) if first else to[:jump] - n
+
+
+def empty_map(length: int, jump: int) -> np.ndarray:
+    """``tile_map`` of a tile, or of a stretch of tiles, without any coverage."""
+    return (np.arange(jump) - length) % jump
+
+
+def starts_from(entry: int, low: np.ndarray, last: int, wstep: int, jump: int, first: bool = False) -> np.ndarray:
+    """The window starts from place ``entry`` on to the end of ``low``, all counted from the same place; at ``last`` stands the last one."""
+    end, out, at = min(len(low), last), [], entry
+    while at < end:
         out.append(at)
-        step = jump if low[at] else wstep
-    return np.array(out)
+        at += wstep if first and at == 0 else jump if low[at] else wstep
+    return np.array([*out, last] if 0 <= last < len(low) else out, dtype=np.int64)
+
+
+#: Tiles whose maps are joined into one in a task.
+BLOCK = 1024
+
+
+def _grid_entries(maps: DataFrame, tile: int, wsize: int, wstep: int, jump: int) -> DataFrame:
+    """``maps`` (contig, strand, tile, map) → contig, strand, tile, entry: where the grid enters each tile.
+
+    Maps of ``BLOCK`` tiles are joined into one, the few blocks of a contig are passed through one after another, and then the
+    tiles of each block.
+    """
+    key, maps = ["contig", "strand"], scan.save(maps.withColumn("block", F.floor(F.col("tile") / BLOCK)), "tile_maps")
+
+    def gap(t: int, k: int) -> np.ndarray:
+        """The map of tiles t to k - 1, none of which has any coverage; the first tile is shorter, and so is its first step."""
+        return empty_map((k - t) * tile, jump) if t else np.full(jump, (wstep - (k * tile - wsize)) % jump)
+
+    def steps(pdf: pd.DataFrame, t: int) -> Iterator[tuple[int, np.ndarray]]:
+        """The tiles' maps in order from tile t on, and in front of each the stretch without any."""
+        for k, raw in sorted(zip(pdf["tile"], pdf["map"], strict=True)):
+            if k > t:
+                yield -1, gap(t, int(k))
+            yield int(k), np.frombuffer(raw, dtype=np.int32)
+            t = int(k) + 1
+
+    def joined(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        whole, at = np.arange(jump), int(name[2]) * BLOCK
+        for k, step in steps(pdf, at):
+            whole, at = step[whole], max(at, k + 1)
+        end = (int(name[2]) + 1) * BLOCK
+        whole = gap(at, end)[whole] if end > at else whole
+        return pd.DataFrame({"contig": [name[0]], "strand": [name[1]], "block": [name[2]], "map": [whole.astype(np.int32).tobytes()]})
+
+    def entered(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        at, found, b = 0, [], 0
+        for block, raw in sorted(zip(pdf["block"], pdf["map"], strict=True)):
+            if block > b:
+                at = int(gap(b * BLOCK, int(block) * BLOCK)[at])
+            found.append(at)
+            at, b = int(np.frombuffer(raw, dtype=np.int32)[at]), int(block) + 1
+        return pd.DataFrame({"contig": name[0], "strand": name[1], "block": sorted(pdf["block"]), "at": found})
+
+    def spread(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        at, found = int(right["at"].iloc[0]), []
+        for k, step in steps(left, int(name[2]) * BLOCK):
+            if k >= 0:
+                found.append((name[0], name[1], k, at))
+            at = int(step[at])
+        return pd.DataFrame(found, columns=[*key, "tile", "entry"])
+
+    blocks = maps.groupBy(*key, "block").applyInPandas(joined, "contig string, strand string, block long, map binary")
+    entries = blocks.groupBy(*key).applyInPandas(entered, "contig string, strand string, block long, at long")  # a row for each 1,024 tiles
+    return maps.groupBy(*key, "block").cogroup(entries.groupBy(*key, "block")).applyInPandas(spread, "contig string, strand string, tile long, entry long")
 
 
 def sliding_score(
@@ -278,28 +403,28 @@ def sliding_score(
     The axis of a contig and strand starts at the first treated stop and leaves out the kept ``junctions`` (non-overlapping,
     sorted). ``grid='fixed'`` starts windows at all multiples of ``wstep`` from there, and once more at the end;
     ``'exact'`` follows the data-dependent step (wsize - 1 after a low-expression window). The axis is cut into tiles; each
-    tile is scored alone with a halo of ``wsize`` places on both sides, so no contig is held in one task but
-    for the walk of the exact grid, which sees one bit for each place. With ``bases`` (and a column base in counts) only
+    tile is scored alone with a halo of ``wsize`` places on both sides, so no contig is held in one task. For the exact grid each
+    tile tells where it is left for every place where it can be entered, and these maps are joined. With ``bases`` (and a column base in counts) only
     these bases are ranked against each other. Contigs under 2 * wsize bases are skipped. Rows need a stop or out_min_cov.
     Without ``control`` the counts are rt and bd of one sample, and so are the columns of the result.
     """
     key, names, extra = _columns(grid, bases, control)
     big = sizes.where(F.col("length") >= 2 * wsize).select("contig", F.col("length").cast("long").alias("length"))
-    counts = counts.select(*key, "pos", *names, *extra).persist()  # read for the origins, the grid and the tiles
+    counts = scan.save(counts.select(*key, "pos", *names, *extra), "counts")  # read for the origins, the grid and the tiles
     rows = counts.join(small(big), "contig").where("pos between 1 and length")
-    origin = rows.groupBy(*key, "length").agg(F.min(F.when(F.col(names[0]) > 0, F.col("pos"))).alias("origin")).where("origin is not null").persist()
+    origin = scan.save(rows.groupBy(*key, "length").agg(F.min(F.when(F.col(names[0]) > 0, F.col("pos"))).alias("origin")).where("origin is not null"), "origins")
     rows = rows.drop("length").join(small(origin), key).where("pos >= origin")
-    shift, cut = F.lit(0).cast("long"), None
-    if junctions is not None:
-        cut = junctions.join(small(origin), key).where("first >= origin").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("first", "second"))).alias("js"))
-        rows = rows.join(small(cut, 100_000), key, "left").where("js is null or not exists(js, j -> pos between j.first and j.second)")
-        before = F.expr("coalesce(aggregate(filter(js, j -> j.second < pos), 0L, (s, j) -> s + j.second - j.first + 1), 0L)")
-        shift = before
-    rows = rows.withColumn("at", F.col("pos") - F.col("origin") - shift)
-    total = F.col("length") - F.col("origin") + 1
-    ends = origin.withColumn("size", total)
-    if cut is not None:
-        ends = ends.join(cut, key, "left").withColumn("size", total - F.expr("coalesce(aggregate(js, 0L, (s, j) -> s + j.second - j.first + 1), 0L)")).drop("js")
+    ends = origin.withColumn("size", F.col("length") - F.col("origin") + 1)
+    if junctions is None:
+        rows = rows.withColumn("at", F.col("pos") - F.col("origin"))
+    else:
+        cut = junctions.join(small(origin.select(*key, "origin")), key).where("first >= origin").select(*key, F.col("first").cast("long").alias("pos"), F.col("second").cast("long").alias("second"))
+        # in the order of places each count meets what the junctions before it have taken, and the end of the last one
+        both = rows.withColumn("_row", F.lit(1)).unionByName(cut.withColumn("_row", F.lit(0)), allowMissingColumns=True)
+        known = scan.before(scan.ranged(both, key, ["pos", "_row"]), key, n_cut=F.col("second") - F.col("pos") + 1, max_second=F.col("second"))
+        rows = known.where("_row = 1 and (max_second is null or max_second < pos)").withColumn("at", F.col("pos") - F.col("origin") - F.coalesce("n_cut", F.lit(0))).drop("_row", "second", "n_cut", "max_second", scan.PART, scan.AT)
+        taken = cut.groupBy(*key).agg(F.sum(F.col("second") - F.col("pos") + 1).alias("_taken"))
+        ends = ends.join(taken, key, "left").withColumn("size", F.col("size") - F.coalesce("_taken", F.lit(0)))
     ends = ends.where(F.col("size") >= wsize).select(*key, "size")
     return _score_axes(rows.join(small(ends), key), names, wsize, wstep, wsize - 1, grid, bases, min_cov, out_min_cov, tile, scoring)
 
@@ -346,7 +471,7 @@ def separate_bases(score_of, bases: str) -> DataFrame:
 
 def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump: int, grid: str, bases: str | None, min_cov: int, out_min_cov: int, tile: int, scoring: dict) -> DataFrame:
     """Rows (contig, strand, pos, at, size, counts) on axes of ``size`` places → scores, tile by tile."""
-    tile = max(tile, wsize)  # a window lies in two tiles at most
+    tile = max(tile, 2 * wsize)  # a window lies in two tiles at most, and a step ends in the next one
     key, cover, window = ["contig", "strand"], names[-1], score_windows if len(names) == 4 else score_windows_noctrl
     last = F.floor((F.col("size") - 1) / tile)
     # a tile also sees the halo: places up to wsize before its first and after its last
@@ -358,35 +483,33 @@ def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump:
     low_bd = scoring.get("low_bd", 10)
     letters = set(bases.replace("U", "T")) if bases else set()
 
-    def tested(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """One bit for each window start of a tile: whether it is of enough expression."""
+    def axis(t: int, size: int, pdf: pd.DataFrame) -> tuple[int, int, np.ndarray]:
+        """First place and end of a tile with its halo, and the places of its rows from there."""
+        lo, hi = max(t * tile - 2 * wsize, 0), min((t + 1) * tile + 2 * wsize, size)
+        return lo, hi, pdf["at"].to_numpy() - lo
+
+    def is_low(cover_at: np.ndarray, lo: int, first: int, end: int) -> np.ndarray:
+        """Whether the window at each place from first to end - 1 is of low expression; there is no coverage behind the axis."""
+        seen = np.concatenate([[0], np.cumsum(cover_at >= low_bd)])
+        at = np.arange(first, end) - lo
+        return seen[np.minimum(at + wsize, len(seen) - 1)] - seen[np.minimum(at, len(seen) - 1)] < wsize // 5
+
+    def border(t: int) -> int:
+        """Where the stretch of a tile begins on the grid: early enough for every window that touches the tile."""
+        return max(t * tile - wsize, 0)
+
+    def mapped(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t, size = int(name[2]), int(pdf["size"].iloc[0])
-        at = pdf["at"].to_numpy() - t * tile
-        flag = np.zeros(tile + wsize, dtype=np.int64)
-        held = at[(pdf[cover].to_numpy() >= low_bd) & (at >= 0) & (at < tile + wsize - 1)]
-        flag[held + 1] = 1
-        seen = np.cumsum(flag)
-        enough = (seen[wsize:] - seen[:-wsize]) >= wsize // 5
-        return pd.DataFrame({"contig": [name[0]], "strand": [name[1]], "tile": [t], "size": [size], "bits": [np.packbits(enough).tobytes()]})
-
-    def walk(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """The starts of one axis, by the tiles that they reach."""
-        size = int(pdf["size"].iloc[0])
-        low = np.ones((size // tile + 1) * tile, dtype=bool)
-        for t, bits in zip(pdf["tile"], pdf["bits"], strict=True):
-            low[t * tile : (t + 1) * tile] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=tile) == 0
-        s = window_starts(low, 0, size, wsize, wstep, jump)
-        t0, t1 = s // tile, (s + wsize - 1) // tile
-        pairs = np.concatenate([np.column_stack([t0, s]), np.column_stack([t1, s])[t1 != t0]])
-        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-        which, at = np.unique(pairs[:, 0], return_index=True)
-        return pd.DataFrame({"contig": name[0], "strand": name[1], "tile": which, "starts": [x.tolist() for x in np.split(pairs[:, 1], at[1:])]})
+        lo, hi, place = axis(t, size, pdf)
+        depth = np.zeros(hi - lo)
+        depth[place] = pdf[cover].to_numpy()
+        got = tile_map(is_low(depth, lo, border(t), border(t + 1)), wstep, jump, t == 0)
+        return pd.DataFrame({"contig": [name[0]], "strand": [name[1]], "tile": [t], "map": [got.astype(np.int32).tobytes()]})
 
     def score_tile(name: tuple, pdf: pd.DataFrame, given) -> pd.DataFrame:
         t, size = int(name[2]), int(pdf["size"].iloc[0])
-        lo, hi = max(t * tile - 2 * wsize, 0), min((t + 1) * tile + 2 * wsize, size)
+        lo, hi, place = axis(t, size, pdf)
         dense = np.zeros((len(names), hi - lo))
-        place = pdf["at"].to_numpy() - lo
         dense[:, place] = pdf[names].to_numpy().T
         mask = None
         if bases:
@@ -399,7 +522,8 @@ def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump:
             if size - wsize > t * tile - wsize and size - wsize < end and (size - wsize) % wstep:
                 s = np.append(s, size - wsize)
         else:
-            s = np.unique(np.asarray(given, dtype=np.int64))
+            from_ = border(t)
+            s = from_ + starts_from(given, is_low(dense[-1], lo, from_, (t + 1) * tile), size - wsize - from_, wstep, jump, t == 0)
         total_sum, good, n = (np.zeros(hi - lo) for _ in range(3))
         for part in np.array_split(s, max(1, len(s) // 2000)):
             if not len(part):
@@ -425,15 +549,12 @@ def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump:
     schema = "contig string, strand string, pos long, " + ", ".join(f"{c} long" for c in names) + ", score double, n_windows long, valid_count long"
     if grid == "fixed":
         return grouped.applyInPandas(lambda name, pdf: score_tile(name, pdf, None), schema)
-    bits = grouped.applyInPandas(tested, "contig string, strand string, tile long, size long, bits binary")
-    starts = bits.groupBy(*key).applyInPandas(walk, "contig string, strand string, tile long, starts array<long>")
+    entries = _grid_entries(grouped.applyInPandas(mapped, "contig string, strand string, tile long, map binary"), tile, wsize, wstep, jump)
 
     def both(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
-            return pd.DataFrame(columns=["contig", "strand", "pos", *names, "score", "n_windows", "valid_count"])
-        return score_tile(name, left, right["starts"].iloc[0] if len(right) else [])
+        return score_tile(name, left, int(right["entry"].iloc[0]))
 
-    return grouped.cogroup(starts.groupBy(*key, "tile")).applyInPandas(both, schema)
+    return grouped.cogroup(entries.groupBy(*key, "tile")).applyInPandas(both, schema)
 
 
 def output_filter_gtab(scored: DataFrame, out_min_cov: int = 50) -> DataFrame:

@@ -670,12 +670,13 @@ def _lengths(coo):
 
 @query(
     "background_estimate",
-    f"""WITH {_MATRIX}, o AS (SELECT contig, strand, x, sum(value) AS s FROM coo GROUP BY ALL),
-    r AS (SELECT contig, strand, x, greatest(s, 1.0) AS av, greatest(sum(s) OVER (PARTITION BY contig, strand ORDER BY x RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) / greatest(s, 1.0), 1.0) AS bg FROM o)
+    f"""WITH {_MATRIX}, l AS (SELECT contig, max(x) AS n FROM coo GROUP BY contig), o AS (SELECT contig, strand, x, sum(value) AS s FROM coo GROUP BY ALL),
+    r AS (SELECT contig, strand, x, greatest(s / n, 1.0) AS av, greatest(sum(s) OVER (PARTITION BY contig, strand ORDER BY x RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) / greatest(s, 1.0), 1.0) AS bg FROM o JOIN l USING (contig))
     SELECT c.contig, c.strand, c.x, c.y, round(value / (sqrt(p.bg * q.bg) * sqrt(p.av * q.av)), 6) AS value FROM coo c JOIN r p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN r q ON c.contig = q.contig AND c.strand = q.strand AND c.y = q.x""",
 )
 def _background(spark, d):
-    return matrix.background_estimate(_coo(spark, d)).withColumn("value", F.round("value", 6))
+    coo = _coo(spark, d)
+    return matrix.background_estimate(coo, _lengths(coo)).withColumn("value", F.round("value", 6))
 
 
 @query("cluster_hangs")
@@ -807,8 +808,8 @@ def _background_quantile(spark, d):
     return matrix.background_quantile(coo, _lengths(coo), 0.99)
 
 
-@query("matrix_quantiles", f"""WITH {_MATRIX}, r AS (SELECT value, row_number() OVER (ORDER BY value, contig, strand, x, y) - 1 AS place FROM coo WHERE value <> 0), n AS (SELECT count(*) AS n FROM r)
-    SELECT CAST(k AS INTEGER) AS quantile, value FROM range(1, 21) t(k), n, r WHERE place = least(n * k // 20, n - 1)""")
+@query("matrix_quantiles", f"""WITH {_MATRIX}, r AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS place FROM coo WHERE value > 0), n AS (SELECT count(*) AS n FROM r)
+    SELECT CAST(k AS INTEGER) AS quantile, value FROM range(0, 21) t(k), n, r WHERE place = CASE WHEN k = 20 THEN n - 1 ELSE CAST(floor(k / CAST(20 AS DOUBLE) * n) AS BIGINT) END""")
 def _matrix_quantiles(spark, d):
     return matrix.matrix_quantiles(_coo(spark, d))
 
@@ -837,7 +838,9 @@ def _translate(spark, d):
 def _tagged(spark, d):
     h = a.hangs(spark, d)
     _, members = duplex.cluster_hangs(h)
-    return duplex.sort_dh(duplex.tag_reads_with_group(h, members)).select("read_id", "group_id")
+    tagged = duplex.sort_dh(duplex.tag_reads_with_group(h, members)).select("read_id", "group_id", *duplex.ARMS)
+    keys = ["chr_1", "chr_2", "strand_1", "strand_2", "start_1", "start_2", "read_id", "group_id"]
+    return qc.global_index(tagged, *keys).withColumnRenamed("at", "place")
 
 
 # ---- alignments as reads, names, transcripts -------------------------------------------------------------------------

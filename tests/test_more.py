@@ -83,8 +83,8 @@ def test_matrices(spark):
     assert matrix.matrix_mask_gaps(coo, at, 14, 14).where("x in (3, 4) and value is not null").count() == 0
     size = spark.createDataFrame([("c", 12)], "contig string, length long")
     assert matrix.matrix_compress(coo, size, 3, "max").count() == 9 and matrix.matrix_compress(coo, size, 3, "mean").first().value <= 17
-    domains = spark.createDataFrame([("a", 1, 50), ("b", 51, 100)], "name string, first long, second long")
-    assert [(r["first"], r.second) for r in matrix.compress_regions(domains, 100, 10).orderBy("first").collect()] == [(1, 5), (6, 10)]
+    domains = spark.createDataFrame([("c", "a", 1, 50), ("c", "b", 51, 100)], "contig string, name string, first long, second long")
+    assert [(r["first"], r.second) for r in matrix.compress_regions(domains, spark.createDataFrame([("c", 100)], "contig string, length long"), 10).orderBy("first").collect()] == [(1, 5), (6, 10)]
 
 
 def test_annotation(spark):
