@@ -121,18 +121,23 @@ def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_
     after another, a base at a time, while the outermost line holds a cell whose whole part is at least ``extend``, the side is
     under ``max_win`` and the box ends ``min_dist`` before it begins in y. The cells of the box are used up, and the scan goes on.
 
-    Cells under both thresholds change nothing but a box's extent, so only the others are looked at; cells further than
-    ``max_win`` apart in a coordinate have nothing to do with each other, so runs of them are worked off apart.
+    Cells under both thresholds change nothing, so only the others are looked at; cells further than ``max_win`` apart in a
+    coordinate have nothing to do with each other, so runs of squares of that size are worked off apart.
     """
     if min(perceive, extend) <= 0:
         raise ValueError("thresholds must be positive")
     floor = min(perceive, extend)
     strong = coo.where((F.col("value") >= floor) & (F.col("y") - F.col("x") >= min_win + min_dist)).join(small(size.select("contig", "length")), "contig")
-    # cut by gaps in x, then in y, then in x again: what is left in one piece may depend on one another
-    rows = strong.select(*KEY, "length", "x", "y", "value", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
-    rows = scan.runs(rows, KEY, "x", "x", max_win, ("y",), "i").drop("a").withColumnRenamed("i", "a")
-    rows = scan.runs(rows, [*KEY, "a"], "y", "y", max_win, ("x",), "i").drop("b").withColumnRenamed("i", "b")
-    rows = scan.runs(rows, [*KEY, "a", "b"], "x", "x", max_win, ("y",), "c")
+    square = [F.floor(F.col(c) / max_win).alias(b) for c, b in (("x", "bx"), ("y", "by"))]
+    strong = scan.save(strong.select(*KEY, "length", "x", "y", "value", *square), "strong_cells")
+    # squares of max_win a side: cells that may have to do with each other lie in one or in neighbouring squares. Cut by
+    # gaps in x, then in y, then in x again; a piece without a cell of perceive has no call
+    found = strong.groupBy(*KEY, "bx", "by").agg(F.max("value").alias("top"))
+    for piece, by, c, other in (("a", [], "bx", "by"), ("b", ["a"], "by", "bx"), ("c", ["a", "b"], "bx", "by")):
+        found = scan.runs(found, [*KEY, *by], c, c, 1, (other,), piece)
+    found = scan.save(found, "squares")
+    alive = found.groupBy(*KEY, "a", "b", "c").agg(F.max("top").alias("top")).where(F.col("top") >= perceive).drop("top")
+    rows = strong.join(found.drop("top").join(alive, [*KEY, "a", "b", "c"], "left_semi"), [*KEY, "bx", "by"])
 
     def calls(pdf: pd.DataFrame) -> pd.DataFrame:
         cells = dict(zip(zip(pdf["y"].astype(int) - 1, pdf["x"].astype(int) - 1, strict=True), pdf["value"].astype(float), strict=True))
@@ -147,13 +152,15 @@ def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_
 
 
 class Peaks:
-    """The cells of one island, 0-based and keyed by (y, x), in bins of the window size."""
+    """The cells of one island, 0-based and keyed by (y, x), in bins of the window size; and in the bins' rows and columns, for lines."""
 
     def __init__(self, cells: dict[tuple[int, int], float], n: int, min_dist: int, min_win: int, max_win: int, perceive: float, extend: float):
         self.cells, self.n, self.dist, self.win, self.most, self.perceive, self.extend = cells, n, min_dist, min_win, max_win, perceive, extend
-        self.bins: dict[tuple[int, int], set] = {}
-        for at in cells:
-            self.bins.setdefault((at[0] // min_win, at[1] // min_win), set()).add(at)
+        self.bins, self.rows, self.columns = ({} for _ in range(3))
+        for y, x in cells:
+            self.bins.setdefault((y // min_win, x // min_win), set()).add((y, x))
+            self.rows.setdefault((y, x // min_win), []).append(x)
+            self.columns.setdefault((x, y // min_win), []).append(y)
 
     def inside(self, y0: int, y1: int, x0: int, x1: int) -> list[tuple[int, int]]:
         """The cells left with y0 <= y < y1 and x0 <= x < x1."""
@@ -165,9 +172,14 @@ class Peaks:
         best = min(((-self.cells[at], at) for at in self.inside(*box)), default=None)
         return (-best[0], best[1]) if best else (0.0, None)
 
-    def line(self, *box: int) -> bool:
-        """Whether a line of the box holds enough for another one."""
-        return int(self.top(*box)[0]) >= self.extend
+    def line(self, y0: int, y1: int, x0: int, x1: int) -> bool:
+        """Whether a line of the box, one row or one column, holds enough for another one."""
+        w, left = self.win, self.cells
+        if y1 - y0 == 1:
+            found = ((y0, x) for b in range(x0 // w, (x1 - 1) // w + 1) for x in self.rows.get((y0, b), ()) if x0 <= x < x1)
+        else:
+            found = ((y, x0) for b in range(y0 // w, (y1 - 1) // w + 1) for y in self.columns.get((x0, b), ()) if y0 <= y < y1)
+        return any(int(left.get(at, 0.0)) >= self.extend for at in found)
 
     def window(self, at: tuple[int, int]) -> tuple[int, int]:
         return max(at[0] - self.win // 2, 0), max(at[1] - self.win // 2, 0)

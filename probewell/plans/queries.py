@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cigar, sequence
-from ..operators import annotation, coords, duplex, matrix, pileup, qc, reads, score, tracks
+from ..operators import annotation, coords, duplex, matrix, pileup, qc, reads, scan, score, tracks
 from . import adapters as a
 from .registry import ORACLES, QUERIES, query
 
@@ -675,7 +675,7 @@ def _lengths(coo):
     SELECT c.contig, c.strand, c.x, c.y, round(value / (sqrt(p.bg * q.bg) * sqrt(p.av * q.av)), 6) AS value FROM coo c JOIN r p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN r q ON c.contig = q.contig AND c.strand = q.strand AND c.y = q.x""",
 )
 def _background(spark, d):
-    coo = _coo(spark, d)
+    coo = scan.save(_coo(spark, d), "matrix")
     return matrix.background_estimate(coo, _lengths(coo)).withColumn("value", F.round("value", 6))
 
 
@@ -706,8 +706,8 @@ def _sam_to_dh(spark, d):
 
 @query("call_interactions")
 def _interactions(spark, d):
-    coo = _coo(spark, d)
-    return matrix.call_interactions(coo, _lengths(coo), perceive=20.0, extend=5.0)
+    coo = scan.save(_coo(spark, d), "matrix")
+    return matrix.call_interactions(coo, _lengths(coo), perceive=2.0, extend=1.0)
 
 
 # ---- more of coordinates, transcripts and matrices -------------------------------------------------------------------
@@ -804,7 +804,7 @@ def _submatrix(spark, d):
     q AS (SELECT contig, strand, x, coalesce(max(CASE WHEN r = n - floor(CAST(0.99 AS DOUBLE) * n) THEN value END), 0.0) AS q FROM r GROUP BY ALL)
     SELECT c.contig, c.strand, c.x, c.y, c.value - p.q - s.q AS value FROM coo c JOIN q p ON c.contig = p.contig AND c.strand = p.strand AND c.x = p.x JOIN q s ON c.contig = s.contig AND c.strand = s.strand AND c.y = s.x WHERE c.value - p.q - s.q > 0""")
 def _background_quantile(spark, d):
-    coo = _coo(spark, d)
+    coo = scan.save(_coo(spark, d), "matrix")
     return matrix.background_quantile(coo, _lengths(coo), 0.99)
 
 
