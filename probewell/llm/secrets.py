@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 
 from ._store import save
 
-#: What may be a secret: a long run of the letters that keys are written with.
-CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: What may be a secret: a long run of the letters that keys are written with, or a shorter value with a digit or a symbol that is
+#: assigned to a password.
+LONG = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
+ASSIGNED = r"""(?<=[=:\s"'])(?<=(?i:password|passwd|passphrase|pwd)["']?\s{0,2}[=:]\s{0,2}["']?)(?=[^\s"'<>\\]{0,64}[0-9!@#$%^&*])[^\s"'<>\\]{5,63}[^\s"'<>\\.,;:)]"""
+CANDIDATE = f"{LONG}|{ASSIGNED}"
+#: Characters from which a value is masked inside longer words, too.
+UNMISTAKABLE = 16
 TREES, DEPTH, FOREST_SEED = 24, 6, 7
 #: Labelled findings that ``labelled_findings`` makes.
 LABELLED = 6000
@@ -22,6 +27,8 @@ THRESHOLD = 0.5
 #: Characters of context on both sides.
 CONTEXT = 32
 MASK = "[SECRET]"
+#: A name that no table has, for the numbers of the candidates.
+_AROUND = "_around_2f6d1c"
 
 # Frequent parts of words, words that stand by secrets, words that stand by harmless digests, key prefixes.
 DICTIONARY = ("the", "and", "ing", "ion", "ent", "ati", "for", "her", "ter", "hat", "ere", "con", "res", "ver", "all", "ons", "nce", "men", "ith", "ted", "ers", "pro", "thi", "wit", "are", "ess", "not", "ive", "was", "ect", "rea", "com", "eve", "per", "int", "est", "sta", "cti", "ica", "ist", "ear", "ain", "one", "our", "iti", "rat", "ell", "ant", "que", "eau", "eux", "lle", "ich", "sch", "ung", "ein", "che", "keit", "heit", "cion", "ado", "mente", "dis", "un", "en", "on", "er", "in", "an", "re", "th", "es", "st", "nt", "ed", "or", "ou", "ha", "ti", "le", "de", "la", "is", "it")
@@ -58,9 +65,9 @@ def features(value: Column, left: Column, right: Column) -> list[Column]:
 def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     """(before, value, after, label): findings of known kind, made from hashes. Half are secrets.
 
-    Secrets are keys in the usual alphabets, most of them assigned to a telling name or with an issuer's prefix. The
+    Secrets are keys in the usual alphabets, most of them assigned to a telling name or with an issuer's prefix, and passwords. The
     others are what such scans wrongly report: long words, identifiers, paths, rules of dashes, card and phone
-    numbers, commit ids, checksums and placeholders.
+    numbers, commit ids, checksums, placeholders and masks, and paths and identifiers that stand behind a secret.
     """
     i = F.col("id")
     h = lambda k: F.md5(F.concat(i.cast("string"), F.lit(f"/{k}")).cast("binary"))
@@ -78,16 +85,23 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     named = F.concat(word.substr(1, 6), F.lit(" "), pick(9, "token", "password", "secret", "api_key", "apikey", "passwd", "access_key", "auth", "pwd", "client_secret"), pick(10, "=", " = ", ": ", ' = "', '="', ": '"))
     plain = F.concat(word.substr(1, 9), F.lit(" "), word.substr(5, 6), pick(11, " ", ". ", ", ", "\n"))
     digest = F.concat(word.substr(1, 5), F.lit(" "), pick(12, "commit ", "sha256:", "md5 = ", "checksum: ", "uuid ", "etag: ", "build ", "revision "))
-    kind = F.pmod(i, F.lit(16))
+    kind = F.pmod(i, F.lit(20))
     choose = lambda *cases: F.coalesce(*[F.when(kind == k, v) for k, v in enumerate(cases)])
     digits = F.translate(size(hexes, 16, 20), "abcdef", "123456")
     path = F.concat(word.substr(1, 7), F.lit("/"), word.substr(4, 8), F.lit("/"), word)
     rule = F.repeat(pick(13, "-", "=", "_", "+"), (number(14, 40) + 16).cast("int"))
     ident = F.concat(word.substr(1, 5), F.initcap(word.substr(3, 6)), F.initcap(word.substr(5, 8)))
-    value = choose(secret, issued, secret, issued, secret, issued, secret, secret, word, digits, pick(17, F.substring(hexes, 1, 40), hexes, F.substring(hexes, 1, 32)), path, rule, ident, pick(16, F.initcap(word), F.upper(word)), F.lpad(F.lit(""), 20, "your_token_here_xxxx"))
-    before = choose(named, plain, named, plain, named, named, named, named, plain, plain, digest, F.concat(plain, F.lit("./")), plain, plain, plain, named)
+    number_of = number(18, 100).cast("string")
+    password = pick(19, F.concat(F.initcap(word.substr(1, 5)), number_of, F.lit("!")), F.concat(size(base64, 6, 14), F.lit("7")), F.concat(word.substr(2, 4), F.lit("#"), number_of, word.substr(7, 3)))
+    called = F.concat(word.substr(1, 6), F.lit(" "), pick(20, "password", "passwd", "pwd", "passphrase", "Password"), pick(10, "=", " = ", ": ", ' = "', '="', ": '"))
+    hidden = F.repeat(pick(21, "*", "x", "X", "0"), (number(22, 8) + 6).cast("int"))
+    # what stands behind a secret is no secret for that
+    folder = F.concat(pick(23, "/usr/", "/home/", "/var/", "src/", "C:/", "/"), F.lower(word.substr(1, 3)), pick(24, "", "3", "2.7"), F.lit("/"), word.substr(4, 6), pick(25, "/", "-", "_"), word.substr(2, 9), pick(26, "", "/main", "/index", "/foo"))
+    beside = F.concat(pick(27, "token", "password", "secret", "api_key", "access_key", "auth"), pick(10, "=", " = ", ": ", ' = "', '="', ": '"), F.substring(base64, F.lit(1), (number(28, 14) + 3).cast("int")), pick(29, " and see ", " in ", ". ", ", ", '" from ', " at "))
+    value = choose(secret, issued, secret, issued, secret, issued, secret, secret, password, password, word, digits, pick(17, F.substring(hexes, 1, 40), hexes, F.substring(hexes, 1, 32)), path, rule, ident, pick(16, F.initcap(word), F.upper(word)), F.lpad(F.lit(""), 20, "your_token_here_xxxx"), F.rpad(folder, 16, "ing/main"), pick(30, hidden, ident))
+    before = choose(named, plain, named, plain, named, named, named, named, called, called, plain, plain, digest, F.concat(plain, F.lit("./")), plain, plain, plain, named, beside, F.when(number(30, 2) == 0, called).otherwise(beside))
     after = F.concat(pick(15, " ", '" ', ". ", "\n"), word.substr(2, 9))
-    return spark.range(0, rows, 1, 4).select(before.alias("before"), value.alias("value"), after.alias("after"), (kind < 8).cast("double").alias("label"))
+    return spark.range(0, rows, 1, 4).select(before.alias("before"), value.alias("value"), after.alias("after"), (kind < 10).cast("double").alias("label"))
 
 
 def train(findings: DataFrame) -> Callable[[list[Column]], Column]:
@@ -120,8 +134,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``findings``: array of (value, position, occurrences, score, is_secret), one for each candidate value.
 
     position is that of the first match (1-based, in characters). The forest sees the surroundings of every match, and
-    score is the largest one: a value that is a secret in one place is one in all. occurrences counts all places of the value,
-    those inside longer candidates too, as redact masks them.
+    score is the largest one: a value that is a secret in one place is one in all. occurrences counts all places of the value as
+    redact masks them: those inside longer words too, but for values under 16 characters.
     ``findings`` are labelled ones to train from; without them those of ``labelled_findings`` are taken. Null and empty
     texts have no findings. A column findings is replaced, others stay; repeated rows get equal findings, in
     order of position. An empty table gives an empty result. Texts are scanned whole.
@@ -142,7 +156,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
         places = F.aggregate(pairs, none, place, lambda done: done["places"])
 
         def around(value: Column, k: Column) -> Column:
-            # a candidate has 16 characters at least, so that two of them and the gaps reach CONTEXT characters
+            # two candidates and the gaps between them: CONTEXT characters, but where short passwords stand close together
             at = lambda a, j: F.coalesce(F.get(a, k + j), F.lit(""))
             before = F.concat(F.right(at(g, -2), F.lit(CONTEXT)), at(v, -2), F.right(at(g, -1), F.lit(CONTEXT)), at(v, -1), F.right(at(g, 0), F.lit(CONTEXT)))
             after = F.concat(F.left(at(g, 1), F.lit(CONTEXT)), at(v, 1), F.left(at(g, 2), F.lit(CONTEXT)), at(v, 2), F.left(at(g, 3), F.lit(CONTEXT)))
@@ -162,21 +176,31 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     def merge(judged: Column) -> Column:
         def one(v: Column) -> Column:
             own = F.filter(judged, lambda f: f["value"] == v)
-            occurrences = ((F.length(text) - F.length(F.replace(text, v, F.lit("")))) / F.length(v)).cast("long")
+            inner = ((F.length(text) - F.length(F.replace(text, v, F.lit("")))) / F.length(v)).cast("long")
+            occurrences = F.when(F.length(v) < UNMISTAKABLE, F.regexp_count(text, _alone(v)).cast("long")).otherwise(inner)
             score = F.array_max(F.transform(own, lambda f: f["score"]))
             return F.struct(v.alias("value"), own[0]["position"].alias("position"), occurrences.alias("occurrences"), score.alias("score"), (score >= THRESHOLD).alias("is_secret"))
 
         return F.transform(F.array_distinct(F.transform(judged, lambda f: f["value"])), one)
 
-    findings = F.transform(F.array(F.transform("_around", judge)), merge)[0]
-    return docs.drop("findings").withColumn("_around", around).withColumn("findings", findings).drop("_around")
+    findings = F.transform(F.array(F.transform(_AROUND, judge)), merge)[0]
+    return docs.drop("findings").withColumn(_AROUND, around).withColumn("findings", findings).drop(_AROUND)
 
 
 def redact(scanned: DataFrame) -> DataFrame:
-    """``scanned`` with every occurrence of its secrets replaced by ``MASK`` in ``text``, longest values first; null texts stay."""
+    """``scanned`` with every occurrence of its secrets replaced by ``MASK`` in ``text``, longest values first; null texts stay.
+
+    A value of less than 16 characters is only replaced where no letter or digit stands beside it.
+    """
     secret = F.filter("findings", lambda f: f["is_secret"])
     longest = F.array_sort(F.transform(secret, lambda f: f["value"]), lambda a, b: F.length(b) - F.length(a))
-    return scanned.withColumn("text", F.aggregate(longest, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
+    masked = lambda t, v: F.when(F.length(v) < UNMISTAKABLE, F.regexp_replace(t, _alone(v), F.lit(MASK))).otherwise(F.replace(t, v, F.lit(MASK)))
+    return scanned.withColumn("text", F.aggregate(longest, F.col("text"), masked))
+
+
+def _alone(value: Column) -> Column:
+    """A pattern for the value without a letter or digit beside it; candidates hold no backslash."""
+    return F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), value, F.lit(r"\E(?![A-Za-z0-9])"))
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

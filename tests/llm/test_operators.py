@@ -597,3 +597,27 @@ def test_shared_lines_match_a_brute_force_pairing(spark):
     got = {r.page_id: r.text for r in main_text.main_text(table).collect()}
     assert got == {i: "\n\n".join(x for k, x in enumerate(ls) if k not in gone[i]) for i, _, ls in pages}
     assert sum(len(g) > 0 for g in gone.values()) > 20
+
+
+def test_paths_beside_secrets_and_short_passwords(spark):
+    texts = [
+        "api_key = 9fK2mQ7xLp4Zt8Vw3Rb6Hs1Yd5Nc0J6g and see /usr/lib/python3/dist-packages/foo", 'user "bob" password="hunter2!" and hunter2!x stays, hunter2! goes', "Password: Winter24, then",
+        "password: required and the rest of the line", "pwd = ********", "token = 5f2c and see src/components/settings/index", "passwd: 'tr0ub4dor&3'",
+    ]
+    out = secrets.scan(docs(spark, texts).withColumn("_around", F.lit("mine")))
+    masked = {r.doc_id: (r.text, r._around) for r in secrets.redact(out).collect()}
+    assert masked[0] == ("api_key = [SECRET] and see /usr/lib/python3/dist-packages/foo", "mine")
+    assert masked[1][0] == 'user "bob" password="[SECRET]" and hunter2!x stays, [SECRET] goes'
+    assert masked[2][0] == "Password: [SECRET], then" and masked[6][0] == "passwd: '[SECRET]'"
+    assert all(masked[i][0] == texts[i] for i in (3, 4, 5))
+
+
+def test_names_of_furniture_do_not_take_text_from_articles(spark):
+    page = lambda body: f"<html><body><nav>menu</nav><article>{body}</article></body></html>"
+    pages = [
+        page('<p class="share-price">Share price rose</p><p>rest</p>'), page('<section id="related-work"><p>Earlier work by others.</p></section><p>rest</p>'), page('<div class="share-buttons"><a href="#">Mail</a> <a href="#">Post</a></div><p>rest</p>'),
+        page('<div class="comments"><p>I liked it.</p></div><p>rest</p>'), page('<div class="notice">An old rule</div><p>one</p>'), page('<div class="notice">All rights reserved</div><p>two</p>'), page('<div class="notice">All rights reserved</div><p>three</p>'),
+    ]
+    rows = spark.createDataFrame([(i, f"http://{'h' if i > 4 else 'h' + str(i)}/p{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in main_text.main_text(rows).collect()}
+    assert text == {0: "Share price rose\n\nrest", 1: "Earlier work by others.\n\nrest", 2: "rest", 3: "rest", 4: "An old rule\n\none", 5: "two", 6: "three"}
