@@ -1,106 +1,135 @@
-"""Split alignments of one read: joined to a gapped record, or trimmed to two records that share no base of the read."""
+"""Split alignments of one read: joined to a gapped record, or trimmed to two records that share no base of the read.
 
-from __future__ import annotations
+All of it is column expressions: a CIGAR becomes an array of operations with the read and reference base where each begins, and a
+cut keeps of each operation what lies in a range of the read.
+"""
 
-import re
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.cigar import cigar_max_softclip
 
-_OPS = re.compile(r"(\d+)([MIDNSHP=X])")
-_ON_READ, _ON_REF = frozenset("MIS=X"), frozenset("MDN=X")
 RECORD = ("flag", "chr_id", "pos", "cigar", "seq", "qual")
+_KIND = "array<struct<n:bigint,op:string,at:bigint,ref:bigint>>"
+
+
+def _alignment(cigar: Column, pos: Column) -> Column:
+    """ops (n, op, first read base, first reference base), left and right clip, read bases in all, last reference base, side.
+
+    The side is where the match lies in the direction of the reference: TOTAL without clips, CENTER between equal ones, RIGHT behind
+    the longer clip, else LEFT. No operations: null.
+    """
+    text = F.coalesce(cigar, F.lit(""))
+    n, op = (F.regexp_extract_all(text, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(k)) for k in (1, 2))
+    pairs = F.zip_with(n, op, lambda x, y: F.struct(x.cast("long").alias("n"), y.alias("op")))
+
+    def step(s: Column, x: Column) -> Column:
+        one = F.struct(x["n"].alias("n"), x["op"].alias("op"), s["at"].alias("at"), s["ref"].alias("ref"))
+        return F.struct(F.concat(s["ops"], F.array(one)).alias("ops"), (s["at"] + F.when(x["op"].isin(*"MIS=X"), x["n"]).otherwise(0)).alias("at"), (s["ref"] + F.when(x["op"].isin(*"MDN=X"), x["n"]).otherwise(0)).alias("ref"))
+
+    start = F.struct(F.expr(f"cast(array() as {_KIND})").alias("ops"), F.lit(1).cast("long").alias("at"), pos.cast("long").alias("ref"))
+
+    def finish(s: Column) -> Column:
+        head, tail = F.get(s["ops"], F.lit(0)), F.element_at(s["ops"], -1)
+        left = F.when(head["op"] == "S", head["n"]).otherwise(0)
+        right = F.when((F.size(s["ops"]) > 1) & (tail["op"] == "S"), tail["n"]).otherwise(0)
+        side = F.when((left == 0) & (right == 0), "TOTAL").when(left == right, "CENTER").when(left > right, "RIGHT").otherwise("LEFT")
+        return F.when(F.size(s["ops"]) > 0, F.struct(s["ops"].alias("ops"), left.alias("left"), right.alias("right"), (s["at"] - 1).alias("total"), (s["ref"] - 1).alias("last"), side.alias("side")))
+
+    return F.aggregate(pairs, start, step, finish)
+
+
+def _side(x: Column, flag: Column) -> Column:
+    """The side on the read itself: a reversed record is mirrored."""
+    rev = flag.bitwiseAND(16) != 0
+    return F.when(rev & (x["side"] == "LEFT"), "RIGHT").when(rev & (x["side"] == "RIGHT"), "LEFT").otherwise(x["side"])
+
+
+def _cut(ops: Column, pos: Column, first: Column, second: Column) -> Column:
+    """The operations on read bases first..second as text, with their first and last reference base."""
+
+    def part(o: Column) -> Column:
+        on_read = o["op"].isin("M", "I", "=", "X")
+        lo, hi = F.greatest(o["at"], first), F.least(o["at"] + o["n"] - 1, second)
+        # a gap stays if the bases before and behind it do
+        n = F.when(on_read, F.greatest(hi - lo + 1, F.lit(0))).when(o["op"].isin("D", "N") & (first < o["at"]) & (o["at"] <= second), o["n"]).otherwise(0)
+        on_both = on_read & (o["op"] != "I") & (lo <= hi)
+        return F.struct(n.alias("n"), o["op"].alias("op"), F.when(on_both, o["ref"] + lo - o["at"]).alias("first"), F.when(on_both, o["ref"] + hi - o["at"]).alias("last"))
+
+    kept = F.filter(F.transform(ops, part), lambda o: o["n"] > 0)
+    text = F.array_join(F.transform(kept, lambda o: F.concat(o["n"].cast("string"), o["op"])), "")
+    return F.struct(text.alias("cigar"), F.coalesce(F.array_min(F.transform(kept, lambda o: o["first"])), pos).alias("first"), F.coalesce(F.array_max(F.transform(kept, lambda o: o["last"])), pos - 1).alias("last"))
+
+
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with the value bound once: what is built on it names it instead of repeating it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _ops(cigar: str) -> list[tuple[int, str]]:
-    return [(int(n), op) for n, op in _OPS.findall(cigar)]
-
-
-def _matched(ops: list[tuple[int, str]]) -> tuple[int, int]:
-    """First and last read base between the clips (1-based, in the direction of the reference)."""
-    left = ops[0][0] if ops and ops[0][1] == "S" else 0
-    total = sum(n for n, op in ops if op in _ON_READ)
-    return left + 1, total - (ops[-1][0] if len(ops) > 1 and ops[-1][1] == "S" else 0)
-
-
-def _cut(ops: list[tuple[int, str]], pos: int, first: int, second: int) -> tuple[list[tuple[int, str]], int, int]:
-    """The operations on read bases first..second, their first and last reference base."""
-    at, ref, out, start = 1, pos, [], None
-    end = pos - 1
-    for n, op in ops:
-        if op in _ON_READ:
-            lo, hi = max(at, first), min(at + n - 1, second)
-            if lo <= hi and op != "S":
-                if op in _ON_REF:
-                    start = ref + lo - at if start is None else start
-                    end = ref + hi - at
-                out.append((hi - lo + 1, op))
-            at += n
-        elif op in "DN" and out and at <= second:
-            out.append((n, op))
-        if op in _ON_REF:
-            ref += n
-    while out and out[-1][1] in "DN":
-        out.pop()
-    return out, start if start is not None else pos, end
-
-
-def _text(ops: list[tuple[int, str]]) -> str:
-    return "".join(f"{n}{op}" for n, op in ops)
-
-
-def _side(ops: list[tuple[int, str]]) -> str:
-    left = ops[0][0] if ops[0][1] == "S" else 0
-    right = ops[-1][0] if len(ops) > 1 and ops[-1][1] == "S" else 0
-    return "TOTAL" if not left and not right else "CENTER" if left == right else "RIGHT" if left > right else "LEFT"
-
-
-def _pair(r, need_group: bool):
-    """(status, ambiguous, kind, arm 1, arm 2) of a pair; arms are (ops, first, last, seq, qual) in the direction of the reference."""
-    if r.flag_a & 4 or r.flag_b & 4:
-        return ("UNMAPPED",)
-    rev_a, rev_b = bool(r.flag_a & 16), bool(r.flag_b & 16)
-    if need_group and rev_a != rev_b:
-        return ("DIFF_STRAND",)
-    if need_group and r.chr_id_a != r.chr_id_b:
-        return ("DIFF_CHR",)
-    one, two = _ops(r.cigar_a), _ops(r.cigar_b)
-    if not one or not two or any(op in "N" for _, op in one + two):
-        return ("MULTI_MATCH",)
-    spans = [(_matched(o)) for o in (one, two)]
-    refs = [(p, p + sum(n for n, op in o if op in _ON_REF) - 1) for o, p in ((one, r.pos_a), (two, r.pos_b))]
-    if need_group and min(refs[0][1], refs[1][1]) >= max(refs[0][0], refs[1][0]):
-        return ("OVERLAP",)
-    # the sides on the read itself: a reversed record is mirrored
-    flip = {"LEFT": "RIGHT", "RIGHT": "LEFT"}
-    sides = [flip.get(s, s) if rev else s for s, rev in ((_side(one), rev_a), (_side(two), rev_b))]
-    if sorted(sides) != ["LEFT", "RIGHT"]:
-        return ("ABNORMAL_PATTERN",)
-    total = [sum(n for n, op in o if op in _ON_READ) for o in (one, two)]
-    on_read = [(t - b + 1, t - a + 1) if rev else (a, b) for (a, b), t, rev in zip(spans, total, (rev_a, rev_b), strict=True)]
-    head = sides.index("LEFT")
-    shared = max(0, on_read[head][1] - on_read[1 - head][0] + 1)
-    cut = [list(x) for x in on_read]
-    cut[head][1] -= shared
-    cut[1 - head][0] += shared
-    if any(a > b for a, b in cut):
-        return ("INVALID_BORDER",)
-    arms = []
-    for ops, pos, (a, b), t, rev, seq, qual in ((one, r.pos_a, cut[0], total[0], rev_a, r.seq_a, r.qual_a), (two, r.pos_b, cut[1], total[1], rev_b, r.seq_b, r.qual_b)):
-        a, b = (t - b + 1, t - a + 1) if rev else (a, b)
-        part, first, last = _cut(ops, pos, a, b)
-        arms.append((part, first, last, (seq or "")[a - 1 : b], (qual or "")[a - 1 : b]))
-    left_first = refs[0][0] <= refs[1][0]
-    facing = (sides[0 if left_first else 1] == "LEFT") != (rev_a if need_group else False)
-    return "SUCCESS", shared, "CENTER" if facing else "FLANKING", arms[0], arms[1]
-
-
-_PAIR_COLUMNS = ", ".join(["read_id string", "i int", "j int", *[f"{c}_{s} {'int' if c == 'flag' else 'long' if c == 'pos' else 'string'}" for s in "ab" for c in RECORD]])
+def _fields(**columns: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in columns.items()])
+
+
+def _record(s: str) -> Column:
+    """What a pair needs to know of record ``s``: flag, place, texts, alignment, side and span on the read."""
+    flag, pos = F.col(f"flag_{s}"), F.col(f"pos_{s}").cast("long")
+
+    def known(x: Column) -> Column:
+        rev = flag.bitwiseAND(16) != 0
+        left, right, total = x["left"], x["right"], x["total"]
+        return _fields(
+            rev=rev, chr=F.col(f"chr_id_{s}"), pos=pos, ops=x["ops"], total=total, last=x["last"], side=_side(x, flag), many=x.isNull() | F.exists(x["ops"], lambda o: o["op"] == "N"), mapped=flag.bitwiseAND(4) == 0,
+            start=F.when(rev, right + 1).otherwise(left + 1), end=F.when(rev, total - left).otherwise(total - right), seq=F.coalesce(F.col(f"seq_{s}"), F.lit("")), qual=F.coalesce(F.col(f"qual_{s}"), F.lit("")),
+        )
+
+    return _bound(_alignment(F.col(f"cigar_{s}"), pos), known)
+
+
+def _paired(pairs: DataFrame, need_group: bool) -> DataFrame:
+    """pairs with _p: status, and for a good pair ab, at and the arms a and b (cigar, first, last, seq, qual), in the direction of the reference."""
+
+    def shared(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        a_first = a["side"] == "LEFT"
+        end, start = F.when(a_first, a["end"]).otherwise(b["end"]), F.when(a_first, b["start"]).otherwise(a["start"])
+        return _fields(a=a, b=b, a_first=a_first, ab=F.greatest(end - start + 1, F.lit(0)))
+
+    def span(x: Column, first: Column, ab: Column) -> Column:
+        """What only this record uses of the read, in the direction of the reference."""
+        lo, hi = x["start"] + F.when(first, 0).otherwise(ab), x["end"] - F.when(first, ab).otherwise(0)
+        return _fields(lo=F.when(x["rev"], x["total"] - hi + 1).otherwise(lo), hi=F.when(x["rev"], x["total"] - lo + 1).otherwise(hi))
+
+    def judged(p: Column) -> Column:
+        a, b = p["a"], p["b"]
+        sided = a["side"].isin("LEFT", "RIGHT") & b["side"].isin("LEFT", "RIGHT") & (a["side"] != b["side"])
+        status = F.when(~(a["mapped"] & b["mapped"]), "UNMAPPED")
+        if need_group:
+            status = status.when(a["rev"] != b["rev"], "DIFF_STRAND").when(a["chr"] != b["chr"], "DIFF_CHR")
+        status = status.when(a["many"] | b["many"], "MULTI_MATCH")
+        if need_group:
+            status = status.when(F.least(a["last"], b["last"]) >= F.greatest(a["pos"], b["pos"]), "OVERLAP")
+        status = status.when(~sided, "ABNORMAL_PATTERN").when((a["end"] - a["start"] < p["ab"]) | (b["end"] - b["start"] < p["ab"]), "INVALID_BORDER").otherwise("SUCCESS")
+        # the record that lies first on the reference: whether its match is on the left of what was read from the reference's side
+        first_left = F.when(a["pos"] <= b["pos"], p["a_first"]).otherwise(~p["a_first"])
+        facing = F.when(first_left != (a["rev"] if need_group else F.lit(False)), "CENTER").otherwise("FLANKING")
+        return _fields(status=status, at=facing, ab=p["ab"].cast("int"), a=a, b=b, sa=span(a, p["a_first"], p["ab"]), sb=span(b, ~p["a_first"], p["ab"]))
+
+    def arm(x: Column, s: Column) -> Column:
+        text = lambda c: F.substring(c, s["lo"].cast("int"), (s["hi"] - s["lo"] + 1).cast("int"))
+        return _bound(_cut(x["ops"], x["pos"], s["lo"], s["hi"]), lambda c: _fields(cigar=c["cigar"], first=c["first"], last=c["last"], seq=text(x["seq"]), qual=text(x["qual"])))
+
+    def finished(p: Column) -> Column:
+        good = p["status"] == "SUCCESS"
+        return _fields(status=p["status"], ab=F.when(good, p["ab"]), at=F.when(good, p["at"]), a=F.when(good, arm(p["a"], p["sa"])), b=F.when(good, arm(p["b"], p["sb"])))
+
+    return pairs.withColumn("_p", _bound(_bound(_bound(_fields(a=_record("a"), b=_record("b")), shared), judged), finished))
+
+
+def _numbers(sam: DataFrame) -> DataFrame:
+    return sam.select("read_id", *RECORD, F.row_number().over(Window.partitionBy("read_id").orderBy("flag", "chr_id", "pos", "cigar")).alias("n"))
 
 
 def read_pairs(sam: DataFrame) -> DataFrame:
@@ -108,58 +137,73 @@ def read_pairs(sam: DataFrame) -> DataFrame:
 
     The self-join is on read_id; a read has as many rows as it has alignments, so pairs grow with its square only.
     """
-    numbered = sam.select("read_id", *RECORD, F.row_number().over(Window.partitionBy("read_id").orderBy("flag", "chr_id", "pos", "cigar")).alias("n"))
+    numbered = _numbers(sam)
     a = numbered.select("read_id", F.col("n").alias("i"), *[F.col(c).alias(f"{c}_a") for c in RECORD])
     b = numbered.select("read_id", F.col("n").alias("j"), *[F.col(c).alias(f"{c}_b") for c in RECORD])
     return a.join(b, "read_id").where("i < j").select("read_id", "i", "j", *[f"{c}_{s}" for s in "ab" for c in RECORD])
 
 
-_GROUPED = _PAIR_COLUMNS + ", status string, flag int, chr_id string, pos long, cigar string, seq string, qual string, ab int, at string, gap long, arm_1 long, arm_2 long"
+def _likely_pairs(sam: DataFrame, max_ambiguous: int, same: bool | None) -> DataFrame:
+    """``read_pairs`` without those that cannot be good: a mapped record without a gap that matches on the left of the read meets the ones on
+    its right, with at most ``max_ambiguous`` common bases.
+
+    ``same``: only pairs on one chromosome and strand (True), or only others (False). Good pairs all have these properties, so a
+    read's number of alignments is no bound for its pairs any more, but their sides and places are.
+    """
+    c = F.col
+
+    def facts(x: Column) -> Column:
+        rev, left, right, total = c("flag").bitwiseAND(16) != 0, x["left"], x["right"], x["total"]
+        usable = x.isNotNull() & ~F.exists(x["ops"], lambda o: o["op"] == "N") & (c("flag").bitwiseAND(4) == 0)
+        return _fields(_side=F.when(usable, _side(x, c("flag"))), _from=F.when(rev, right + 1).otherwise(left + 1), _to=F.when(rev, total - left).otherwise(total - right), _rev=rev)
+
+    # a generator keeps its results as columns, so that no filter behind it repeats what they come from
+    known = _numbers(sam).select("*", F.inline(F.array(_bound(_alignment(c("cigar"), c("pos")), facts))))
+    side = lambda name, s: known.where(c("_side") == name).select("read_id", *[c(x).alias(f"{x}_{s}") for x in ("n", *RECORD, "_from", "_to", "_rev")])
+    heads, tails = side("LEFT", "h"), side("RIGHT", "t")
+    on = ["read_id"]
+    if same:
+        heads, tails = (x.withColumn("_chr", c(f"chr_id_{s}")).withColumn("_strand", c(f"_rev_{s}")) for x, s in ((heads, "h"), (tails, "t")))
+        on = ["read_id", "_chr", "_strand"]
+    both = heads.join(tails, on).where(c("_to_h") - c("_from_t") + 1 <= max_ambiguous)
+    if same is False:
+        both = both.where((c("chr_id_h") != c("chr_id_t")) | (c("_rev_h") != c("_rev_t")))
+    first = c("n_h") < c("n_t")
+    pick = lambda x, s: F.when(first, c(f"{x}_{'h' if s == 'a' else 't'}")).otherwise(c(f"{x}_{'t' if s == 'a' else 'h'}"))
+    return both.select("read_id", F.least("n_h", "n_t").alias("i"), F.greatest("n_h", "n_t").alias("j"), *[pick(x, s).alias(f"{x}_{s}") for s in "ab" for x in RECORD])
 
 
 def group_read_pair(pairs: DataFrame) -> DataFrame:
     """pairs with status (SUCCESS, UNMAPPED, DIFF_STRAND, DIFF_CHR, MULTI_MATCH, OVERLAP, ABNORMAL_PATTERN, INVALID_BORDER)
     and the joined record: pos, cigar with an N, ab (bases that both alignments used; cut from both), at (CENTER, FLANKING),
     gap and arm lengths on the reference."""
-    names = [c.split()[0] for c in _GROUPED.split(", ")]
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                got = _pair(r, True)
-                if got[0] != "SUCCESS":
-                    out.append((*r, got[0], *[None] * 11))
-                    continue
-                _, shared, kind, x, y = got
-                if x[1] > y[1]:
-                    x, y = y, x
-                gap = y[1] - x[2] - 1
-                out.append((*r, "SUCCESS", 16 if r.flag_a & 16 else 0, r.chr_id_a, x[1], f"{_text(x[0])}{gap}N{_text(y[0])}", x[3] + y[3], x[4] + y[4], shared, kind, gap, x[2] - x[1] + 1, y[2] - y[1] + 1))
-            yield pd.DataFrame(out, columns=names)
 
-    return pairs.mapInPandas(rows, _GROUPED)
+    def ordered(p: Column) -> Column:
+        turned = p["a"]["first"] > p["b"]["first"]
+        return _fields(p=p, x=F.when(turned, p["b"]).otherwise(p["a"]), y=F.when(turned, p["a"]).otherwise(p["b"]))
 
+    def joined(q: Column) -> Column:
+        p, x, y = q["p"], q["x"], q["y"]
+        good, gap = p["status"] == "SUCCESS", y["first"] - x["last"] - 1
+        return _fields(
+            status=p["status"], flag=F.when(good, F.when(F.col("flag_a").bitwiseAND(16) != 0, 16).otherwise(0)), chr_id=F.when(good, F.col("chr_id_a")), pos=x["first"], cigar=F.concat(x["cigar"], gap.cast("string"), F.lit("N"), y["cigar"]),
+            seq=F.concat(x["seq"], y["seq"]), qual=F.concat(x["qual"], y["qual"]), ab=p["ab"], at=p["at"], gap=gap, arm_1=x["last"] - x["first"] + 1, arm_2=y["last"] - y["first"] + 1,
+        )
 
-_TRIMMED = _PAIR_COLUMNS + ", status string, ab int, " + ", ".join(f"{c}_{k} {t}" for k in (1, 2) for c, t in (("t_pos", "long"), ("t_cigar", "string"), ("t_seq", "string"), ("t_qual", "string"), ("arm", "long")))
+    return _paired(pairs, True).select(*pairs.columns, F.inline(F.array(_bound(_bound(F.col("_p"), ordered), joined))))
 
 
 def trim_read_pair(pairs: DataFrame) -> DataFrame:
     """pairs with status and both records cut to the read bases that only they use: t_pos, t_cigar, t_seq, t_qual, arm with _1 and _2."""
-    names = [c.split()[0] for c in _TRIMMED.split(", ")]
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                got = _pair(r, False)
-                if got[0] != "SUCCESS":
-                    out.append((*r, got[0], *[None] * 11))
-                    continue
-                out.append((*r, "SUCCESS", got[1], *[v for x in got[3:] for v in (x[1], _text(x[0]), x[3], x[4], x[2] - x[1] + 1)]))
-            yield pd.DataFrame(out, columns=names)
+    def trimmed(p: Column) -> Column:
+        arms = {}
+        for k, s in ((1, "a"), (2, "b")):
+            x = p[s]
+            arms |= {f"t_pos_{k}": x["first"], f"t_cigar_{k}": x["cigar"], f"t_seq_{k}": x["seq"], f"t_qual_{k}": x["qual"], f"arm_{k}": x["last"] - x["first"] + 1}
+        return _fields(status=p["status"], ab=p["ab"], **arms)
 
-    return pairs.mapInPandas(rows, _TRIMMED)
+    return _paired(pairs, False).select(*pairs.columns, F.inline(F.array(_bound(F.col("_p"), trimmed))))
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -170,16 +214,14 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 def sam_group(sam: DataFrame, min_overhang: int = 5, min_armlen: int = 10, max_ambiguous: int = 10) -> DataFrame:
     """Gapped records of all pairs that group well: read_id (_k), record columns, ab, at, nh."""
-    good = group_read_pair(read_pairs(sam)).where((F.col("status") == "SUCCESS") & (F.col("gap") >= min_overhang) & (F.least("arm_1", "arm_2") >= min_armlen) & (F.col("ab") <= max_ambiguous))
+    good = group_read_pair(_likely_pairs(sam, max_ambiguous, True)).where((F.col("status") == "SUCCESS") & (F.col("gap") >= min_overhang) & (F.least("arm_1", "arm_2") >= min_armlen) & (F.col("ab") <= max_ambiguous))
     return _numbered(good).select(F.concat_ws("_", "read_id", "k").alias("read_id"), *RECORD, "ab", "at", "nh")
 
 
 def sam_trim(sam: DataFrame, min_armlen: int = 10, max_ambiguous: int = 10, max_duplex: int = 1000, remove_antisense: bool = False, remove_groupable: bool = False) -> DataFrame:
-    """Two trimmed records for each good pair; reads with more than ``max_duplex`` pairs are dropped, as their place is unknown."""
+    """Two trimmed records for each good pair; reads with more than ``max_duplex`` good pairs are dropped, as their place is unknown."""
     rows = sam.where(F.col("flag").bitwiseAND(16) == 0) if remove_antisense else sam
-    pairs = read_pairs(rows)
-    if remove_groupable:
-        pairs = pairs.where((F.col("chr_id_a") != F.col("chr_id_b")) | (F.col("flag_a").bitwiseAND(16) != F.col("flag_b").bitwiseAND(16)))
+    pairs = _likely_pairs(rows, max_ambiguous, False if remove_groupable else None)
     good = trim_read_pair(pairs).where((F.col("status") == "SUCCESS") & (F.least("arm_1", "arm_2") >= min_armlen) & (F.col("ab") <= max_ambiguous))
     kept = _numbered(good).where(F.col("nh") <= max_duplex)
     arm = lambda k, s: F.struct(F.col(f"flag_{s}").bitwiseAND(~256).bitwiseOR(0 if k == 1 else 256).alias("flag"), F.col(f"chr_id_{s}").alias("chr_id"), F.col(f"t_pos_{k}").alias("pos"), F.col(f"t_cigar_{k}").alias("cigar"), F.col(f"t_seq_{k}").alias("seq"), F.col(f"t_qual_{k}").alias("qual"))

@@ -105,11 +105,19 @@ def matrix_submatrix(coo: DataFrame, x0: int, x1: int, y0: int, y1: int) -> Data
     return coo.where(F.col("x").between(x0, x1) & F.col("y").between(y0, y1)).withColumn("x", F.col("x") - x0 + 1).withColumn("y", F.col("y") - y0 + 1)
 
 
-def matrix_mask_noncanonical(coo: DataFrame, seqs: DataFrame) -> DataFrame:
-    """Cells whose bases are not AU, GC or GU get null. ``seqs``: (contig, seq)."""
-    rows = coo.join(small(seqs.select("contig", F.translate(F.upper("seq"), "T", "U").alias("_s"))), "contig")
-    two = F.concat(F.expr("substring(_s, cast(x as int), 1)"), F.expr("substring(_s, cast(y as int), 1)"))
-    return rows.withColumn("value", F.when(two.isin("AU", "UA", "GC", "CG", "GU", "UG"), F.col("value"))).drop("_s")
+def matrix_mask_noncanonical(coo: DataFrame, seqs: DataFrame, tile: int = 1 << 14) -> DataFrame:
+    """Cells whose bases are not AU, GC or GU get null. ``seqs``: (contig, seq); cells meet tiles of it, not whole sequences."""
+    last = F.floor((F.length("seq") - 1) / tile)
+    cut = seqs.where("seq <> ''").select("contig", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_t"), "seq")
+    tiles = small(cut.select("contig", "_t", F.translate(F.upper(F.substring("seq", (F.col("_t") * tile + 1).cast("int"), F.lit(tile))), "T", "U").alias("_s")))
+
+    def with_base(rows: DataFrame, c: str) -> DataFrame:
+        at = rows.withColumn("_t", F.expr(f"({c} - 1) div {tile}"))
+        base = F.expr(f"substring(_s, cast(({c} - 1) % {tile} + 1 as int), 1)")
+        return at.join(tiles, ["contig", "_t"], "left").withColumn(f"_{c}", base).drop("_t", "_s")
+
+    two = F.concat("_x", "_y")
+    return with_base(with_base(coo, "x"), "y").withColumn("value", F.when(two.isin("AU", "UA", "GC", "CG", "GU", "UG"), F.col("value"))).drop("_x", "_y")
 
 
 def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_win: int = 50, max_win: int = 200, perceive: float = 100.0, extend: float = 20.0) -> DataFrame:
@@ -248,10 +256,13 @@ def matrix_expand(coo: DataFrame, coords: DataFrame) -> DataFrame:
     return coo.join(one, ["contig", "x"]).join(two, ["contig", "y"]).select(*KEY, F.col("ax").alias("x"), F.col("ay").alias("y"), "value")
 
 
-def matrix_mask_gaps(coo: DataFrame, coords: DataFrame, width: int, bins: int, ratio: float = 0.25) -> DataFrame:
-    """Binned cells get null where a bin has less than ``ratio`` of its places in the sequence. ``width``: aligned length."""
-    at = F.floor((F.col("aln_pos") - 1) * bins / width) + 1
-    filled = coords.groupBy(F.col("id").alias("contig"), at.alias("b")).agg((F.count("*") * bins / F.lit(float(width))).alias("share")).where(F.col("share") >= ratio)
+def matrix_mask_gaps(coo: DataFrame, coords: DataFrame, width: int | DataFrame, bins: int, ratio: float = 0.25) -> DataFrame:
+    """Binned cells get null where a bin has less than ``ratio`` of its places in the sequence. ``width``: the aligned length, one for
+    all or a table (contig, length) with that of each contig, by which the cells were binned."""
+    named = coords.select(F.col("id").alias("contig"), "aln_pos")
+    placed = named.withColumn("length", F.lit(float(width))) if isinstance(width, int) else named.join(small(width.select("contig", F.col("length").cast("double").alias("length"))), "contig")
+    at = F.floor((F.col("aln_pos") - 1) * bins / F.col("length")) + 1
+    filled = placed.groupBy("contig", at.alias("b")).agg((F.count("*") * bins / F.max("length")).alias("share")).where(F.col("share") >= ratio)
     x, y = (filled.select("contig", F.col("b").alias(c), F.lit(1).alias(f"ok_{c}")) for c in "xy")
     rows = coo.join(x, ["contig", "x"], "left").join(y, ["contig", "y"], "left")
     return rows.select(*KEY, "x", "y", F.when(F.col("ok_x").isNotNull() & F.col("ok_y").isNotNull(), F.col("value")).alias("value"))

@@ -6,22 +6,24 @@ columns named in ``by``. Counts are sparse: a position with no read has no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows up to which a junction or size table is sent to every task.
-SMALL_TABLE = 1_000_000
+#: Rows and bytes up to which a junction or size table is sent to every task.
+SMALL_TABLE, SMALL_BYTES = 1_000_000, 32 << 20
 TILE = 1_000_000
 
 
-def small(table: DataFrame, limit: int = SMALL_TABLE) -> DataFrame:
-    """The table, to be broadcast if it is proven to have at most ``limit`` rows."""
-    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+def small(table: DataFrame, limit: int = SMALL_TABLE, most: int = SMALL_BYTES) -> DataFrame:
+    """The table, to be broadcast if it is proven to have at most ``limit`` rows and ``most`` bytes."""
+    width = F.lit(0)
+    for name, kind in table.dtypes:
+        column = F.col(f"`{name}`")
+        size = F.octet_length(column) if kind in ("string", "binary") else F.octet_length(F.to_json(F.struct(column))) if kind.startswith(("array", "map", "struct")) else F.lit(8)
+        width = width + F.coalesce(size, F.lit(0))
+    rows, size = table.limit(limit + 1).agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(table) if rows <= limit and (size or 0) <= most else table
 
 
 def blocks(reads: DataFrame, by: tuple = ()) -> DataFrame:
@@ -115,74 +117,46 @@ def combine_junctions(junctions: DataFrame, sizes: DataFrame) -> DataFrame:
     return touching.withColumn("_pair", pair).groupBy(*key, "island", "_pair").agg(F.min("first").alias("first"), F.max("second").alias("second"), F.max("support").alias("support")).drop("island", "_pair")
 
 
-def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame, ext: int = 0) -> DataFrame:
+def bd_extension(reads: DataFrame, junctions: DataFrame, sizes: DataFrame | None = None, ext: int = 0) -> DataFrame:
     """Reads with extra blocks: coverage lengthened by ``ext`` bases upstream of the 5' end.
 
-    From inside a junction the extension stops at its edge; otherwise it jumps over the junctions on its way.
+    From inside a junction the extension stops at its edge; otherwise it jumps over the junctions on its way (disjoint ones, as
+    ``combine_junctions`` gives). On an axis without junctions an extension is one interval, so its far end is found by
+    two passes over the sorted ends and junctions: one takes the 5' ends to that axis, one comes back. Each distinct end
+    is worked off once, and no task holds a contig's junctions.
     """
+    from . import scan
+    from .coords import interval_join
+
     if ext <= 0:
         return reads
-    key = ["contig", "strand"]
-    marked = reads.withColumn("_row", F.monotonically_increasing_id())
-    schema = "_row long, extra array<struct<first:bigint,second:bigint>>"
-    rows = marked.select("_row", *key, "regions")
-    known = junctions.select(*key, "first", "second").distinct()
-    if known.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
-        table = known.toPandas()
-        lists = {k: list(zip(g["first"].tolist(), g["second"].tolist(), strict=True)) for k, g in table.sort_values(["first", "second"]).groupby(key)}
-
-        def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                yield pd.DataFrame({"_row": pdf["_row"], "extra": pd.Series(_extensions(pdf, lists, ext), dtype=object, index=pdf.index)})
-
-        extra = rows.mapInPandas(extend, schema)
-    else:  # too many for every task: each slice of a contig meets that contig's junctions
-        salts = 64
-
-        def both(name: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            mine = {(name[0], name[1]): sorted(zip(right["first"].tolist(), right["second"].tolist(), strict=True))}
-            return pd.DataFrame({"_row": left["_row"], "extra": pd.Series(_extensions(left, mine, ext), dtype=object, index=left.index)})
-
-        salted = rows.withColumn("salt", F.pmod("_row", F.lit(salts)))
-        spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        extra = salted.groupBy(*key, "salt").cogroup(spread.groupBy(*key, "salt")).applyInPandas(both, schema)
-    return marked.join(extra, "_row").withColumn("regions", F.array_sort(F.concat("regions", "extra"))).drop("_row", "extra")
-
-
-def _extensions(pdf: pd.DataFrame, lists: dict, ext: int) -> list:
-    """Extra blocks of each read. The lists are mirrored and indexed once for each contig and strand."""
-    ready: dict = {}
-    out = []
-    for c, s, r in zip(pdf["contig"], pdf["strand"], pdf["regions"], strict=True):
-        if (c, s) not in ready:
-            js = lists.get((c, s), [])
-            js = sorted((-b, -a) for a, b in js) if s == "-" else js
-            ready[c, s] = (js, np.array([a for a, _ in js], dtype=np.int64))
-        out.append(_extension(s, r, *ready[c, s], ext))
-    return out
-
-
-def _extension(strand: str, regions, js: list, starts: np.ndarray, ext: int) -> list[dict]:
-    """``js``: sorted junctions, on - mirrored (so that upstream is always downwards); ``starts``: their starts."""
-    s = -regions[-1]["second"] if strand == "-" else regions[0]["first"]
-    at = int(np.searchsorted(starts, s, side="right")) - 1 if js else -1
-    out, left, edge = [], ext, s
-    if at >= 0 and js[at][0] <= s <= js[at][1]:
-        low = max(s - ext, js[at][0])
-        out = [(low, s - 1)] if low < s else []
-    else:
-        while left > 0:
-            stop = js[at][1] if at >= 0 else None
-            low = edge - left if stop is None else max(edge - left, stop + 1)
-            if low < edge:
-                out.append((low, edge - 1))
-            left -= edge - low
-            if at < 0 or left <= 0:
-                break
-            edge, at = js[at][0], at - 1
-    if strand == "-":
-        return [{"first": -b, "second": -a} for a, b in out]
-    return [{"first": max(a, 1), "second": b} for a, b in out if b >= 1]
+    key, up = ["contig", "strand"], F.when(F.col("strand") == "-", -1).otherwise(1)
+    # upstream is always downwards: the - strand is mirrored
+    with_end = read_ends(reads, tuple(c for c in reads.columns if c not in key)).withColumn("_end", F.col("end5") * up).drop("end5")
+    ends = with_end.select(*key, F.col("_end").alias("at")).distinct()
+    mirrored = F.array_sort(F.array(F.col("first") * up, F.col("second") * up))
+    cut = junctions.select(*key, "first", "second").distinct().select(*key, mirrored[0].alias("first"), mirrored[1].alias("second"))
+    both = ends.withColumn("_row", F.lit(1)).unionByName(cut.select(*key, F.col("first").alias("at"), "second", F.lit(0).alias("_row")), allowMissingColumns=True)
+    known = scan.before(scan.ranged(both, key, ["at", "_row"]), key, n_cut=F.col("second") - F.col("at") + 1, max_second=F.col("second"), max_first=F.when(F.col("_row") == 0, F.col("at")))
+    flat = F.col("at") - F.coalesce("n_cut", F.lit(0)) - F.when(F.col("_row") == 1, F.lit(ext)).otherwise(0)
+    known = scan.save(known.withColumn("flat", flat).drop(scan.PART, scan.AT, "n_cut"), "ends")
+    inside = (F.col("_row") == 1) & (F.col("max_second") >= F.col("at"))
+    free = scan.ranged(known.where(~F.coalesce(inside, F.lit(False))), key, ["flat", "_row"])
+    back = scan.before(free, key, n_cut=F.col("second") - F.col("at") + 1).where("_row = 1")
+    spans = back.select(*key, "at", (F.col("flat") + F.coalesce("n_cut", F.lit(0))).alias("first"), (F.col("at") - 1).alias("second"))
+    passed = interval_join(spans, cut).groupBy(*key, "at").agg(F.array_sort(F.collect_list(F.struct("r_first", "r_second"))).alias("js"))
+    spans = spans.join(passed, [*key, "at"], "left").withColumn("js", F.coalesce("js", F.expr("array()").cast("array<struct<r_first:bigint,r_second:bigint>>")))
+    pieces = F.zip_with(
+        F.concat(F.array("first"), F.transform("js", lambda j: j["r_second"] + 1)), F.concat(F.transform("js", lambda j: j["r_first"] - 1), F.array("second")), lambda x, y: F.struct(x.alias("first"), y.alias("second"))
+    )
+    stopped = known.where(inside).select(*key, "at", F.array(F.struct(F.greatest(F.col("at") - ext, "max_first").alias("first"), (F.col("at") - 1).alias("second"))).alias("p"))
+    found = spans.select(*key, "at", pieces.alias("p")).unionByName(stopped).withColumn("up", up)
+    real = F.transform(F.filter("p", lambda x: x["first"] <= x["second"]), lambda x: F.struct(F.when(F.col("up") < 0, -x["second"]).otherwise(F.greatest(x["first"], F.lit(1))).alias("first"), F.when(F.col("up") < 0, -x["first"]).otherwise(x["second"]).alias("second")))
+    extra = found.select(*key, F.col("at").alias("_end"), F.filter(real, lambda x: x["first"] <= x["second"]).alias("_extra"))
+    joined = with_end.join(extra, [*key, "_end"], "left")
+    kind = dict(reads.dtypes)["regions"]
+    regions = F.array_sort(F.concat("regions", F.coalesce("_extra", F.expr("array()").cast("array<struct<first:bigint,second:bigint>>")).cast(kind)))
+    return joined.withColumn("regions", regions).select(*reads.columns)
 
 
 def count_rt(reads: DataFrame, sizes: DataFrame, junctions: DataFrame | None = None, genome: DataFrame | None = None, min_bd: int = 50) -> DataFrame:

@@ -50,7 +50,9 @@ def least_correlation(n: int, alpha: float = 0.05) -> float:
 def global_index(rows: DataFrame, *order: str) -> DataFrame:
     """rows with ``at``, the 0-based place in the order of ``order``, without a window over everything: places inside each
     sorted partition plus the sizes of the partitions before (one number for each partition comes to the driver)."""
-    ranked = rows.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).persist()
+    from .scan import save
+
+    ranked = save(rows.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "sorted")
     part = F.shiftright("_mid", 33)
     before, total = [], 0
     for r in sorted(ranked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()):
@@ -172,29 +174,36 @@ def paired_bases(dots: DataFrame) -> DataFrame:
     return rows.select("transcript_id", (F.col("i") + 1).cast("long").alias("pos"), "base", (sign != ".").alias("paired"))
 
 
-def evaluate_structure(shapes: DataFrame, dots: DataFrame, access: DataFrame | None = None, min_area: float = 5.0) -> DataFrame:
-    """auc of each transcript and of all (transcript_id null). Lengths must agree; accessible unpaired bases count, if ``access`` is given."""
+def evaluate_structure(shapes: DataFrame, dots: DataFrame, access: DataFrame | None = None, min_area: float = 5.0, ignore_double_strand: bool = False) -> DataFrame:
+    """auc of each transcript and of all (transcript_id null). Lengths must agree.
+
+    With ``access`` only bases of at least ``min_area`` count, and those whose value is null or missing; with
+    ``ignore_double_strand`` paired bases count whatever their value.
+    """
     scores = shapes.select("transcript_id", "length", F.posexplode("scores").alias("i", "score")).select("transcript_id", "length", (F.col("i") + 1).cast("long").alias("pos"), "score")
     lengths = dots.select(F.col("id").alias("transcript_id"), F.length("seq").cast("long").alias("length"))
     rows = scores.join(lengths, ["transcript_id", "length"]).join(paired_bases(dots), ["transcript_id", "pos"])
     if access is not None:
-        rows = rows.join(access.select(F.col("id").alias("transcript_id"), F.col("pos").cast("long").alias("pos"), "value"), ["transcript_id", "pos"], "left").where(F.col("paired") | (F.col("value") >= min_area))
+        rows = rows.join(access.select(F.col("id").alias("transcript_id"), F.col("pos").cast("long").alias("pos"), "value"), ["transcript_id", "pos"], "left").where(F.col("value").isNull() | (F.col("value") >= min_area) | (F.col("paired") & F.lit(ignore_double_strand)))
     each = roc_auc(rows, by=("transcript_id",))
     return each.unionByName(roc_auc(rows).select(F.lit(None).cast("string").alias("transcript_id"), "auc", "positives", "negatives"))
 
 
 def train_parameters(rtbd: DataFrame, sizes: DataFrame, dots: DataFrame, windows: tuple = (100, 200), sub_factors: tuple = (0.0, 0.25, 0.5), **scoring) -> DataFrame:
-    """wsize, sub, auc: sliding scores for each grid point over one saved table of counts."""
+    """wsize, sub, auc: sliding scores for each grid point over one saved table of counts.
+
+    All factors of a window size are scored in one pass, as they share the ranks of the counts.
+    """
+    from .scan import save
     from .score import sliding_score
 
-    cached = rtbd.persist()
-    truth = paired_bases(dots).withColumnRenamed("transcript_id", "contig").persist()
+    counts = save(rtbd, "counts")
+    truth = save(paired_bases(dots).withColumnRenamed("transcript_id", "contig").select("contig", "pos", "paired"), "pairs")
     out = None
     for wsize in windows:
-        for sub in sub_factors:
-            scored = sliding_score(cached, sizes, grid="fixed", wsize=wsize, sub=sub, **scoring).where("strand = '+'")
-            auc = roc_auc(scored.join(truth, ["contig", "pos"])).select(F.lit(wsize).alias("wsize"), F.lit(float(sub)).alias("sub"), "auc")
-            out = auc if out is None else out.unionByName(auc)
+        scored = sliding_score(counts, sizes, wsize=wsize, sub=tuple(map(float, sub_factors)), **{"grid": "fixed", **scoring}).where("strand = '+'")
+        auc = roc_auc(scored.join(truth, ["contig", "pos"]), by=("sub",)).select(F.lit(wsize).alias("wsize"), "sub", "auc")
+        out = auc if out is None else out.unionByName(auc)
     return out
 
 

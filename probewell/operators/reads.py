@@ -187,9 +187,13 @@ def sam_read_classes(sam: DataFrame, genes: DataFrame, exons: DataFrame) -> Data
 
 
 def sample_reads(sam: DataFrame, target: int = 1_000_000, seed: int = 0) -> DataFrame:
-    """A Bernoulli sample of about ``target`` rows if there are that many."""
+    """About ``target`` rows if there are that many: those whose hash of seed, read_id, flag and pos is small enough; the same in every run."""
     n = sam.count()
-    return sam.sample(target / n, seed) if n >= target else sam
+    if n < target:
+        return sam
+    key = F.concat_ws("|", F.lit(str(seed)), "read_id", F.col("flag").cast("string"), F.col("pos").cast("string"))
+    number = F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("long")
+    return sam.where(number < int(target / n * (1 << 52)))
 
 
 def fasta_select(seqs: DataFrame, fetch: DataFrame | None = None, remove: DataFrame | None = None, keep_id_re=None, drop_id_re=None, keep_note_re=None, drop_note_re=None, sample=None, seed: int = 0) -> DataFrame:

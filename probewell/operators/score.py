@@ -256,33 +256,36 @@ def _winsor(x: np.ndarray, factor: float, min_n: int = 20) -> np.ndarray:
 
 
 def score_windows(n_rt, n_bd, d_rt, d_bd, mask=None, enrich="complex", sub=0.25, div=10.0, add=1.0, sample="decile", index=2, calc="median", winsor=0.05, min_bd=50, min_rt=1.0, low_bd=10, mask_bd=100) -> np.ndarray:
-    """Scores of windows, one a row; nan where there is none.
+    """Scores of windows, one a row; nan where there is none. A tuple of ``sub`` gives scores for each of them, from one ranking.
 
     With a mask, windows are scored one by one on what it lets in; half of that must have the coverage ``mask_bd``.
     """
     n, w = n_rt.shape
-    out = np.full((n, w), np.nan)
+    subs = sub if isinstance(sub, tuple) else (sub,)
+    out = np.full((len(subs), n, w), np.nan)
+    answer = out if isinstance(sub, tuple) else out[0]
     low = (d_bd >= low_bd).sum(axis=1) < w // 5
     if mask is not None:
         for i in np.flatnonzero(~low):
             m = mask[i]
             if m.sum():
-                out[i, m] = score_windows(n_rt[i : i + 1, m], n_bd[i : i + 1, m], d_rt[i : i + 1, m], d_bd[i : i + 1, m], None, enrich, sub, div, add, sample, index, calc, winsor, mask_bd, 0.0, -1)[0]
-        return out
+                out[:, i, m] = score_windows(n_rt[i : i + 1, m], n_bd[i : i + 1, m], d_rt[i : i + 1, m], d_bd[i : i + 1, m], None, enrich, subs, div, add, sample, index, calc, winsor, mask_bd, 0.0, -1)[:, 0]
+        return answer
     go = ~low & ((d_bd >= min_bd).sum(axis=1) > w // 2) & (n_rt.mean(axis=1) >= min_rt)
     if not go.any():
-        return out
+        return answer
     a, b, c, d = (x[go].astype(float) for x in (n_rt, n_bd, d_rt, d_bd))
     fa, fb, fc, fd = (_factors(x, sample, index, calc)[:, None] for x in (a, b, c, d))
-    with np.errstate(all="ignore"):
-        s = {
-            "sub": lambda: a / fa - sub * (c / fc),
-            "div": lambda: np.where(d > 0, div * (b / fb) / (d / fd), np.nan),
-            "complex": lambda: np.where(d > 0, div * (a / fa - sub * (c / fc)) / (d / fd), np.nan),
-            "log": lambda: np.where(d > 0, np.log2((a + add) / (c + add)), np.nan),
-        }[enrich]()
-    out[go] = _winsor(s, winsor)
-    return out
+    for k, less in enumerate(subs):
+        with np.errstate(all="ignore"):
+            s = {
+                "sub": lambda: a / fa - less * (c / fc),  # noqa: B023 - called at once
+                "div": lambda: np.where(d > 0, div * (b / fb) / (d / fd), np.nan),
+                "complex": lambda: np.where(d > 0, div * (a / fa - less * (c / fc)) / (d / fd), np.nan),  # noqa: B023
+                "log": lambda: np.where(d > 0, np.log2((a + add) / (c + add)), np.nan),
+            }[enrich]()
+        out[k][go] = _winsor(s, winsor)
+    return answer
 
 
 def score_windows_noctrl(rt, bd, mask=None, enrich="rt", add=1.0, sink=0.0, winsor=0.05, min_bd=50, min_rt=1.0, low_bd=10, mask_bd=100) -> np.ndarray:
@@ -405,7 +408,7 @@ def sliding_score(
     ``'exact'`` follows the data-dependent step (wsize - 1 after a low-expression window). The axis is cut into tiles; each
     tile is scored alone with a halo of ``wsize`` places on both sides, so no contig is held in one task. For the exact grid each
     tile tells where it is left for every place where it can be entered, and these maps are joined. With ``bases`` (and a column base in counts) only
-    these bases are ranked against each other. Contigs under 2 * wsize bases are skipped. Rows need a stop or out_min_cov.
+    these bases are ranked against each other. A tuple of ``sub`` gives a row, with the column sub, for each of them. Contigs under 2 * wsize bases are skipped. Rows need a stop or out_min_cov.
     Without ``control`` the counts are rt and bd of one sample, and so are the columns of the result.
     """
     key, names, extra = _columns(grid, bases, control)
@@ -469,7 +472,7 @@ def separate_bases(score_of, bases: str) -> DataFrame:
     return out
 
 
-def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump: int, grid: str, bases: str | None, min_cov: int, out_min_cov: int, tile: int, scoring: dict) -> DataFrame:
+def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump: int, walk: str, bases: str | None, min_cov: int, out_min_cov: int, tile: int, scoring: dict) -> DataFrame:
     """Rows (contig, strand, pos, at, size, counts) on axes of ``size`` places → scores, tile by tile."""
     tile = max(tile, 2 * wsize)  # a window lies in two tiles at most, and a step ends in the next one
     key, cover, window = ["contig", "strand"], names[-1], score_windows if len(names) == 4 else score_windows_noctrl
@@ -482,6 +485,8 @@ def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump:
     grouped = spread.groupBy(*key, "tile")
     low_bd = scoring.get("low_bd", 10)
     letters = set(bases.replace("U", "T")) if bases else set()
+    several = isinstance(scoring.get("sub"), tuple)
+    grid = scoring["sub"] if several else (None,)
 
     def axis(t: int, size: int, pdf: pd.DataFrame) -> tuple[int, int, np.ndarray]:
         """First place and end of a tile with its halo, and the places of its rows from there."""
@@ -524,30 +529,35 @@ def _score_axes(rows: DataFrame, names: list[str], wsize: int, wstep: int, jump:
         else:
             from_ = border(t)
             s = from_ + starts_from(given, is_low(dense[-1], lo, from_, (t + 1) * tile), size - wsize - from_, wstep, jump, t == 0)
-        total_sum, good, n = (np.zeros(hi - lo) for _ in range(3))
+        total_sum, good, n = np.zeros((len(grid), hi - lo)), np.zeros((len(grid), hi - lo)), np.zeros(hi - lo)
         for part in np.array_split(s, max(1, len(s) // 2000)):
             if not len(part):
                 continue
             index = (part - lo)[:, None] + np.arange(wsize)
             got = window(*(x[index] for x in dense), mask=None if mask is None else mask[index], **{"mask_bd": min_cov, **scoring})
-            ok = ~np.isnan(got)
-            np.add.at(total_sum, index, np.where(ok, got, 0.0))
-            np.add.at(good, index, ok)
+            for k, one in enumerate(got if several else got[None]):
+                ok = ~np.isnan(one)
+                np.add.at(total_sum[k], index, np.where(ok, one, 0.0))
+                np.add.at(good[k], index, ok)
             np.add.at(n, index, 1)
         mine = (pdf["at"] // tile == t).to_numpy()
         at = place[mine]
-        enough = (n[at] >= 2) & (good[at] > n[at] // 2) & (dense[-1][at] >= min_cov)
-        with np.errstate(all="ignore"):
-            score = np.where(enough, total_sum[at] / good[at], np.nan)
-        out = pdf.loc[mine, ["contig", "strand", "pos", *names]].copy()
-        out["score"] = pd.array(score, dtype="Float64")
-        out.loc[np.isnan(score), "score"] = None
-        out["n_windows"], out["valid_count"] = n[at].astype(np.int64), np.where(n[at] < 2, 0, good[at]).astype(np.int64)
-        shown = (out[names[::2]] >= 1).any(axis=1) | (out[cover] >= out_min_cov)
-        return out[shown & mask[at]] if mask is not None else out[shown]
-
-    schema = "contig string, strand string, pos long, " + ", ".join(f"{c} long" for c in names) + ", score double, n_windows long, valid_count long"
-    if grid == "fixed":
+        out = []
+        for k, less in enumerate(grid):
+            enough = (n[at] >= 2) & (good[k][at] > n[at] // 2) & (dense[-1][at] >= min_cov)
+            with np.errstate(all="ignore"):
+                score = np.where(enough, total_sum[k][at] / good[k][at], np.nan)
+            part = pdf.loc[mine, ["contig", "strand", "pos", *names]].copy()
+            part["score"] = pd.array(score, dtype="Float64")
+            part.loc[np.isnan(score), "score"] = None
+            part["n_windows"], part["valid_count"] = n[at].astype(np.int64), np.where(n[at] < 2, 0, good[k][at]).astype(np.int64)
+            shown = (part[names[::2]] >= 1).any(axis=1) | (part[cover] >= out_min_cov)
+            part = part[shown & mask[at]] if mask is not None else part[shown]
+            out.append(part.assign(sub=less) if several else part)
+        return pd.concat(out)
+
+    schema = "contig string, strand string, pos long, " + ", ".join(f"{c} long" for c in names) + ", score double, n_windows long, valid_count long" + ", sub double" * several
+    if walk == "fixed":
         return grouped.applyInPandas(lambda name, pdf: score_tile(name, pdf, None), schema)
     entries = _grid_entries(grouped.applyInPandas(mapped, "contig string, strand string, tile long, map binary"), tile, wsize, wstep, jump)
 

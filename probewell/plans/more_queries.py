@@ -118,13 +118,13 @@ def _region_class(spark, d):
 
 @query(
     "gene_to_transcript",
-    f"""WITH {a.TRANSCRIPTS}, {_GENES}, p AS (SELECT gene_id, contig, strand, CASE WHEN strand = '+' THEN first + 29 ELSE greatest(second - 299, first) END AS a, CASE WHEN strand = '+' THEN least(first + 299, second) ELSE second - 29 END AS b FROM genes)
+    f"""WITH {a.TRANSCRIPTS}, {_GENES}, p AS (SELECT gene_id, contig, strand, first AS a, second AS b FROM genes)
     SELECT p.gene_id, e.transcript_id, greatest(a, first) AS p_first, least(b, second) AS p_second, CASE WHEN e.strand = '+' THEN t_first + greatest(a, first) - first ELSE t_first + second - least(b, second) END AS t_first,
       CASE WHEN e.strand = '+' THEN t_first + greatest(a, first) - first ELSE t_first + second - least(b, second) END + least(b, second) - greatest(a, first) AS t_second FROM p JOIN exons e ON p.contig = e.contig AND p.strand = e.strand AND a <= second AND first <= b""",
 )
 def _gene_to_transcript(spark, d):
     genes = annotation.gene_table(a.transcripts(spark, d))
-    spans = genes.select("gene_id", F.lit(30).cast("long").alias("g_first"), F.least(F.lit(300), F.col("length")).alias("g_second"))
+    spans = genes.select("gene_id", F.lit(1).cast("long").alias("g_first"), F.col("length").alias("g_second"))
     return coords.gene_to_transcript(spans, genes, _exons(spark, d)).select("gene_id", "transcript_id", "p_first", "p_second", "t_first", "t_second")
 
 
@@ -254,10 +254,10 @@ def _alignment(spark, d):
 
 @query(
     "matrix_mask_gaps",
-    f"""WITH {_COMPRESSED}, p AS (SELECT contig, n, unnest(range(1, CAST(n AS BIGINT) + 1)) AS i FROM s), f AS (SELECT contig, CAST(floor((i - 1) * 40 / CAST(60200 AS DOUBLE)) AS BIGINT) + 1 AS b FROM p WHERE (i - 1) // 900 % 3 <> 1 GROUP BY ALL HAVING count(*) * 40 / CAST(60200 AS DOUBLE) >= 0.25)
+    f"""WITH {_COMPRESSED}, p AS (SELECT contig, n, unnest(range(1, CAST(n AS BIGINT) + 1)) AS i FROM s), f AS (SELECT contig, CAST(floor((i - 1) * 40 / n) AS BIGINT) + 1 AS b FROM p WHERE (i - 1) // 900 % 3 <> 1 GROUP BY contig, 2, n HAVING count(*) * 40 / n >= 0.25)
     SELECT m.contig, strand, x, y, CASE WHEN u.b IS NOT NULL AND v.b IS NOT NULL THEN value END AS value FROM (SELECT contig, strand, x, y, sum(value) AS value FROM b GROUP BY ALL) m LEFT JOIN f u ON m.contig = u.contig AND x = u.b LEFT JOIN f v ON m.contig = v.contig AND y = v.b""",
 )
 def _mask_gaps(spark, d):
     lengths = _coo(spark, d).groupBy(F.col("contig").alias("id")).agg(F.max("x").alias("n"))
     places = lengths.select("id", F.explode(F.expr("sequence(1L, n)")).alias("aln_pos")).where("(aln_pos - 1) div 900 % 3 <> 1")
-    return matrix.matrix_mask_gaps(_compress(spark, d), places, 60200, 40)
+    return matrix.matrix_mask_gaps(_compress(spark, d), places, lengths.select(F.col("id").alias("contig"), F.col("n").alias("length")), 40)

@@ -48,12 +48,6 @@ def _combine_junctions(spark, d):
     return pileup.combine_junctions(pileup.junction_support(r, a.junctions(spark, d)), a.sizes(r))
 
 
-@query("bd_extension")
-def _bd_extension(spark, d):
-    r = a.reads(spark, d)
-    return pileup.base_density(pileup.bd_extension(r, a.junctions(spark, d), a.sizes(r), ext=20))
-
-
 @query("condition_counts", f"WITH {a.COUNTS} SELECT contig, strand, pos, n_rt, n_bd, d_rt, d_bd FROM counts JOIN sizes USING (contig) WHERE pos <= length")
 def _condition_counts(spark, d):
     r = a.reads(spark, d)
@@ -727,12 +721,12 @@ def _gene_to_genome(spark, d):
     return coords.gene_to_genome(genes.select("gene_id", F.explode(F.expr("sequence(1L, second - first + 1)")).alias("g_pos")), genes)
 
 
-@query("transcript_to_gene", f"""WITH {a.TRANSCRIPTS}, {_GENES}, h AS (SELECT e.transcript_id, e.gene_id, e.strand, CASE WHEN strand = '+' THEN first + greatest(20, t_first) - t_first ELSE second - (least(90, t_second) - t_first) END AS p_first,
-      least(90, t_second) - greatest(20, t_first) AS w FROM exons e WHERE 20 <= t_second AND t_first <= 90)
+@query("transcript_to_gene", f"""WITH {a.TRANSCRIPTS}, {_GENES}, h AS (SELECT e.transcript_id, e.gene_id, e.strand, first AS p_first, second - first AS w FROM exons e)
     SELECT transcript_id, h.gene_id, CASE WHEN h.strand = '+' THEN p_first - g.first + 1 ELSE g.second - (p_first + w) + 1 END AS g_first, CASE WHEN h.strand = '+' THEN p_first - g.first + 1 ELSE g.second - (p_first + w) + 1 END + w AS g_second FROM h JOIN genes g ON h.gene_id = g.gene_id""")
 def _transcript_to_gene(spark, d):
     t = a.transcripts(spark, d)
-    spans = t.select("transcript_id", F.lit(20).cast("long").alias("t_from"), F.lit(90).cast("long").alias("t_to"))
+    total = F.aggregate("exons", F.lit(0).cast("long"), lambda s, x: s + x["second"] - x["first"] + 1)
+    spans = t.select("transcript_id", F.lit(1).cast("long").alias("t_from"), total.alias("t_to"))
     return coords.transcript_to_gene(spans, annotation.exon_offsets(t), annotation.gene_table(t)).select("transcript_id", "gene_id", "g_first", "g_second")
 
 

@@ -82,6 +82,34 @@ def tile_fasta(fasta: DataFrame, size: int = 1_000_000) -> DataFrame:
     return fasta.where("seq <> ''").select(F.col("id").alias("contig"), F.explode(tiles).alias("tile"), "seq").select("contig", "tile", F.substring("seq", (F.col("tile") * size + 1).cast("int"), F.lit(size)).alias("seq"))
 
 
+def read_fasta_tiles(spark: SparkSession, path: str, size: int = 1_000_000) -> DataFrame:
+    """(contig, tile, seq): ``tile_fasta`` of a FASTA file, made while its lines are read; no row holds a sequence.
+
+    Running sums of the line lengths over the splits of each file give every line its place in its record; its letters go to
+    one or two tiles. Of records with one id the last one of a file counts. Lines in front of the first record are left out.
+    """
+    from ..operators import scan
+
+    start = F.col("_metadata.file_block_start").alias(scan.PART)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), start, F.monotonically_increasing_id().alias(scan.AT), "value")
+    head = F.startswith("value", F.lit(">"))
+    bases = F.when(head, "").otherwise(F.regexp_replace("value", r"\s", ""))
+    table = scan.save(lines.select("file", scan.PART, scan.AT, bases.alias("bases"), F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name")), "fasta_lines")
+    known = scan.before(table, ["file"], n_bases=F.length("bases"))
+    known = known.withColumn("n_bases", F.coalesce("n_bases", F.lit(0)).cast("long"))
+    # the record of a line is the last head before it: the latest place, and the letters that stand before that
+    latest = F.when(F.col("name").isNotNull(), F.struct(scan.PART, scan.AT, "n_bases", "name"))
+    placed = scan.before(known, ["file"], max_head=latest).where("name is null and max_head is not null and bases <> ''")
+    heads = table.where("name is not null").groupBy("file", "name").agg(F.max(F.struct(scan.PART, scan.AT)).alias("last"))
+    rows = placed.select("file", F.col("max_head.name").alias("name"), F.struct(f"max_head.{scan.PART}", f"max_head.{scan.AT}").alias("last"), (F.col("n_bases") - F.col("max_head.n_bases")).alias("place"), "bases")
+    rows = rows.join(heads, ["file", "name", "last"], "left_semi")
+    cut = rows.withColumn("tile", F.explode(F.expr(f"sequence(place div {size}, (place + length(bases) - 1) div {size})")))
+    lo = F.greatest(F.col("tile") * size - F.col("place"), F.lit(0))
+    piece = F.substring("bases", (lo + 1).cast("int"), F.least(F.length("bases") - lo, (F.col("tile") + 1) * size - F.col("place") - lo).cast("int"))
+    pieces = cut.select(F.col("name").alias("contig"), "tile", F.struct("place", piece.alias("seq")).alias("p"))
+    return pieces.groupBy("contig", "tile").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["seq"]), "").alias("seq"))
+
+
 def read_tab(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
     """contig, strand, regions (from pairs of columns), and the sample's name if given."""
     rows = _fields(spark, path)

@@ -63,3 +63,20 @@ def test_files_of_queries_go_to_the_shared_folder(spark):
     assert one != two
     Cluster.conf = {"spark.checkpoint.dir": "hdfs://n/shared/"}
     assert scratch.scratch(Cluster, "x").startswith("hdfs://n/shared/x-")
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_fasta_tiles_while_reading(spark, tmp_path, size):
+    rng = random.Random(size)
+    letters = lambda n: "".join(rng.choices("ACGTN", k=n))
+    records = [("one", letters(900)), ("two", letters(3)), ("empty", ""), ("one", letters(611)), ("three", letters(250))]
+    for name, part in (("a", records[:4]), ("b", records[4:])):
+        text = "".join(f">{i} note {k}\n" + "".join(s[j : j + 60] + "\n" for j in range(0, len(s), 60)) for k, (i, s) in enumerate(part))
+        (tmp_path / f"{name}.fa").write_text("ACGT\n" + text if name == "a" else text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")  # records over many splits
+    try:
+        got = {(r.contig, r.tile): r.seq for r in readers.read_fasta_tiles(spark, str(tmp_path), size).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    last = dict(records)
+    assert got == {(i, t): last[i][t * size : (t + 1) * size] for i in last for t in range(-(-len(last[i]) // size))}

@@ -38,24 +38,20 @@ def test_junctions(spark):
     assert [tuple(x)[2:] for x in pileup.combine_junctions(many, sizes).collect()] == [(5, 20, 5)]
 
 
-def test_extension_jumps_over_a_junction_and_stops_inside_one():
-    def flat(strand, a, b, js=((51, 80),)):
-        js = sorted((-y, -x) for x, y in js) if strand == "-" else list(js)
-        return [(d["first"], d["second"]) for d in pileup._extension(strand, [{"first": a, "second": b}], js, np.array([x for x, _ in js]), 20)]
-
-    assert flat("+", 91, 120) == [(81, 90), (41, 50)]
-    assert flat("+", 60, 120) == [(51, 59)]
-    assert flat("-", 10, 45) == [(46, 50), (81, 95)]
-    assert flat("+", 5, 9, ()) == [(1, 4)]
-
-
-def test_extension_is_the_same_with_few_and_with_many_junctions(spark, monkeypatch):
-    r = spark.createDataFrame([("c", "+", [(91, 120)]), ("c", "-", [(10, 45)]), ("d", "+", [(30, 40)])], READS)
-    j = spark.createDataFrame([("c", "+", 51, 80), ("c", "-", 51, 80)], "contig string, strand string, first long, second long")
-    get = lambda: sorted((x.contig, x.strand, tuple((g["first"], g["second"]) for g in x.regions)) for x in pileup.bd_extension(r, j, None, 20).collect())
-    few = get()
-    monkeypatch.setattr(pileup, "SMALL_TABLE", 1)
-    assert get() == few and few[0] == ("c", "+", ((41, 50), (81, 90), (91, 120)))
+def test_extension_jumps_over_a_junction_and_stops_inside_one(spark):
+    cases = [("a", "+", 91, 120, [(41, 50), (81, 90)]), ("a", "+", 60, 120, [(51, 59)]), ("a", "-", 10, 45, [(46, 50), (81, 95)]), ("b", "+", 5, 9, [(1, 4)]), ("a", "+", 81, 90, [(31, 50)]), ("a", "+", 1, 4, []), ("a", "-", 70, 80, []), ("a", "-", 60, 79, [(80, 80)])]
+    cases += [("c", "+", 101, 110, [(57, 59), (65, 69), (80, 84), (90, 94), (98, 100)])]
+    j = [("a", "+", 51, 80), ("a", "-", 51, 80), ("c", "+", 60, 64), ("c", "+", 70, 79), ("c", "+", 85, 89), ("c", "+", 95, 97)]
+    r = spark.createDataFrame([(c, s, [(x, y)], i) for i, (c, s, x, y, _) in enumerate(cases)], READS + ", i int")
+    got = {x.i: [(g["first"], g["second"]) for g in x.regions] for x in pileup.bd_extension(r, spark.createDataFrame(j, "contig string, strand string, first long, second long"), None, 20).collect()}
+    assert got == {i: sorted([*want, (x, y)]) for i, (_, _, x, y, want) in enumerate(cases)}
+
+
+def test_extension_without_junctions(spark):
+    r = spark.createDataFrame([("c", "+", [(91, 120)]), ("c", "-", [(10, 45)])], READS)
+    none = spark.createDataFrame([], "contig string, strand string, first long, second long")
+    assert sorted((x.strand, len(x.regions)) for x in pileup.bd_extension(r, none, None, 20).collect()) == [("+", 2), ("-", 2)]
+    assert pileup.bd_extension(r, none, None, 0).collect() == r.collect()
 
 
 @pytest.mark.parametrize(

@@ -381,3 +381,18 @@ def test_regions_are_rounded_and_erased(spark):
     bad = spark.createDataFrame([("c", "a", 1, 54), ("c", "b", 54, 60)], frame.schema)
     with pytest.raises(Exception, match="overlap"):
         matrix.compress_regions(bad, size, 10).collect()
+
+
+# ---- several factors in one pass
+
+
+@pytest.mark.parametrize("bases", [None, "A"])
+def test_factors_of_one_pass_equal_single_ones(spark, bases):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([("c", "+", p, *map(int, rng.integers(1, 150, 4)), "AC"[p % 2]) for p in range(1, 400)], "contig string, strand string, pos long, n_rt long, n_bd long, d_rt long, d_bd long, base string")
+    sizes = spark.createDataFrame([("c", 400)], "contig string, length long")
+    run = lambda sub, grid: score.sliding_score(rows, sizes, wsize=60, wstep=7, grid=grid, bases=bases, sub=sub, out_min_cov=0, min_cov=20)
+    for grid in ("fixed", "exact"):
+        together = {(r.sub, r.pos): (r.score, r.n_windows, r.valid_count) for r in run((0.0, 0.5), grid).collect()}
+        assert together == {(s, r.pos): (r.score, r.n_windows, r.valid_count) for s in (0.0, 0.5) for r in run(s, grid).collect()}
+        assert len(together) > 300
