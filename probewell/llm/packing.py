@@ -9,6 +9,8 @@ sequence is dealt over shorter ones whose totals are powers of two, so no sequen
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +33,16 @@ _WORD[[9, 10, 13, 32]] = False
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _STOP = np.zeros(256, dtype=bool)
-_STOP[[ord(c) for c in ".,;:!?)"]] = True
+_STOP[[ord(c) for c in ".,;:!?)#$%&*"]] = True
+# words of Latin letters only, which no normal form changes; the tokenizer spells bytes that do not print as the code points from 256 on
+_LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_SPELLED = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class Encoder:
     """Ids of a tokenizer whose words end at white space; each distinct word is encoded by the library once and remembered.
 
-    A word is also cut between an ASCII letter and one of ``.,;:!?)``, where this tokenizer always separates.
+    A word is also cut between an ASCII letter and one of ``.,;:!?)#$%&*``, where this tokenizer always separates.
     """
 
     def __init__(self, path: str):
@@ -47,13 +52,15 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if w.isalpha()]  # of bytes: ASCII letters only
-        other = [w for w in words if not w.isalpha()]
-        tokenize = self.library.model.tokenize
-        for w in plain:
-            self.known[w] = np.array([t.id for t in tokenize(w.lower().decode())], dtype=np.uint32).tobytes()
+        other, tokenize = [], self.library.model.tokenize
+        for w in words:
+            if _LATIN.fullmatch(w):
+                low = w.lower().decode() if w.isascii() else w.decode().lower().encode().decode("latin-1").translate(_SPELLED)
+                self.known[w] = array("I", [t.id for t in tokenize(low)]).tobytes()
+            else:
+                other.append(w)
         for w, found in zip(other, self.library.encode_batch_fast([w.decode() for w in other], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(found.ids, dtype=np.uint32).tobytes()
+            self.known[w] = array("I", found.ids).tobytes()
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 texts (bytes and row offsets) → ids and their row offsets."""
