@@ -17,6 +17,8 @@ from ._store import save
 LONG = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 ASSIGNED = r"""(?<=[=:\s"'])(?<=(?i:password|passwd|passphrase|pwd)["']?\s{0,2}[=:]\s{0,2}["']?)(?=[^\s"'<>\\]{0,64}[0-9!@#$%^&*])[^\s"'<>\\]{5,63}[^\s"'<>\\.,;:)]"""
 CANDIDATE = f"{LONG}|{ASSIGNED}"
+#: Parts of the words that ``ASSIGNED`` asks for: a text without any of them is searched for long runs only.
+PASSWORDS = ("passw", "passphrase", "pwd")
 #: Characters from which a value is masked inside longer words, too.
 UNMISTAKABLE = 16
 TREES, DEPTH, FOREST_SEED = 24, 6, 7
@@ -142,7 +144,10 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """
     share = train(labelled_findings(docs.sparkSession) if findings is None else findings)
     text = F.coalesce(F.col("text"), F.lit(""))
-    values, gaps = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE)
+    low = F.lower(text)
+    assigned = F.contains(low, F.lit(PASSWORDS[0])) | F.contains(low, F.lit(PASSWORDS[1])) | F.contains(low, F.lit(PASSWORDS[2]))
+    either = lambda search: F.when(assigned, search(CANDIDATE)).otherwise(search(LONG))
+    values, gaps = either(lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))), either(lambda p: F.split(text, p))
 
     def place(done: Column, f: Column) -> Column:
         start = done["next"] + F.length(f["gap"])
@@ -167,7 +172,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 
     # an array of one binds what has been found, so that the text is searched once only, and only if it holds a candidate
     bound = F.transform(F.array(F.struct(values.alias("values"), gaps.alias("gaps"))), located)[0]
-    around = F.when(F.rlike(text, F.lit(CANDIDATE)), bound).otherwise(F.array())
+    around = F.when(either(lambda p: F.rlike(text, F.lit(p))), bound).otherwise(F.array())
 
     def judge(f: Column) -> Column:
         score = share([f["x"][k] for k in range(len(NAMES))])
