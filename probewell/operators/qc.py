@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.sequence import dotbracket_pairs
-from .pileup import small
+from .pileup import shuffled, small
 
 
 def base_composition(counts_long: DataFrame) -> DataFrame:
@@ -167,11 +167,21 @@ def common_transcripts(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.join(b.select("transcript_id").distinct(), "transcript_id", "left_semi")
 
 
-def paired_bases(dots: DataFrame) -> DataFrame:
-    """(id, seq, dot) → transcript_id, pos, base, paired."""
-    rows = dots.select(F.col("id").alias("transcript_id"), "dot", F.posexplode(F.split("seq", "")).alias("i", "base")).where("base <> ''")
-    sign = F.expr("substring(dot, i + 1, 1)")
-    return rows.select("transcript_id", (F.col("i") + 1).cast("long").alias("pos"), "base", (sign != ".").alias("paired"))
+def paired_bases(dots: DataFrame, tile: int = 1 << 14) -> DataFrame:
+    """(id, seq, dot) → transcript_id, pos, base, paired. Long sequences are cut into tiles first, and these into letters."""
+    last = F.floor((F.length("seq") - 1) / tile)
+    part = lambda c: F.substring(c, (F.col("_t") * tile + 1).cast("int"), F.lit(tile))
+    cut = dots.where("seq <> ''").select(F.col("id").alias("transcript_id"), "seq", "dot", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_t"))
+    tiles = cut.select("transcript_id", "_t", part("seq").alias("seq"), part("dot").alias("dot")).repartition("transcript_id", "_t")
+    rows = tiles.select("transcript_id", "_t", F.posexplode(_letters("seq", "dot")).alias("i", "x"))
+    return rows.where("x.seq <> ''").select("transcript_id", (F.col("_t") * tile + F.col("i") + 1).cast("long").alias("pos"), F.col("x.seq").alias("base"), F.col("x.paired").alias("paired"))
+
+
+def _letters(seq: str, dot: str) -> Column:
+    """Array of struct (seq, paired), a letter of ``seq`` each; a sign that is missing is none of an unpaired base."""
+    two = F.arrays_zip(F.split(seq, "").alias("seq"), F.split(dot, "").alias("dot"))
+    paired = lambda x: F.when(F.col(dot).isNotNull(), F.coalesce(x["dot"], F.lit("")) != ".")
+    return F.transform(two, lambda x: F.struct(x["seq"].alias("seq"), paired(x).alias("paired")))
 
 
 def evaluate_structure(shapes: DataFrame, dots: DataFrame, access: DataFrame | None = None, min_area: float = 5.0, ignore_double_strand: bool = False) -> DataFrame:
@@ -180,11 +190,14 @@ def evaluate_structure(shapes: DataFrame, dots: DataFrame, access: DataFrame | N
     With ``access`` only bases of at least ``min_area`` count, and those whose value is null or missing; with
     ``ignore_double_strand`` paired bases count whatever their value.
     """
-    scores = shapes.select("transcript_id", "length", F.posexplode("scores").alias("i", "score")).select("transcript_id", "length", (F.col("i") + 1).cast("long").alias("pos"), "score")
-    lengths = dots.select(F.col("id").alias("transcript_id"), F.length("seq").cast("long").alias("length"))
-    rows = scores.join(lengths, ["transcript_id", "length"]).join(paired_bases(dots), ["transcript_id", "pos"])
+    # a transcript meets its structure as a whole; only then are both spread over its places
+    known = dots.where("seq <> ''").select(F.col("id").alias("transcript_id"), F.length("seq").cast("long").alias("length"), "seq", "dot")
+    both = shapes.select("transcript_id", F.col("length").cast("long").alias("length"), "scores").join(shuffled(known), ["transcript_id", "length"])
+    zipped = both.select("transcript_id", F.posexplode(F.arrays_zip("scores", _letters("seq", "dot").alias("b"))).alias("i", "x"))
+    rows = zipped.where("x.b.seq <> ''").select("transcript_id", (F.col("i") + 1).cast("long").alias("pos"), F.col("x.scores").alias("score"), F.col("x.b.paired").alias("paired"))
     if access is not None:
-        rows = rows.join(access.select(F.col("id").alias("transcript_id"), F.col("pos").cast("long").alias("pos"), "value"), ["transcript_id", "pos"], "left").where(F.col("value").isNull() | (F.col("value") >= min_area) | (F.col("paired") & F.lit(ignore_double_strand)))
+        known = access.select(F.col("id").alias("transcript_id"), F.col("pos").cast("long").alias("pos"), "value")
+        rows = rows.join(shuffled(known), ["transcript_id", "pos"], "left").where(F.col("value").isNull() | (F.col("value") >= min_area) | (F.col("paired") & F.lit(ignore_double_strand)))
     each = roc_auc(rows, by=("transcript_id",))
     return each.unionByName(roc_auc(rows).select(F.lit(None).cast("string").alias("transcript_id"), "auc", "positives", "negatives"))
 
@@ -202,7 +215,7 @@ def train_parameters(rtbd: DataFrame, sizes: DataFrame, dots: DataFrame, windows
     out = None
     for wsize in windows:
         scored = sliding_score(counts, sizes, wsize=wsize, sub=tuple(map(float, sub_factors)), **{"grid": "fixed", **scoring}).where("strand = '+'")
-        auc = roc_auc(scored.join(truth, ["contig", "pos"]), by=("sub",)).select(F.lit(wsize).alias("wsize"), "sub", "auc")
+        auc = roc_auc(scored.join(shuffled(truth), ["contig", "pos"]), by=("sub",)).select(F.lit(wsize).alias("wsize"), "sub", "auc")
         out = auc if out is None else out.unionByName(auc)
     return out
 
