@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from probewell.operators import qc
+from probewell.operators import coords, qc, reads
 
 
 def _plan(df) -> str:
@@ -22,3 +22,57 @@ def test_structures_are_never_broadcast(spark):
         found = qc.evaluate_structure(shapes, dots, given)
         assert "BroadcastHashJoin" not in _plan(found)
         assert [(r.positives, r.negatives) for r in found.orderBy("transcript_id").collect()] == [(6, 3)] + [(2, 1)] * 3
+
+
+def _intervals(spark, rng, n, longest, prefix):
+    rows = []
+    for i in range(n):
+        first = rng.randint(1, 40_000)
+        rows.append(("c1", rng.choice("+-"), first, first + rng.randint(0, rng.choice(longest)), f"{prefix}{i}"))
+    return spark.createDataFrame(rows, f"contig string, strand string, first long, second long, {prefix} string"), rows
+
+
+def test_interval_join_of_short_and_long_intervals_equals_brute_force(spark):
+    rng = random.Random(3)
+    left, a = _intervals(spark, rng, 300, [0, 40, 3000, 30_000], "x")
+    right, b = _intervals(spark, rng, 300, [0, 90, 900, 39_000], "y")
+    want = sorted((p[4], q[4]) for p in a for q in b if p[1] == q[1] and p[2] <= q[3] and q[2] <= p[3])
+    for bin in (16, 128, 100_000):
+        assert sorted((r.x, r.y) for r in coords.interval_join(left, right, bin).select("x", "y").collect()) == want
+    narrow = left.withColumn("second", F.col("first"))
+    want = sorted((p[4], q[4]) for p in a for q in b if p[1] == q[1] and q[2] <= p[2] <= q[3])
+    assert sorted((r.x, r.y) for r in coords.interval_join(narrow, right, widest=1).select("x", "y").collect()) == want
+
+
+def test_interval_join_compares_few_pairs_that_do_not_overlap(spark):
+    """A bin of 100,000 bases compared every place with every exon in it: here 20,000 x 6,000 pairs."""
+    key = ["contig", "strand"]
+    points = spark.range(20_000).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), F.col("id").alias("first"), F.col("id").alias("second"))
+    exons = spark.range(6_000).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), (F.col("id") * 3).alias("first"), (F.col("id") * 3 + 60).alias("second"))
+    met = []
+    joined = coords.interval_join(points, exons)
+    for side in (points, exons):
+        bins = coords._spread(side, coords.BIN, [(0, 0, F.lit(True))])
+        met.append(bins.groupBy(*key, "bin").agg(F.count("*").alias(f"n{len(met)}")))
+    compared = met[0].join(met[1], [*key, "bin"]).agg(F.sum(F.col("n0") * F.col("n1"))).first()[0]
+    assert compared < 5 * joined.count()
+
+
+def test_long_contig_is_laid_out_in_time_that_grows_with_it(spark):
+    n = 60_000
+    gtab = spark.range(1, n + 1).where("id % 3 <> 0").select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), F.col("id").alias("pos"), F.lit(2).cast("long").alias("rt"), F.lit(300).cast("long").alias("bd"), (F.col("id") / n).alias("shape"))
+    sizes = spark.createDataFrame([("c", n + 5)], "contig string, length long")
+    began = time.time()
+    row = coords.shape_contig_mode(gtab, sizes).first()
+    assert time.time() - began < 60
+    assert row.scores == [None if i % 3 == 0 or i > n else i / n for i in range(1, n + 6)]
+    assert abs(row.rt - 80_000 / (n + 5)) < 1e-9
+
+
+def test_conversion_counts_each_base_once_under_many_genes(spark):
+    gtab = spark.range(1, 101).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), F.col("id").alias("pos"))
+    span = "gene_id string, contig string, strand string, first long, second long"
+    genes = spark.createDataFrame([(f"g{i}", "c", "+", 11 + i % 3, 60) for i in range(30)], span)
+    exons = spark.createDataFrame([(f"g{i}", "c", "+", 21, 30 + i % 2) for i in range(30)], span)
+    found = {(r.contig, r.exon, r.intron, r.intergenic) for r in coords.conversion_summary(gtab, genes, exons).collect()}
+    assert found == {("c", 11, 39, 50), (None, 11, 39, 50)}
