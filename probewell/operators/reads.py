@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.cigar import sam_tag
 from ..functions.sequence import md_mutations, reverse_complement
-from .pileup import small
+from .pileup import shuffled, small
 
 
 def sam_flags(sam: DataFrame) -> DataFrame:
@@ -167,20 +167,23 @@ def mutation_profile(sam: DataFrame, n: int = 15) -> DataFrame:
 def sam_read_classes(sam: DataFrame, genes: DataFrame, exons: DataFrame) -> DataFrame:
     """class, type, reads: each mapped read is exon (split evenly over the transcripts it touches, by type), intron or
     intergenic; a contig without any gene gives un-annotated, an unmapped read un-mapped."""
-    from .coords import interval_join
+    from . import scan
+    from .coords import interval_join, merged
 
     ids = sam.withColumn("_row", F.monotonically_increasing_id())
     strand = F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+")
     aligned = F.aggregate(F.transform(F.regexp_extract_all("cigar", F.lit("(\\d+)[MDN=X]"), F.lit(1)), lambda x: x.cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
     mapped = ids.where(F.col("flag").bitwiseAND(4) == 0).select("_row", F.col("chr_id").alias("contig"), strand.alias("strand"), F.col("pos").alias("first"), (F.col("pos") + aligned - 1).alias("second"))
-    hit = interval_join(mapped, exons.select("contig", "strand", "transcript_id", "type", "first", "second")).select("_row", "transcript_id", "type").distinct()
-    in_exon = hit.select("_row", "type", (F.lit(1.0) / F.count("*").over(Window.partitionBy("_row"))).alias("w"))
+    hit = interval_join(mapped, exons.select("contig", "strand", "transcript_id", "type", "first", "second"))
+    touched = scan.save(hit.groupBy("_row").agg(F.collect_set(F.struct("transcript_id", "type")).alias("hits")).select("_row", F.transform("hits", lambda h: h["type"]).alias("types")), "read_hits")
+    in_exon = touched.select("_row", F.explode("types").alias("type"), (F.lit(1.0) / F.size("types")).alias("w"))
     exon = in_exon.groupBy("type").agg(F.sum("w").alias("reads")).select(F.lit("exon").alias("class"), "type", "reads")
-    rest = mapped.join(hit.select("_row").distinct(), "_row", "left_anti")
-    in_gene = interval_join(rest, genes.select("contig", "strand", "first", "second")).select("_row").distinct().withColumn("g", F.lit(1))
+    rest = mapped.join(shuffled(touched.select("_row")), "_row", "left_anti")
+    # in the union of all genes a read is met once or, across a gap, a few times
+    in_gene = interval_join(rest, merged(genes)).select("_row").distinct().withColumn("g", F.lit(1))
     known = small(genes.select("contig").distinct().withColumn("k", F.lit(1)))
     kind = F.when(F.col("g") == 1, "intron").when(F.col("k") == 1, "intergenic").otherwise("un-annotated")
-    others = rest.join(in_gene, "_row", "left").join(known, "contig", "left").groupBy(kind.alias("class")).agg(F.count("*").cast("double").alias("reads"))
+    others = rest.join(shuffled(in_gene), "_row", "left").join(known, "contig", "left").groupBy(kind.alias("class")).agg(F.count("*").cast("double").alias("reads"))
     unmapped = sam.where(F.col("flag").bitwiseAND(4) != 0).groupBy(F.lit("un-mapped").alias("class")).agg(F.count("*").cast("double").alias("reads"))
     more = others.unionByName(unmapped).select("class", F.lit(None).cast("string").alias("type"), "reads")
     return exon.unionByName(more)
