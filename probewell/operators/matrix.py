@@ -3,30 +3,93 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import scan
-from .pileup import small
+from .pileup import shuffled, small
 
 KEY = ["contig", "strand"]
 
 
-def contact_matrix(hangs: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
-    """Cells (x, y) of arm 1 times arm 2 of every hang on one contig and strand, both triangles.
+#: Side of the squares in which cells are packed.
+SIDE = 16
+
+
+def contact_blocks(hangs: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """``contact_matrix`` in squares of ``SIDE`` places: contig, strand, bx, by (from 0), at (array of short: row * SIDE + column in the square),
+    value (array of the cells' values).
 
-    Equal hangs are counted first; a hang is spread over rows of arm 1 and then over cells, and cells are summed before
-    they are shuffled.
+    Equal hangs are counted first; the rectangle of a hang is cut at the borders of squares, and these pieces are shuffled, not
+    cells. A square of one piece is laid out as it is; in another one each cell sums the pieces over it.
     """
     arms = ["start_1", "end_1", "start_2", "end_2"]
     same = hangs.where("chr_1 = chr_2 and strand_1 = strand_2").groupBy(F.col("chr_1").alias("contig"), F.col("strand_1").alias("strand"), *arms).agg(F.count("*").alias("n"))
     if lengths is not None:
         same = same.join(small(lengths.select("contig", "length")), "contig").where("end_1 <= length and end_2 <= length")
-    rows = same.withColumn("x", F.explode(F.sequence("start_1", "end_1")))
-    cells = rows.select(*KEY, "x", F.explode(F.sequence("start_2", "end_2")).alias("y"), "n")
-    both = cells.select(*KEY, F.inline(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))), "n")
-    return both.groupBy(*KEY, "x", "y").agg(F.sum("n").cast("double").alias("value"))
+    box = lambda i, j: F.struct(*[(F.col(f"{e}_{k}") - 1).alias(f"{n}{m}") for k, n in ((i, "x"), (j, "y")) for e, m in (("start", 0), ("end", 1))])
+    both = same.select(*KEY, F.inline(F.array(box(1, 2), box(2, 1))), "n")
+    squares = lambda c: F.explode(F.sequence(F.floor(F.col(f"{c}0") / SIDE), F.floor(F.col(f"{c}1") / SIDE)))
+    cut = both.withColumn("bx", squares("x")).withColumn("by", squares("y"))
+    inside = [e.cast("short").alias(f"{c}{k}") for c in "xy" for k, e in ((0, F.greatest(F.col(f"{c}0") - F.col(f"b{c}") * SIDE, F.lit(0))), (1, F.least(F.col(f"{c}1") - F.col(f"b{c}") * SIDE, F.lit(SIDE - 1))))]
+    square, piece = [*KEY, "bx", "by"], ["x0", "x1", "y0", "y1"]
+    pieces = cut.select(*square, *inside, "n").repartition(*square).groupBy(*square, *piece).agg(F.sum("n").alias("n"))
+    packed = pieces.groupBy(*square).agg(F.collect_list(F.struct(*piece, "n")).alias("p"))
+    one = F.col("p")[0]
+    single = F.flatten(F.transform(F.sequence(one["x0"], one["x1"]), lambda x: F.transform(F.sequence(one["y0"], one["y1"]), lambda y: (x * SIDE + y).cast("short"))))
+    over = lambda i, q: (q["x0"] <= F.floor(i / SIDE)) & (F.floor(i / SIDE) <= q["x1"]) & (q["y0"] <= i % SIDE) & (i % SIDE <= q["y1"])
+    every = F.filter(F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), lambda i: i.cast("short")), lambda i: F.exists("p", lambda q: over(i, q)))
+    laid = packed.select(*square, "p", F.when(F.size("p") == 1, single).otherwise(every).alias("at"))
+    summed = F.transform("at", lambda i: F.aggregate("p", F.lit(0.0), lambda s, q: s + F.when(over(i, q), q["n"]).otherwise(0)))
+    value = F.when(F.size("p") == 1, F.transform("at", lambda i: one["n"].cast("double"))).otherwise(summed)
+    return laid.select(*square, "at", value.alias("value"))
+
+
+def contact_matrix(hangs: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """Cells (x, y) of arm 1 times arm 2 of every hang on one contig and strand, both triangles."""
+    return cells(contact_blocks(hangs, lengths))
+
+
+def cells(packed: DataFrame) -> DataFrame:
+    """The cells of packed squares."""
+    rows = packed.select(*KEY, "bx", "by", F.inline(F.arrays_zip("at", "value")))
+    return rows.select(*KEY, _place("bx", F.floor(F.col("at") / SIDE)).alias("x"), _place("by", F.col("at") % SIDE).alias("y"), "value")
+
+
+def _place(square: str, inside: Column) -> Column:
+    return (F.col(square) * SIDE + inside + 1).cast("long")
+
+
+def blocks(coo: DataFrame) -> DataFrame:
+    """Cells in packed squares, as ``contact_blocks`` gives them; packed ones stay."""
+    if "at" in coo.columns:
+        return coo
+    square = [F.floor((F.col(c) - 1) / SIDE) for c in "xy"]
+    at = ((F.col("x") - 1 - square[0] * SIDE) * SIDE + F.col("y") - 1 - square[1] * SIDE).cast("short")
+    packed = coo.groupBy(*KEY, square[0].alias("bx"), square[1].alias("by")).agg(F.collect_list(F.struct(at.alias("at"), "value")).alias("c"))
+    return packed.select(*KEY, "bx", "by", F.col("c.at").alias("at"), F.col("c.value").alias("value"))
+
+
+def _looked_up(coo: DataFrame, table: DataFrame, by: list[str], kind: str = "inner") -> DataFrame:
+    """Cells (KEY, x, y, value) with structs vx and vy: the other columns of ``table`` (by, x; a place once) at their row and column.
+
+    Squares meet stretches of the table, so that no cell is shuffled.
+    """
+    values = F.struct(*[c for c in table.columns if c not in (*by, "x")])
+    keyed = table.select(*by, F.floor((F.col("x") - 1) / SIDE).alias("b"), ((F.col("x") - 1) % SIDE).cast("int").alias("i"), values.alias("v"))
+    runs = keyed.groupBy(*by, "b").agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    runs = scan.save(runs.select(*by, "b", F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda i: F.try_element_at("m", i)).alias("s")), "stretches")
+    rows = blocks(coo)
+    for c in "xy":
+        rows = rows.join(shuffled(runs.withColumnsRenamed({"b": f"b{c}", "s": f"s{c}"})), [*by, f"b{c}"], kind)
+    spread = rows.select(*KEY, "bx", "by", "sx", "sy", F.inline(F.arrays_zip("at", "value")))
+    row, column = F.floor(F.col("at") / SIDE), F.col("at") % SIDE
+    return spread.select(*KEY, _place("bx", row).alias("x"), _place("by", column).alias("y"), "value", F.get("sx", row.cast("int")).alias("vx"), F.get("sy", column.cast("int")).alias("vy"))
+
+
+def _unpacked(coo: DataFrame) -> DataFrame:
+    return cells(coo) if "at" in coo.columns else coo
 
 
 def matrix_compress(coo: DataFrame, size: DataFrame, bins: int = 40, feature: str = "max") -> DataFrame:
@@ -45,32 +108,31 @@ def background_estimate(coo: DataFrame, size: DataFrame, around: int = 5) -> Dat
     """value / (sqrt(bg_x * bg_y) * sqrt(avg_x * avg_y)): bg is the sum of the rows around over the row's own, avg the row's mean over all
     places of the contig (``size``: contig, length); row, bg and avg are at least 1 each.
 
-    The rows around come from each row's sum, sent to the places it is around of, so that no task holds a contig.
+    The rows around come from each row's sum, sent to the places it is around of, so that no task holds a contig. ``coo`` may be packed.
     """
-    own = coo.groupBy(*KEY, "x").agg(F.sum("value").alias("s"))
+    own = _unpacked(coo).groupBy(*KEY, "x").agg(F.sum("value").alias("s"))
     sent = own.select(*KEY, "x", F.col("s").alias("own"), F.explode(F.sequence(F.col("x") - around, F.col("x") + around)).alias("at"))
     # absent rows are 0: they add nothing, and nothing is asked of them
     sums = sent.groupBy(*KEY, F.col("at").alias("x")).agg(F.sum("own").alias("around"), F.max(F.when(F.col("x") == F.col("at"), F.col("own"))).alias("s")).where("s is not null")
     rows = sums.join(small(size.select("contig", "length")), "contig").select(*KEY, "x", F.greatest(F.col("s") / F.col("length"), F.lit(1.0)).alias("avg"), F.greatest(F.col("around") / F.greatest("s", F.lit(1.0)), F.lit(1.0)).alias("bg"))
-    two = rows.withColumnsRenamed({"x": "y", "avg": "avg_y", "bg": "bg_y"})
-    joined = coo.join(rows, [*KEY, "x"]).join(two, [*KEY, "y"])
-    return joined.select(*KEY, "x", "y", (F.col("value") / (F.sqrt(F.col("bg") * F.col("bg_y")) * F.sqrt(F.col("avg") * F.col("avg_y")))).alias("value"))
+    x, y = F.col("vx"), F.col("vy")
+    joined = _looked_up(coo, rows, KEY).where("vx is not null and vy is not null")
+    return joined.select(*KEY, "x", "y", (F.col("value") / (F.sqrt(x["bg"] * y["bg"]) * F.sqrt(x["avg"] * y["avg"]))).alias("value"))
 
 
 def background_quantile(coo: DataFrame, size: DataFrame, ratio: float = 0.6) -> DataFrame:
     """value less the row quantiles of x and y (zeros counted), at least 0; cells that come to 0 go.
 
-    Equal values of a row are counted first, so a window holds the distinct values of a row.
+    Equal values of a row are counted first, so a window holds the distinct values of a row. ``coo`` may be packed.
     """
-    counted = coo.groupBy(*KEY, "x", "value").agg(F.count("*").alias("c")).join(small(size.select("contig", "length")), "contig")
+    counted = _unpacked(coo).groupBy(*KEY, "x", "value").agg(F.count("*").alias("c")).join(small(size.select("contig", "length")), "contig")
     upto = F.sum("c").over(Window.partitionBy(*KEY, "x").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0))
     # ascending rank floor(ratio * n) of n cells, the present ones at the top
     wanted = F.col("length") - F.floor(F.lit(ratio) * F.col("length"))
     ranked = counted.withColumn("r", upto)
     q = ranked.groupBy(*KEY, "x").agg(F.coalesce(F.max(F.when((F.col("r") - F.col("c") < wanted) & (wanted <= F.col("r")), F.col("value"))), F.lit(0.0)).alias("q"))
-    two = q.withColumnsRenamed({"x": "y", "q": "q_y"})
-    joined = coo.join(q, [*KEY, "x"]).join(two, [*KEY, "y"])
-    return joined.select(*KEY, "x", "y", (F.col("value") - F.col("q") - F.col("q_y")).alias("value")).where("value > 0")
+    joined = _looked_up(coo, q, KEY).where("vx is not null and vy is not null")
+    return joined.select(*KEY, "x", "y", (F.col("value") - F.col("vx.q") - F.col("vy.q")).alias("value")).where("value > 0")
 
 
 def _picked(coo: DataFrame, places, least: int, what: str) -> tuple[list[int], list[float]]:
@@ -106,18 +168,20 @@ def matrix_submatrix(coo: DataFrame, x0: int, x1: int, y0: int, y1: int) -> Data
 
 
 def matrix_mask_noncanonical(coo: DataFrame, seqs: DataFrame, tile: int = 1 << 14) -> DataFrame:
-    """Cells whose bases are not AU, GC or GU get null. ``seqs``: (contig, seq); cells meet tiles of it, not whole sequences."""
-    last = F.floor((F.length("seq") - 1) / tile)
-    cut = seqs.where("seq <> ''").select("contig", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_t"), "seq")
-    tiles = small(cut.select("contig", "_t", F.translate(F.upper(F.substring("seq", (F.col("_t") * tile + 1).cast("int"), F.lit(tile))), "T", "U").alias("_s")))
+    """Cells whose bases are not AU, GC or GU get null. ``seqs``: (contig, seq), cut into tiles and these into letters; ``coo`` may be packed."""
+    base = F.translate(F.upper("c"), "T", "U")
+    table = _tiles(seqs.where("seq <> ''"), "seq", tile).select("contig", "_t", F.posexplode(F.split("_s", "")).alias("i", "c")).where("c <> ''")
+    places = table.select("contig", (F.col("_t") * tile + F.col("i") + 1).alias("x"), base.alias("base"))
+    rows = _looked_up(coo, places, ["contig"], "left")
+    two = F.concat("vx.base", "vy.base")
+    return rows.select(*KEY, "x", "y", F.when(two.isin("AU", "UA", "GC", "CG", "GU", "UG"), F.col("value")).alias("value"))
 
-    def with_base(rows: DataFrame, c: str) -> DataFrame:
-        at = rows.withColumn("_t", F.expr(f"({c} - 1) div {tile}"))
-        base = F.expr(f"substring(_s, cast(({c} - 1) % {tile} + 1 as int), 1)")
-        return at.join(tiles, ["contig", "_t"], "left").withColumn(f"_{c}", base).drop("_t", "_s")
 
-    two = F.concat("_x", "_y")
-    return with_base(with_base(coo, "x"), "y").withColumn("value", F.when(two.isin("AU", "UA", "GC", "CG", "GU", "UG"), F.col("value"))).drop("_x", "_y")
+def _tiles(rows: DataFrame, text: str, tile: int) -> DataFrame:
+    """rows with _t and _s, the tiles of a text in place of it, dealt over the tasks."""
+    rest = [c for c in rows.columns if c != text]
+    cut = rows.select(*rest, text, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length(text) - 1) / tile))).alias("_t"))
+    return cut.select(*rest, "_t", F.substring(text, (F.col("_t") * tile + 1).cast("int"), F.lit(tile)).alias("_s")).repartition(*rest, "_t")
 
 
 def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_win: int = 50, max_win: int = 200, perceive: float = 100.0, extend: float = 20.0) -> DataFrame:
@@ -242,18 +306,21 @@ class Peaks:
         return y, x, tall, wide
 
 
-def alignment_coords(aln: DataFrame) -> DataFrame:
-    """(id, aligned) → id, raw_pos, aln_pos of every base (1-based)."""
-    rows = aln.select("id", F.posexplode(F.split("aligned", "")).alias("i", "c")).where("c <> ''")
-    base = rows.where("c not in ('-', '.', '~')")
-    return base.select("id", F.row_number().over(Window.partitionBy("id").orderBy("i")).cast("long").alias("raw_pos"), (F.col("i") + 1).cast("long").alias("aln_pos"))
+def alignment_coords(aln: DataFrame, tile: int = 1 << 14) -> DataFrame:
+    """(id, aligned) → id, raw_pos, aln_pos of every base (1-based). Tiles of an alignment tell how many bases stand before the next."""
+    tiles = _tiles(aln.select("id", "aligned").where("aligned <> ''"), "aligned", tile)
+    letters = F.transform(F.split("_s", ""), lambda c, i: F.when((c != "") & ~c.isin("-", ".", "~"), i))
+    places = tiles.select("id", "_t", F.filter(letters, lambda i: i.isNotNull()).alias("at"))
+    upto = Window.partitionBy("id").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)  # a row for each tile
+    counted = places.withColumn("_n", F.coalesce(F.sum(F.size("at")).over(upto), F.lit(0)))
+    return counted.select("id", "_t", "_n", F.posexplode("at").alias("k", "i")).select("id", (F.col("_n") + F.col("k") + 1).cast("long").alias("raw_pos"), (F.col("_t") * tile + F.col("i") + 1).cast("long").alias("aln_pos"))
 
 
 def matrix_expand(coo: DataFrame, coords: DataFrame) -> DataFrame:
-    """Cells on aligned coordinates; ``contig`` is the id of the sequence."""
-    one = coords.select(F.col("id").alias("contig"), F.col("raw_pos").alias("x"), F.col("aln_pos").alias("ax"))
-    two = one.withColumnsRenamed({"x": "y", "ax": "ay"})
-    return coo.join(one, ["contig", "x"]).join(two, ["contig", "y"]).select(*KEY, F.col("ax").alias("x"), F.col("ay").alias("y"), "value")
+    """Cells on aligned coordinates; ``contig`` is the id of the sequence. ``coo`` may be packed."""
+    places = coords.select(F.col("id").alias("contig"), F.col("raw_pos").alias("x"), "aln_pos")
+    rows = _looked_up(coo, places, ["contig"]).where("vx is not null and vy is not null")
+    return rows.select(*KEY, F.col("vx.aln_pos").alias("x"), F.col("vy.aln_pos").alias("y"), "value")
 
 
 def matrix_mask_gaps(coo: DataFrame, coords: DataFrame, width: int | DataFrame, bins: int, ratio: float = 0.25) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar, sequence
 from ..operators import annotation, coords, matrix, qc, reads, tracks
 from . import adapters as a
-from .queries import _COMPRESSED, _GENES, _GTAB, _MATRIX, _SHAPES, _compress, _coo, _exons, _gtab, _shapes
+from .queries import _COMPRESSED, _GENES, _GTAB, _MATRIX, _SHAPES, _compress, _coo, _exons, _gtab, _packed, _shapes
 from .registry import query
 
 # ---- CIGAR strings ---------------------------------------------------------------------------------------------------
@@ -234,15 +234,15 @@ def _normalize(spark, d):
     SELECT contig, strand, x, y, CASE WHEN two IN ('AU', 'UA', 'GC', 'CG', 'GU', 'UG') THEN value END AS value FROM t""",
 )
 def _noncanonical(spark, d):
-    coo = _coo(spark, d)
-    seqs = coo.groupBy("contig").agg(F.expr("repeat('ACGTTGCAAC', cast(floor(max(x) / 10) + 1 as int))").alias("seq"))
+    coo = _packed(spark, d)
+    seqs = matrix.cells(coo).groupBy("contig").agg(F.expr("repeat('ACGTTGCAAC', cast(floor(max(x) / 10) + 1 as int))").alias("seq"))
     return matrix.matrix_mask_noncanonical(coo, seqs).select("contig", "strand", "x", "y", "value")
 
 
 @query("matrix_expand", f"WITH {_MATRIX} SELECT contig, strand, CAST(x + (x - 1) // 9 AS BIGINT) AS x, CAST(y + (y - 1) // 9 AS BIGINT) AS y, value FROM coo")
 def _expand(spark, d):
-    coo = _coo(spark, d)
-    aligned = coo.groupBy(F.col("contig").alias("id")).agg(F.expr("repeat('ACGTACGTA-', cast(floor(max(x) / 9) + 1 as int))").alias("aligned"))
+    coo = _packed(spark, d)
+    aligned = matrix.cells(coo).groupBy(F.col("contig").alias("id")).agg(F.expr("repeat('ACGTACGTA-', cast(floor(max(x) / 9) + 1 as int))").alias("aligned"))
     return matrix.matrix_expand(coo, matrix.alignment_coords(aligned))
 
 

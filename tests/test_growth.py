@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from probewell.operators import coords, qc, reads
+from probewell.operators import coords, matrix, qc
 
 
 def _plan(df) -> str:
@@ -76,3 +77,35 @@ def test_conversion_counts_each_base_once_under_many_genes(spark):
     exons = spark.createDataFrame([(f"g{i}", "c", "+", 21, 30 + i % 2) for i in range(30)], span)
     found = {(r.contig, r.exon, r.intron, r.intergenic) for r in coords.conversion_summary(gtab, genes, exons).collect()}
     assert found == {("c", 11, 39, 50), (None, 11, 39, 50)}
+
+
+def _hangs(spark, rng, n, span):
+    rows = []
+    for i in range(n):
+        a, b = rng.randint(1, span), rng.randint(1, span)
+        rows.append((f"r{i}", "c1", "+", a, a + rng.randint(0, 40), "c1", rng.choice("++-"), b, b + rng.randint(0, 40)))
+    return spark.createDataFrame(rows, "read_id string, " + ", ".join(f"chr_{i} string, strand_{i} string, start_{i} long, end_{i} long" for i in (1, 2))), rows
+
+
+def test_packed_cells_equal_cells_one_by_one(spark):
+    hangs, rows = _hangs(spark, random.Random(5), 60, 90)
+    want = Counter((p, q) for r in rows if r[2] == r[6] for x in range(r[3], r[4] + 1) for y in range(r[7], r[8] + 1) for p, q in ((x, y), (y, x)))
+    coo = matrix.contact_matrix(hangs)
+    assert {(r.x, r.y): r.value for r in coo.collect()} == want
+    assert {(r.x, r.y): r.value for r in matrix.cells(matrix.blocks(coo)).collect()} == want
+
+
+def test_cells_are_not_shuffled(spark):
+    hangs, _ = _hangs(spark, random.Random(6), 40, 5_000)
+    size = spark.createDataFrame([("c1", 5_100)], "contig string, length long")
+    coo = matrix.contact_blocks(hangs)
+    seqs = spark.createDataFrame([("c1", "ACGTU" * 1_020)], "contig string, seq string")
+    places = matrix.alignment_coords(spark.createDataFrame([("c1", "ACG-" * 1_800)], "id string, aligned string"), tile=1 << 10)
+    packed = {"quantile": matrix.background_quantile(coo, size, 0.99), "masked": matrix.matrix_mask_noncanonical(coo, seqs), "expanded": matrix.matrix_expand(coo, places)}
+    plain = matrix.cells(coo)
+    one = {"quantile": matrix.background_quantile(plain, size, 0.99), "masked": matrix.matrix_mask_noncanonical(plain, seqs), "expanded": matrix.matrix_expand(plain, places)}
+    for name, found in packed.items():
+        joins = [line for line in _plan(found).splitlines() if "Join" in line]
+        assert len(joins) == 2 and not any("BroadcastHashJoin" in j or "BroadcastNestedLoopJoin" in j for j in joins), name
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, one[name].collect())), name
+    assert [(r.raw_pos, r.aln_pos) for r in places.orderBy("raw_pos").collect()] == [(k + 1, k + k // 3 + 1) for k in range(5_400)]
