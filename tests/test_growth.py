@@ -8,7 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from probewell.operators import coords, matrix, qc
+from probewell.operators import coords, duplex, matrix, pileup, qc
 
 
 def _plan(df) -> str:
@@ -109,3 +109,46 @@ def test_cells_are_not_shuffled(spark):
         assert len(joins) == 2 and not any("BroadcastHashJoin" in j or "BroadcastNestedLoopJoin" in j for j in joins), name
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, one[name].collect())), name
     assert [(r.raw_pos, r.aln_pos) for r in places.orderBy("raw_pos").collect()] == [(k + 1, k + k // 3 + 1) for k in range(5_400)]
+
+
+def test_clusters_of_one_long_island_equal_the_plain_search(spark):
+    rng = random.Random(8)
+    rows = [(f"r{i:05}", "c1", "+", 3 * i, 3 * i + rng.randint(9, 30), "c2", "+", b := rng.randint(1, 120), b + rng.randint(9, 30)) for i in range(400)]
+    hangs = spark.createDataFrame(rows, "read_id string, " + ", ".join(f"chr_{i} string, strand_{i} string, start_{i} long, end_{i} long" for i in (1, 2)))
+    for multi in (False, True):
+        groups = []
+        for read, _, _, a, b, _, _, c, d in sorted(rows, key=lambda r: (r[3], r[4], r[7], r[8], r[0])):
+            hit = [g for g in groups if min(g[1], b) - max(g[0], a) + 1 >= 5 and min(g[3], d) - max(g[2], c) + 1 >= 5]
+            for g in hit if multi else hit[:1]:
+                g[:4] = [max(g[0], a), min(g[1], b), max(g[2], c), min(g[3], d)]
+                g[4].append(read)
+            if not hit:
+                groups.append([a, b, c, d, [read]])
+        members = {}
+        for r in duplex.cluster_hangs(hangs, multi=multi)[1].collect():
+            members.setdefault(r.group_id, []).append(r.read_id)
+        assert sorted(map(sorted, members.values())) == sorted(sorted(g[4]) for g in groups)
+
+
+def test_clustering_leaves_groups_behind(spark):
+    """30,000 hangs of one island: each was held against all groups before it, 450 million pairs."""
+    hangs = spark.range(30_000).select(F.col("id").cast("string").alias("read_id"), *[c for i, at in ((1, F.col("id") * 3), (2, F.col("id") * 6007 % 100_003)) for c in (F.lit("c").alias(f"chr_{i}"), F.lit("+").alias(f"strand_{i}"), at.alias(f"start_{i}"), (at + 12).alias(f"end_{i}"))])
+    began = time.time()
+    assert duplex.cluster_hangs(hangs)[0].count() > 29_000
+    assert time.time() - began < 60
+
+
+def test_overlapping_junctions_of_a_whole_contig(spark):
+    n = 30_000
+    junctions = spark.range(n).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), (F.col("id") * 3 + 1).alias("first"), (F.col("id") * 3 + 100).alias("second"), (F.col("id") % 50).alias("support"))
+    sizes = spark.createDataFrame([("c", 4 * n)], "contig string, length long")
+    kept = []
+    for i in range(n):
+        row = (i * 3 + 1, i * 3 + 100, i % 50)
+        if not kept or row[0] > kept[-1][1]:
+            kept.append(row)
+        elif row[2] > kept[-1][2]:
+            kept[-1] = row
+    assert all(b[0] > a[1] + 1 for a, b in zip(kept, kept[1:]))
+    found = pileup.combine_junctions(junctions, sizes)
+    assert sorted((r.first, r.second, r.support) for r in found.collect()) == kept
