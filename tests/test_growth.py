@@ -152,3 +152,9 @@ def test_overlapping_junctions_of_a_whole_contig(spark):
     assert all(b[0] > a[1] + 1 for a, b in zip(kept, kept[1:]))
     found = pileup.combine_junctions(junctions, sizes)
     assert sorted((r.first, r.second, r.support) for r in found.collect()) == kept
+
+
+def test_a_table_not_proven_small_is_joined_by_shuffle(spark):
+    rows = spark.range(20).select("id", F.lit("a").alias("type"))
+    assert "BroadcastHashJoin" in _plan(rows.join(pileup.small(rows), "id"))
+    assert "BroadcastHashJoin" not in _plan(rows.join(pileup.small(rows, limit=5), "id"))
