@@ -75,12 +75,15 @@ def rt_replicate_corr(counts_long: DataFrame, min_bd: int = 100, win: int = 100,
     rows = counts_long.where(F.col("bd") >= min_bd)
     if bases:
         rows = rows.where(F.col("base").isin(list(bases)))
+    from .scan import save
+
     key = ["contig", "strand", "pos"]
+    rows = save(rows.select(*key, "sample", "rt"), "covered")  # read for the samples and for each pair of them
     samples = sorted(r[0] for r in rows.select("sample").distinct().collect())
     out = None
     for i, s in enumerate(samples):
         for t in samples[i + 1 :]:
-            both = rows.where(F.col("sample") == s).select(*key, F.col("rt").alias("x")).join(rows.where(F.col("sample") == t).select(*key, F.col("rt").alias("y")), key)
+            both = rows.where(F.col("sample") == s).select(*key, F.col("rt").alias("x")).join(shuffled(rows.where(F.col("sample") == t).select(*key, F.col("rt").alias("y"))), key)
             one = _window_corr(global_index(both, *key).withColumn("win", F.floor(F.col("at") / win)), [], "x", "y", win, alpha)
             one = one.select(F.lit(s).alias("sample_1"), F.lit(t).alias("sample_2"), "n", "r")
             out = one if out is None else out.unionByName(one)

@@ -8,7 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from probewell.operators import coords, duplex, matrix, pileup, qc
+from probewell.operators import coords, duplex, matrix, pileup, qc, score
 
 
 def _plan(df) -> str:
@@ -158,3 +158,45 @@ def test_a_table_not_proven_small_is_joined_by_shuffle(spark):
     rows = spark.range(20).select("id", F.lit("a").alias("type"))
     assert "BroadcastHashJoin" in _plan(rows.join(pileup.small(rows), "id"))
     assert "BroadcastHashJoin" not in _plan(rows.join(pileup.small(rows, limit=5), "id"))
+
+
+def _reads(spark, rng, n, span):
+    rows = []
+    for i in range(n):
+        first = rng.randint(1, span)
+        second = first + rng.randint(0, 40)
+        rows.append((f"c{i % 2}", rng.choice("+-"), rng.choice("ND"), [(first, second)] if i % 3 else [(first, second), (second + 90, second + 120)]))
+    return spark.createDataFrame(rows, "contig string, strand string, condition string, regions array<struct<first:bigint,second:bigint>>"), rows
+
+
+def test_counts_of_both_conditions_equal_brute_force_across_tiles(spark):
+    reads, rows = _reads(spark, random.Random(11), 300, 900)
+    sizes = spark.createDataFrame([("c0", 700), ("c1", 2_000)], "contig string, length long")
+    want = {}
+    for contig, strand, condition, regions in rows:
+        length = 700 if contig == "c0" else 2_000
+        stop = regions[0][0] - 1 if strand == "+" else regions[-1][1] + 1
+        places = [(p, "bd") for a, b in regions for p in range(a, min(b, length) + 1)] + [(stop, "rt")] * (stop <= length)
+        for p, c in places:
+            want.setdefault((contig, strand, p), Counter())[f"{condition.lower()}_{c}"] += 1
+    for tile in (64, 1 << 14):
+        kinds = {k: F.col("condition") == k.upper() for k in "nd"}
+        found = pileup._piled(reads, sizes, None, "condition", (), kinds, tile).collect()
+        assert {(r.contig, r.strand, r.pos): +Counter({c: r[c] for c in ("n_rt", "n_bd", "d_rt", "d_bd")}) for r in found} == want and len(found) == len(want)
+    long = pileup.count_rt(reads.withColumnRenamed("condition", "sample"), sizes).collect()
+    assert {(r.contig, r.strand, r.pos, r.sample): (r.rt, r.bd) for r in long} == {(*k, s): (v[f"{s.lower()}_rt"], v[f"{s.lower()}_bd"]) for k, v in want.items() for s in "ND" if v[f"{s.lower()}_rt"] or v[f"{s.lower()}_bd"]}
+
+
+def test_places_are_spread_last_and_counted_once(spark):
+    """A task spread a million places, summed them by place, and all of it ran again for every use."""
+    reads, _ = _reads(spark, random.Random(12), 30, 300)
+    sizes = spark.createDataFrame([("c0", 700), ("c1", 700)], "contig string, length long")
+    counts = pileup.condition_counts(reads, sizes)
+    assert pileup.TILE <= 1 << 16
+    plan = _plan(counts)
+    assert plan.index("explode(sequence(pos") < plan.index("Exchange") and plan.count("explode(sequence(pos") == 1
+    scored = score.enrich_ctrl(counts)
+    for done in (score.winsorize(scored, "score", ["contig", "strand"]), score.sink_score(scored, "score", ["contig", "strand"], 0.3)):
+        assert "explode" not in _plan(done) and "SortMergeJoin" not in _plan(done)
+    long = pileup.count_rt(reads.withColumnRenamed("condition", "sample"), sizes)
+    assert "explode" not in _plan(qc.rt_replicate_corr(long, min_bd=1, win=5))
