@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .pileup import small
-from .score import enrich_ctrl, scaling_factor, winsorize
+from .score import array_factor, enrich_ctrl, winsorize
 
 
 def filter_trans_shape(shapes: DataFrame, min_ratio: float = 0.1, min_num: int = 10, min_rt: float = 2.0, fpkm: DataFrame | None = None, min_fpkm: float = 5.0, head: int = 5, tail: int = 30) -> DataFrame:
@@ -102,19 +102,20 @@ def normalize_rt(rt: DataFrame, head: int = 32, tail: int = 32, form: float = 10
     """transcript_id, length, type (baseDensity, RTstop), rpkm, scaling, values[1..length].
 
     Values are divided by scaling / form. The factor comes from the places without head and tail, which are halved
-    while the transcript is too short for them; a transcript with a factor of 1 or less is dropped.
+    while the transcript is too short for them; a transcript with a factor of 1 or less is dropped. A transcript is one row.
     """
     calc, _, sample = method.partition(":")
     name = sample.rstrip("0123456789")
     index = int(sample[len(name) :] or 1)
     steps = F.sequence(F.lit(0), F.lit(10))
     trim = lambda n: F.aggregate(steps, F.struct(F.lit(head).alias("h"), F.lit(tail).alias("t")), lambda s, _: F.when(s["h"] + s["t"] >= n, F.struct(F.floor(s["h"] / 2).cast("int").alias("h"), F.floor(s["t"] / 2).cast("int").alias("t"))).otherwise(s))
-    both = rt.select("transcript_id", "length", "rpkm", F.inline(F.array(F.struct(F.lit("baseDensity").alias("type"), F.slice("bd", F.lit(2), F.col("length").cast("int")).alias("v")), F.struct(F.lit("RTstop").alias("type"), F.slice("rt", F.lit(2), F.col("length").cast("int")).alias("v")))))
-    both = both.withColumn("cut", trim(F.col("length")))
-    inner = both.select("transcript_id", "type", F.explode(F.expr("slice(v, cut.h + 1, cast(length as int) - cut.h - cut.t)")).alias("x"))
-    factor = scaling_factor(inner, "x", ["transcript_id", "type"], name, index, calc).where("factor > 1")
-    pair = factor.groupBy("transcript_id").agg(F.count("*").alias("n")).where("n = 2").select("transcript_id")
-    rows = both.join(factor, ["transcript_id", "type"]).join(pair, "transcript_id", "left_semi")
+    n = F.col("length").cast("int")
+    kinds = {"baseDensity": "bd", "RTstop": "rt"}
+    # a transcript's values stand in its row, so each row tells its own factors: no place is exploded or shuffled
+    cut = rt.select("transcript_id", "length", "rpkm", *[F.slice(c, F.lit(2), n).alias(f"_v_{c}") for c in kinds.values()], trim(F.col("length")).alias("_cut"))
+    inner = lambda c: F.slice(f"_v_{c}", F.col("_cut.h") + 1, n - F.col("_cut.h") - F.col("_cut.t"))
+    found = cut.withColumns({f"_f_{c}": array_factor(inner(c), name, index, calc) for c in kinds.values()}).where(" and ".join(f"_f_{c} > 1" for c in kinds.values()))
+    rows = found.select("transcript_id", "length", "rpkm", F.inline(F.array(*[F.struct(F.lit(k).alias("type"), F.col(f"_f_{c}").alias("factor"), F.col(f"_v_{c}").alias("v")) for k, c in kinds.items()])))
     scale = F.col("factor") / form
     value = (lambda x: F.log2(x / scale + 1)) if log else (lambda x: x / scale)
     return rows.select("transcript_id", "length", "type", "rpkm", F.col("factor").alias("scaling"), F.transform("v", value).alias("values"))

@@ -144,7 +144,7 @@ def _bd_extension(spark, d):
 def _normalized(spark, d):
     key, size, n = F.col("p_partkey"), F.col("p_size"), (F.col("p_size") + 30).cast("long")
     at = F.sequence(F.lit(-1).cast("long"), n - 1)
-    rt = a.table(spark, d, "part").select(F.concat(F.lit("t"), key).alias("transcript_id"), n.alias("length"), F.lit("1").alias("rpkm"), F.transform(at, lambda i: ((i * 5 + size) % 90).cast("double")).alias("bd"), F.transform(at, lambda i: ((i * 7 + key) % 13).cast("double")).alias("rt"))
+    rt = a.table(spark, d, "part").select("p_partkey", "p_size").repartition("p_partkey").select(F.concat(F.lit("t"), key).alias("transcript_id"), n.alias("length"), F.lit("1").alias("rpkm"), F.transform(at, lambda i: ((i * 5 + size) % 90).cast("double")).alias("bd"), F.transform(at, lambda i: ((i * 7 + key) % 13).cast("double")).alias("rt"))
     rows = tracks.normalize_rt(rt).select("transcript_id", "length", "type", "scaling", F.posexplode("values").alias("pos", "value"))
     return rows.select("transcript_id", "length", "type", "scaling", (F.col("pos") + 1).cast("long").alias("pos"), F.round("value", 6).alias("value"))
 

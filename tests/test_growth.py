@@ -8,7 +8,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from probewell.operators import coords, duplex, matrix, pileup, qc, score
+from probewell.operators import coords, duplex, matrix, pileup, qc, score, tracks
 
 
 def _plan(df) -> str:
@@ -200,3 +200,15 @@ def test_places_are_spread_last_and_counted_once(spark):
         assert "explode" not in _plan(done) and "SortMergeJoin" not in _plan(done)
     long = pileup.count_rt(reads.withColumnRenamed("condition", "sample"), sizes)
     assert "explode" not in _plan(qc.rt_replicate_corr(long, min_bd=1, win=5))
+
+
+def test_normalising_transcripts_shuffles_no_place(spark):
+    """All places of all transcripts were exploded and counted in one task."""
+    rng = random.Random(13)
+    rows = [(f"t{i}", n := rng.randint(20, 90), "1", [rng.choice([None, 0.0, 3.0, 7.5, 40.0]) for _ in range(n + 1)], [float(rng.randint(0, 12)) for _ in range(n + 1)]) for i in range(40)]
+    rt = spark.createDataFrame(rows, "transcript_id string, length long, rpkm string, bd array<double>, rt array<double>")
+    assert "Exchange" not in _plan(tracks.normalize_rt(rt))
+    long = rt.select("transcript_id", F.explode("bd").alias("x"))
+    for sample, calc in (("smart", "median"), ("upper", "mean"), ("quartile", "peak"), ("decile", "median"), ("vigintile", "mean")):
+        want = {r.transcript_id: round(r.factor, 9) for r in score.scaling_factor(long, "x", ["transcript_id"], sample, 2, calc).collect()}
+        assert {r.transcript_id: round(r.f, 9) for r in rt.select("transcript_id", score.array_factor(F.col("bd"), sample, 2, calc).alias("f")).collect()} == want, (sample, calc)
