@@ -212,3 +212,16 @@ def test_normalising_transcripts_shuffles_no_place(spark):
     for sample, calc in (("smart", "median"), ("upper", "mean"), ("quartile", "peak"), ("decile", "median"), ("vigintile", "mean")):
         want = {r.transcript_id: round(r.factor, 9) for r in score.scaling_factor(long, "x", ["transcript_id"], sample, 2, calc).collect()}
         assert {r.transcript_id: round(r.f, 9) for r in rt.select("transcript_id", score.array_factor(F.col("bd"), sample, 2, calc).alias("f")).collect()} == want, (sample, calc)
+
+
+def test_overlapping_junctions_share_their_windows(spark, monkeypatch):
+    """Each junction had its own copy of the counts and of the windows: 200 junctions of 300 places are 60,000 rows of 500 places."""
+    rng = random.Random(14)
+    rows = [("c", "+", p, rng.randint(0, 4), rng.randint(20, 90), rng.randint(0, 3), rng.choice([0, 5, 60, 90]) if p > 400 else 80, rng.choice("ACGT")) for p in range(1, 501)]
+    counts = spark.createDataFrame(rows, "contig string, strand string, pos long, n_rt long, n_bd long, d_rt long, d_bd long, base string")
+    junctions = spark.createDataFrame([("c", "+", a, a + rng.randint(90, 140)) for a in range(2, 300, 7)], "contig string, strand string, first long, second long")
+    for options in ({"grid": "fixed"}, {"grid": "exact"}, {"grid": "fixed", "sub": (0.0, 0.5)}, {"grid": "exact", "bases": "AU", "min_cov": 20}):
+        run = lambda n: sorted(tuple(r) for r in score.sliding_junction(counts, junctions, wsize=60, wstep=7, stretch=n, min_rt=0.1, **options).fillna(-1.0, ["score"]).selectExpr("contig", "strand", "pos", "n_rt", "d_bd", "round(score, 9)", "n_windows", "valid_count").collect())  # noqa: B023, E731
+        assert run(256) == run(1), options
+    monkeypatch.setattr(score, "interval_join", None)  # no place is joined with the junctions around it
+    assert score.sliding_junction(counts, junctions, wsize=60, wstep=7).count() > 1_000
