@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.cigar import cigar_max_softclip
+from . import scan
+from .pileup import shuffled
 
 RECORD = ("flag", "chr_id", "pos", "cigar", "seq", "qual")
 _KIND = "array<struct<n:bigint,op:string,at:bigint,ref:bigint>>"
@@ -73,19 +75,29 @@ def _fields(**columns: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in columns.items()])
 
 
-def _record(s: str) -> Column:
-    """What a pair needs to know of record ``s``: flag, place, texts, alignment, side and span on the read."""
-    flag, pos = F.col(f"flag_{s}"), F.col(f"pos_{s}").cast("long")
+def _facts(s: str = "") -> Column:
+    """What a pair needs to know of the alignment of record ``s``: its operations, side and span on the read."""
+    flag, pos = F.col(f"flag{s}"), F.col(f"pos{s}").cast("long")
 
     def known(x: Column) -> Column:
         rev = flag.bitwiseAND(16) != 0
         left, right, total = x["left"], x["right"], x["total"]
         return _fields(
-            rev=rev, chr=F.col(f"chr_id_{s}"), pos=pos, ops=x["ops"], total=total, last=x["last"], side=_side(x, flag), many=x.isNull() | F.exists(x["ops"], lambda o: o["op"] == "N"), mapped=flag.bitwiseAND(4) == 0,
-            start=F.when(rev, right + 1).otherwise(left + 1), end=F.when(rev, total - left).otherwise(total - right), seq=F.coalesce(F.col(f"seq_{s}"), F.lit("")), qual=F.coalesce(F.col(f"qual_{s}"), F.lit("")),
+            rev=rev, ops=x["ops"], total=total, last=x["last"], side=_side(x, flag), many=x.isNull() | F.exists(x["ops"], lambda o: o["op"] == "N"), mapped=flag.bitwiseAND(4) == 0,
+            start=F.when(rev, right + 1).otherwise(left + 1), end=F.when(rev, total - left).otherwise(total - right),
         )
 
-    return _bound(_alignment(F.col(f"cigar_{s}"), pos), known)
+    return _bound(_alignment(F.col(f"cigar{s}"), pos), known)
+
+
+_KNOWN = ("rev", "ops", "total", "last", "side", "many", "mapped", "start", "end")
+
+
+def _record(s: str, known: bool) -> Column:
+    """The facts of record ``s`` (worked out before, if ``known``), its place and texts."""
+    texts = {c: F.coalesce(F.col(f"{c}_{s}"), F.lit("")) for c in ("seq", "qual")}
+    whole = lambda x: _fields(**{c: x[c] for c in _KNOWN}, chr=F.col(f"chr_id_{s}"), pos=F.col(f"pos_{s}").cast("long"), **texts)
+    return _bound(F.col(f"_x_{s}") if known else _facts(f"_{s}"), whole)
 
 
 def _paired(pairs: DataFrame, need_group: bool) -> DataFrame:
@@ -125,22 +137,27 @@ def _paired(pairs: DataFrame, need_group: bool) -> DataFrame:
         good = p["status"] == "SUCCESS"
         return _fields(status=p["status"], ab=F.when(good, p["ab"]), at=F.when(good, p["at"]), a=F.when(good, arm(p["a"], p["sa"])), b=F.when(good, arm(p["b"], p["sb"])))
 
-    return pairs.withColumn("_p", _bound(_bound(_bound(_fields(a=_record("a"), b=_record("b")), shared), judged), finished))
+    known = "_x_a" in pairs.columns
+    return pairs.withColumn("_p", _bound(_bound(_bound(_fields(a=_record("a", known), b=_record("b", known)), shared), judged), finished))
 
 
 def _numbers(sam: DataFrame) -> DataFrame:
-    return sam.select("read_id", *RECORD, F.row_number().over(Window.partitionBy("read_id").orderBy("flag", "chr_id", "pos", "cigar")).alias("n"))
+    """The records with their number n in the read and the facts of their alignment, worked out once and saved: every pair reads them."""
+    if "_x" in sam.columns:
+        return sam
+    numbered = sam.select("read_id", *RECORD, F.row_number().over(Window.partitionBy("read_id").orderBy("flag", "chr_id", "pos", "cigar")).alias("n"))
+    return scan.save(numbered.withColumn("_x", _facts()), "alignments")
 
 
 def read_pairs(sam: DataFrame) -> DataFrame:
-    """All pairs of records of each read: read_id, i < j, and the record columns with _a and _b.
+    """All pairs of records of each read: read_id, i < j, and the record columns with _a and _b; in _x_a and _x_b the facts of the alignments.
 
     The self-join is on read_id; a read has as many rows as it has alignments, so pairs grow with its square only.
     """
-    numbered = _numbers(sam)
-    a = numbered.select("read_id", F.col("n").alias("i"), *[F.col(c).alias(f"{c}_a") for c in RECORD])
-    b = numbered.select("read_id", F.col("n").alias("j"), *[F.col(c).alias(f"{c}_b") for c in RECORD])
-    return a.join(b, "read_id").where("i < j").select("read_id", "i", "j", *[f"{c}_{s}" for s in "ab" for c in RECORD])
+    numbered, columns = _numbers(sam), (*RECORD, "_x")
+    a = numbered.select("read_id", F.col("n").alias("i"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = numbered.select("read_id", F.col("n").alias("j"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return a.join(shuffled(b), "read_id").where("i < j").select("read_id", "i", "j", *[f"{c}_{s}" for s in "ab" for c in columns])
 
 
 def _likely_pairs(sam: DataFrame, max_ambiguous: int, same: bool | None) -> DataFrame:
@@ -150,27 +167,24 @@ def _likely_pairs(sam: DataFrame, max_ambiguous: int, same: bool | None) -> Data
     ``same``: only pairs on one chromosome and strand (True), or only others (False). Good pairs all have these properties, so a
     read's number of alignments is no bound for its pairs any more, but their sides and places are.
     """
-    c = F.col
-
-    def facts(x: Column) -> Column:
-        rev, left, right, total = c("flag").bitwiseAND(16) != 0, x["left"], x["right"], x["total"]
-        usable = x.isNotNull() & ~F.exists(x["ops"], lambda o: o["op"] == "N") & (c("flag").bitwiseAND(4) == 0)
-        return _fields(_side=F.when(usable, _side(x, c("flag"))), _from=F.when(rev, right + 1).otherwise(left + 1), _to=F.when(rev, total - left).otherwise(total - right), _rev=rev)
-
-    # a generator keeps its results as columns, so that no filter behind it repeats what they come from
-    known = _numbers(sam).select("*", F.inline(F.array(_bound(_alignment(c("cigar"), c("pos")), facts))))
-    side = lambda name, s: known.where(c("_side") == name).select("read_id", *[c(x).alias(f"{x}_{s}") for x in ("n", *RECORD, "_from", "_to", "_rev")])
+    c, columns = F.col, (*RECORD, "_x")
+    known = _numbers(sam).where("not _x.many and _x.mapped")
+    side = lambda name, s: known.where(c("_x.side") == name).select("read_id", *[c(x).alias(f"{x}_{s}") for x in ("n", *columns)])
     heads, tails = side("LEFT", "h"), side("RIGHT", "t")
     on = ["read_id"]
     if same:
-        heads, tails = (x.withColumn("_chr", c(f"chr_id_{s}")).withColumn("_strand", c(f"_rev_{s}")) for x, s in ((heads, "h"), (tails, "t")))
+        heads, tails = (x.withColumn("_chr", c(f"chr_id_{s}")).withColumn("_strand", c(f"_x_{s}.rev")) for x, s in ((heads, "h"), (tails, "t")))
         on = ["read_id", "_chr", "_strand"]
-    both = heads.join(tails, on).where(c("_to_h") - c("_from_t") + 1 <= max_ambiguous)
+    both = heads.join(shuffled(tails), on).where(c("_x_h.end") - c("_x_t.start") + 1 <= max_ambiguous)
     if same is False:
-        both = both.where((c("chr_id_h") != c("chr_id_t")) | (c("_rev_h") != c("_rev_t")))
+        both = both.where((c("chr_id_h") != c("chr_id_t")) | (c("_x_h.rev") != c("_x_t.rev")))
     first = c("n_h") < c("n_t")
     pick = lambda x, s: F.when(first, c(f"{x}_{'h' if s == 'a' else 't'}")).otherwise(c(f"{x}_{'t' if s == 'a' else 'h'}"))
-    return both.select("read_id", F.least("n_h", "n_t").alias("i"), F.greatest("n_h", "n_t").alias("j"), *[pick(x, s).alias(f"{x}_{s}") for s in "ab" for x in RECORD])
+    return both.select("read_id", F.least("n_h", "n_t").alias("i"), F.greatest("n_h", "n_t").alias("j"), *[pick(x, s).alias(f"{x}_{s}") for s in "ab" for x in columns])
+
+
+def _own(pairs: DataFrame) -> list[str]:
+    return [c for c in pairs.columns if c not in ("_x_a", "_x_b")]
 
 
 def group_read_pair(pairs: DataFrame) -> DataFrame:
@@ -190,7 +204,7 @@ def group_read_pair(pairs: DataFrame) -> DataFrame:
             seq=F.concat(x["seq"], y["seq"]), qual=F.concat(x["qual"], y["qual"]), ab=p["ab"], at=p["at"], gap=gap, arm_1=x["last"] - x["first"] + 1, arm_2=y["last"] - y["first"] + 1,
         )
 
-    return _paired(pairs, True).select(*pairs.columns, F.inline(F.array(_bound(_bound(F.col("_p"), ordered), joined))))
+    return _paired(pairs, True).select(*_own(pairs), F.inline(F.array(_bound(_bound(F.col("_p"), ordered), joined))))
 
 
 def trim_read_pair(pairs: DataFrame) -> DataFrame:
@@ -203,7 +217,7 @@ def trim_read_pair(pairs: DataFrame) -> DataFrame:
             arms |= {f"t_pos_{k}": x["first"], f"t_cigar_{k}": x["cigar"], f"t_seq_{k}": x["seq"], f"t_qual_{k}": x["qual"], f"arm_{k}": x["last"] - x["first"] + 1}
         return _fields(status=p["status"], ab=p["ab"], **arms)
 
-    return _paired(pairs, False).select(*pairs.columns, F.inline(F.array(_bound(F.col("_p"), trimmed))))
+    return _paired(pairs, False).select(*_own(pairs), F.inline(F.array(_bound(F.col("_p"), trimmed))))
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -240,7 +254,8 @@ def sam_group_trim(sam: DataFrame, max_ungapped_sc: int = 5, min_overhang: int =
     as_is = rows.where(has_gap)
     split = rows.join(as_is.select("read_id").distinct(), "read_id", "left_anti")
     none = lambda df: df.select("read_id", *RECORD, F.coalesce("ab", F.lit(0)).alias("ab"))
-    joined = sam_group(split, min_overhang, min_armlen, max_ambiguous)
-    trimmed = sam_trim(split, min_armlen, max_ambiguous, remove_groupable=True)
+    known = _numbers(split)  # for both ways
+    joined = sam_group(known, min_overhang, min_armlen, max_ambiguous)
+    trimmed = sam_trim(known, min_armlen, max_ambiguous, remove_groupable=True)
     gapped = as_is.select("read_id", *RECORD, F.lit(0).alias("ab")).unionByName(none(joined)).unionByName(none(trimmed))
-    return gapped, split.where(cigar_max_softclip("cigar") <= max_ungapped_sc).select("read_id", *RECORD)
+    return gapped, known.where(cigar_max_softclip("cigar") <= max_ungapped_sc).select("read_id", *RECORD)

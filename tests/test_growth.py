@@ -8,7 +8,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from probewell.operators import coords, duplex, matrix, pileup, qc, score, tracks
+from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, score, tracks
+from probewell.plans import adapters
 
 
 def _plan(df) -> str:
@@ -225,3 +226,19 @@ def test_overlapping_junctions_share_their_windows(spark, monkeypatch):
         assert run(256) == run(1), options
     monkeypatch.setattr(score, "interval_join", None)  # no place is joined with the junctions around it
     assert score.sliding_junction(counts, junctions, wsize=60, wstep=7).count() > 1_000
+
+
+def test_contig_sizes_are_found_once(spark):
+    reads, _ = _reads(spark, random.Random(15), 30, 300)
+    assert "Aggregate" not in _plan(adapters.sizes(reads))
+
+
+def test_alignments_are_parsed_once_for_each_record(spark):
+    """Every pair parsed both of its CIGARs again, and records were numbered anew for each side."""
+    rows = [(f"r{i % 20}", 16 * (i % 3 == 0), f"c{i % 2}", 100 * i, f"{20 + i % 9}M{35 - i % 9}S" if i % 4 else f"{30 - i % 9}S{25 + i % 9}M", "ACGTA" * 11, "I" * 55) for i in range(120)]
+    sam = spark.createDataFrame(rows, "read_id string, flag int, chr_id string, pos long, cigar string, seq string, qual string")
+    gapped, plain = chimera.sam_group_trim(sam)
+    for found in (chimera.group_read_pair(chimera.read_pairs(sam)), chimera.sam_trim(sam), gapped):
+        assert r"([MIDNSHP=X])" not in _plan(found) and "BroadcastHashJoin" not in _plan(found)
+    plain_pairs = chimera.read_pairs(sam).drop("_x_a", "_x_b")
+    assert sorted(map(tuple, chimera.group_read_pair(plain_pairs).fillna("").collect()), key=str) == sorted(map(tuple, chimera.group_read_pair(chimera.read_pairs(sam)).fillna("").collect()), key=str)
