@@ -193,23 +193,12 @@ def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_
     after another, a base at a time, while the outermost line holds a cell whose whole part is at least ``extend``, the side is
     under ``max_win`` and the box ends ``min_dist`` before it begins in y. The cells of the box are used up, and the scan goes on.
 
-    Cells under both thresholds change nothing, so only the others are looked at; cells further than ``max_win`` apart in a
-    coordinate have nothing to do with each other, so runs of squares of that size are worked off apart.
+    Each call begins and ends in cells of ``perceive``, and takes or looks at others under a side away from these only. So only what lies near
+    such cells is laid out, and calls that may have to do with each other are worked off together (``_pieces``). ``coo`` may be packed.
     """
     if min(perceive, extend) <= 0:
         raise ValueError("thresholds must be positive")
-    floor = min(perceive, extend)
-    strong = coo.where((F.col("value") >= floor) & (F.col("y") - F.col("x") >= min_win + min_dist)).join(small(size.select("contig", "length")), "contig")
-    square = [F.floor(F.col(c) / max_win).alias(b) for c, b in (("x", "bx"), ("y", "by"))]
-    strong = scan.save(strong.select(*KEY, "length", "x", "y", "value", *square), "strong_cells")
-    # squares of max_win a side: cells that may have to do with each other lie in one or in neighbouring squares. Cut by
-    # gaps in x, then in y, then in x again; a piece without a cell of perceive has no call
-    found = strong.groupBy(*KEY, "bx", "by").agg(F.max("value").alias("top"))
-    for piece, by, c, other in (("a", [], "bx", "by"), ("b", ["a"], "by", "bx"), ("c", ["a", "b"], "bx", "by")):
-        found = scan.runs(found, [*KEY, *by], c, c, 1, (other,), piece)
-    found = scan.save(found, "squares")
-    alive = found.groupBy(*KEY, "a", "b", "c").agg(F.max("top").alias("top")).where(F.col("top") >= perceive).drop("top")
-    rows = strong.join(found.drop("top").join(alive, [*KEY, "a", "b", "c"], "left_semi"), [*KEY, "bx", "by"])
+    rows = _pieces(coo, min_win + min_dist, max(min_win, max_win), perceive, min(perceive, extend)).join(small(size.select("contig", "length")), "contig")
 
     def calls(pdf: pd.DataFrame) -> pd.DataFrame:
         cells = dict(zip(zip(pdf["y"].astype(int) - 1, pdf["x"].astype(int) - 1, strict=True), pdf["value"].astype(float), strict=True))
@@ -220,7 +209,47 @@ def call_interactions(coo: DataFrame, size: DataFrame, min_dist: int = 100, min_
         return frame
 
     schema = "contig string, strand string, x0 long, x1 long, y0 long, y1 long, score double, x_max long, y_max long"
-    return rows.groupBy(*KEY, "a", "b", "c").applyInPandas(calls, schema)
+    return rows.groupBy(*KEY, "piece").applyInPandas(calls, schema)
+
+
+def _pieces(coo: DataFrame, apart: int, reach: int, perceive: float, floor: float) -> DataFrame:
+    """contig, strand, piece, x, y, value: the cells of at least ``floor`` with y - x >= ``apart`` that a call may look at.
+
+    A call holds or looks at cells less than ``reach`` away from one of ``perceive`` in both coordinates, so two calls whose cells of
+    ``perceive`` are twice that apart have nothing to do with each other. Bins of that side (whole squares) with such a cell are joined to pieces
+    where at most one bin lies between them; a piece has its bins and those around them.
+    """
+    across = -(-reach // SIDE)  # squares in a side of a bin
+    packed = "at" in coo.columns
+    wanted = (F.col("y") - F.col("x") >= apart) & (F.col("value") >= floor)
+    if packed:
+        coo = coo.where((F.col("by") - F.col("bx") + 1) * SIDE > apart).where(F.array_max("value") >= floor)
+        coo = coo.withColumns({g: F.floor(F.col(b) / across) for g, b in (("gx", "bx"), ("gy", "by"))})
+        high = cells(coo.where(F.array_max("value") >= perceive))
+    else:
+        coo = high = coo.where(wanted)
+    at = {g: F.floor((F.col(c) - 1) / (SIDE * across)) for g, c in (("gx", "x"), ("gy", "y"))}
+    bins = scan.save(high.where(wanted & (F.col("value") >= perceive)).select(*KEY, *[c.alias(g) for g, c in at.items()]).distinct(), "bins")
+    named = scan.components(_near(bins, 2).select(*KEY, _bin("gx", "gy").alias("u"), _bin("nx", "ny").alias("v")), KEY)
+    around = _near(bins, 1).select(*KEY, _bin("gx", "gy").alias("node"), "nx", "ny").join(shuffled(named), [*KEY, "node"])
+    zone = scan.save(around.select(*KEY, F.col("nx").alias("gx"), F.col("ny").alias("gy"), F.col("component").alias("piece")).distinct(), "zone")
+    if packed:
+        rows = coo.join(small(zone), [*KEY, "gx", "gy"]).select(*KEY, "piece", "bx", "by", F.inline(F.arrays_zip("at", "value")))
+        rows = rows.select(*KEY, "piece", _place("bx", F.floor(F.col("at") / SIDE)).alias("x"), _place("by", F.col("at") % SIDE).alias("y"), "value").where(wanted)
+    else:
+        rows = coo.withColumns(at).join(small(zone), [*KEY, "gx", "gy"])
+    return rows.select(*KEY, "piece", "x", "y", "value")
+
+
+def _near(bins: DataFrame, k: int) -> DataFrame:
+    """Each bin (gx, gy) with the places (nx, ny) up to ``k`` bins away, its own among them."""
+    steps = F.array(*[F.lit(i).cast("long") for i in range(-k, k + 1)])
+    return bins.withColumn("nx", F.explode(F.transform(steps, lambda i: F.col("gx") + i))).withColumn("ny", F.explode(F.transform(steps, lambda i: F.col("gy") + i)))
+
+
+def _bin(x: str, y: str) -> Column:
+    """One number for a bin; those before the first are negative, so they are counted from 1,024."""
+    return F.shiftleft(F.col(x) + 1024, 31) + F.col(y) + 1024
 
 
 class Peaks:

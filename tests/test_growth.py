@@ -6,11 +6,14 @@ import random
 import time
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, score, tracks
+from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, scan, score, tracks
 from probewell.plans import adapters
 
+from .test_large_groups import literal_calls
+
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -242,3 +245,31 @@ def test_alignments_are_parsed_once_for_each_record(spark):
         assert r"([MIDNSHP=X])" not in _plan(found) and "BroadcastHashJoin" not in _plan(found)
     plain_pairs = chimera.read_pairs(sam).drop("_x_a", "_x_b")
     assert sorted(map(tuple, chimera.group_read_pair(plain_pairs).fillna("").collect()), key=str) == sorted(map(tuple, chimera.group_read_pair(chimera.read_pairs(sam)).fillna("").collect()), key=str)
+
+
+def test_scattered_cells_do_not_join_what_is_called(spark):
+    """Weak cells all over a matrix made one piece of it, however far the cells of ``perceive`` lay apart."""
+    rng = random.Random(12)
+    n, dist, win, most, perceive, extend = 900, 20, 10, 40, 9.0, 1.0
+    value = np.zeros((n, n))
+    for _ in range(9_000):
+        x, y = rng.randint(0, n - 1), rng.randint(0, n - 1)
+        value[y, x] = rng.choice([1.0, 2.5, 4.0])
+    for x, y in ((60, 300), (75, 330), (95, 360), (300, 800), (310, 801), (2, 500), (500, 650)):
+        value[y : y + 6, x : x + 4] += rng.choice([9.0, 11.0])
+    cells = [("c", "+", int(x) + 1, int(y) + 1, float(value[y, x])) for y, x in zip(*np.nonzero(value), strict=True)]
+    coo = spark.createDataFrame(cells, "contig string, strand string, x long, y long, value double")
+    size = spark.createDataFrame([("c", n)], "contig string, length long")
+    want = literal_calls(value, dist, win, most, perceive, extend)
+    assert len(want) > 4
+    for given in (coo, matrix.blocks(coo)):
+        got = matrix.call_interactions(given, size, dist, win, most, perceive, extend).collect()
+        assert sorted(tuple(r)[2:] for r in got) == want
+        pieces = Counter(r.piece for r in matrix._pieces(given, win + dist, most, perceive, extend).collect())
+        assert len(pieces) >= 4 and max(pieces.values()) < len(cells) / 10
+
+
+def test_components_of_a_chain_and_of_single_nodes(spark):
+    chain = [("a", i, i + 1) for i in range(40)] + [("a", i, i) for i in range(41)] + [("b", 7, 7), ("b", 3, 9), ("b", 9, 3), ("b", 9, 77)]
+    found = scan.components(spark.createDataFrame(chain, "k string, u long, v long"), ["k"])
+    assert {tuple(r) for r in found.collect()} == {("a", i, 0) for i in range(41)} | {("b", 7, 7), ("b", 3, 3), ("b", 9, 3)}
