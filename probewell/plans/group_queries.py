@@ -106,9 +106,8 @@ def _masked(spark, d):
 def _separate(spark, d):
     """Each base ranked against its own kind, all bases in one result."""
     base = F.expr("substr('ACGU', cast((pos * 7 + pos div 5) % 4 as int) + 1, 1)")
-    counts, sizes = scan.save(_counts(spark, d).withColumn("base", base), "bases"), a.sizes(a.reads(spark, d))
-    one = lambda b: score.sliding_score(counts, sizes, grid="fixed", wsize=100, wstep=20, bases=b, min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2).withColumn("base", F.lit(b))
-    return score.separate_bases(one, "ACGU")
+    counts, sizes = _counts(spark, d).withColumn("base", base), a.sizes(a.reads(spark, d))
+    return score.sliding_score(counts, sizes, grid="fixed", wsize=100, wstep=20, bases=tuple("ACGT"), min_cov=5, out_min_cov=5, min_bd=5, min_rt=0.5, low_bd=2)
 
 
 @query(

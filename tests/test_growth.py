@@ -273,3 +273,35 @@ def test_components_of_a_chain_and_of_single_nodes(spark):
     chain = [("a", i, i + 1) for i in range(40)] + [("a", i, i) for i in range(41)] + [("b", 7, 7), ("b", 3, 9), ("b", 9, 3), ("b", 9, 77)]
     found = scan.components(spark.createDataFrame(chain, "k string, u long, v long"), ["k"])
     assert {tuple(r) for r in found.collect()} == {("a", i, 0) for i in range(41)} | {("b", 7, 7), ("b", 3, 3), ("b", 9, 3)}
+
+
+def test_bases_apart_in_one_pass(spark):
+    """Each base was a run of its own, and its windows were scored one by one."""
+    rows = spark.range(1, 901).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), F.col("id").alias("pos"), *[(F.col("id") * p % 37 + least).alias(c) for c, p, least in (("n_rt", 5, 1), ("n_bd", 11, 200), ("d_rt", 17, 0), ("d_bd", 23, 90))], F.expr("substr('ACGU', cast((id * 7 + id div 5) % 4 as int) + 1, 1)").alias("base"))
+    sizes = spark.createDataFrame([("c", 900)], "contig string, length long")
+    for grid, tile in (("fixed", 300), ("exact", 20_000)):
+        run = lambda b: score.sliding_score(rows, sizes, grid=grid, wsize=100, wstep=20, out_min_cov=0, min_cov=60, bases=b, tile=tile)  # noqa: B023, E731
+        want = score.separate_bases(lambda b: run(b).withColumn("base", F.lit(b)), "ACGU").collect()  # noqa: B023
+        got = run(tuple("ACGT")).collect()
+        assert sorted(got, key=lambda r: r.pos) == sorted(want, key=lambda r: r.pos) and len(got) == len({r.pos for r in got}) > 700
+        assert sum(r.score is not None for r in got) > 500
+
+
+def test_masked_windows_are_scored_together():
+    rng = np.random.default_rng(5)
+    n, w = 20_000, 100
+    counts = [rng.integers(least, 60, (n, w)) for least in (1, 20, 0, 20)]
+    mask = rng.random((n, w)) < 0.25
+    mask[7] = False
+    began = time.time()
+    got = score.score_windows(*counts, mask=mask, mask_bd=25)
+    control = score.score_windows_noctrl(*counts[::3], mask=mask, mask_bd=25, sink=0.1)
+    assert time.time() - began < 4
+    for i in (0, 7, 11, 19_999):
+        want, m = np.full(w, np.nan), mask[i]
+        if m.any():
+            want[m] = score.score_windows(*(c[i : i + 1, m] for c in counts), min_bd=25, min_rt=0.0, low_bd=-1)[0]
+        np.testing.assert_array_equal(got[i], want)
+        if m.any():
+            want[m] = score.score_windows_noctrl(*(c[i : i + 1, m] for c in counts[::3]), min_bd=25, min_rt=0.0, low_bd=-1, sink=0.1)[0]
+        np.testing.assert_array_equal(control[i], want)
