@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,29 +69,46 @@ def quality_codes(qual: Column | str) -> Column:
 
 def quality_trim(fastq: DataFrame, leading: int = 13, trailing: int = 20, window: int = 4, window_q: int = 15, min_len: int = 25) -> DataFrame:
     """Cut ``leading`` letters, then bad letters at the end, then from the first window whose mean is too low; drop short reads."""
-    zero = F.lit(0)
-
-    def end(q: Column) -> Column:
-        """Letters that stay of the codes after the head: those to the last good one, and of them those before the first bad window."""
-        n = F.coalesce(F.array_max(F.transform(q, lambda x, i: F.when(x >= trailing, i + 1))), zero)
-        starts = F.when(n >= window, F.sequence(F.lit(1), n - window + 1)).otherwise(F.array().cast("array<int>"))
-        sums = lambda i: sum((F.get(q, i - 1 + k) for k in range(1, window)), F.get(q, i - 1))
-        bad = F.array_min(F.filter(starts, lambda i: sums(i) < window * window_q))
-        good = lambda k: F.get(q, bad - 1 + k) >= window_q
-        # the read ends in the first bad window; letters at its start that are good themselves stay
-        more, run = zero, F.lit(True)
-        for k in range(window):
-            run = run & good(k)
-            more = more + F.when(run, 1).otherwise(0)
-        return F.when(bad.isNotNull(), bad - 1 + more).otherwise(n)
-
-    codes = quality_codes(F.substring("qual", leading + 1, 1 << 30))
-    # an array of one binds the codes, so that they are not worked out again for each window
-    rows = fastq.withColumn("_n", F.transform(F.array(codes), end)[0])
+
+    @F.pandas_udf("int")
+    def kept(qual: pd.Series) -> pd.Series:
+        return kept_letters(qual, trailing, window, window_q)
+
+    rows = fastq.withColumn("_n", kept(F.substring("qual", leading + 1, 1 << 30)))
     cut = rows.withColumn("seq", F.substring("seq", F.lit(leading + 1), F.col("_n"))).withColumn("qual", F.substring("qual", F.lit(leading + 1), F.col("_n")))
     return cut.where(F.length("seq") >= min_len).drop("_n")
 
 
+def kept_letters(qual: pd.Series, trailing: int, window: int, window_q: int) -> pd.Series:
+    """How many letters of each quality string stay: those to the last good one, and of them those before the first bad window.
+
+    The read ends in the first bad window; letters at its start that are good themselves stay. The codes of all strings lie one after
+    another in one array, so a window is a difference of running sums. A null string has no letters.
+    """
+    texts = [t or "" for t in qual]
+    size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4").astype(np.int64) - 33
+    start = np.cumsum(size) - size
+    row, total = np.repeat(np.arange(len(texts)), size), len(codes)
+    at = np.arange(total) - start[row]
+
+    def first(hit: np.ndarray) -> np.ndarray:
+        """The first place of each string that is hit; its size if there is none."""
+        found = size.copy()
+        where = np.flatnonzero(hit)[::-1]  # of several, the last one written stands
+        found[row[where]] = at[where]
+        return found
+
+    n = np.zeros(len(texts), dtype=np.int64)
+    good = np.flatnonzero(codes >= trailing)
+    n[row[good]] = at[good] + 1
+    sums = np.concatenate([[0], np.cumsum(codes)])
+    whole = at + window <= n[row]
+    bad = first(whole & (sums[np.minimum(np.arange(total) + window, total)] - sums[:-1] < window * window_q))
+    low = first((codes < window_q) & (at >= bad[row]))  # a bad window holds a letter that is not good itself
+    return pd.Series(np.where(bad < size, low, n), dtype="int32")
+
+
 def collapse_reads(fastq: DataFrame, simplify: bool = False) -> tuple[DataFrame, DataFrame]:
     """(the first read of each sequence, each sequence's count downwards). ``id`` gives the input order."""
     rows = simplify_read_name(fastq) if simplify else fastq

@@ -7,9 +7,10 @@ import time
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, scan, score, tracks
+from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, reads, scan, score, tracks
 from probewell.plans import adapters
 
 from .test_large_groups import literal_calls
@@ -305,3 +306,34 @@ def test_masked_windows_are_scored_together():
         if m.any():
             want[m] = score.score_windows_noctrl(*(c[i : i + 1, m] for c in counts[::3]), min_bd=25, min_rt=0.0, low_bd=-1, sink=0.1)[0]
         np.testing.assert_array_equal(control[i], want)
+
+
+def test_quality_trim_equals_a_plain_loop(spark):
+    """Each window of each read was a chain of array lookups; 400,000 windows took longer than a second."""
+    rng = random.Random(7)
+    quals = ["", None, "5", "#", "I" * 47, "#" * 47, "é€" * 20] + ["".join(chr(33 + min(40, max(0, int(rng.gauss(24, 9))))) for _ in range(rng.randint(0, 60))) for _ in range(9_000)]
+
+    def plain(q, trailing, window, window_q):
+        codes = [ord(c) - 33 for c in q or ""]
+        while codes and codes[-1] < trailing:
+            codes.pop()
+        for i in range(len(codes) - window + 1):
+            if sum(codes[i : i + window]) < window * window_q:
+                return next(k for k in range(i, i + window) if codes[k] < window_q)
+        return len(codes)
+
+    for options in ((20, 4, 15), (10, 1, 22), (25, 7, 24)):
+        began = time.time()
+        got = reads.kept_letters(pd.Series(quals), *options).tolist()
+        assert time.time() - began < 1
+        assert got == [plain(q, *options) for q in quals]
+    fq = spark.createDataFrame([(i, "A" * (len(q or "") + 2), q and "~~" + q) for i, q in enumerate(quals[:300])], "id long, seq string, qual string")
+    found = {r.id: (len(r.seq), r.qual) for r in reads.quality_trim(fq, leading=2, min_len=20).collect()}
+    assert found == {i: (n, q[:n]) for i, q in enumerate(quals[:300]) if (n := plain(q, 20, 4, 15)) >= 20}
+
+
+def test_qualities_of_texts(spark, tmp_path):
+    spark.createDataFrame([(i, "abcXYZ " * (i * 9)) for i in range(14)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = adapters.fastq(spark, str(tmp_path)).collect()
+    assert {len(r.seq) for r in rows} >= {0, 60, 54}
+    assert all(r.qual == "".join(chr(73 - i // 3 - (i * 7 + r.id) % 11) for i in range(1, len(r.seq) + 1)) for r in rows)
