@@ -337,3 +337,16 @@ def test_qualities_of_texts(spark, tmp_path):
     rows = adapters.fastq(spark, str(tmp_path)).collect()
     assert {len(r.seq) for r in rows} >= {0, 60, 54}
     assert all(r.qual == "".join(chr(73 - i // 3 - (i * 7 + r.id) % 11) for i in range(1, len(r.seq) + 1)) for r in rows)
+
+
+def test_counts_are_summed_in_batches_and_shuffled_once(spark):
+    """The sums of a whole input split were held by one task, and their sums again by another."""
+    reads_ = spark.range(30_000).select(F.lit("c").alias("contig"), F.lit("+").alias("strand"), F.when(F.col("id") % 3 == 0, "D").otherwise("N").alias("condition"), F.expr("array(struct(10L + id % 2 * 40000 as first, 90L + id % 2 * 40000 as second))").alias("regions"))
+    sizes = spark.createDataFrame([("c", 50_000)], "contig string, length long")
+    batched = pileup.summed_in_batches(reads_.coalesce(1).select("contig", "condition", F.col("regions")[0]["first"].alias("pos"), F.lit(1).cast("long").alias("n")), ["n"], batch=8_000)
+    found = batched.collect()
+    assert len(found) <= 4 * 5 and sum(r.n for r in found) == 30_000
+    counts = pileup.condition_counts(reads_, sizes)
+    assert _plan(counts).count("Exchange hashpartitioning") == 1
+    assert {(r.pos, r.n_rt, r.n_bd, r.d_rt, r.d_bd) for r in counts.collect()} == {(p + at, *((10_000, 0, 5_000, 0) if at == 9 else (0, 10_000, 0, 5_000))) for p in (0, 40_000) for at in range(9, 91)}
+    assert pileup._tasks(spark.createDataFrame([("c", 1 << 30), ("d", 5)], "contig string, length long"), 1 << 14) == 4096
