@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, reads, scan, score, tracks
-from probewell.plans import adapters
+from probewell.plans import adapters, queries, registry  # noqa: F401 - queries are registered
 
 from .test_large_groups import literal_calls
 
@@ -350,3 +350,27 @@ def test_counts_are_summed_in_batches_and_shuffled_once(spark):
     assert _plan(counts).count("Exchange hashpartitioning") == 1
     assert {(r.pos, r.n_rt, r.n_bd, r.d_rt, r.d_bd) for r in counts.collect()} == {(p + at, *((10_000, 0, 5_000, 0) if at == 9 else (0, 10_000, 0, 5_000))) for p in (0, 40_000) for at in range(9, 91)}
     assert pileup._tasks(spark.createDataFrame([("c", 1 << 30), ("d", 5)], "contig string, length long"), 1 << 14) == 4096
+
+
+def test_places_of_long_genes_are_dealt_over_tasks(spark, tmp_path):
+    """Stretches are a few bytes for many places: a shuffle without a number was coalesced to one task."""
+    spark.createDataFrame([(k, 2 * (k % 9) + k // 9 % 2, f"B{k % 3}") for k in range(900)], "p_partkey long, p_size int, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    found = registry.QUERIES["gene_to_genome"](spark, str(tmp_path))
+    assert sum(n > 0 for n in found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) > 1
+    genes = {}
+    for t in adapters.transcripts(spark, str(tmp_path)).collect():
+        a, b = genes.get(t.gene_id, (t.contig, t.strand, 10**9, 0))[2:]
+        genes[t.gene_id] = (t.contig, t.strand, min(a, *[e["first"] for e in t.exons]), max(b, *[e["second"] for e in t.exons]))
+    want = sorted((g, i + 1, c, s, a + i if s == "+" else b - i) for g, (c, s, a, b) in genes.items() for i in range(b - a + 1))
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
+def test_stretches_of_genes_equal_their_points(spark):
+    genes = spark.createDataFrame([("g", "c", "+", 101, 350), ("h", "c", "-", 7, 7), ("i", "d", "-", 1, 200)], "gene_id string, contig string, strand string, first long, second long")
+    points = genes.select("gene_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("second") - F.col("first") + 1)).alias("g_pos"))
+    want = sorted(tuple(r) for r in coords.gene_to_genome(points, genes).collect())
+    assert len(want) == 451 and ("i", 1, "d", "-", 200) in want and ("g", 250, "c", "+", 350) in want
+    for width in (1, 7, 100, 1000):
+        assert sorted(tuple(r) for r in coords.gene_to_genome(coords.gene_stretches(genes, width), genes).collect()) == want
+    beyond = spark.createDataFrame([("g", -3, 2, "x"), ("g", 249, 900, "y"), ("h", 2, 5, "z"), ("none", 1, 2, "z")], "gene_id string, g_first long, g_second long, tag string")
+    assert sorted((r.g_pos, r.tag, r.pos) for r in coords.gene_to_genome(beyond, genes).collect()) == [(1, "x", 101), (2, "x", 102), (249, "y", 349), (250, "y", 350)]
