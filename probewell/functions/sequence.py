@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +40,40 @@ def motif_sites(seq: Column | str, motif: str) -> Column:
 _AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 
 
-def translate_codons(seq: Column | str) -> Column:
-    """Amino acids of the codons from the first letter on, * for a stop, X for a codon with another letter."""
-    s = F.translate(F.upper(_c(seq)), "U", "T")
-    digit = lambda i, k: F.position(F.substring(s, i + k, F.lit(1)), F.lit("TCAG")) - 1
-    starts = F.when(F.length(s) >= 3, F.sequence(F.lit(1), F.length(s) - 2, F.lit(3))).otherwise(F.array().cast("array<int>"))
+def _translated(seq: pa.Array) -> pa.Array:
+    """The proteins of a batch of sequences in capitals, codon by codon over the bytes of all of them."""
+    seq = seq.fill_null("").cast(pa.large_string())
+    text = _bytes_of(seq)
+    if len(text[0]) and text[0].max() > 127:
+        text = _bytes_of(pc.replace_substring_regex(seq, r"[^\x00-\x7f]", "-"))  # one byte for each letter
+    letters, ends = text
+    digit, amino = np.full(256, 4, np.uint8), np.full(125, ord("X"), np.uint8)
+    digit[list(b"TUCAG")] = 0, 0, 1, 2, 3
+    for k, x in enumerate(_AMINO.encode()):
+        amino[k // 16 * 25 + k // 4 % 4 * 5 + k % 4] = x
+    count = (ends[1:] - ends[:-1]) // 3
+    upto = np.concatenate([[0], np.cumsum(count)])
+    if upto[-1] > 256 * len(seq):  # long sequences: no place of each codon is held
+        codons = lambda i: (digit[letters[ends[i] + k : ends[i] + 3 * count[i] : 3]] for k in range(3))
+        out = np.concatenate([amino[x * 25 + y * 5 + z] for x, y, z in map(codons, range(len(seq)))])
+    else:
+        at = np.repeat(ends[:-1] - 3 * upto[:-1], count) + 3 * np.arange(upto[-1])
+        out = amino[digit[letters[at]] * 25 + digit[letters[at + 1]] * 5 + digit[letters[at + 2]]]
+    whole = pa.Array.from_buffers(pa.large_string(), len(seq), [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(out)])
+    return whole.cast(pa.string())
+
+
+def _bytes_of(seq: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts, and where each begins and ends among them."""
+    _, ends, data = seq.buffers()
+    ends = np.frombuffer(ends, np.int64)[seq.offset : seq.offset + len(seq) + 1] if len(seq) else np.zeros(1, np.int64)
+    letters = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return letters, ends - ends[0]
 
-    def amino(i: Column) -> Column:
-        a, b, c = (digit(i, k) for k in range(3))
-        return F.when((a < 0) | (b < 0) | (c < 0), "X").otherwise(F.substring(F.lit(_AMINO), (16 * a + 4 * b + c + 1).cast("int"), F.lit(1)))
 
-    return F.array_join(F.transform(starts, amino), "")
+def translate_codons(seq: Column | str) -> Column:
+    """Amino acids of the codons from the first letter on, * for a stop, X for a codon with another letter. A null gives an empty text."""
+    return F.arrow_udf(_translated, "string")(F.upper(_c(seq)))
 
 
 def md_mutations(md: Column | str) -> Column:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from probewell.functions import sequence
 from probewell.operators import chimera, coords, duplex, matrix, pileup, qc, reads, scan, score, tracks
 from probewell.plans import adapters, queries, registry  # noqa: F401 - queries are registered
 
@@ -408,3 +409,29 @@ def test_groups_are_counted_where_they_are_made(spark):
     assert _plan(groups).count("Exchange hashpartitioning") == _plan(members).count("Exchange hashpartitioning")
     counted = Counter(r.group_id for r in members.collect())
     assert {r.group_id: r.support for r in groups.collect()} == counted and groups.count() == len(counted)
+
+
+def _protein(text):
+    text = (text or "").upper().replace("U", "T")
+    codons = [text[i : i + 3] for i in range(0, len(text) - 2, 3)]
+    return "".join(sequence._AMINO[16 * "TCAG".index(c[0]) + 4 * "TCAG".index(c[1]) + "TCAG".index(c[2])] if set(c) <= set("TCAG") else "X" for c in codons)
+
+
+def test_codons_equal_a_plain_loop(spark):
+    rng = random.Random(13)
+    texts = [None, "", "A", "AC", "ACG", "acguuN", "T T", "\u00e9TG\u00dfCA", "AT\U0001f600GGG", "TCAG" * 900]
+    texts += ["".join(rng.choices("TCAGUtcagu" + rng.choice(["", "N", "-*", "\u00e9\u0130"]), k=rng.randint(0, 90))) for _ in range(800)]
+    for n in (1, 4):
+        rows = spark.createDataFrame(list(enumerate(texts)), "id long, seq string").repartition(n)
+        assert [r.p for r in rows.select("id", sequence.translate_codons("seq").alias("p")).orderBy("id").collect()] == [_protein(t) for t in texts]
+    kept = rows.where(F.length("seq") > 3000).select(sequence.translate_codons("seq").alias("p"), F.length("seq").alias("n")).collect()
+    assert [tuple(r) for r in kept] == [(_protein("TCAG" * 900), 3600)]
+
+
+def test_codons_of_a_long_sequence_take_time_that_grows_with_it(spark):
+    """The whole sequence was put in capitals again for each letter of each codon."""
+    rows = spark.createDataFrame([("ACGTTGCAAC" * 3000,)], "seq string")
+    rows.select(sequence.translate_codons("seq")).collect()  # without the start of a worker
+    start = time.time()
+    assert rows.select(sequence.translate_codons("seq").alias("p")).first().p == _protein("ACGTTGCAAC" * 3000)
+    assert time.time() - start < 5
