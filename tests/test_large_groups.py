@@ -50,6 +50,30 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize(("span", "longest", "groups", "gap"), [(3000, 60, ["x", None, "y"], 0), (3000, 9, ["x"], 3), (300, 400, ["x", "y"], 0), (100_000, 5, [str(k) for k in range(90)], 10), (20_000, 30, ["x", "y"], -1)])
+def test_runs_are_counted_while_they_are_dealt(spark, span, longest, groups, gap):
+    """The rows were shuffled four times more, to count what lies before each."""
+    rng = random.Random(span)
+    rows = [(rng.choice(groups), a, a + (rng.randrange(longest) if rng.random() < 0.97 else rng.randrange(span)), i) for i in range(400) for a in [rng.randrange(span)]]
+    found = scan.runs(spark.createDataFrame(rows, "g string, a long, b long, i long"), ["g"], "a", "b", gap, ("i",))
+    assert "hashpartitioning" not in plan_of(found) and found.columns == ["g", "a", "b", "i", "island"]
+    want, last = {}, {}
+    for g, a, b, i in sorted(rows, key=lambda r: r[1:]):
+        reach, n = last.get(g, (None, 0))
+        n += reach is None or a > reach + gap
+        last[g] = b if reach is None else max(reach, b), n
+        want[i] = n
+    assert {r.i: r.island for r in found.collect()} == want
+
+
+def test_runs_of_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_runs_are_counted_while_they_are_dealt(spark, 3000, 60, ["x", None, "y"], 0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize(("sample", "index", "calc"), [("decile", 2, "median"), ("smart", 1, "mean"), ("upper", 1, "peak"), ("vigintile", 3, "mean"), ("quartile", 4, "median")])
 def test_scaling_factor_of_continuous_values(spark, sample, index, calc):
     rng = random.Random(6)
